@@ -6,6 +6,7 @@ from riskweave.functions.report import percent_text
 from riskweave.functions.text import (
     idempotency_key,
     json_text,
+    parsed_once,
     reason_count,
     reason_list,
     reasons_display,
@@ -23,6 +24,7 @@ __all__ = [
     "json_text",
     "micros",
     "parse_rfc3339",
+    "parsed_once",
     "percent_text",
     "reason_count",
     "reason_list",

@@ -18,6 +18,15 @@ def json_text(value: Column) -> Column:
     return F.when(F.schema_of_variant(value) == "STRING", F.variant_get(value, "$", "string"))
 
 
+def parsed_once(value: Column) -> Column:
+    """A parsed document that later filters cannot copy back into their conditions.
+
+    Filters are pushed through projections by repeating the expression, which for a
+    parser means parsing the text once per mention. They stop at a generator.
+    """
+    return F.explode(F.array(value))
+
+
 def idempotency_key(bank: Column, native_id: Column) -> Column:
     return F.concat(bank, F.lit(":"), native_id)
 

@@ -10,6 +10,7 @@ from riskweave.functions import (
     idempotency_key,
     json_text,
     parse_rfc3339,
+    parsed_once,
     rfc3339_text,
     text_or_empty,
 )
@@ -68,7 +69,7 @@ def parse_envelope(messages: DataFrame, as_of: Column) -> DataFrame:
     empty; a missing timestamp is an error.
     """
     m = F.from_json("body", BODY_SCHEMA, {"columnNameOfCorruptRecord": "__corrupt"})
-    parsed = messages.select("body", "message_id", "retry_count", m.alias("m"))
+    parsed = messages.select("body", "message_id", "retry_count", parsed_once(m).alias("m"))
 
     def text(name: str) -> Column:
         return text_or_empty(json_text(F.col(f"m.{name}")))

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskweave.functions import parsed_once
+
 
 @dataclass(frozen=True)
 class Feed:
@@ -95,10 +97,9 @@ def read_feed(spark: SparkSession, path: str, feed: Feed, *, array_file: bool =
 
 def parse_records(df: DataFrame, feed: Feed, body: str = "body") -> DataFrame:
     """Native rows from a column of JSON record texts, other columns kept."""
-    parsed = F.from_json(F.col(body), feed.schema).alias("__record")
-    return df.select(*[c for c in df.columns if c != body], parsed).select(
-        *[c for c in df.columns if c != body], "__record.*"
-    )
+    kept = [c for c in df.columns if c != body]
+    parsed = parsed_once(F.from_json(F.col(body), feed.schema)).alias("__record")
+    return df.select(*kept, parsed).select(*kept, "__record.*")
 
 
 def explode_pages(pages: DataFrame, feed: Feed) -> DataFrame:
