@@ -86,5 +86,9 @@ class RuleSettings:
 HEAVY_ACCOUNT_ROWS = 100_000
 # Rows aimed at per chunk when a heavy group is cut.
 CHUNK_ROWS = 1_000_000
+# Smaller chunks, no less than this, keep all cores busy on a smaller group.
+SMALL_CHUNK_ROWS = 50_000
+# Most chunks of one range shuffle; beyond it chunks get larger.
+MAX_CHUNKS = 20_000
 # Key lists are broadcast only when a count shows them to be no longer than this.
 BROADCAST_KEYS = 100_000

@@ -7,6 +7,8 @@ and the reason text when it fires. ``score`` takes any sequence of them.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,19 +97,18 @@ def score(
         heavy_rows=heavy_rows,
         chunk_rows=chunk_rows,
     )
-    flags = F.array_compact(F.array(*[rule(settings) for rule in rules]))
-    return (
-        with_distance(history, cities)
-        .withColumn("flags", flags)
-        .filter(F.size("flags") > 0)
-        .select(
-            "idempotency_key",
-            "account_id",
-            "amount_cents",
-            "merchant_category",
-            "city",
-            "occurred_at",
-            "flags",
-            F.array_join("flags", REASON_SEPARATOR).alias("reasons"),
-        )
+    # The generator computes every reason once per row. Without it the filter would be
+    # pushed down with copies of the reason and distance expressions in it.
+    names = [f"__reason_{i}" for i in range(len(rules))]
+    reasons = F.struct(*[rule(settings).alias(n) for n, rule in zip(names, rules, strict=True)])
+    judged = with_distance(history, cities).select(*RULE_INPUT, F.inline(F.array(reasons)))
+    return judged.filter(reduce(or_, [F.col(n).isNotNull() for n in names])).select(
+        "idempotency_key",
+        "account_id",
+        "amount_cents",
+        "merchant_category",
+        "city",
+        "occurred_at",
+        F.array_compact(F.array(*names)).alias("flags"),
+        F.concat_ws(REASON_SEPARATOR, *names).alias("reasons"),
     )

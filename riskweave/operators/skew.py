@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskweave.constants import BROADCAST_KEYS, CHUNK_ROWS
-from riskweave.session import checkpoint_dir
+from riskweave.constants import BROADCAST_KEYS, CHUNK_ROWS, MAX_CHUNKS, SMALL_CHUNK_ROWS
+from riskweave.session import checkpoint_dir, scratch_path
 
 CHUNK = "__chunk"
 
@@ -49,22 +49,31 @@ def split_heavy(df: DataFrame, key: str, limit: int) -> HeavySplit:
     )
 
 
+def chunk_count(rows: int, chunk_rows: int, shuffle_partitions: int) -> int:
+    """Chunks of ``chunk_rows``, or smaller ones while the cluster would idle otherwise.
+
+    A chunk is sorted with spilling, so it may grow where the number of chunks reaches
+    what one range shuffle handles well.
+    """
+    busy = min(shuffle_partitions, math.ceil(rows / SMALL_CHUNK_ROWS))
+    return min(max(2, math.ceil(rows / chunk_rows), busy), MAX_CHUNKS)
+
+
 def range_chunks(
     df: DataFrame, order: list[str | Column], rows: int, chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
     """Cut ``df`` into contiguous ranges of ``order``, numbered in column ``__chunk``.
 
     With a unique ``order`` no group is too heavy to cut. The bounds come from a
-    sample, so the result is checkpointed: every reader must see the same chunks,
-    also after a lost executor.
+    sample, so the result is written to the shared folder: every reader must see the
+    same chunks, also after a lost executor, and each reads only its columns.
     """
-    checkpoint_dir(df.sparkSession)
-    parts = max(2, math.ceil(rows / chunk_rows))
-    return (
-        df.repartitionByRange(parts, *order)
-        .withColumn(CHUNK, F.spark_partition_id())
-        .checkpoint()
-    )
+    spark = df.sparkSession
+    parts = chunk_count(rows, chunk_rows, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cut = df.repartitionByRange(parts, *order).withColumn(CHUNK, F.spark_partition_id())
+    path = scratch_path(spark, "chunks")
+    cut.write.parquet(path)
+    return spark.read.schema(cut.schema).parquet(path)
 
 
 def before_chunk(group: str) -> W:
