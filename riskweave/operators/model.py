@@ -27,7 +27,7 @@ from riskweave.operators.features import build_features
 from riskweave.operators.flags import FLAG_COLUMNS, with_rule_flag_count
 from riskweave.operators.skew import semi_join
 from riskweave.operators.split import apply_split, split_boundaries
-from riskweave.session import checkpoint_dir
+from riskweave.session import checkpoint_dir, materialize
 
 
 @dataclass(frozen=True)
@@ -76,7 +76,7 @@ def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
     )
 
 
-def test_metrics(predictions: DataFrame) -> DataFrame:
+def held_out_metrics(predictions: DataFrame) -> DataFrame:
     """Metrics of held-out rows; 0 where precision or recall is undefined, NaN AUC for one class.
 
     ``predictions`` carries ``label``, ``ml_score`` and ``predicted``. The area under
@@ -119,15 +119,16 @@ def train_and_evaluate(
 
     ``txns`` carries ``label`` and ``rule_flag_count``. The split needs only label,
     time and key, so it is found before the feature windows run; the features are
-    then written once to the checkpoint folder and read by every boosting pass.
+    then written once to the shared folder and read by every boosting pass.
     """
     boundaries = split_boundaries(txns, fraction)
-    checkpoint_dir(txns.sparkSession)
-    frame = apply_split(build_features(txns, settings=settings), boundaries).checkpoint()
+    frame = materialize(
+        apply_split(build_features(txns, settings=settings), boundaries), "features"
+    )
     model = train(frame.filter(F.col("split") == "train"), trees=trees, seed=seed)
     held_out = predict(model, frame.filter(F.col("split") == "test"))
     sizes = frame.filter(F.col("split") == "train").count()
-    metrics = test_metrics(held_out).select(F.lit(sizes).cast("bigint").alias("train_size"), "*")
+    metrics = held_out_metrics(held_out).select(F.lit(sizes).cast("bigint").alias("train_size"), "*")
     return Trained(model, metrics)
 
 

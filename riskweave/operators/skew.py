@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskweave.constants import BROADCAST_KEYS, CHUNK_ROWS, MAX_CHUNKS, SMALL_CHUNK_ROWS
-from riskweave.session import checkpoint_dir, scratch_path
+from riskweave.session import checkpoint_dir, materialize
 
 CHUNK = "__chunk"
 
@@ -71,9 +71,7 @@ def range_chunks(
     spark = df.sparkSession
     parts = chunk_count(rows, chunk_rows, int(spark.conf.get("spark.sql.shuffle.partitions")))
     cut = df.repartitionByRange(parts, *order).withColumn(CHUNK, F.spark_partition_id())
-    path = scratch_path(spark, "chunks")
-    cut.write.parquet(path)
-    return spark.read.schema(cut.schema).parquet(path)
+    return materialize(cut, "chunks")
 
 
 def before_chunk(group: str) -> W:

@@ -191,12 +191,12 @@ o as (select 'bank-b:' || o_orderkey as idempotency_key, cast(o_custkey as varch
 def _features(prefix: str, source: str, reach_s: int, keep: str = "") -> str:
     body = _history(source, reach_s * 1_000_000, "w_", whole_seconds=True)
     return f"""{prefix},{body},
-feat as (select idempotency_key, amount_cents, hour(make_timestamp(us)) as hour_of_day,
-    isodow(make_timestamp(us)) - 1 as weekday, (merchant_category = '7995')::int as is_high_risk_mcc,
+feat as (select idempotency_key, amount_cents, hour(make_timestamp(us))::int as hour_of_day,
+    (isodow(make_timestamp(us)) - 1)::int as weekday, (merchant_category = '7995')::int as is_high_risk_mcc,
     in_window - 1 as velocity_count, (not first_use)::int as category_seen_before,
     round(case when km >= 1 then case when us > prev_us
         then km / ((us - prev_us) / 3600000000.0::double) else km * 1e6 end else 0 end, 3)
-      as geo_speed_kmh, parts as rule_flag_count from w_h)
+      as geo_speed_kmh, parts::int as rule_flag_count from w_h)
 select * from feat{keep}"""
 
 
@@ -240,7 +240,7 @@ ORACLE: dict[str, str] = {
         '{UNMARSHAL_PREFIX}' || problem as reason,
         length(case when k < 10 then body[:-2] when k < 20 then replace(body, '"' || bank || '"', '5')
           when k < 30 then regexp_replace(body, '"amount_cents":[0-9]+', '"amount_cents":1.5')
-          else regexp_replace(body, '"timestamp":"([^T]*)T[^"]*"', '"timestamp":"\\1"') end)
+          else regexp_replace(body, '"timestamp":"([^T]*)T[^"]*"', '"timestamp":"\\1"') end)::int
           as body_length from b""",
     "to_envelopes": f"""with {BASE} select {_BODY} as body, 0 as retry_count,
         idempotency_key as message_id from t""",
@@ -369,5 +369,6 @@ ORACLE: dict[str, str] = {
         count(*) >= 200 and count(distinct bank) >= 2 as ready from t""",
     "stream_ingest": f"with {BASE} select {FLAT} from t where amount_cents <> 0",
     "stream_score": f"{DAY_RULES} select idempotency_key, reasons, 'pending' as status from r",
+    "stream_rules_stateful": f"{DAY_RULES} select idempotency_key, account_id, reasons from r",
     "stream_dedupe": f"with {BASE} select idempotency_key, us as occurred_us from t",
 }

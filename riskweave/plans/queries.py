@@ -68,7 +68,7 @@ from riskweave.operators.validate import (
 from riskweave.plans import inputs
 from riskweave.plans.batch import feeds_to_transactions
 from riskweave.schemas import RULE_INPUT, TXN
-from riskweave.session import scratch_path, use_utc
+from riskweave.session import materialize, scratch_path, use_rocksdb_state, use_utc
 from riskweave.sources.envelopes import parse_envelope, to_envelope, unparseable
 from riskweave.sources.feeds import FEEDS, explode_pages, read_feed
 from riskweave.sources.harness import (
@@ -94,6 +94,7 @@ from riskweave.streaming.score import (
     score_pending_stream,
     score_stream,
 )
+from riskweave.streaming.stateful import rules_stateful
 from riskweave.streaming.store import Store, current_flags, read_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -703,7 +704,7 @@ FEW_TREES = 10
 
 
 def _small_model(spark: SparkSession, sf_dir: str):
-    built = build_features(_labelled(spark, sf_dir), settings=inputs.DAY).checkpoint()
+    built = materialize(build_features(_labelled(spark, sf_dir), settings=inputs.DAY), "features")
     path = scratch_path(spark, "model")
     save_model(train(built, trees=FEW_TREES), path)
     return load_model(path)
@@ -811,3 +812,31 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select(
         "idempotency_key", micros(F.col("occurred_at")).alias("occurred_us")
     )
+
+
+@query
+def stream_rules_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules with per-account state; a far-off row of nobody moves the watermark on."""
+    use_rocksdb_state(spark)
+    path, out = scratch_path(spark, "arrivals"), scratch_path(spark, "flagged")
+    txns = event_transactions(spark, sf_dir).select(*RULE_INPUT)
+    txns.write.parquet(path)
+    last = txns.agg(
+        F.lit("nobody:0").alias("idempotency_key"),
+        F.lit("nobody").alias("account_id"),
+        F.lit(1).cast("bigint").alias("amount_cents"),
+        F.lit("").alias("merchant_category"),
+        F.lit(None).cast("string").alias("city"),
+        (F.max("occurred_at") + F.expr("interval 60 days")).alias("occurred_at"),
+    )
+    last.write.mode("append").parquet(path)
+    arrivals = (
+        spark.readStream.schema(txns.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    )
+    _drain(
+        rules_stateful(arrivals, "40 days", inputs.DAY)
+        .writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", scratch_path(spark, "progress"))
+    )
+    return spark.read.parquet(out).select("idempotency_key", "account_id", "reasons")

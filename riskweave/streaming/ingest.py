@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from riskweave.constants import UNMARSHAL_PREFIX
-from riskweave.operators.dedupe import batch_tally, dedupe_against_store
+from riskweave.operators.dedupe import dedupe_against_store
 from riskweave.operators.validate import (
     accepted,
     dead_letters,
@@ -96,18 +96,43 @@ def ingest_batch(
             store.retries,
             batch_id,
         )
-        good = checked.filter(F.col("failure").isNull())
+        # The key column of the store is read once; counting the new rows keeps them.
+        good = accepted(checked.filter(F.col("failure").isNull()))
         stored = read_transactions(spark, store.transactions, ["idempotency_key"])
-        tally = batch_tally(good, stored).unionByName(
+        new = (
+            dedupe_against_store(good, stored, "occurred_at", "body")
+            .select(*TXN.fieldNames())
+            .persist()
+        )
+        tally = outcome_counts(checked, broken, new.count()).unionByName(
             routed.groupBy(F.col("route").alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
         )
         write_batch(tally.select(*TALLY.fieldNames()), store.tally, batch_id, "ignore")
-        new = dedupe_against_store(accepted(good), stored, "occurred_at", "body")
-        write_transactions(new.select(*TXN.fieldNames()), store.transactions, store.buckets)
+        write_transactions(new, store.transactions, store.buckets)
+        new.unpersist()
     finally:
         checked.unpersist()
 
 
+def outcome_counts(checked: DataFrame, broken: Column, accepted_rows: int) -> DataFrame:
+    """Rows per outcome of a checked batch of which ``accepted_rows`` are new."""
+    valid = F.col("error").isNull() & F.col("failure").isNull()
+    n_new = F.lit(accepted_rows).cast("bigint")
+    totals = checked.agg(
+        F.count_if(valid).alias("valid"),
+        F.count_if(F.col("error").isNotNull() & ~broken).alias("invalid"),
+        F.count_if(broken).alias("unparseable"),
+    )
+    found = {
+        "accepted": n_new,
+        "duplicate": F.col("valid") - n_new,
+        "invalid": F.col("invalid"),
+        "unparseable": F.col("unparseable"),
+    }
+    rows = F.array(*[F.struct(F.lit(x).alias("outcome"), n.alias("n")) for x, n in found.items()])
+    return totals.select(F.inline(rows))
+
+
 def ingest_stream(
     messages: DataFrame, store: Store, clock: Clock, handler: Handler | None = None
 ) -> DataStreamWriter:

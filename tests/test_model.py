@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from riskweave.operators.features import build_features
 from riskweave.operators.model import (
+    held_out_metrics,
     load_model,
     predict,
     save_model,
     score_pending,
-    test_metrics as held_out_metrics,
     train,
     train_and_evaluate,
     training_gate,

@@ -192,3 +192,33 @@ def test_duplicate_filter(spark, tmp_path):
         .option("checkpointLocation", str(tmp_path / "progress"))
     )
     assert spark.read.parquet(out).count() == 20
+
+
+def test_stateful_rules_equal_the_batch_rules(spark, tmp_path):
+    """Rows come out of order but within the delay; a last row far ahead moves the watermark."""
+    from conftest import frame, txn
+    from test_rules import random_rows
+
+    import brute
+    from riskweave.streaming.stateful import rules_stateful
+
+    rows = [
+        r if r[1] != "" else (r[0], "acct-hot", *r[2:]) for r in random_rows(300, 11)
+    ]
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    far = [txn("zzz", "nobody", seconds=10 * 86400)]
+    for part in (rows[::3], rows[1::3], rows[2::3], far):
+        frame(spark, part).coalesce(1).write.mode("append").parquet(source)
+    stream = (
+        spark.readStream.schema(frame(spark, far).schema)
+        .option("maxFilesPerTrigger", 1)
+        .parquet(source)
+    )
+    drain(
+        rules_stateful(stream, "2 hours")
+        .writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", str(tmp_path / "progress"))
+    )
+    got = {r["idempotency_key"]: r["reasons"] for r in spark.read.parquet(out).collect()}
+    assert got == brute.flags(rows)
