@@ -151,7 +151,8 @@ def score_pending(
     waiting = pending_for_scoring(flags)
     accounts = waiting.select("account_id").distinct()
     history = semi_join(txns, accounts, "account_id")
-    features = build_features(with_rule_flag_count(history, flags), settings=settings)
+    # A row's flag count is a feature of that row alone, so only waiting flags are joined.
+    features = build_features(with_rule_flag_count(history, waiting), settings=settings)
     unscored = features.join(waiting.select("idempotency_key"), "idempotency_key", "left_semi")
     scores = predict(model, unscored).select("idempotency_key", F.col("ml_score").alias("found"))
     return flags.join(scores, "idempotency_key", "left").select(

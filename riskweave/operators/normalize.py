@@ -89,19 +89,20 @@ def union_feeds(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def feed_counts(fetched: DataFrame, published: DataFrame) -> DataFrame:
-    """Fetched and published rows per bank, with a ``total`` row.
+def feed_counts(checked: DataFrame) -> DataFrame:
+    """Rows fetched and published (those without ``error``) per bank, with a ``total`` row.
 
-    Both inputs are aggregated map-side to one row per bank before the shuffle.
+    One pass, aggregated to one row per bank before the total is formed.
     """
-    marked = fetched.select("bank", F.lit(1).alias("f"), F.lit(0).alias("p")).unionByName(
-        published.select("bank", F.lit(0).alias("f"), F.lit(1).alias("p"))
+    per_bank = checked.groupBy("bank").agg(
+        F.count(F.lit(1)).alias("fetched"),
+        F.count_if(F.col("error").isNull()).alias("published"),
     )
     return (
-        marked.rollup("bank")
+        per_bank.rollup("bank")
         .agg(
-            F.sum("f").cast("bigint").alias("fetched"),
-            F.sum("p").cast("bigint").alias("published"),
+            F.sum("fetched").alias("fetched"),
+            F.sum("published").alias("published"),
             F.grouping("bank").alias("__all"),
         )
         .select(

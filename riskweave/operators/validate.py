@@ -128,8 +128,10 @@ def flag_violations(flags: DataFrame) -> DataFrame:
         "occurred_at missing": F.col("occurred_at").isNull(),
         "status not allowed": ~F.coalesce(F.col("status").isin(*STATUSES), F.lit(False)),
     }
-    found = F.array_compact(F.array(*[F.when(c, F.lit(text)) for text, c in checks.items()]))
-    broken = flags.select("idempotency_key", F.explode(found).alias("violation"))
+    found = F.array(*[F.when(broken, F.lit(text)) for text, broken in checks.items()])
+    broken = flags.select("idempotency_key", F.explode(found).alias("violation")).filter(
+        F.col("violation").isNotNull()
+    )
     duplicated = (
         flags.groupBy("idempotency_key")
         .agg(F.count(F.lit(1)).alias("n"))

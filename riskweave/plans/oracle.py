@@ -245,6 +245,7 @@ ORACLE: dict[str, str] = {
     "to_envelopes": f"""with {BASE} select {_BODY} as body, 0 as retry_count,
         idempotency_key as message_id from t""",
     "stored_transactions": f"with {BASE} select {FLAT} from t",
+    "inserted_transactions": f"with {BASE} select {FLAT} from t",
     "stored_transaction_count": "select count(*) as n from events",
     "verified_columns": "select count(*) as n, 0::bigint as n_city from events",
     "normalize_union": _FEED_FLAT,
@@ -367,6 +368,17 @@ ORACLE: dict[str, str] = {
         {_split('l')}""",
     "training_ready": f"""with {BASE} select count(*) as n_rows, count(distinct bank) as n_labels,
         count(*) >= 200 and count(distinct bank) >= 2 as ready from t""",
+    "held_out_ratios": f"""with {BASE}, p as (select bank = 'attack-sim' as attack, {_SCORE} as s from t),
+        q as (select * from p where s is not null),
+        pos as (select s, count(*) as n from q where attack group by s),
+        neg as (select s, count(*) as n from q where not attack group by s),
+        wins as (select sum(case when pos.s > neg.s then 1.0::double when pos.s = neg.s then 0.5
+          else 0 end * pos.n * neg.n) as w from pos, neg)
+        select count(*) as test_size, count(*) filter (where attack) as test_attack_count,
+          round(count(*) filter (where attack and s >= 0.5) / nullif(count(*) filter (where s >= 0.5), 0)::double, 6) as "precision",
+          round(count(*) filter (where attack and s >= 0.5) / nullif(count(*) filter (where attack), 0)::double, 6) as recall,
+          round(any_value(w) / (count(*) filter (where attack) * count(*) filter (where not attack))::double, 6) as auc
+        from q, wins""",
     "stream_ingest": f"with {BASE} select {FLAT} from t where amount_cents <> 0",
     "stream_score": f"{DAY_RULES} select idempotency_key, reasons, 'pending' as status from r",
     "stream_rules_stateful": f"{DAY_RULES} select idempotency_key, account_id, reasons from r",

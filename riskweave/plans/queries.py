@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.constants import RuleSettings
+from riskweave.constants import DECISION_THRESHOLD, RuleSettings
 from riskweave.functions import (
     amount_dollars,
     dollars_text,
@@ -41,6 +41,7 @@ from riskweave.operators.flags import (
 )
 from riskweave.operators.history import with_history
 from riskweave.operators.model import (
+    held_out_metrics,
     load_model,
     pending_for_scoring,
     save_model,
@@ -53,7 +54,6 @@ from riskweave.operators.normalize import feed_counts, normalize_feed, union_fee
 from riskweave.operators.rules import geo_impossible, mcc_drift, score, velocity, with_distance
 from riskweave.operators.split import chronological_split
 from riskweave.operators.validate import (
-    accepted,
     add_missing_columns,
     dead_letters,
     flag_violations,
@@ -80,6 +80,7 @@ from riskweave.sources.harness import (
 )
 from riskweave.sources.tables import (
     count_transactions,
+    insert_transactions,
     read_flag,
     read_transactions,
     replace_flags,
@@ -213,6 +214,18 @@ def stored_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(read_transactions(spark, path, columns))
 
 
+@query
+def inserted_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two servings of every event inserted into a table that holds them up to the cutoff."""
+    path = scratch_path(spark, "transactions")
+    txns = event_transactions(spark, sf_dir)
+    write_transactions(txns.filter(F.col("occurred_at") < instant(inputs.CUTOFF)), path, BUCKETS)
+    insert_transactions(
+        inputs.served_twice(spark, sf_dir), path, BUCKETS, ("page_no", "pos")
+    )
+    return _flat(read_transactions(spark, path))
+
+
 @query
 def stored_transaction_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "transactions")
@@ -246,8 +259,9 @@ def normalize_half_up(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def feed_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flow = validate(union_feeds(inputs.native_feeds(spark, sf_dir), as_of=_as_of()))
-    return feed_counts(flow, accepted(flow))
+    return feed_counts(
+        validate(union_feeds(inputs.native_feeds(spark, sf_dir), as_of=_as_of()))
+    )
 
 
 @query
@@ -699,6 +713,20 @@ def ml_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train_and_evaluate(_labelled(spark, sf_dir), settings=inputs.DAY).metrics
 
 
+@query
+def held_out_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics on fixed scores, so that they can be checked exactly."""
+    score_of = inputs.fixed_score(F.col("idempotency_key"))
+    rows = (
+        with_label(event_transactions(spark, sf_dir))
+        .select("idempotency_key", "label", score_of.alias("ml_score"))
+        .filter(F.col("ml_score").isNotNull())
+        .withColumn("predicted", (F.col("ml_score") >= DECISION_THRESHOLD).cast("int"))
+    )
+    ratios = ("precision", "recall", "auc")
+    return held_out_metrics(rows).withColumns({c: F.round(c, 6) for c in ratios})
+
+
 # The scoring queries exercise storing and applying a model, not its quality.
 FEW_TREES = 10
 
@@ -731,7 +759,7 @@ PERIODS = (
 
 
 def _clock(batch_id: int) -> datetime:
-    return datetime(2024, 2, 1) + timedelta(minutes=batch_id)
+    return datetime(2024, 2, 1, tzinfo=timezone.utc) + timedelta(minutes=batch_id)
 
 
 def _drain(writer) -> None:

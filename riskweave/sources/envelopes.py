@@ -74,15 +74,11 @@ def parse_envelope(messages: DataFrame, as_of: Column) -> DataFrame:
     def text(name: str) -> Column:
         return text_or_empty(json_text(F.col(f"m.{name}")))
 
-    wrong = F.array_compact(
-        F.array(*[F.when(_wrong_type(name), F.lit(name)) for name in TEXT_FIELDS])
-    )
+    wrong = F.concat_ws(", ", *[F.when(_wrong_type(name), F.lit(name)) for name in TEXT_FIELDS])
     occurred_at = parse_rfc3339(json_text(F.col("m.timestamp")))
     problem = (
         F.when(F.col("m").isNull() | F.col("m.__corrupt").isNotNull(), F.lit("malformed body"))
-        .when(
-            F.size(wrong) > 0, F.concat(F.lit("not a string: "), F.array_join(wrong, ", "))
-        )
+        .when(wrong != "", F.concat(F.lit("not a string: "), wrong))
         .when(occurred_at.isNull(), F.lit(BAD_TIMESTAMP_ERROR))
     )
     return parsed.select(

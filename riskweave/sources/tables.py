@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskweave.operators.dedupe import dedupe_against_store
 from riskweave.operators.flags import FLAG_COLUMNS
 from riskweave.operators.validate import add_missing_columns, require_columns
 from riskweave.schemas import FLAG, QUARANTINE, TXN
@@ -74,6 +75,29 @@ def write_transactions(txns: DataFrame, path: str, buckets: int = DEFAULT_BUCKET
     )
 
 
+def insert_transactions(
+    batch: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS, order: Sequence[str] = ("occurred_at",)
+) -> None:
+    """Append the rows whose key is not stored yet, the first in ``order`` per key."""
+    stored = read_transactions(batch.sparkSession, path, ["idempotency_key"])
+    write_transactions(dedupe_against_store(batch, stored, *order), path, buckets)
+
+
+def save_account_table(txns: DataFrame, name: str, path: str, buckets: int) -> None:
+    """Transactions as a catalog table bucketed and sorted by account.
+
+    The account windows of rules and features read it without a shuffle, so it pays
+    when the whole history is scored repeatedly.
+    """
+    (
+        txns.write.mode("overwrite")
+        .bucketBy(buckets, "account_id")
+        .sortBy("account_id", "occurred_at", "idempotency_key")
+        .option("path", path)
+        .saveAsTable(name)
+    )
+
+
 def count_transactions(txns: DataFrame) -> DataFrame:
     return txns.agg(F.count(F.lit(1)).alias("n"))
 
@@ -127,13 +151,16 @@ def replace_flags(flags: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS) -
     )
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, mode: str = "overwrite") -> None:
+def write_batch(df: DataFrame, path: str, batch_id: int, once: bool = False) -> None:
     """Write the rows of one micro-batch to its own folder.
 
-    ``overwrite`` makes a replay of the batch replace them. ``ignore`` keeps what the
-    first attempt wrote, for rows that a replay can no longer see.
+    A replay of the batch replaces them, or, with ``once``, keeps what a completed
+    first attempt wrote: for rows that a replay can no longer see.
     """
-    df.write.mode(mode).parquet(f"{path}/batch_id={batch_id}")
+    folder = f"{path}/batch_id={batch_id}"
+    if once and _exists(df.sparkSession, f"{folder}/_SUCCESS"):
+        return
+    df.write.mode("overwrite").parquet(folder)
 
 
 def read_batches(

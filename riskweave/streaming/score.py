@@ -31,7 +31,7 @@ from riskweave.sources.tables import (
     write_batch,
 )
 from riskweave.streaming.ingest import Clock
-from riskweave.streaming.store import Store, read_scores, with_scores
+from riskweave.streaming.store import Store
 
 
 def read_transaction_files(
@@ -84,7 +84,7 @@ def score_batch(
     now = F.lit(as_of).cast("timestamp")
     fresh = as_new_flags(changed.filter(F.col("known_reasons").isNull()), now)
     if not fresh.isEmpty():
-        write_batch(fresh.select(*FLAG.fieldNames()), store.new_flags, batch_id, "ignore")
+        write_batch(fresh.select(*FLAG.fieldNames()), store.new_flags, batch_id, once=True)
     stale = touched_buckets(changed, "idempotency_key", store.buckets)
     if stale:
         current = read_flags(spark, store.flags, stale)
@@ -106,21 +106,19 @@ def score_pending_batch(
     model: PipelineModel,
     settings: RuleSettings | None = None,
 ) -> None:
-    """Score the new flags of a micro-batch of the change feed; each flag once."""
+    """Score the new flags of a micro-batch of the change feed.
+
+    The feed names each flag once and a batch is written once, so each flag is scored
+    once. Only the flags' own key buckets and their accounts' buckets are read.
+    """
     if batch.isEmpty():
         return
-    spark = batch.sparkSession
-    flags = read_flags(spark, store.flags)
-    accounts = batch.select("account_id").distinct()
-    mine = semi_join(flags, accounts, "account_id")
-    merged = with_scores(mine, read_scores(spark, store))
-    scored = score_pending(merged, _history_of(batch, store), model, settings=settings)
-    found = (
-        scored.join(read_scores(spark, store), "idempotency_key", "left_anti")
-        .filter(F.col("ml_score").isNotNull())
-        .select("idempotency_key", "ml_score")
-    )
-    write_batch(found, store.scores, batch_id, "ignore")
+    buckets = touched_buckets(batch, "idempotency_key", store.buckets)
+    flags = read_flags(batch.sparkSession, store.flags, buckets)
+    mine = semi_join(flags, batch.select("idempotency_key"), "idempotency_key")
+    scored = score_pending(mine, _history_of(batch, store), model, settings=settings)
+    found = scored.filter(F.col("ml_score").isNotNull()).select("idempotency_key", "ml_score")
+    write_batch(found, store.scores, batch_id, once=True)
 
 
 def read_flag_feed(spark: SparkSession, path: str) -> DataFrame:

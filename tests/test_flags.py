@@ -202,3 +202,30 @@ def test_prefix_reaches_the_scan(spark, tmp_path):
     flags(spark, flag("attack-sim:0")).write.parquet(path)
     df = spark.read.parquet(path).filter(F.col("idempotency_key").startswith("attack-sim:"))
     assert "StringStartsWith" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bucketed_accounts_need_no_shuffle(spark, tmp_path):
+    from riskweave.operators.rules import score
+    from riskweave.sources.tables import save_account_table
+
+    rows = [txn(f"k{i}", f"acct-{i % 9}", seconds=i) for i in range(90)]
+    save_account_table(frame(spark, rows), "by_account", str(tmp_path / "t"), 4)
+    try:
+        fired = score(spark.table("by_account"))
+        plan = fired._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan
+        assert fired.count() == score(frame(spark, rows)).count()
+    finally:
+        spark.sql("DROP TABLE by_account")
+
+
+def test_insert_is_idempotent(spark, tmp_path):
+    from test_ingest import txns
+
+    from riskweave.sources.tables import insert_transactions
+
+    path = str(tmp_path / "t")
+    rows = txns(spark, [("bank-a", str(i), 5, i) for i in range(9)])
+    for _ in range(2):
+        insert_transactions(rows.unionByName(rows), path, 2)
+    assert read_transactions(spark, path).count() == 9

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from conftest import at
 from pyspark.sql import functions as F
@@ -33,7 +33,7 @@ DAY = RuleSettings(window_seconds=86_400)
 
 
 def clock(batch_id):
-    return datetime(2026, 2, 1) + timedelta(seconds=batch_id)
+    return datetime(2026, 2, 1, tzinfo=timezone.utc) + timedelta(seconds=batch_id)
 
 
 def drain(writer):
@@ -86,7 +86,7 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
 
 def test_failed_deliveries_retry_then_die(spark, tmp_path):
     store = Store(str(tmp_path / "store"), 2)
-    start = datetime(2026, 2, 1)
+    start = datetime(2026, 2, 1, tzinfo=timezone.utc)
 
     def handler():
         return F.when(F.col("native_id").endswith("9999"), F.lit("poison"))
@@ -109,7 +109,7 @@ def test_failed_deliveries_retry_then_die(spark, tmp_path):
 
 def test_transient_failure_heals(spark, tmp_path):
     store = Store(str(tmp_path / "store"), 2)
-    start = datetime(2026, 2, 1)
+    start = datetime(2026, 2, 1, tzinfo=timezone.utc)
     batch = to_envelope(txns(spark, [("bank-a", str(i), 5, i) for i in range(4)]))
     ingest_batch(batch, 0, store, start, lambda: F.lit("busy"))
     assert read_transactions(spark, store.transactions).isEmpty()
@@ -222,3 +222,32 @@ def test_stateful_rules_equal_the_batch_rules(spark, tmp_path):
     )
     got = {r["idempotency_key"]: r["reasons"] for r in spark.read.parquet(out).collect()}
     assert got == brute.flags(rows)
+
+
+def test_retry_comes_without_new_messages(spark, tmp_path):
+    import time
+
+    from riskweave.streaming.ingest import with_heartbeat
+
+    source = str(tmp_path / "in")
+    store = Store(str(tmp_path / "store"), 2)
+    to_envelope(txns(spark, [("bank-a", "1", 5, 0)])).write.json(source)
+    seen = []
+
+    def busy_once():
+        seen.append(1)
+        return F.lit("busy") if len(seen) == 1 else F.lit(None).cast("string")
+
+    messages = with_heartbeat(read_message_files(spark, source))
+    writer = ingest_stream(messages, store, lambda _: datetime.now(timezone.utc), busy_once)
+    running = writer.trigger(processingTime="1 second").start()
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline and running.exception() is None:
+            if not read_transactions(spark, store.transactions).isEmpty():
+                break
+            time.sleep(1)
+    finally:
+        running.stop()
+    assert read_transactions(spark, store.transactions).count() == 1
+    assert len(seen) > 1
