@@ -96,7 +96,7 @@ from riskweave.streaming.score import (
     score_stream,
 )
 from riskweave.streaming.stateful import rules_stateful
-from riskweave.streaming.store import Store, current_flags, read_scores
+from riskweave.streaming.store import Store, current_flags, load_history, read_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -782,11 +782,6 @@ def _land_messages(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def _land_transactions(spark: SparkSession, sf_dir: str, store: Store) -> None:
-    txns = event_transactions(spark, sf_dir)
-    write_transactions(txns, store.transactions, store.buckets)
-
-
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message twice through the ingest stream; each is stored once."""
@@ -800,7 +795,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scoring stream over the stored table, then the flag table it leaves."""
     store = Store(scratch_path(spark, "store"), BUCKETS)
-    _land_transactions(spark, sf_dir, store)
+    load_history(event_transactions(spark, sf_dir), store)
     _drain(
         score_stream(
             read_transaction_files(spark, store.transactions), store, _clock, inputs.DAY
@@ -814,7 +809,7 @@ def stream_score_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The classifier stream over the change feed of the scoring stream."""
     model = _small_model(spark, sf_dir)
     store = Store(scratch_path(spark, "store"), BUCKETS)
-    _land_transactions(spark, sf_dir, store)
+    load_history(event_transactions(spark, sf_dir), store)
     source = read_transaction_files(spark, store.transactions)
     _drain(score_stream(source, store, _clock, inputs.DAY))
     feed = read_flag_feed(spark, store.new_flags)

@@ -151,16 +151,56 @@ def replace_flags(flags: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS) -
     )
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, once: bool = False) -> None:
+def write_batch(
+    df: DataFrame, path: str, batch_id: int, once: bool = False, partition: str | None = None
+) -> None:
     """Write the rows of one micro-batch to its own folder.
 
     A replay of the batch replaces them, or, with ``once``, keeps what a completed
-    first attempt wrote: for rows that a replay can no longer see.
+    first attempt wrote: for rows that other streams may already be reading.
     """
     folder = f"{path}/batch_id={batch_id}"
     if once and _exists(df.sparkSession, f"{folder}/_SUCCESS"):
         return
-    df.write.mode("overwrite").parquet(folder)
+    if partition is None:
+        df.write.mode("overwrite").parquet(folder)
+    else:
+        rows = df.hint("rebalance", partition)
+        rows.write.mode("overwrite").partitionBy(partition).parquet(folder)
+
+
+def write_transaction_batch(
+    txns: DataFrame, path: str, batch_id: int, buckets: int = DEFAULT_BUCKETS
+) -> None:
+    """The new rows of one micro-batch, by account bucket."""
+    rows = txns.select(
+        *TXN.fieldNames(), bucket_of(F.col("account_id"), buckets).alias(ACCOUNT_BUCKET)
+    )
+    write_batch(rows, path, batch_id, once=True, partition=ACCOUNT_BUCKET)
+
+
+def write_key_batch(
+    txns: DataFrame, path: str, batch_id: int, buckets: int = DEFAULT_BUCKETS
+) -> None:
+    """The keys of one micro-batch, by key bucket: the index for the duplicate check."""
+    key = F.col("idempotency_key")
+    rows = txns.select(key, bucket_of(key, buckets).alias(KEY_BUCKET))
+    write_batch(rows, path, batch_id, once=True, partition=KEY_BUCKET)
+
+
+def read_keys(
+    spark: SparkSession, path: str, key_buckets: Sequence[int], except_batch: int
+) -> DataFrame:
+    """Keys of other micro-batches in the given buckets; partitions outside are not listed."""
+    schema = T.StructType(
+        [
+            TXN["idempotency_key"],
+            T.StructField("batch_id", T.LongType()),
+            T.StructField(KEY_BUCKET, T.IntegerType()),
+        ]
+    )
+    kept = F.col(KEY_BUCKET).isin(*key_buckets) & (F.col("batch_id") != except_batch)
+    return read_table(spark, path, schema).filter(kept).select("idempotency_key")
 
 
 def read_batches(

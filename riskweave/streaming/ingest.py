@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from riskweave.constants import UNMARSHAL_PREFIX
-from riskweave.operators.dedupe import dedupe_against_store
+from riskweave.operators.dedupe import dedupe_first, not_in_store
 from riskweave.operators.validate import (
     accepted,
     dead_letters,
@@ -21,7 +21,14 @@ from riskweave.operators.validate import (
 )
 from riskweave.schemas import ENVELOPE, TXN
 from riskweave.sources.envelopes import parse_envelope, unparseable
-from riskweave.sources.tables import read_batches, read_transactions, write_batch, write_transactions
+from riskweave.sources.tables import (
+    read_batches,
+    read_keys,
+    touched_buckets,
+    write_batch,
+    write_key_batch,
+    write_transaction_batch,
+)
 from riskweave.streaming.store import RETRY, TALLY, Store
 
 Clock = Callable[[int], datetime]
@@ -80,9 +87,9 @@ def ingest_batch(
     """Store the new transactions of one micro-batch and route the rest.
 
     ``handler`` gives the error of a delivery that may succeed later, or NULL.
-    Per-batch folders come first and are replaced by a replay; the append of
-    transactions comes last and drops keys already stored. Any replay therefore
-    ends in the same tables.
+    Duplicates are looked up in the key buckets the batch falls into, among keys of
+    other batches. Every table keeps the rows of a batch in a folder of its own, so a
+    replay, from whatever point, ends in the same tables.
     """
     spark = batch.sparkSession
     now = F.lit(as_of).cast("timestamp")
@@ -113,19 +120,18 @@ def ingest_batch(
             store.retries,
             batch_id,
         )
-        # The key column of the store is read once; counting the new rows keeps them.
-        good = accepted(checked.filter(F.col("failure").isNull()))
-        stored = read_transactions(spark, store.transactions, ["idempotency_key"])
-        new = (
-            dedupe_against_store(good, stored, "occurred_at", "body")
-            .select(*TXN.fieldNames())
-            .persist()
-        )
+        good = dedupe_first(
+            accepted(checked.filter(F.col("failure").isNull())), "occurred_at", "body"
+        ).select(*TXN.fieldNames())
+        buckets = touched_buckets(good, "idempotency_key", store.buckets)
+        known = read_keys(spark, store.keys, buckets, batch_id)
+        new = not_in_store(good, known).persist()
         tally = outcome_counts(checked, broken, new.count()).unionByName(
             routed.groupBy(F.col("route").alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
         )
-        write_batch(tally.select(*TALLY.fieldNames()), store.tally, batch_id, once=True)
-        write_transactions(new, store.transactions, store.buckets)
+        write_batch(tally.select(*TALLY.fieldNames()), store.tally, batch_id)
+        write_transaction_batch(new, store.transactions, batch_id, store.buckets)
+        write_key_batch(new, store.keys, batch_id, store.buckets)
         new.unpersist()
     finally:
         checked.unpersist()

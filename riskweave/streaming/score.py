@@ -37,8 +37,12 @@ from riskweave.streaming.store import Store
 def read_transaction_files(
     spark: SparkSession, path: str, max_files: int | None = None
 ) -> DataFrame:
-    """Transactions appended to the stored table, as a stream."""
-    reader = spark.readStream.schema(TXN)
+    """Transactions appended to the stored table, as a stream.
+
+    A crashed and repeated ingest batch may replace files this stream has listed; their
+    rows come again in the new files.
+    """
+    reader = spark.readStream.schema(TXN).option("ignoreMissingFiles", "true")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)

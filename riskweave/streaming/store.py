@@ -15,7 +15,14 @@ from pyspark.sql import types as T
 
 from riskweave.operators.flags import FLAG_COLUMNS, review
 from riskweave.schemas import DECISION, FLAG
-from riskweave.sources.tables import DEFAULT_BUCKETS, read_batches, read_flags, read_table
+from riskweave.sources.tables import (
+    DEFAULT_BUCKETS,
+    read_batches,
+    read_flags,
+    read_table,
+    write_key_batch,
+    write_transaction_batch,
+)
 
 RETRY = T.StructType(
     [
@@ -33,6 +40,9 @@ SCORE = T.StructType(
     [T.StructField("idempotency_key", T.StringType()), T.StructField("ml_score", T.DoubleType())]
 )
 
+# Streams number their micro-batches from 0.
+HISTORY_BATCH = -1
+
 
 @dataclass(frozen=True)
 class Store:
@@ -46,6 +56,10 @@ class Store:
     def transactions(self) -> str:
         return self._at("transactions")
 
+    @property
+    def keys(self) -> str:
+        return self._at("keys")
+
     @property
     def quarantine(self) -> str:
         return self._at("quarantine")
@@ -78,6 +92,12 @@ class Store:
         return self._at(f"progress/{name}")
 
 
+def load_history(txns: DataFrame, store: Store) -> None:
+    """Put existing transactions, unique by key, into an empty store before it streams."""
+    write_transaction_batch(txns, store.transactions, HISTORY_BATCH, store.buckets)
+    write_key_batch(txns, store.keys, HISTORY_BATCH, store.buckets)
+
+
 def read_scores(spark: SparkSession, store: Store) -> DataFrame:
     return read_batches(spark, store.scores, SCORE)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
+import pytest
 from conftest import at
 from pyspark.sql import functions as F
 from test_ingest import txns
@@ -14,7 +15,14 @@ from riskweave.operators.rules import score
 from riskweave.schemas import DECISION, FLAG, QUARANTINE
 from riskweave.sources.envelopes import to_envelope
 from riskweave.sources.harness import event_transactions
-from riskweave.sources.tables import read_batches, read_flags, read_transactions, write_transactions
+from riskweave.sources.tables import (
+    read_batches,
+    read_flags,
+    read_keys,
+    read_transactions,
+    touched_buckets,
+    write_transaction_batch,
+)
 from riskweave.streaming.ingest import (
     drop_recent_duplicates,
     ingest_batch,
@@ -27,7 +35,15 @@ from riskweave.streaming.score import (
     score_batch,
     score_stream,
 )
-from riskweave.streaming.store import RETRY, TALLY, Store, current_flags, read_new_flags, record_decisions
+from riskweave.streaming.store import (
+    RETRY,
+    TALLY,
+    Store,
+    current_flags,
+    load_history,
+    read_new_flags,
+    record_decisions,
+)
 
 DAY = RuleSettings(window_seconds=86_400)
 
@@ -84,6 +100,47 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert tables[0][2] == {"accepted": 6, "invalid": 3}
 
 
+def test_replay_from_every_point_of_failure(spark, tmp_path, monkeypatch):
+    """The batch dies before each of its writes in turn and is repeated each time."""
+    from riskweave.streaming import ingest
+
+    store = Store(str(tmp_path / "store"), 2)
+    load_history(txns(spark, [("bank-a", "0", 5, 0)]), store)
+    batch = to_envelope(txns(spark, [("bank-a", str(i), i % 3, i) for i in range(1, 9)] * 2))
+    steps = ("write_batch", "write_transaction_batch", "write_key_batch")
+    for step in steps:
+        for fail_at in (1, 2, 3) if step == "write_batch" else (1,):
+            calls = []
+            real = getattr(ingest, step)
+
+            def dies(*args, calls=calls, real=real, fail_at=fail_at, **kw):
+                calls.append(1)
+                if len(calls) == fail_at:
+                    raise RuntimeError("executor lost")
+                return real(*args, **kw)
+
+            monkeypatch.setattr(ingest, step, dies)
+            with pytest.raises(RuntimeError):
+                ingest_batch(batch, 0, store, clock(0))
+            monkeypatch.undo()
+    for batch_id in (0, 0, 1):
+        ingest_batch(batch, batch_id, store, clock(batch_id))
+    stored = [r["native_id"] for r in read_transactions(spark, store.transactions).collect()]
+    assert sorted(stored) == ["0", "1", "2", "4", "5", "7", "8"]
+    assert tally_of(spark, store) == {"accepted": 6, "duplicate": 6 + 12, "invalid": 8}
+
+
+def test_duplicate_check_reads_only_touched_key_buckets(spark, tmp_path):
+    store = Store(str(tmp_path / "store"), 16)
+    load_history(txns(spark, [("bank-a", str(i), 5, i) for i in range(200)]), store)
+    one = txns(spark, [("bank-a", "7", 5, 7)])
+    buckets = touched_buckets(one, "idempotency_key", store.buckets)
+    known = read_keys(spark, store.keys, buckets, 0)
+    assert 1 <= known.count() < 60
+    assert "PartitionFilters: [isnotnull(" in known._jdf.queryExecution().executedPlan().toString()
+    assert read_keys(spark, store.keys, buckets, -1).isEmpty()
+
+
 def test_failed_deliveries_retry_then_die(spark, tmp_path):
     store = Store(str(tmp_path / "store"), 2)
     start = datetime(2026, 2, 1, tzinfo=timezone.utc)
@@ -121,11 +178,9 @@ def test_scoring_in_micro_batches_equals_one_pass(spark, sf_dir, tmp_path):
     store = Store(str(tmp_path / "store"), 4)
     txn_rows = event_transactions(spark, sf_dir)
     days = F.dayofmonth("occurred_at")
-    source = str(tmp_path / "unused")
-    assert source
     for batch_id, (lo, hi) in enumerate(((1, 10), (11, 20), (21, 31))):
         part = txn_rows.filter(days.between(lo, hi))
-        write_transactions(part, store.transactions, store.buckets)
+        write_transaction_batch(part, store.transactions, batch_id, store.buckets)
         score_batch(part, batch_id, store, clock(batch_id), DAY)
     want = {r["idempotency_key"]: r["reasons"] for r in score(txn_rows, DAY).collect()}
     got = {r["idempotency_key"]: r["reasons"] for r in read_flags(spark, store.flags).collect()}
@@ -148,7 +203,7 @@ def test_late_rows_equal_rescan_and_upsert(spark, sf_dir, tmp_path):
     rescan = spark.createDataFrame([], FLAG)
     for batch_id in range(3):
         part = txn_rows.filter(part_of == batch_id)
-        write_transactions(part, store.transactions, store.buckets)
+        write_transaction_batch(part, store.transactions, batch_id, store.buckets)
         score_batch(part, batch_id, store, clock(batch_id), DAY)
         so_far = txn_rows.filter(part_of <= batch_id)
         now = F.lit(clock(batch_id)).cast("timestamp")
@@ -160,7 +215,7 @@ def test_late_rows_equal_rescan_and_upsert(spark, sf_dir, tmp_path):
 def test_score_stream_and_review(spark, sf_dir, tmp_path):
     store = Store(str(tmp_path / "store"), 4)
     txn_rows = event_transactions(spark, sf_dir)
-    write_transactions(txn_rows, store.transactions, store.buckets)
+    load_history(txn_rows, store)
     source = read_transaction_files(spark, store.transactions, 2)
     drain(score_stream(source, store, clock, DAY))
     flags = current_flags(spark, store)
