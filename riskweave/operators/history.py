@@ -51,15 +51,19 @@ def with_history(
 
 
 def _by_account(df: DataFrame, window_seconds: int, whole_seconds: bool) -> DataFrame:
-    history = W.partitionBy("account_id").orderBy("us", "idempotency_key")
-    category = W.partitionBy("account_id", "merchant_category").orderBy("us", "idempotency_key")
+    columns = df.columns
     if whole_seconds:
-        ticks, reach = F.unix_seconds("occurred_at"), window_seconds
+        # The same order with the frame's own key first, so that one sort serves both.
+        df, reach = df.withColumn("__second", F.unix_seconds("occurred_at")), window_seconds
+        order = ["__second", "us", "idempotency_key"]
     else:
-        ticks, reach = F.col("us"), window_seconds * MICROS
+        reach = window_seconds * MICROS
+        order = ["us", "idempotency_key"]
+    history = W.partitionBy("account_id").orderBy(*order)
+    category = W.partitionBy("account_id", "merchant_category").orderBy(*order)
     # A RANGE frame ends with the row's last peer, so its row count would include
     # later rows of the same instant. Its smallest position does not.
-    recent = W.partitionBy("account_id").orderBy(ticks).rangeBetween(-reach, 0)
+    recent = W.partitionBy("account_id").orderBy(order[0]).rangeBetween(-reach, 0)
     return (
         df.withColumn("position", F.row_number().over(history))
         .withColumn("prev_city", F.lag("city").over(history))
@@ -67,7 +71,7 @@ def _by_account(df: DataFrame, window_seconds: int, whole_seconds: bool) -> Data
         .withColumn("in_window", F.col("position") - F.min("position").over(recent) + 1)
         .withColumn("first_use", F.row_number().over(category) == 1)
         .withColumns({c: F.col(c).cast("bigint") for c in ("position", "in_window")})
-        .select(*df.columns, *HISTORY_COLUMNS)
+        .select(*columns, *HISTORY_COLUMNS)
     )
 
 

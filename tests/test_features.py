@@ -93,3 +93,10 @@ def test_rule_flag_count(spark):
         for r in with_rule_flag_count(txns, flags).collect()
     }
     assert got == {"a": 2, "b": 1, "c": 1, "d": 0}
+
+
+def test_two_sorts_and_one_shuffle(spark):
+    df = frame(spark, [(*txn("a"), 0)], SCHEMA)
+    plan = build_features(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("+- Sort ") == 2
