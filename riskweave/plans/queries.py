@@ -68,7 +68,13 @@ from riskweave.operators.validate import (
 from riskweave.plans import inputs
 from riskweave.plans.batch import feeds_to_transactions
 from riskweave.schemas import RULE_INPUT, TXN
-from riskweave.session import materialize, scratch_path, use_rocksdb_state, use_utc
+from riskweave.session import (
+    materialize,
+    scratch_path,
+    state_partitions,
+    use_rocksdb_state,
+    use_utc,
+)
 from riskweave.sources.envelopes import parse_envelope, to_envelope, unparseable
 from riskweave.sources.feeds import FEEDS, explode_pages, read_feed
 from riskweave.sources.harness import (
@@ -826,12 +832,13 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     served.write.mode("append").parquet(path)
     out = scratch_path(spark, "deduped")
     stream = spark.readStream.schema(served.schema).parquet(path)
-    _drain(
-        drop_recent_duplicates(stream, "occurred_at", "40 days")
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", scratch_path(spark, "progress"))
-    )
+    with state_partitions(spark):
+        _drain(
+            drop_recent_duplicates(stream, "occurred_at", "40 days")
+            .writeStream.format("parquet")
+            .option("path", out)
+            .option("checkpointLocation", scratch_path(spark, "progress"))
+        )
     return spark.read.parquet(out).select(
         "idempotency_key", micros(F.col("occurred_at")).alias("occurred_us")
     )
@@ -856,10 +863,11 @@ def stream_rules_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrivals = (
         spark.readStream.schema(txns.schema).option("maxFilesPerTrigger", 1).parquet(path)
     )
-    _drain(
-        rules_stateful(arrivals, "40 days", inputs.DAY)
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", scratch_path(spark, "progress"))
-    )
+    with state_partitions(spark):
+        _drain(
+            rules_stateful(arrivals, "40 days", inputs.DAY)
+            .writeStream.format("parquet")
+            .option("path", out)
+            .option("checkpointLocation", scratch_path(spark, "progress"))
+        )
     return spark.read.parquet(out).select("idempotency_key", "account_id", "reasons")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,3 +79,19 @@ def use_rocksdb_state(spark: SparkSession) -> SparkSession:
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
     return spark
+
+
+@contextmanager
+def state_partitions(spark: SparkSession) -> Iterator[None]:
+    """No more state partitions than cores for a stateful query started inside.
+
+    Their number is fixed at the first start of a query and cannot be coalesced at
+    run time, and every one has its own store.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
