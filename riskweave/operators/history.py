@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskweave.constants import CHUNK_ROWS, HEAVY_ACCOUNT_ROWS
-from riskweave.operators.skew import CHUNK, before_chunk, range_chunks, split_heavy
+from riskweave.operators.skew import CHUNK, before_chunk, join_short, range_chunks, split_heavy
 
 MICROS = 1_000_000
 HISTORY_COLUMNS = ("position", "in_window", "first_use", "prev_city", "prev_us")
@@ -75,11 +75,11 @@ def _by_account(df: DataFrame, window_seconds: int, whole_seconds: bool) -> Data
     )
 
 
-def _window_start(window_seconds: int, whole_seconds: bool) -> Column:
-    """The earliest microsecond inside the row's window."""
+def _leaves_window(window_seconds: int, whole_seconds: bool) -> Column:
+    """The last microsecond at which a new row still has this row in its window."""
     if whole_seconds:
-        return (F.unix_seconds("occurred_at") - window_seconds) * MICROS
-    return F.col("us") - window_seconds * MICROS
+        return (F.unix_seconds("occurred_at") + window_seconds + 1) * MICROS - 1
+    return F.col("us") + window_seconds * MICROS
 
 
 def _by_range(
@@ -87,46 +87,55 @@ def _by_range(
 ) -> DataFrame:
     """The same columns by sorted chunks; no task holds a whole account.
 
-    Each row is accompanied by a probe placed at the start of its window, ahead of
-    rows of that instant. The running row count at the probe is the number of rows
-    before the window, so the work is linear whatever the density of a burst.
+    Every row enters at its time and leaves when its window ends, after the rows of
+    that instant. Entries minus leaves up to a row are the rows in its window, a
+    running sum that costs the same however dense a burst is. Sums and last rows of a
+    chunk are carried into the chunks after it.
     """
     payload = [c for c in df.columns if c not in ("account_id", "idempotency_key")]
-    row = df.select(
+    enters = df.select(
         "account_id",
         "idempotency_key",
         F.col("us").alias("__at"),
-        F.lit(1).alias("__is_row"),
+        F.lit(0).alias("__leaves"),
         *payload,
     )
-    probe = df.select(
+    leaves = df.select(
         "account_id",
         "idempotency_key",
-        _window_start(window_seconds, whole_seconds).alias("__at"),
-        F.lit(0).alias("__is_row"),
+        _leaves_window(window_seconds, whole_seconds).alias("__at"),
+        F.lit(1).alias("__leaves"),
     )
-    order = ["account_id", "__at", "__is_row", "idempotency_key"]
+    sweep = ["__at", "__leaves", "idempotency_key"]
     chunks = range_chunks(
-        row.unionByName(probe, allowMissingColumns=True), order, 2 * rows, chunk_rows
+        enters.unionByName(leaves, allowMissingColumns=True),
+        ["account_id", *sweep],
+        2 * rows,
+        chunk_rows,
     )
+    is_row = F.col("__leaves") == 0
+    entered = F.lit(1) - F.col("__leaves")
+    inside = F.lit(1) - 2 * F.col("__leaves")
+    row = F.when(is_row, F.struct(*sweep, "city"))
 
-    # Summaries: one row per account and chunk, a few per chunk in all.
-    is_row = F.col("__is_row") == 1
-    tail = F.max(F.when(is_row, F.struct("__at", "idempotency_key", "city")))
+    # One row per account and chunk, a few per chunk in all.
+    before = before_chunk("account_id")
     carried = (
         chunks.groupBy("account_id", CHUNK)
-        .agg(F.sum("__is_row").alias("n"), tail.alias("tail"))
-        .withColumn("rows_before", F.sum("n").over(before_chunk("account_id")))
-        .withColumn("tail_before", F.last("tail", True).over(before_chunk("account_id")))
+        .agg(
+            F.sum(entered).alias("entered"),
+            F.sum(inside).alias("inside"),
+            F.max(row).alias("tail"),
+        )
         .select(
             "account_id",
             CHUNK,
-            F.coalesce("rows_before", F.lit(0)).alias("rows_before"),
-            "tail_before",
+            F.coalesce(F.sum("entered").over(before), F.lit(0)).alias("entered_before"),
+            F.coalesce(F.sum("inside").over(before), F.lit(0)).alias("inside_before"),
+            F.last("tail", True).over(before).alias("tail_before"),
         )
     )
-    # First use of a category: partial minimum per (account, category) before the
-    # shuffle, then one marker per winner.
+    # The first row of each (account, category), from partial minima before the shuffle.
     first_use = (
         chunks.filter(is_row)
         .groupBy("account_id", "merchant_category")
@@ -134,31 +143,22 @@ def _by_range(
         .select(F.col("first.idempotency_key"), F.lit(True).alias("first_use"))
     )
 
-    within = W.partitionBy("account_id", CHUNK).orderBy("__at", "__is_row", "idempotency_key")
+    within = W.partitionBy("account_id", CHUNK).orderBy(*sweep)
     so_far = within.rowsBetween(W.unboundedPreceding, W.currentRow)
     earlier = within.rowsBetween(W.unboundedPreceding, -1)
-    here = F.when(is_row, F.struct("__at", "idempotency_key", "city"))
     placed = (
-        chunks.withColumn("rows_here", F.sum("__is_row").over(so_far))
-        .withColumn("previous_here", F.last(here, True).over(earlier))
+        chunks.withColumn("entered_here", F.sum(entered).over(so_far))
+        .withColumn("inside_here", F.sum(inside).over(so_far))
+        .withColumn("previous_here", F.last(row, True).over(earlier))
+        .filter(is_row)
         .join(carried, ["account_id", CHUNK])
-        .withColumn("rows_up_to", F.col("rows_before") + F.col("rows_here"))
         .withColumn("previous", F.coalesce("previous_here", "tail_before"))
     )
-    # A row and its probe share the key and meet again in one pair.
-    probe_count = F.max(F.when(~is_row, F.col("rows_up_to")))
-    return (
-        placed.withColumn(
-            "before_window", probe_count.over(W.partitionBy("idempotency_key"))
-        )
-        .filter(is_row)
-        .join(first_use, "idempotency_key", "left")
-        .select(
-            *df.columns,
-            F.col("rows_up_to").alias("position"),
-            (F.col("rows_up_to") - F.col("before_window")).alias("in_window"),
-            F.coalesce("first_use", F.lit(False)).alias("first_use"),
-            F.col("previous.city").alias("prev_city"),
-            F.col("previous.__at").alias("prev_us"),
-        )
+    return join_short(placed, first_use, "idempotency_key").select(
+        *df.columns,
+        (F.col("entered_before") + F.col("entered_here")).alias("position"),
+        (F.col("inside_before") + F.col("inside_here")).alias("in_window"),
+        F.coalesce("first_use", F.lit(False)).alias("first_use"),
+        F.col("previous.city").alias("prev_city"),
+        F.col("previous.__at").alias("prev_us"),
     )
