@@ -62,6 +62,7 @@ ZERO_AMOUNT_ERROR = "schema: transaction %s has zero amount"
 UNMARSHAL_PREFIX = "unmarshal error: "
 GAVE_UP_TEXT = "gave up after %d retries: %s"
 BAD_TIMESTAMP_ERROR = "bad timestamp"
+BAD_AMOUNT_ERROR = "amount out of range"
 
 REASON_SEPARATOR = "\n"
 REASON_DISPLAY_SEPARATOR = " · "

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.constants import BAD_TIMESTAMP_ERROR, CURRENCY
+from riskweave.constants import BAD_AMOUNT_ERROR, BAD_TIMESTAMP_ERROR, CURRENCY
 from riskweave.functions import (
     dollars_to_cents,
     idempotency_key,
@@ -16,7 +16,7 @@ from riskweave.functions import (
     parse_rfc3339,
     text_or_empty,
 )
-from riskweave.sources.feeds import FEEDS, Feed
+from riskweave.sources.feeds import FEEDS, MISFIT, Feed
 
 ORDER_COLUMNS = ("page_no", "pos")
 
@@ -37,7 +37,8 @@ def normalize_feed(
 
     Missing or non-text strings become ``''`` and a missing or non-numeric amount
     0, which validation rejects later. A bad timestamp sets ``error``, or aborts
-    the job when ``on_error`` is ``fail``.
+    the job when ``on_error`` is ``fail``; an amount out of range sets ``error``.
+    ``raw`` is the native row, in its original text if it did not fit the schema.
     """
     if on_error not in ("quarantine", "fail"):
         raise ValueError(f"on_error must be 'quarantine' or 'fail', not {on_error!r}")
@@ -45,15 +46,19 @@ def normalize_feed(
     if feed.amount_in_dollars:
         cents = dollars_to_cents(amount, rounding)
     else:
-        cents = amount.cast("bigint")
+        cents = amount.try_cast("bigint")
     occurred_at = parse_rfc3339(json_text(F.col(feed.occurred_at)))
     error = F.when(occurred_at.isNull(), F.lit(BAD_TIMESTAMP_ERROR))
     if on_error == "fail":
         error = F.when(
             occurred_at.isNull(), F.raise_error(F.lit(f"{feed.bank}: {BAD_TIMESTAMP_ERROR}"))
         ).cast("string")
+    error = F.coalesce(error, F.when(cents.isNull(), F.lit(BAD_AMOUNT_ERROR)))
     native_id = _text(feed.native_id)
     native_columns = [*feed.text_fields, feed.amount, *feed.extra]
+    raw = F.to_json(F.struct(*native_columns))
+    if MISFIT in native.columns:
+        raw = F.coalesce(F.col(MISFIT), raw)
     return native.select(
         *[c for c in ORDER_COLUMNS if c in native.columns],
         idempotency_key(F.lit(feed.bank), native_id).alias("idempotency_key"),
@@ -67,7 +72,7 @@ def normalize_feed(
         _text(feed.city).alias("city"),
         occurred_at.alias("occurred_at"),
         as_of.cast("timestamp").alias("ingested_at"),
-        F.to_json(F.struct(*native_columns)).alias("raw"),
+        raw.alias("raw"),
         error.alias("error"),
     )
 

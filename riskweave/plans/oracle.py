@@ -228,6 +228,10 @@ ORACLE: dict[str, str] = {
         union all select (event_id + 1) // {PAGE_ROWS} from events
           where (event_id + 1) // {PAGE_ROWS} <> event_id // {PAGE_ROWS})
         select page_no, count(*) as n, count(*) - 1 as last_pos from p group by page_no""",
+    "pages_unreadable": f"""select 'bank-a:page-' || p as message_id, 0 as retry_count,
+        '{UNMARSHAL_PREFIX}malformed page' as reason
+        from (select distinct event_id // {PAGE_ROWS} as p from events union
+          select (event_id + 1) // {PAGE_ROWS} from events)""",
     "parse_envelopes": f"""with {BASE},{DAMAGED} select idempotency_key as message_id,
         '{UNMARSHAL_PREFIX}' || problem as error,
         case when problem is null then idempotency_key end as idempotency_key,

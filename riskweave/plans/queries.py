@@ -76,7 +76,7 @@ from riskweave.session import (
     use_utc,
 )
 from riskweave.sources.envelopes import parse_envelope, to_envelope, unparseable
-from riskweave.sources.feeds import FEEDS, explode_pages, read_feed
+from riskweave.sources.feeds import FEEDS, explode_pages, read_feed, unreadable_pages
 from riskweave.sources.harness import (
     INGESTED_AT,
     event_transactions,
@@ -176,6 +176,15 @@ def explode_landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(dedupe_feed(normalize_feed(records, feed, as_of=_as_of())))
 
 
+@query
+def pages_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page once whole and once cut off before its end."""
+    pages = inputs.landed_pages(spark, sf_dir)
+    cut = pages.withColumn("body", F.substring("body", F.lit(1), F.length("body") - 10))
+    found = unreadable_pages(pages.unionByName(cut), FEEDS["bank-a"])
+    return found.select("message_id", "retry_count", "reason")
+
+
 @query
 def page_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records as served, overlap included."""

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskweave.constants import UNMARSHAL_PREFIX
 from riskweave.functions import parsed_once
 
 
@@ -86,20 +87,58 @@ FEEDS: dict[str, Feed] = {
 }
 
 
+# Holds the original text of a record that does not fit the schema.
+MISFIT = "__misfit"
+_KEEP_MISFIT = {"columnNameOfCorruptRecord": MISFIT}
+
+
+def _line_schema(feed: Feed) -> T.StructType:
+    return T.StructType([*feed.schema.fields, T.StructField(MISFIT, T.StringType())])
+
+
 def read_feed(spark: SparkSession, path: str, feed: Feed, *, array_file: bool = False) -> DataFrame:
     """Native rows of one feed.
 
     Newline-delimited JSON is splittable and the default; ``array_file`` reads one
     JSON array per file, which Spark can only read with one task per file.
     """
-    return spark.read.schema(feed.schema).json(path, multiLine=array_file)
+    reader = spark.read.schema(_line_schema(feed)).options(**_KEEP_MISFIT)
+    return reader.json(path, multiLine=array_file)
 
 
 def parse_records(df: DataFrame, feed: Feed, body: str = "body") -> DataFrame:
     """Native rows from a column of JSON record texts, other columns kept."""
     kept = [c for c in df.columns if c != body]
-    parsed = parsed_once(F.from_json(F.col(body), feed.schema)).alias("__record")
-    return df.select(*kept, parsed).select(*kept, "__record.*")
+    parsed = F.from_json(F.col(body), _line_schema(feed), _KEEP_MISFIT)
+    return df.select(*kept, parsed_once(parsed).alias("__record")).select(*kept, "__record.*")
+
+
+def _page_schema(feed: Feed) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField("transactions", T.ArrayType(feed.schema)),
+            T.StructField("next_cursor", T.StringType()),
+            T.StructField(MISFIT, T.StringType()),
+        ]
+    )
+
+
+def unreadable_pages(pages: DataFrame, feed: Feed) -> DataFrame:
+    """Pages without a readable list of records, as quarantine rows.
+
+    Such a page gives no record, so a delivery is complete only if there are none.
+    """
+    page = parsed_once(F.from_json("body", _page_schema(feed), _KEEP_MISFIT)).alias("page")
+    return (
+        pages.select("page_no", "body", page)
+        .filter(F.col("page.transactions").isNull())
+        .select(
+            "body",
+            F.concat(F.lit(f"{feed.bank}:page-"), F.col("page_no")).alias("message_id"),
+            F.lit(0).alias("retry_count"),
+            F.lit(UNMARSHAL_PREFIX + "malformed page").alias("reason"),
+        )
+    )
 
 
 def explode_pages(pages: DataFrame, feed: Feed) -> DataFrame:
@@ -109,13 +148,7 @@ def explode_pages(pages: DataFrame, feed: Feed) -> DataFrame:
     ``pos`` keep the order in which the records were served, which the feed
     deduplication needs. An empty page gives no row.
     """
-    page = T.StructType(
-        [
-            T.StructField("transactions", T.ArrayType(feed.schema)),
-            T.StructField("next_cursor", T.StringType()),
-        ]
-    )
-    records = pages.select("page_no", F.from_json("body", page).alias("page")).select(
+    records = pages.select("page_no", F.from_json("body", _page_schema(feed)).alias("page")).select(
         "page_no", F.posexplode("page.transactions").alias("pos", "record")
     )
     return records.select("page_no", "pos", "record.*")

@@ -30,7 +30,14 @@ from riskweave.operators.validate import (
     validate,
 )
 from riskweave.sources.envelopes import parse_envelope, to_envelope, unparseable
-from riskweave.sources.feeds import FEEDS, Feed, explode_pages, parse_records, read_feed
+from riskweave.sources.feeds import (
+    FEEDS,
+    Feed,
+    explode_pages,
+    parse_records,
+    read_feed,
+    unreadable_pages,
+)
 
 def now():
     return F.lit("2026-02-01 00:00:00").cast("timestamp")
@@ -300,3 +307,28 @@ def test_flag_violations(spark):
         (None, "occurred_at missing"),
         (None, "status not allowed"),
     }
+
+
+def test_amounts_out_of_range_are_quarantined(spark):
+    rows = normal(spark, [record(0, amount=1e300), record(1)]).collect()
+    assert {r["native_id"]: r["error"] for r in rows} == {
+        "txn-00000": "amount out of range",
+        "txn-00001": None,
+    }
+
+
+def test_misfit_records_keep_their_text(spark, tmp_path):
+    lines = ["{bad", json.dumps(record(amount="12")), json.dumps(record())]
+    path = tmp_path / "lines.json"
+    path.write_text("\n".join(lines))
+    for df in (native(spark, lines), read_feed(spark, str(path), A)):
+        rows = rejected(validate(normalize_feed(df, A, as_of=now()))).collect()
+        assert sorted(r["body"] for r in rows) == sorted(lines[:2])
+
+
+def test_unreadable_pages_are_reported(spark):
+    good = json.dumps({"transactions": [record()], "next_cursor": ""})
+    pages = spark.createDataFrame([(0, good), (1, good[:-9]), (2, "")], "page_no int, body string")
+    found = unreadable_pages(pages, A).collect()
+    assert sorted(r["message_id"] for r in found) == ["bank-a:page-1", "bank-a:page-2"]
+    assert explode_pages(pages, A).count() == 1
