@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from riskweave.constants import BAD_TIMESTAMP_ERROR, UNMARSHAL_PREFIX
 from riskweave.functions import (
     idempotency_key,
-    json_text,
     parse_rfc3339,
     parsed_once,
     rfc3339_text,
@@ -27,9 +26,13 @@ TEXT_FIELDS = (
     "timestamp",
 )
 BODY_SCHEMA = (
-    ", ".join(f"`{name}` VARIANT" for name in TEXT_FIELDS)
-    + ", `amount_cents` BIGINT, `raw` VARIANT, `__corrupt` STRING"
+    ", ".join(f"`{name}` STRING" for name in TEXT_FIELDS)
+    + ", `amount_cents` BIGINT, `raw` STRING, `__corrupt` STRING"
 )
+TYPED_SCHEMA = ", ".join(f"`{name}` VARIANT" for name in TEXT_FIELDS)
+# A text field's name followed by something that is neither a string nor null. Quotes
+# inside JSON strings are escaped, so only a nested object can match without need.
+SUSPECT = rf'"({"|".join(TEXT_FIELDS)})"\s*:\s*(?!null\b)[^"\s]'
 
 
 def to_envelope(txns: DataFrame) -> DataFrame:
@@ -55,10 +58,16 @@ def to_envelope(txns: DataFrame) -> DataFrame:
     )
 
 
-def _wrong_type(name: str) -> Column:
-    """The field is present, not null, and not a JSON string."""
-    kind = F.schema_of_variant(F.col(f"m.{name}"))
-    return kind.isNotNull() & ~kind.isin("STRING", "VOID")
+def _wrong_types(body: Column) -> Column:
+    """Names of the text fields that are present but neither a JSON string nor null.
+
+    Parsing keeps a number in a text field as text. Bodies that may have one are rare
+    and found by a pattern; only those are parsed again with their types.
+    """
+    typed = F.from_json(body, TYPED_SCHEMA)
+    kinds = [(name, F.schema_of_variant(typed[name])) for name in TEXT_FIELDS]
+    wrong = [F.when(~kind.isin("STRING", "VOID"), F.lit(name)) for name, kind in kinds]
+    return F.when(body.rlike(SUSPECT), F.concat_ws(", ", *wrong)).otherwise(F.lit(""))
 
 
 def parse_envelope(messages: DataFrame, as_of: Column) -> DataFrame:
@@ -72,10 +81,10 @@ def parse_envelope(messages: DataFrame, as_of: Column) -> DataFrame:
     parsed = messages.select("body", "message_id", "retry_count", parsed_once(m).alias("m"))
 
     def text(name: str) -> Column:
-        return text_or_empty(json_text(F.col(f"m.{name}")))
+        return text_or_empty(F.col(f"m.{name}"))
 
-    wrong = F.concat_ws(", ", *[F.when(_wrong_type(name), F.lit(name)) for name in TEXT_FIELDS])
-    occurred_at = parse_rfc3339(json_text(F.col("m.timestamp")))
+    wrong = _wrong_types(F.col("body"))
+    occurred_at = parse_rfc3339(F.col("m.timestamp"))
     problem = (
         F.when(F.col("m").isNull() | F.col("m.__corrupt").isNotNull(), F.lit("malformed body"))
         .when(wrong != "", F.concat(F.lit("not a string: "), wrong))
@@ -91,7 +100,7 @@ def parse_envelope(messages: DataFrame, as_of: Column) -> DataFrame:
         ],
         occurred_at.alias("occurred_at"),
         as_of.cast("timestamp").alias("ingested_at"),
-        F.when(F.col("m.raw").isNotNull(), F.to_json("m.raw")).alias("raw"),
+        F.col("m.raw").alias("raw"),
         "body",
         "message_id",
         "retry_count",

@@ -332,3 +332,19 @@ def test_unreadable_pages_are_reported(spark):
     found = unreadable_pages(pages, A).collect()
     assert sorted(r["message_id"] for r in found) == ["bank-a:page-1", "bank-a:page-2"]
     assert explode_pages(pages, A).count() == 1
+
+
+def test_nested_fields_do_not_count_as_wrong_types(spark):
+    body = json.dumps(
+        {
+            "bank": "b",
+            "native_id": "1",
+            "merchant_name": 'odd "bank":5 name',
+            "timestamp": "2026-01-01T09:00:00Z",
+            "raw": {"city": 5, "bank": None},
+        }
+    )
+    df = spark.createDataFrame([(body, 0, "m")], "body string, retry_count int, message_id string")
+    row = parse_envelope(df, now()).first()
+    assert row["error"] is None and row["merchant_name"] == 'odd "bank":5 name'
+    assert json.loads(row["raw"]) == {"city": 5, "bank": None}
