@@ -269,14 +269,16 @@ def test_stateful_rules_equal_the_batch_rules(spark, tmp_path):
         .option("maxFilesPerTrigger", 1)
         .parquet(source)
     )
+    heavy = spark.createDataFrame([("acct-3",)], "account_id string")
     drain(
-        rules_stateful(stream, "2 hours")
+        rules_stateful(stream, "2 hours", heavy_accounts=heavy)
         .writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", str(tmp_path / "progress"))
     )
     got = {r["idempotency_key"]: r["reasons"] for r in spark.read.parquet(out).collect()}
-    assert got == brute.flags(rows)
+    assert got == brute.flags([r for r in rows if r[1] != "acct-3"])
+    assert got != brute.flags(rows)
 
 
 def test_retry_comes_without_new_messages(spark, tmp_path):
