@@ -23,8 +23,8 @@ from riskweave.schemas import FLAG
 FLAG_COLUMNS = tuple(FLAG.fieldNames())
 
 
-def as_new_flags(scored: DataFrame, as_of: Column) -> DataFrame:
-    """Scored rows as fresh ``pending`` flags."""
+def as_new_flags(scored: DataFrame, as_of: Column, *more: str) -> DataFrame:
+    """Scored rows as fresh ``pending`` flags, with ``more`` of their columns."""
     now = as_of.cast("timestamp")
     return scored.select(
         "idempotency_key",
@@ -37,6 +37,7 @@ def as_new_flags(scored: DataFrame, as_of: Column) -> DataFrame:
         F.lit(None).cast("double").alias("ml_score"),
         now.alias("created_at"),
         now.alias("updated_at"),
+        *more,
     )
 
 

@@ -827,7 +827,7 @@ def stream_score_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     load_history(event_transactions(spark, sf_dir), store)
     source = read_transaction_files(spark, store.transactions)
     _drain(score_stream(source, store, _clock, inputs.DAY))
-    feed = read_flag_feed(spark, store.new_flags)
+    feed = read_flag_feed(spark, store.flags)
     _drain(score_pending_stream(feed, store, model, inputs.DAY))
     return read_scores(spark, store)
 

@@ -7,7 +7,6 @@ from datetime import datetime
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from riskweave.constants import RuleSettings
@@ -16,22 +15,21 @@ from riskweave.operators.flags import (
     as_new_flags,
     review_queue,
     status_counts,
-    upsert_flags,
 )
 from riskweave.operators.model import score_pending
 from riskweave.operators.rules import score
 from riskweave.operators.skew import semi_join
-from riskweave.schemas import FLAG, RULE_INPUT, TXN
+from riskweave.schemas import RULE_INPUT, TXN
 from riskweave.session import checkpoint_dir
 from riskweave.sources.tables import (
-    read_flags,
+    KEY_BUCKET,
+    bucket_of,
     read_transactions,
-    replace_flags,
     touched_buckets,
     write_batch,
 )
 from riskweave.streaming.ingest import Clock
-from riskweave.streaming.store import Store
+from riskweave.streaming.store import FLAG_LOG, Store, stored_flags
 
 
 def read_transaction_files(
@@ -62,12 +60,12 @@ def score_batch(
     as_of: datetime,
     settings: RuleSettings | None = None,
 ) -> None:
-    """Re-score the accounts a micro-batch touches and upsert what changed.
+    """Re-score the accounts a micro-batch touches and log what changed.
 
-    The rules look at one account at a time, so this gives the answer of a full
-    rescan. Only rows that are new or whose reasons changed are written, and only
-    the key buckets they fall into are replaced. The change feed is written before
-    the flags: a replay that already finds the flags stored keeps the first feed.
+    The rules look at one account at a time, so this gives the answer of a full rescan
+    and upsert. Only rows that are new or whose reasons changed are written. Known
+    flags are read from the touched key buckets, without the batch's own rows, so a
+    replay finds the same changes.
     """
     if batch.isEmpty():
         return
@@ -75,24 +73,23 @@ def score_batch(
     checkpoint_dir(spark)
     scored = score(_history_of(batch, store).select(*RULE_INPUT), settings).checkpoint()
     buckets = touched_buckets(scored, "idempotency_key", store.buckets)
-    if not buckets:
-        return
-    known = read_flags(spark, store.flags, buckets).select(
-        "idempotency_key", F.col("reasons").alias("known_reasons")
+    known = stored_flags(spark, store, buckets, batch_id).select(
+        "idempotency_key",
+        F.col("reasons").alias("known_reasons"),
+        F.col("created_at").alias("known_since"),
     )
-    changed = (
-        scored.join(known, "idempotency_key", "left")
-        .filter(~F.col("known_reasons").eqNullSafe(F.col("reasons")))
-        .checkpoint()
+    changed = scored.join(known, "idempotency_key", "left").filter(
+        ~F.col("known_reasons").eqNullSafe(F.col("reasons"))
     )
     now = F.lit(as_of).cast("timestamp")
-    fresh = as_new_flags(changed.filter(F.col("known_reasons").isNull()), now)
-    if not fresh.isEmpty():
-        write_batch(fresh.select(*FLAG.fieldNames()), store.new_flags, batch_id, once=True)
-    stale = touched_buckets(changed, "idempotency_key", store.buckets)
-    if stale:
-        current = read_flags(spark, store.flags, stale)
-        replace_flags(upsert_flags(current, changed, now), store.flags, store.buckets)
+    rows = (
+        as_new_flags(changed, now, "known_since")
+        .withColumn("created_at", F.coalesce("known_since", "created_at"))
+        .withColumn("is_new", F.col("known_since").isNull())
+        .withColumn(KEY_BUCKET, bucket_of(F.col("idempotency_key"), store.buckets))
+        .drop("known_since")
+    )
+    write_batch(rows, store.flags, batch_id, once=True, partition=KEY_BUCKET)
 
 
 def score_stream(
@@ -118,7 +115,7 @@ def score_pending_batch(
     if batch.isEmpty():
         return
     buckets = touched_buckets(batch, "idempotency_key", store.buckets)
-    flags = read_flags(batch.sparkSession, store.flags, buckets)
+    flags = stored_flags(batch.sparkSession, store, buckets)
     mine = semi_join(flags, batch.select("idempotency_key"), "idempotency_key")
     scored = score_pending(mine, _history_of(batch, store), model, settings=settings)
     found = scored.filter(F.col("ml_score").isNotNull()).select("idempotency_key", "ml_score")
@@ -126,9 +123,9 @@ def score_pending_batch(
 
 
 def read_flag_feed(spark: SparkSession, path: str) -> DataFrame:
-    """The change feed as a stream."""
-    schema = T.StructType([*FLAG.fields, T.StructField("batch_id", T.LongType())])
-    return spark.readStream.schema(schema).parquet(path)
+    """The change feed as a stream: the new rows of the flag log."""
+    reader = spark.readStream.schema(FLAG_LOG).option("ignoreMissingFiles", "true")
+    return reader.parquet(path).filter("is_new")
 
 
 def score_pending_stream(

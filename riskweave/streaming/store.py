@@ -2,23 +2,28 @@
 
 The scoring stream owns the flags, the classifier stream the scores, and reviewers
 append decisions; ``current_flags`` merges the three when they are read. So no two
-writers ever replace the same files.
+writers ever touch the same files.
+
+Flags are kept as a log: a micro-batch adds the rows that are new or have new reasons,
+and the last row of a key is its flag. Nothing is rewritten, whatever the table's size.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskweave.operators.dedupe import dedupe_first
 from riskweave.operators.flags import FLAG_COLUMNS, review
 from riskweave.schemas import DECISION, FLAG
 from riskweave.sources.tables import (
     DEFAULT_BUCKETS,
+    KEY_BUCKET,
     read_batches,
-    read_flags,
     read_table,
     write_key_batch,
     write_transaction_batch,
@@ -36,6 +41,15 @@ RETRY = T.StructType(
 TALLY = T.StructType(
     [T.StructField("outcome", T.StringType()), T.StructField("n", T.LongType())]
 )
+# A flag as of one micro-batch, and whether its key appeared for the first time.
+FLAG_LOG = T.StructType(
+    [
+        *FLAG.fields,
+        T.StructField("is_new", T.BooleanType()),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField(KEY_BUCKET, T.IntegerType()),
+    ]
+)
 SCORE = T.StructType(
     [T.StructField("idempotency_key", T.StringType()), T.StructField("ml_score", T.DoubleType())]
 )
@@ -76,10 +90,6 @@ class Store:
     def flags(self) -> str:
         return self._at("flags")
 
-    @property
-    def new_flags(self) -> str:
-        return self._at("new_flags")
-
     @property
     def scores(self) -> str:
         return self._at("scores")
@@ -102,8 +112,24 @@ def read_scores(spark: SparkSession, store: Store) -> DataFrame:
     return read_batches(spark, store.scores, SCORE)
 
 
+def stored_flags(
+    spark: SparkSession,
+    store: Store,
+    key_buckets: Sequence[int] | None = None,
+    except_batch: int | None = None,
+) -> DataFrame:
+    """The last logged row of every key, without scores and decisions."""
+    log = read_table(spark, store.flags, FLAG_LOG)
+    if key_buckets is not None:
+        log = log.filter(F.col(KEY_BUCKET).isin(*key_buckets))
+    if except_batch is not None:
+        log = log.filter(F.col("batch_id") != except_batch)
+    return dedupe_first(log, F.desc("batch_id")).select(*FLAG_COLUMNS)
+
+
 def read_new_flags(spark: SparkSession, store: Store) -> DataFrame:
-    return read_batches(spark, store.new_flags, FLAG)
+    """The change feed: every flag as it was when its key first appeared."""
+    return read_table(spark, store.flags, FLAG_LOG).filter("is_new").select(*FLAG_COLUMNS)
 
 
 def record_decisions(decisions: DataFrame, store: Store) -> None:
@@ -127,5 +153,5 @@ def with_scores(flags: DataFrame, scores: DataFrame) -> DataFrame:
 
 def current_flags(spark: SparkSession, store: Store) -> DataFrame:
     """The flag table as reviewers see it: flags, their scores, their latest decisions."""
-    scored = with_scores(read_flags(spark, store.flags), read_scores(spark, store))
+    scored = with_scores(stored_flags(spark, store), read_scores(spark, store))
     return review(scored, _decisions(spark, store))
