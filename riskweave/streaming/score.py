@@ -46,11 +46,11 @@ def read_transaction_files(
     return reader.parquet(path)
 
 
-def _history_of(batch: DataFrame, store: Store) -> DataFrame:
-    """Stored rows of the accounts in ``batch``; only their account buckets are read."""
-    buckets = touched_buckets(batch, "account_id", store.buckets)
-    history = read_transactions(batch.sparkSession, store.transactions, None, buckets)
-    return semi_join(history, batch.select("account_id").distinct(), "account_id")
+def _history_of(accounts: DataFrame, store: Store) -> DataFrame:
+    """Stored rows of the given accounts; only their account buckets are read."""
+    buckets = touched_buckets(accounts, "account_id", store.buckets)
+    history = read_transactions(accounts.sparkSession, store.transactions, None, buckets)
+    return semi_join(history, accounts, "account_id")
 
 
 def score_batch(
@@ -67,11 +67,13 @@ def score_batch(
     flags are read from the touched key buckets, without the batch's own rows, so a
     replay finds the same changes.
     """
-    if batch.isEmpty():
-        return
     spark = batch.sparkSession
     checkpoint_dir(spark)
-    scored = score(_history_of(batch, store).select(*RULE_INPUT), settings).checkpoint()
+    # The micro-batch is read once, for its accounts.
+    accounts = batch.select("account_id").distinct().checkpoint()
+    if accounts.isEmpty():
+        return
+    scored = score(_history_of(accounts, store).select(*RULE_INPUT), settings).checkpoint()
     buckets = touched_buckets(scored, "idempotency_key", store.buckets)
     known = stored_flags(spark, store, buckets, batch_id).select(
         "idempotency_key",
@@ -112,12 +114,15 @@ def score_pending_batch(
     The feed names each flag once and a batch is written once, so each flag is scored
     once. Only the flags' own key buckets and their accounts' buckets are read.
     """
-    if batch.isEmpty():
+    checkpoint_dir(batch.sparkSession)
+    named = batch.select("idempotency_key", "account_id").checkpoint()
+    if named.isEmpty():
         return
-    buckets = touched_buckets(batch, "idempotency_key", store.buckets)
+    buckets = touched_buckets(named, "idempotency_key", store.buckets)
     flags = stored_flags(batch.sparkSession, store, buckets)
-    mine = semi_join(flags, batch.select("idempotency_key"), "idempotency_key")
-    scored = score_pending(mine, _history_of(batch, store), model, settings=settings)
+    mine = semi_join(flags, named.select("idempotency_key"), "idempotency_key")
+    history = _history_of(named.select("account_id").distinct(), store)
+    scored = score_pending(mine, history, model, settings=settings)
     found = scored.filter(F.col("ml_score").isNotNull()).select("idempotency_key", "ml_score")
     write_batch(found, store.scores, batch_id, once=True)
 
