@@ -50,6 +50,49 @@ def with_history(
     return result.unionByName(heavy)
 
 
+def with_history_since(
+    txns: DataFrame,
+    since: DataFrame,
+    window_seconds: int,
+    *,
+    heavy_rows: int = HEAVY_ACCOUNT_ROWS,
+    chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """``with_history`` of the rows at or after ``since_us`` of their account only.
+
+    ``since`` is one row ``(account_id, since_us)`` per account. What lies before the
+    window of an account's first such row is not sorted but aggregated, map-side first:
+    a count, the last row and the categories used. The rows that are sorted are as many
+    as the new and the recent ones, however long the history is.
+    """
+    timed = txns.withColumn("us", F.unix_micros("occurred_at"))
+    marked = join_short(timed, since, "account_id", "inner")
+    is_old = F.col("us") < F.col("since_us") - window_seconds * MICROS
+    old = marked.filter(is_old)
+    per_account = old.groupBy("account_id").agg(
+        F.count(F.lit(1)).alias("rows_before"),
+        F.max(F.struct("us", "idempotency_key", "city")).alias("tail_before"),
+    )
+    used = old.select("account_id", "merchant_category").distinct()
+    recent = with_history(
+        marked.filter(~is_old), window_seconds, heavy_rows=heavy_rows, chunk_rows=chunk_rows
+    )
+    wanted = recent.filter(F.col("us") >= F.col("since_us"))
+    wanted = join_short(wanted, per_account, "account_id")
+    wanted = join_short(
+        wanted, used.withColumn("used", F.lit(True)), ["account_id", "merchant_category"]
+    )
+    alone = F.col("prev_us").isNull()
+    return wanted.select(
+        *timed.columns,
+        (F.coalesce("rows_before", F.lit(0)) + F.col("position")).alias("position"),
+        "in_window",
+        (F.col("first_use") & F.col("used").isNull()).alias("first_use"),
+        F.when(alone, F.col("tail_before.city")).otherwise(F.col("prev_city")).alias("prev_city"),
+        F.when(alone, F.col("tail_before.us")).otherwise(F.col("prev_us")).alias("prev_us"),
+    )
+
+
 def _by_account(df: DataFrame, window_seconds: int, whole_seconds: bool) -> DataFrame:
     columns = df.columns
     if whole_seconds:

@@ -20,7 +20,7 @@ from riskweave.constants import (
     RuleSettings,
 )
 from riskweave.functions import haversine_km, seconds_floor, with_coordinates
-from riskweave.operators.history import with_history
+from riskweave.operators.history import with_history, with_history_since
 from riskweave.schemas import RULE_INPUT
 
 Rule = Callable[[RuleSettings], Column]
@@ -86,17 +86,23 @@ def score(
     *,
     rules: Sequence[Rule] = RULES,
     cities: DataFrame | None = None,
+    since: DataFrame | None = None,
     heavy_rows: int = HEAVY_ACCOUNT_ROWS,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Transactions that trip at least one rule, with ``flags`` and ``reasons``."""
+    """Transactions that trip at least one rule, with ``flags`` and ``reasons``.
+
+    With ``since``, ``(account_id, since_us)``, only the rows from that time on of those
+    accounts are judged, against the whole history in ``txns``. The rules look back, so
+    new rows cannot change the judgement of rows before them.
+    """
     settings = settings or RuleSettings()
-    history = with_history(
-        txns.select(*RULE_INPUT),
-        settings.window_seconds,
-        heavy_rows=heavy_rows,
-        chunk_rows=chunk_rows,
-    )
+    limits = {"heavy_rows": heavy_rows, "chunk_rows": chunk_rows}
+    seen, window = txns.select(*RULE_INPUT), settings.window_seconds
+    if since is None:
+        history = with_history(seen, window, **limits)
+    else:
+        history = with_history_since(seen, since, window, **limits)
     # The generator computes every reason once per row. Without it the filter would be
     # pushed down with copies of the reason and distance expressions in it.
     names = [f"__reason_{i}" for i in range(len(rules))]

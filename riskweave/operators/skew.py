@@ -32,15 +32,17 @@ def semi_join(df: DataFrame, keys: DataFrame, on: str, how: str = "left_semi") -
     return df.join(F.broadcast(keys) if short else keys, on, how)
 
 
-def join_short(df: DataFrame, small: DataFrame, on: str) -> DataFrame:
-    """Left join with a side that is usually short; it is computed once and counted.
+def join_short(
+    df: DataFrame, small: DataFrame, on: str | list[str], how: str = "left"
+) -> DataFrame:
+    """Join with a side that is usually short; it is computed once and counted.
 
     Short, it is broadcast and ``df`` stays where it is; otherwise both are shuffled.
     """
     checkpoint_dir(df.sparkSession)
     kept = small.checkpoint()
     short = kept.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
-    return df.join(F.broadcast(kept) if short else kept, on, "left")
+    return df.join(F.broadcast(kept) if short else kept, on, how)
 
 
 def split_heavy(df: DataFrame, key: str, limit: int) -> HeavySplit:

@@ -303,6 +303,7 @@ ORACLE: dict[str, str] = {
         merchant_category, us as occurred_us, n_flags, reasons from r""",
     "score_rules_default": f"with {BASE},{_scored('t', 120)} select idempotency_key, reasons from r",
     "score_rules_heavy": f"{TYPED},{_scored('y', _HOUR_S)} select idempotency_key, account_id, reasons from r",
+    "score_rules_since": f"{DAY_RULES} select idempotency_key, reasons from r where us >= {_CUT_US}",
     "score_rules_orders": f"{ORDERS},{_scored('o', _YEAR_S)} select idempotency_key, account_id, reasons from r",
     "flag_rows": f"{FLAGS} select {FLAG_FLAT} from f",
     "flag_lookup": f"""{FLAGS} select {FLAG_FLAT} from f
@@ -379,9 +380,12 @@ ORACLE: dict[str, str] = {
         wins as (select sum(case when pos.s > neg.s then 1.0::double when pos.s = neg.s then 0.5
           else 0 end * pos.n * neg.n) as w from pos, neg)
         select count(*) as test_size, count(*) filter (where attack) as test_attack_count,
-          round(count(*) filter (where attack and s >= 0.5) / nullif(count(*) filter (where s >= 0.5), 0)::double, 6) as "precision",
-          round(count(*) filter (where attack and s >= 0.5) / nullif(count(*) filter (where attack), 0)::double, 6) as recall,
-          round(any_value(w) / (count(*) filter (where attack) * count(*) filter (where not attack))::double, 6) as auc
+          round(count(*) filter (where attack and s >= 0.5)
+            / nullif(count(*) filter (where s >= 0.5), 0)::double, 6) as "precision",
+          round(count(*) filter (where attack and s >= 0.5)
+            / nullif(count(*) filter (where attack), 0)::double, 6) as recall,
+          round(any_value(w) / (count(*) filter (where attack)
+            * count(*) filter (where not attack))::double, 6) as auc
         from q, wins""",
     "stream_ingest": f"with {BASE} select {FLAT} from t where amount_cents <> 0",
     "stream_score": f"{DAY_RULES} select idempotency_key, reasons, 'pending' as status from r",

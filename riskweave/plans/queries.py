@@ -78,7 +78,6 @@ from riskweave.session import (
 from riskweave.sources.envelopes import parse_envelope, to_envelope, unparseable
 from riskweave.sources.feeds import FEEDS, explode_pages, read_feed, unreadable_pages
 from riskweave.sources.harness import (
-    INGESTED_AT,
     event_transactions,
     instant,
     order_transactions,
@@ -465,6 +464,15 @@ def score_rules_heavy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fired.select("idempotency_key", "account_id", "reasons")
 
 
+@query
+def score_rules_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts judged from their first row after the cutoff on, earlier rows aggregated."""
+    txns = event_transactions(spark, sf_dir)
+    late = txns.filter(F.col("occurred_at") >= instant(inputs.CUTOFF))
+    since = late.groupBy("account_id").agg(F.min(micros(F.col("occurred_at"))).alias("since_us"))
+    return score(txns, inputs.DAY, since=since).select("idempotency_key", "reasons")
+
+
 @query
 def score_rules_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders have only dates, so rows of one account often share an instant."""

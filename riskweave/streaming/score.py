@@ -62,18 +62,21 @@ def score_batch(
 ) -> None:
     """Re-score the accounts a micro-batch touches and log what changed.
 
-    The rules look at one account at a time, so this gives the answer of a full rescan
-    and upsert. Only rows that are new or whose reasons changed are written. Known
+    The rules look at one account at a time and only back, so judging each account from
+    its first new row on gives the answer of a full rescan and upsert. Only rows that are new or whose reasons changed are written. Known
     flags are read from the touched key buckets, without the batch's own rows, so a
     replay finds the same changes.
     """
     spark = batch.sparkSession
     checkpoint_dir(spark)
-    # The micro-batch is read once, for its accounts.
-    accounts = batch.select("account_id").distinct().checkpoint()
-    if accounts.isEmpty():
+    # The micro-batch is read once, for its accounts and their first new times.
+    first_new = F.min(F.unix_micros("occurred_at")).alias("since_us")
+    since = batch.groupBy("account_id").agg(first_new).checkpoint()
+    buckets = touched_buckets(since, "account_id", store.buckets)
+    if not buckets:
         return
-    scored = score(_history_of(accounts, store).select(*RULE_INPUT), settings).checkpoint()
+    history = read_transactions(spark, store.transactions, RULE_INPUT, buckets)
+    scored = score(history, settings, since=since).checkpoint()
     buckets = touched_buckets(scored, "idempotency_key", store.buckets)
     known = stored_flags(spark, store, buckets, batch_id).select(
         "idempotency_key",

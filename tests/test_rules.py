@@ -180,3 +180,24 @@ def test_one_shuffle_of_the_rows(spark):
     assert "BroadcastHashJoin" in plan
 
 
+
+
+@pytest.mark.parametrize("route", [{}, {"heavy_rows": 0, "chunk_rows": 25}], ids=["whole", "cut"])
+def test_judging_since_a_time_equals_the_tail_of_a_full_pass(spark, route):
+    from pyspark.sql import functions as F
+
+    rows = random_rows(600, 21)
+    df = frame(spark, rows)
+    cut = {"": 2000, "acct-0": 0, "acct-1": 1500, "acct-2": 2999}
+    start = {a: int(txn(seconds=s)[5].timestamp()) * 1_000_000 for a, s in cut.items()}
+    since = spark.createDataFrame(list(start.items()), "account_id string, since_us bigint")
+    expected = brute.flags(rows)
+    kept = {
+        r[0]
+        for r in rows
+        if r[1] in start and round(r[5].timestamp() * 1_000_000) >= start[r[1]]
+    }
+    got = fired(df, since=since, **route)
+    assert got == {k: v for k, v in expected.items() if k in kept}
+    assert 0 < len(got) < len(expected)
+    assert score(df, since=since.filter(F.lit(False))).isEmpty()
