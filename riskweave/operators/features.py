@@ -14,7 +14,7 @@ from riskweave.constants import (
     ZERO_GAP_SPEED_FACTOR,
     RuleSettings,
 )
-from riskweave.operators.history import MICROS, with_history
+from riskweave.operators.history import MICROS, with_history, with_history_since
 from riskweave.operators.rules import with_distance
 
 FEATURE_INPUT = (
@@ -38,6 +38,7 @@ def build_features(
     settings: RuleSettings | None = None,
     high_risk_category: str = HIGH_RISK_CATEGORY,
     cities: DataFrame | None = None,
+    since: DataFrame | None = None,
     heavy_rows: int = HEAVY_ACCOUNT_ROWS,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
@@ -45,19 +46,18 @@ def build_features(
 
     ``velocity_count`` works on whole seconds and leaves the row itself out, and
     ``geo_speed_kmh`` on fractional seconds: both differ from the rules on purpose.
+    With ``since``, ``(account_id, since_us)``, only rows from that time on of those
+    accounts get features, still drawn from the whole history in ``txns``.
     """
     settings = settings or RuleSettings()
     keep = [*FEATURE_INPUT, *[c for c in ("label",) if c in txns.columns]]
-    history = with_distance(
-        with_history(
-            txns.select(*keep),
-            settings.window_seconds,
-            whole_seconds=True,
-            heavy_rows=heavy_rows,
-            chunk_rows=chunk_rows,
-        ),
-        cities,
-    )
+    how = {"whole_seconds": True, "heavy_rows": heavy_rows, "chunk_rows": chunk_rows}
+    seen, window = txns.select(*keep), settings.window_seconds
+    if since is None:
+        history = with_history(seen, window, **how)
+    else:
+        history = with_history_since(seen, since, window, **how)
+    history = with_distance(history, cities)
     hours = (F.col("us") - F.col("prev_us")) / F.lit(3600.0 * MICROS)
     speed = F.when(hours > 0, F.try_divide(F.col("km"), hours)).otherwise(
         F.col("km") * F.lit(ZERO_GAP_SPEED_FACTOR)

@@ -55,6 +55,7 @@ def with_history_since(
     since: DataFrame,
     window_seconds: int,
     *,
+    whole_seconds: bool = False,
     heavy_rows: int = HEAVY_ACCOUNT_ROWS,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
@@ -67,7 +68,9 @@ def with_history_since(
     """
     timed = txns.withColumn("us", F.unix_micros("occurred_at"))
     marked = join_short(timed, since, "account_id", "inner")
-    is_old = F.col("us") < F.col("since_us") - window_seconds * MICROS
+    # Cut to whole seconds, a window may begin up to a second earlier.
+    reach = (window_seconds + int(whole_seconds)) * MICROS
+    is_old = F.col("us") < F.col("since_us") - reach
     old = marked.filter(is_old)
     per_account = old.groupBy("account_id").agg(
         F.count(F.lit(1)).alias("rows_before"),
@@ -75,7 +78,11 @@ def with_history_since(
     )
     used = old.select("account_id", "merchant_category").distinct()
     recent = with_history(
-        marked.filter(~is_old), window_seconds, heavy_rows=heavy_rows, chunk_rows=chunk_rows
+        marked.filter(~is_old),
+        window_seconds,
+        whole_seconds=whole_seconds,
+        heavy_rows=heavy_rows,
+        chunk_rows=chunk_rows,
     )
     wanted = recent.filter(F.col("us") >= F.col("since_us"))
     wanted = join_short(wanted, per_account, "account_id")

@@ -23,9 +23,9 @@ from riskweave.constants import (
     TRAIN_FRACTION,
     RuleSettings,
 )
+from riskweave.functions import reason_count
 from riskweave.operators.features import build_features
-from riskweave.operators.flags import FLAG_COLUMNS, with_rule_flag_count
-from riskweave.operators.skew import semi_join
+from riskweave.operators.flags import FLAG_COLUMNS
 from riskweave.operators.split import apply_split, split_boundaries
 from riskweave.session import checkpoint_dir, materialize
 
@@ -145,15 +145,22 @@ def score_pending(
 ) -> DataFrame:
     """The flag table with a score on every pending flag whose transaction is stored.
 
-    Features look at the whole history of an account but at no other account, so
-    only accounts with an unscored flag are read. A flag is scored once.
+    Features look back over the whole history of an account and at no other account, so
+    only accounts with an unscored flag are read, and of those only the rows from the
+    first such flag on are given features. A flag is scored once.
     """
     waiting = pending_for_scoring(flags)
-    accounts = waiting.select("account_id").distinct()
-    history = semi_join(txns, accounts, "account_id")
-    # A row's flag count is a feature of that row alone, so only waiting flags are joined.
-    features = build_features(with_rule_flag_count(history, waiting), settings=settings)
-    unscored = features.join(waiting.select("idempotency_key"), "idempotency_key", "left_semi")
+    first = F.min(F.unix_micros("occurred_at")).alias("since_us")
+    since = waiting.groupBy("account_id").agg(first)
+    built = build_features(
+        txns.withColumn("rule_flag_count", F.lit(0)), settings=settings, since=since
+    ).drop("rule_flag_count")
+    # The flag count is a feature of the row alone: it joins the few rows at the end, and
+    # the history is not shuffled by key.
+    counts = waiting.select(
+        "idempotency_key", reason_count(F.col("reasons")).alias("rule_flag_count")
+    )
+    unscored = built.join(counts, "idempotency_key")
     scores = predict(model, unscored).select("idempotency_key", F.col("ml_score").alias("found"))
     return flags.join(scores, "idempotency_key", "left").select(
         *[

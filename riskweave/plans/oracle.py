@@ -302,9 +302,11 @@ ORACLE: dict[str, str] = {
     "score_rules": f"""{DAY_RULES} select idempotency_key, account_id, amount_cents,
         merchant_category, us as occurred_us, n_flags, reasons from r""",
     "score_rules_default": f"with {BASE},{_scored('t', 120)} select idempotency_key, reasons from r",
-    "score_rules_heavy": f"{TYPED},{_scored('y', _HOUR_S)} select idempotency_key, account_id, reasons from r",
+    "score_rules_heavy": f"""{TYPED},{_scored('y', _HOUR_S)}
+        select idempotency_key, account_id, reasons from r""",
     "score_rules_since": f"{DAY_RULES} select idempotency_key, reasons from r where us >= {_CUT_US}",
-    "score_rules_orders": f"{ORDERS},{_scored('o', _YEAR_S)} select idempotency_key, account_id, reasons from r",
+    "score_rules_orders": f"""{ORDERS},{_scored('o', _YEAR_S)}
+        select idempotency_key, account_id, reasons from r""",
     "flag_rows": f"{FLAGS} select {FLAG_FLAT} from f",
     "flag_lookup": f"""{FLAGS} select {FLAG_FLAT} from f
         order by occurred_us desc, idempotency_key desc limit 1""",

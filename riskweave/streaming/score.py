@@ -46,13 +46,6 @@ def read_transaction_files(
     return reader.parquet(path)
 
 
-def _history_of(accounts: DataFrame, store: Store) -> DataFrame:
-    """Stored rows of the given accounts; only their account buckets are read."""
-    buckets = touched_buckets(accounts, "account_id", store.buckets)
-    history = read_transactions(accounts.sparkSession, store.transactions, None, buckets)
-    return semi_join(history, accounts, "account_id")
-
-
 def score_batch(
     batch: DataFrame,
     batch_id: int,
@@ -63,9 +56,9 @@ def score_batch(
     """Re-score the accounts a micro-batch touches and log what changed.
 
     The rules look at one account at a time and only back, so judging each account from
-    its first new row on gives the answer of a full rescan and upsert. Only rows that are new or whose reasons changed are written. Known
-    flags are read from the touched key buckets, without the batch's own rows, so a
-    replay finds the same changes.
+    its first new row on gives the answer of a full rescan and upsert. Only rows that are
+    new or whose reasons changed are written. Known flags are read from the touched key
+    buckets, without the batch's own rows, so a replay finds the same changes.
     """
     spark = batch.sparkSession
     checkpoint_dir(spark)
@@ -124,7 +117,8 @@ def score_pending_batch(
     buckets = touched_buckets(named, "idempotency_key", store.buckets)
     flags = stored_flags(batch.sparkSession, store, buckets)
     mine = semi_join(flags, named.select("idempotency_key"), "idempotency_key")
-    history = _history_of(named.select("account_id").distinct(), store)
+    theirs = touched_buckets(named, "account_id", store.buckets)
+    history = read_transactions(batch.sparkSession, store.transactions, RULE_INPUT, theirs)
     scored = score_pending(mine, history, model, settings=settings)
     found = scored.filter(F.col("ml_score").isNotNull()).select("idempotency_key", "ml_score")
     write_batch(found, store.scores, batch_id, once=True)

@@ -100,3 +100,24 @@ def test_two_sorts_and_one_shuffle(spark):
     plan = build_features(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("+- Sort ") == 2
+
+
+@pytest.mark.parametrize(
+    "route", [{}, {"heavy_rows": 0, "chunk_rows": 30}], ids=["whole", "cut"]
+)
+def test_features_since_a_time_equal_those_of_a_full_pass(spark, route):
+    rows = random_rows(500, 31)
+    start = {a: int(txn(seconds=s)[5].timestamp()) * 1_000_000 + 1 for a, s in
+             (("", 1200.0), ("acct-1", 30.0), ("acct-2", 2500.0))}
+    since = spark.createDataFrame(list(start.items()), "account_id string, since_us bigint")
+    full, part = built(spark, rows), built(spark, rows, since=since, **route)
+    kept = {
+        r[0]
+        for r in rows
+        if r[1] in start and round(r[5].timestamp() * 1_000_000) >= start[r[1]]
+    }
+    assert set(part) == kept and part
+    for key, row in part.items():
+        assert row["geo_speed_kmh"] == pytest.approx(full[key]["geo_speed_kmh"], rel=1e-9)
+        assert row["velocity_count"] == full[key]["velocity_count"]
+        assert row["category_seen_before"] == full[key]["category_seen_before"]
