@@ -71,12 +71,20 @@ def with_history_since(
     # Cut to whole seconds, a window may begin up to a second earlier.
     reach = (window_seconds + int(whole_seconds)) * MICROS
     is_old = F.col("us") < F.col("since_us") - reach
-    old = marked.filter(is_old)
+    # One pass over the old rows; the rest derives from its short result.
+    old = (
+        marked.filter(is_old)
+        .groupBy("account_id", "merchant_category")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.max(F.struct("us", "idempotency_key", "city")).alias("tail"),
+        )
+        .checkpoint()
+    )
     per_account = old.groupBy("account_id").agg(
-        F.count(F.lit(1)).alias("rows_before"),
-        F.max(F.struct("us", "idempotency_key", "city")).alias("tail_before"),
+        F.sum("n").alias("rows_before"), F.max("tail").alias("tail_before")
     )
-    used = old.select("account_id", "merchant_category").distinct()
+    used = old.select("account_id", "merchant_category")
     recent = with_history(
         marked.filter(~is_old),
         window_seconds,
