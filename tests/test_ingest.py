@@ -348,3 +348,16 @@ def test_nested_fields_do_not_count_as_wrong_types(spark):
     row = parse_envelope(df, now()).first()
     assert row["error"] is None and row["merchant_name"] == 'odd "bank":5 name'
     assert json.loads(row["raw"]) == {"city": 5, "bank": None}
+
+
+def test_topic_records_become_messages(spark):
+    from riskweave.streaming.ingest import topic_messages
+
+    source = to_envelope(txns(spark, [("bank-a", "1", 5, 0)]))
+    records = source.select(
+        F.col("message_id").cast("binary").alias("key"), F.col("body").cast("binary").alias("value")
+    )
+    columns = ["body", "retry_count", "message_id"]
+    got = topic_messages(records).select(*columns).collect()
+    assert got == source.select(*columns).collect()
+    assert parse_envelope(topic_messages(records), now()).first()["error"] is None
