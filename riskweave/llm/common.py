@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import string
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import riskweave
+
 #: ASCII white space: space and the code points 9 to 13.
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
@@ -20,7 +25,23 @@ LOWER_ASCII = np.arange(256, dtype=np.uint8)
 LOWER_ASCII[65:91] += 32
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this library to the Python workers of the session, once."""
+    context = spark.sparkContext
+    if getattr(context, "_riskweave_shipped", False):
+        return
+    package = Path(riskweave.__file__).parent
+    archive = Path(tempfile.mkdtemp()) / "riskweave.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._riskweave_shipped = True
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """One table of a test folder, with the library on the workers."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

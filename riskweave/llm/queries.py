@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import bpe, line_dedup
+from riskweave.llm import bpe, language, line_dedup, quality
 from riskweave.llm.common import read
 
 
@@ -14,12 +14,22 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.op1(read(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.op2(spark, read(spark, sf_dir, "documents"))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.op3(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.op9(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_language_id": op2_language_id,
+    "op3_quality_rules": op3_quality_rules,
     "op9_byte_bpe": op9_byte_bpe,
 }
 ORACLE: dict[str, str] = {
