@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import bpe, language, line_dedup, quality
+from riskweave.llm import bpe, language, licenses, line_dedup, quality, sharding
 from riskweave.llm.common import read
 
 
@@ -22,15 +22,25 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op3(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op4_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.op4(read(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.op9(read(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.op10(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_language_id": op2_language_id,
     "op3_quality_rules": op3_quality_rules,
+    "op4_hilbert_sharding": op4_hilbert_sharding,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_license_scan": op10_license_scan,
 }
 ORACLE: dict[str, str] = {
     "op1_line_dedup": line_dedup.OP1_SQL,
