@@ -64,11 +64,13 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def slices(texts: pa.Array, most_bytes: int = 4 << 20) -> Iterator[pa.Array]:
     """``texts`` in runs of about ``most_bytes``, so that work arrays stay small.
 
-    A longer text is a run of its own; it is never cut.
+    A longer text is a run of its own; it is never cut. No texts give one empty run.
     """
     texts = texts.cast(pa.large_string())
     ends = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0)))
     start = 0
+    if not len(texts):
+        yield texts
     while start < len(texts):
         before = ends[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(ends, before + most_bytes, side="right")))

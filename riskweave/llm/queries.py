@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import bpe, language, licenses, line_dedup, quality, sharding
+from riskweave.llm import bpe, jaccard, language, licenses, line_dedup, quality, sharding
 from riskweave.llm.common import read
 
 
@@ -26,6 +26,10 @@ def op4_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op4(read(spark, sf_dir, "documents"))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.op5(read(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.op9(read(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_quality_rules": op3_quality_rules,
     "op4_hilbert_sharding": op4_hilbert_sharding,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_license_scan": op10_license_scan,
 }
