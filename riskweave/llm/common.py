@@ -93,44 +93,41 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_POWERS = np.ones(1, np.uint64)
+_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_BYTE = mix(np.arange(1, 257, dtype=np.uint64))
+_POWERS: list[np.ndarray] = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
 
 
-def _powers(n: int) -> np.ndarray:
-    global _POWERS
-    if len(_POWERS) < n:
-        _POWERS = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, _ODD)]))
-    return _POWERS[:n]
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd factor and of its inverse, modulo 2^64."""
+    if len(_POWERS[0]) < n:
+        for k, factor in enumerate((_ODD, _BACK)):
+            _POWERS[k] = np.multiply.accumulate(np.full(n, factor))
+    return _POWERS[0][:n], _POWERS[1][:n]
 
 
 def words(data: np.ndarray, bounds: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, ...]:
     """(hash, start, end, text index) of every maximal run of bytes that are not ``space``.
 
-    Runs do not cross text bounds. The hash is a polynomial over the bytes and the
-    length, finalised, in 64 bits.
+    Runs do not cross text bounds. The hash is a polynomial over the bytes, independent of
+    the place, and the length, finalised, in 64 bits.
     """
+    none = np.empty(0, np.int64)
+    if not len(data):
+        return none.astype(np.uint64), none, none, none
     solid = ~space
     first = solid.copy()
-    first[1:] &= ~solid[:-1]
+    first[1:] &= space[:-1]
     last = solid.copy()
-    last[:-1] &= ~solid[1:]
+    last[:-1] &= space[1:]
     edges = bounds[1:-1]
     edges = edges[(edges > 0) & (edges < len(data))]
     first[edges] = solid[edges]
     last[edges - 1] = solid[edges - 1]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    if not len(start):
-        none = np.empty(0, np.int64)
-        return none.astype(np.uint64), none, none, none
-    longest = int((end - start).max())
-    value = mix(data.astype(np.uint64) + np.uint64(1))
-    # Word-relative powers: byte i of a word counts with the power i.
-    at = np.arange(len(data), dtype=np.int64)
-    relative = at - np.repeat(
-        np.concatenate([[0], start]), np.diff(np.concatenate([[0], start, [len(data)]]))
-    )
-    np.minimum(relative, longest, out=relative)
-    value *= _powers(longest + 1)[relative]
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(value, dtype=np.uint64)])
-    hashed = mix(sums[end] - sums[start] + (end - start).astype(np.uint64) * _ODD)
+    ahead, back = _powers(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * ahead, out=sums[1:])
+    value = (sums[end] - sums[start]) * back[start]
+    hashed = mix(value + (end - start).astype(np.uint64) * _ODD)
     return hashed, start, end, np.searchsorted(bounds, start, side="right") - 1
