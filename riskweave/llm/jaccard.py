@@ -399,6 +399,17 @@ def similar_groups(
     )
 
 
+def keep_smallest(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """``docs`` without the ids that have a smaller id in their group.
+
+    Rows that repeat an id go together: an id goes if one of its texts has a smaller
+    partner. Texts without words and rows without an id stay.
+    """
+    groups = similar_groups(docs, doc_id, text, **settings)
+    later = groups.where(F.col("component_id") < F.col(doc_id)).select(F.col(doc_id).alias("_later")).distinct()
+    return docs.join(later, F.col(doc_id) == F.col("_later"), "left_anti")
+
+
 def op5(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id."""
     return similar_groups(docs.select("doc_id", "text"))

@@ -113,6 +113,10 @@ def _stats(texts: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays(columns, names=list(STATS))
 
 
+# Marked so that a filter on a statistic stays above the call and does not repeat it.
+_stats = _stats.asNondeterministic()
+
+
 def with_stats(docs: DataFrame, text: str = "text", into: str = "_stats") -> DataFrame:
     """``docs`` with the struct ``into`` of all statistics of the whole text."""
     return docs.withColumn(into, _stats(F.col(text)))

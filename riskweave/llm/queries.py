@@ -42,6 +42,13 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.op10(read(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # At call time, since the module at the top of the repository imports this package.
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_language_id": op2_language_id,
@@ -51,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_latent_decontamination": op8_latent_decontamination,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_license_scan": op10_license_scan,
+    "pipeline": pipeline,
 }
 ORACLE: dict[str, str] = {
     "op1_line_dedup": line_dedup.OP1_SQL,
