@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import bpe, chat, decontaminate, jaccard, language, licenses, line_dedup, quality, sharding
+from riskweave.llm import bpe, chat, decontaminate, jaccard, language, licenses, line_dedup, quality, sharding, wrappers
 from riskweave.llm.common import read
 
 
@@ -30,6 +30,10 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.op5(read(spark, sf_dir, "documents"))
 
 
+def op6_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.op6(spark, read(spark, sf_dir, "pages"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.op7(spark, read(spark, sf_dir, "conversations"))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_hilbert_sharding": op4_hilbert_sharding,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_html_wrappers": op6_html_wrappers,
     "op7_chat_format": op7_chat_format,
     "op8_latent_decontamination": op8_latent_decontamination,
     "op9_byte_bpe": op9_byte_bpe,
