@@ -189,7 +189,7 @@ def learn(
         raise ValueError(f"more than {settings.most_languages} languages")
     size = settings.sample_per_language
 
-    def fit(key: tuple, group):
+    def fit(key, group):
         import pandas as pd
 
         group = group.sort_values(["_id", "_text"]).head(size)
