@@ -177,16 +177,23 @@ def learn(
     )
     seen, total = _frequencies(train, "_text", settings.buckets)
     idf = (np.log((1 + total) / (1 + seen)) + 1).astype(np.float32)
-    ranked = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
+    # A language may have most of the rows: a hash share of each leaves about twice the
+    # sample, and only those few are ranked.
+    sizes = train.groupBy("_lang").agg(F.count("*").alias("_n"))
+    if sizes.count() > settings.most_languages:
+        raise ValueError(f"more than {settings.most_languages} languages")
+    slots = 1 << 30
+    place = F.pmod(F.xxhash64("_id"), F.lit(slots))
+    ranked = Window.partitionBy("_lang").orderBy("_place", "_id")
     chosen = (
-        train.select("_lang", "_id")
+        train.select("_lang", "_id", place.alias("_place"))
+        .join(F.broadcast(sizes), "_lang")
+        .where(F.col("_place") / slots < 2 * settings.sample_per_language / F.col("_n"))
+        .distinct()
         .withColumn("_rank", F.row_number().over(ranked))
         .where(F.col("_rank") <= settings.sample_per_language)
         .select("_lang", "_id")
-        .distinct()
     )
-    if chosen.select("_lang").distinct().count() > settings.most_languages:
-        raise ValueError(f"more than {settings.most_languages} languages")
     size = settings.sample_per_language
 
     def fit(key, group):

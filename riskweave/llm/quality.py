@@ -292,12 +292,20 @@ def learn(
     labelled or all labels agree.
     """
     settings = settings or CoverSettings()
-    chosen = (
+    known = (
         labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull())
         .groupBy(F.col(doc_id).alias("_id"))
         .agg((F.avg(label) < 0.5).alias("_bad"))
-        .orderBy(F.xxhash64("_id"), "_id")
+    )
+    # A hash share first, so that no task sends more than its part of the sample.
+    slots, n = 1 << 30, known.count()
+    place = F.pmod(F.xxhash64("_id"), F.lit(slots))
+    chosen = (
+        known.withColumn("_place", place)
+        .where(F.col("_place") < slots * (2 * settings.max_labelled / max(n, 1)))
+        .orderBy("_place", "_id")
         .limit(settings.max_labelled)
+        .select("_id", "_bad")
     )
     joined = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(
         F.broadcast(chosen), "_id"
