@@ -14,6 +14,7 @@ from riskweave.constants import (
     ZERO_GAP_SPEED_FACTOR,
     RuleSettings,
 )
+from riskweave.functions.times import hour_of_day, weekday
 from riskweave.operators.history import MICROS, with_history, with_history_since
 from riskweave.operators.rules import with_distance
 
@@ -65,8 +66,8 @@ def build_features(
     measured = F.when(F.col("km") >= settings.min_km, speed).otherwise(F.lit(0.0))
     return history.select(
         *keep,
-        F.hour("occurred_at").alias("hour_of_day"),
-        F.weekday("occurred_at").alias("weekday"),
+        hour_of_day(F.col("us")).alias("hour_of_day"),
+        weekday(F.col("us")).alias("weekday"),
         (F.col("merchant_category") == high_risk_category).cast("int").alias("is_high_risk_mcc"),
         (F.col("in_window") - 1).alias("velocity_count"),
         (~F.col("first_use")).cast("int").alias("category_seen_before"),

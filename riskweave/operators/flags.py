@@ -84,7 +84,7 @@ def review(current: DataFrame, decisions: DataFrame) -> DataFrame:
         *[
             F.coalesce("decision", "status").alias(c)
             if c == "status"
-            else F.coalesce("decided_at", "updated_at").alias(c)
+            else F.greatest("decided_at", "updated_at").alias(c)
             if c == "updated_at"
             else F.col(c)
             for c in FLAG_COLUMNS

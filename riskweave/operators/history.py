@@ -1,7 +1,8 @@
 """What each transaction can see of its account's past.
 
 Rows of an account are totally ordered by ``(occurred_at, idempotency_key)``, and a
-row sees only earlier rows. Both the rules and the model features read the columns
+row sees only earlier rows. Rows that repeat both are ordered by category and city; a
+category that such rows share is new to all of them. A NULL account is one account. Both the rules and the model features read the columns
 added here:
 
 ``position``     1-based position in the account's history
@@ -22,9 +23,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskweave.constants import CHUNK_ROWS, HEAVY_ACCOUNT_ROWS
-from riskweave.operators.skew import CHUNK, before_chunk, join_short, range_chunks, split_heavy
+from riskweave.operators.skew import (
+    CHUNK,
+    before_chunk,
+    join_short,
+    null_safe_join,
+    range_chunks,
+    split_heavy,
+)
 
 MICROS = 1_000_000
+ORDER = ("us", "idempotency_key", "merchant_category", "city")
 HISTORY_COLUMNS = ("position", "in_window", "first_use", "prev_city", "prev_us")
 
 
@@ -39,7 +48,8 @@ def with_history(
     """Add the history columns and ``us`` (epoch microseconds).
 
     The window reaches back ``window_seconds``, both ends included, at microsecond
-    precision, or between times cut to whole seconds. Keys must be unique.
+    precision, or between times cut to whole seconds. Which route an account takes
+    changes no result, also where keys repeat.
     """
     timed = txns.withColumn("us", F.unix_micros("occurred_at"))
     split = split_heavy(timed, "account_id", heavy_rows)
@@ -113,21 +123,23 @@ def _by_account(df: DataFrame, window_seconds: int, whole_seconds: bool) -> Data
     if whole_seconds:
         # The same order with the frame's own key first, so that one sort serves both.
         df, reach = df.withColumn("__second", F.unix_seconds("occurred_at")), window_seconds
-        order = ["__second", "us", "idempotency_key"]
+        order = ["__second", *ORDER]
     else:
         reach = window_seconds * MICROS
-        order = ["us", "idempotency_key"]
+        order = list(ORDER)
     history = W.partitionBy("account_id").orderBy(*order)
-    category = W.partitionBy("account_id", "merchant_category").orderBy(*order)
-    # A RANGE frame ends with the row's last peer, so its row count would include
-    # later rows of the same instant. Its smallest position does not.
-    recent = W.partitionBy("account_id").orderBy(order[0]).rangeBetween(-reach, 0)
+    # The category is the partition, and peers differ in city only: the order leaves both out.
+    category = W.partitionBy("account_id", "merchant_category").orderBy(*order[:-2])
+    # What has left the window: a frame that only grows, so it costs one pass however
+    # dense a burst is. It ends before the row's own instant, and so has no peers of it.
+    gone = W.partitionBy("account_id").orderBy(order[0])
+    gone = gone.rangeBetween(W.unboundedPreceding, -reach - 1)
     return (
         df.withColumn("position", F.row_number().over(history))
         .withColumn("prev_city", F.lag("city").over(history))
         .withColumn("prev_us", F.lag("us").over(history))
-        .withColumn("in_window", F.col("position") - F.min("position").over(recent) + 1)
-        .withColumn("first_use", F.row_number().over(category) == 1)
+        .withColumn("in_window", F.col("position") - F.count(F.lit(1)).over(gone))
+        .withColumn("first_use", F.dense_rank().over(category) == 1)
         .withColumns({c: F.col(c).cast("bigint") for c in ("position", "in_window")})
         .select(*columns, *HISTORY_COLUMNS)
     )
@@ -164,7 +176,7 @@ def _by_range(
         _leaves_window(window_seconds, whole_seconds).alias("__at"),
         F.lit(1).alias("__leaves"),
     )
-    sweep = ["__at", "__leaves", "idempotency_key"]
+    sweep = ["__at", "__leaves", "idempotency_key", "merchant_category", "city"]
     chunks = range_chunks(
         enters.unionByName(leaves, allowMissingColumns=True),
         ["account_id", *sweep],
@@ -174,7 +186,7 @@ def _by_range(
     is_row = F.col("__leaves") == 0
     entered = F.lit(1) - F.col("__leaves")
     inside = F.lit(1) - 2 * F.col("__leaves")
-    row = F.when(is_row, F.struct(*sweep, "city"))
+    row = F.when(is_row, F.struct(*sweep))
 
     # One row per account and chunk, a few per chunk in all.
     before = before_chunk("account_id")
@@ -198,25 +210,26 @@ def _by_range(
         chunks.filter(is_row)
         .groupBy("account_id", "merchant_category")
         .agg(F.min(F.struct("__at", "idempotency_key")).alias("first"))
-        .select(F.col("first.idempotency_key"), F.lit(True).alias("first_use"))
     )
 
     within = W.partitionBy("account_id", CHUNK).orderBy(*sweep)
     so_far = within.rowsBetween(W.unboundedPreceding, W.currentRow)
     earlier = within.rowsBetween(W.unboundedPreceding, -1)
-    placed = (
+    summed = (
         chunks.withColumn("entered_here", F.sum(entered).over(so_far))
         .withColumn("inside_here", F.sum(inside).over(so_far))
         .withColumn("previous_here", F.last(row, True).over(earlier))
         .filter(is_row)
-        .join(carried, ["account_id", CHUNK])
-        .withColumn("previous", F.coalesce("previous_here", "tail_before"))
     )
-    return join_short(placed, first_use, "idempotency_key").select(
+    placed = null_safe_join(summed, carried, ["account_id", CHUNK], "inner").withColumn(
+        "previous", F.coalesce("previous_here", "tail_before")
+    )
+    here = F.struct("__at", "idempotency_key")
+    return join_short(placed, first_use, ["account_id", "merchant_category"]).select(
         *df.columns,
         (F.col("entered_before") + F.col("entered_here")).alias("position"),
         (F.col("inside_before") + F.col("inside_here")).alias("in_window"),
-        F.coalesce("first_use", F.lit(False)).alias("first_use"),
+        here.eqNullSafe(F.col("first")).alias("first_use"),
         F.col("previous.city").alias("prev_city"),
         F.col("previous.__at").alias("prev_us"),
     )

@@ -22,14 +22,24 @@ class HeavySplit:
     heavy_rows: int
 
 
+def null_safe_join(
+    df: DataFrame, other: DataFrame, on: str | list[str], how: str = "left"
+) -> DataFrame:
+    """Equi-join in which NULL equals NULL; the columns of ``on`` come from ``df``."""
+    names = [on] if isinstance(on, str) else on
+    renamed = other.withColumnsRenamed({c: f"__right_{c}" for c in names})
+    same = [F.col(c).eqNullSafe(F.col(f"__right_{c}")) for c in names]
+    return df.join(renamed, same, how).drop(*[f"__right_{c}" for c in names])
+
+
 def semi_join(df: DataFrame, keys: DataFrame, on: str, how: str = "left_semi") -> DataFrame:
     """Semi or anti join with a key list, broadcast only if a count shows it short.
 
-    A longer list is joined by shuffle, where adaptive execution splits skewed
-    partitions of ``df``.
+    NULL is a key like any other. A longer list is joined by shuffle, where adaptive
+    execution splits skewed partitions of ``df``.
     """
     short = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
-    return df.join(F.broadcast(keys) if short else keys, on, how)
+    return null_safe_join(df, F.broadcast(keys) if short else keys, on, how)
 
 
 def join_short(
@@ -38,11 +48,12 @@ def join_short(
     """Join with a side that is usually short; it is computed once and counted.
 
     Short, it is broadcast and ``df`` stays where it is; otherwise both are shuffled.
+    NULL matches NULL.
     """
     checkpoint_dir(df.sparkSession)
     kept = small.checkpoint()
     short = kept.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
-    return df.join(F.broadcast(kept) if short else kept, on, how)
+    return null_safe_join(df, F.broadcast(kept) if short else kept, on, how)
 
 
 def split_heavy(df: DataFrame, key: str, limit: int) -> HeavySplit:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riskweave.constants import BAD_TIMESTAMP_ERROR, UNMARSHAL_PREFIX
 from riskweave.functions import (
     idempotency_key,
+    json_text,
     parse_rfc3339,
     parsed_once,
     rfc3339_text,
@@ -25,14 +26,12 @@ TEXT_FIELDS = (
     "city",
     "timestamp",
 )
+# Every field keeps the type that its JSON has; ``raw`` is any document, as text.
 BODY_SCHEMA = (
-    ", ".join(f"`{name}` STRING" for name in TEXT_FIELDS)
-    + ", `amount_cents` BIGINT, `raw` STRING, `__corrupt` STRING"
+    "ARRAY<STRUCT<"
+    + ", ".join(f"`{name}` VARIANT" for name in (*TEXT_FIELDS, "amount_cents"))
+    + ", `raw` STRING>>"
 )
-TYPED_SCHEMA = ", ".join(f"`{name}` VARIANT" for name in TEXT_FIELDS)
-# A text field's name followed by something that is neither a string nor null. Quotes
-# inside JSON strings are escaped, so only a nested object can match without need.
-SUSPECT = rf'"({"|".join(TEXT_FIELDS)})"\s*:\s*(?!null\b)[^"\s]'
 
 
 def to_envelope(txns: DataFrame) -> DataFrame:
@@ -58,42 +57,48 @@ def to_envelope(txns: DataFrame) -> DataFrame:
     )
 
 
-def _wrong_types(body: Column) -> Column:
-    """Names of the text fields that are present but neither a JSON string nor null.
+def _document(body: Column) -> Column:
+    """The body as the only element of an array; NULL if it is not one strict JSON object.
 
-    Parsing keeps a number in a text field as text. Bodies that may have one are rare
-    and found by a pattern; only those are parsed again with their types.
+    Text after the object, or a second object, makes the array malformed or longer.
     """
-    typed = F.from_json(body, TYPED_SCHEMA)
-    kinds = [(name, F.schema_of_variant(typed[name])) for name in TEXT_FIELDS]
-    wrong = [F.when(~kind.isin("STRING", "VOID"), F.lit(name)) for name, kind in kinds]
-    return F.when(body.rlike(SUSPECT), F.concat_ws(", ", *wrong)).otherwise(F.lit(""))
+    parsed = F.from_json(
+        F.concat(F.lit("["), body, F.lit("]")), BODY_SCHEMA, {"allowSingleQuotes": "false"}
+    )
+    return F.when(F.size(parsed) == 1, parsed[0])
 
 
 def parse_envelope(messages: DataFrame, as_of: Column) -> DataFrame:
     """Messages as unified transactions plus ``body``, ``message_id``, ``retry_count``, ``error``.
 
-    ``error`` starts with ``unmarshal error: `` for a body that is not a JSON object,
-    has a field of the wrong JSON type, or a bad timestamp. A missing text field is
-    empty; a missing timestamp is an error.
+    ``error`` starts with ``unmarshal error: `` for a body that is not one strict JSON
+    object, has a field of the wrong JSON type, or a bad timestamp. A missing text field is
+    empty; a missing timestamp is an error. A body is parsed once.
     """
-    m = F.from_json("body", BODY_SCHEMA, {"columnNameOfCorruptRecord": "__corrupt"})
-    parsed = messages.select("body", "message_id", "retry_count", parsed_once(m).alias("m"))
+    parsed = messages.select(
+        "body", "message_id", "retry_count", parsed_once(_document(F.col("body"))).alias("m")
+    )
+
+    def kind(name: str) -> Column:
+        return F.coalesce(F.schema_of_variant(F.col(f"m.{name}")), F.lit("VOID"))
 
     def text(name: str) -> Column:
-        return text_or_empty(F.col(f"m.{name}"))
+        return F.coalesce(json_text(F.col(f"m.{name}")), F.lit(""))
 
-    wrong = _wrong_types(F.col("body"))
-    occurred_at = parse_rfc3339(F.col("m.timestamp"))
+    wrong = F.concat_ws(
+        ", ", *[F.when(~kind(n).isin("STRING", "VOID"), F.lit(n)) for n in TEXT_FIELDS]
+    )
+    occurred_at = parse_rfc3339(text("timestamp"))
     problem = (
-        F.when(F.col("m").isNull() | F.col("m.__corrupt").isNotNull(), F.lit("malformed body"))
+        F.when(F.col("m").isNull() | ~kind("amount_cents").isin("BIGINT", "VOID"), F.lit("malformed body"))
         .when(wrong != "", F.concat(F.lit("not a string: "), wrong))
         .when(occurred_at.isNull(), F.lit(BAD_TIMESTAMP_ERROR))
     )
+    cents = F.try_variant_get(F.col("m.amount_cents"), "$", "bigint")
     return parsed.select(
         idempotency_key(text("bank"), text("native_id")).alias("idempotency_key"),
         *[text(name).alias(name) for name in ("bank", "native_id", "account_id")],
-        F.coalesce("m.amount_cents", F.lit(0)).alias("amount_cents"),
+        F.coalesce(cents, F.lit(0)).alias("amount_cents"),
         *[
             text(name).alias(name)
             for name in ("currency", "merchant_name", "merchant_category", "city")

@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import pytest
 from conftest import RULE_SCHEMA, frame, txn
+from pyspark.sql import functions as F
 from test_rules import random_rows
 
 import brute
 from riskweave.constants import FEATURE_COLUMNS
+from riskweave.functions.times import hour_of_day, rfc3339_text, weekday
 from riskweave.operators.features import build_features
 from riskweave.operators.flags import with_rule_flag_count
 
@@ -22,41 +24,67 @@ def test_all_columns(spark):
     assert set(FEATURE_COLUMNS) <= set(build_features(df).columns)
 
 
-def test_velocity_counts_prior_rows_only(spark):
-    rows = [txn(k, seconds=s) for k, s in (("a", 0), ("b", 30), ("c", 60), ("d", 3600))]
-    got = built(spark, rows)
-    assert [got[k]["velocity_count"] for k in "abcd"] == [0, 1, 2, 0]
+def test_velocity_looks_back_from_each_row(spark):
+    """Times in seconds and, for each, how many of the others lie at most 120 before it."""
+    times = {"a": 0, "b": 119, "c": 120, "d": 121, "e": 241, "f": 900}
+    want = {k: sum(0 <= t - u <= 120 for j, u in times.items() if j != k) for k, t in times.items()}
+    got = built(spark, [txn(k, "holder", seconds=s) for k, s in times.items()])
+    assert {k: got[k]["velocity_count"] for k in times} == want
 
 
-def test_category_seen_before(spark):
-    rows = [
-        txn("a", category="5411"),
-        txn("b", category="5411", seconds=300),
-        txn("c", category="7995", seconds=600),
-    ]
-    got = built(spark, rows)
-    assert [got[k]["category_seen_before"] for k in "abc"] == [0, 1, 0]
-    assert [got[k]["is_high_risk_mcc"] for k in "abc"] == [0, 0, 1]
+@pytest.mark.parametrize("high", ["6051", "7995"])
+def test_categories(spark, high):
+    used = ["6051", "7995", "6051", "1234", "7995"]
+    rows = [txn(f"r{i}", "holder", category=c, seconds=i * 1000) for i, c in enumerate(used)]
+    got = built(spark, rows, high_risk_category=high)
+    assert [got[f"r{i}"]["category_seen_before"] for i in range(5)] == [0, 0, 1, 0, 1]
+    assert [got[f"r{i}"]["is_high_risk_mcc"] for i in range(5)] == [int(c == high) for c in used]
 
 
-def test_geo_speed(spark):
-    same = built(spark, [txn("a", city="New York"), txn("b", city="New York", seconds=300)])
-    assert [same[k]["geo_speed_kmh"] for k in "ab"] == [0.0, 0.0]
-    far = built(spark, [txn("a", city="New York"), txn("b", city="Tokyo", seconds=240)])
-    assert far["b"]["geo_speed_kmh"] > 1100
-    gap = built(spark, [txn("a", city="New York"), txn("b", city="Tokyo")])
-    km = brute.km_between("New York", "Tokyo")
-    assert gap["b"]["geo_speed_kmh"] == pytest.approx(km * 1e6)
+@pytest.mark.parametrize("seconds", [0.25, 90.0, 86_400.0])
+def test_speed_uses_the_fraction_of_a_second(spark, seconds):
+    rows = [txn("a", "holder", city="Denver"), txn("b", "holder", city="Boston", seconds=seconds)]
+    got = built(spark, rows)
+    km = brute.km_between("Denver", "Boston")
+    assert got["a"]["geo_speed_kmh"] == 0.0
+    assert got["b"]["geo_speed_kmh"] == pytest.approx(km / (seconds / 3600))
 
 
-def test_accounts_are_isolated(spark):
+def test_speed_without_time_or_distance(spark):
     rows = [
-        txn("a", "acct-1", category="5411", city="New York"),
-        txn("b", "acct-2", category="7995", city="Tokyo", seconds=1),
+        txn("a", "x", city="Miami"),
+        txn("b", "x", city="London"),
+        txn("c", "x", city="London", seconds=60),
+        txn("d", "y", city="Seattle", seconds=61),
+        txn("e", "x", city="Nowhere", seconds=62),
     ]
     got = built(spark, rows)
-    assert [got[k]["velocity_count"] for k in "ab"] == [0, 0]
-    assert got["b"]["geo_speed_kmh"] == 0.0
+    assert got["b"]["geo_speed_kmh"] == pytest.approx(brute.km_between("Miami", "London") * 1e6)
+    assert [got[k]["geo_speed_kmh"] for k in "acde"] == [0.0] * 4
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_times_do_not_depend_on_the_session(spark, zone):
+    """Midnight UTC, the hour that New York skips, and an instant before the epoch."""
+    us = [1_704_067_200_000_000, 1_710_055_800_250_000, -1_500_000]
+    df = spark.createDataFrame([(u,) for u in us], "us bigint").select(
+        "us", F.timestamp_micros("us").alias("t")
+    )
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = df.select(
+            rfc3339_text(F.col("t")).alias("text"),
+            hour_of_day(F.col("us")).alias("hour"),
+            weekday(F.col("us")).alias("day"),
+        ).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [tuple(r) for r in rows] == [
+        ("2024-01-01T00:00:00Z", 0, 0),
+        ("2024-03-10T07:30:00.25Z", 7, 6),
+        ("1969-12-31T23:59:58.5Z", 23, 2),
+    ]
 
 
 def test_whole_seconds_unlike_the_rule(spark):

@@ -9,6 +9,7 @@ from conftest import frame, txn
 
 import brute
 from riskweave.constants import RuleSettings
+from riskweave.operators.history import with_history
 from riskweave.operators.rules import RULES, score
 
 
@@ -24,92 +25,94 @@ ROUTES = [
 
 
 @pytest.mark.parametrize("route", ROUTES)
-class TestCases:
-    def check(self, spark, rows, expected, route):
-        got = fired(frame(spark, rows), **route)
-        assert got == expected
-
-    def test_quiet_account(self, spark, route):
-        self.check(spark, [txn(f"k{i}", seconds=i * 3600) for i in range(4)], {}, route)
-
-    def test_velocity(self, spark, route):
-        rows = [txn(f"k{i}", seconds=i * 10) for i in range(5)]
-        self.check(spark, rows, {"k4": "velocity: 5 transactions within 120s"}, route)
-
-    def test_spread(self, spark, route):
-        self.check(spark, [txn(f"k{i}", seconds=i * 3600) for i in range(5)], {}, route)
-
-    def test_drift(self, spark, route):
-        rows = [txn(f"k{i}", seconds=i * 86400) for i in range(5)]
-        rows.append(txn("k-drift", category="7995", seconds=5 * 86400))
-        text = "mcc_drift: first time this account has used category 7995"
-        self.check(spark, rows, {"k-drift": text}, route)
-
-    def test_short_history(self, spark, route):
-        rows = [txn("k0"), txn("k1", category="7995", seconds=3600)]
-        self.check(spark, rows, {}, route)
-
-    def test_two_rules_velocity_first(self, spark, route):
-        rows = [txn(f"k{i}", seconds=i * 10) for i in range(5)]
-        rows.append(txn("k-both", category="7995", seconds=45))
-        got = fired(frame(spark, rows), **route)
-        assert set(got) == {"k4", "k-both"}
-        first, second = got["k-both"].split("\n")
-        assert first.startswith("velocity:") and second.startswith("mcc_drift:")
-
-    def test_impossible_travel(self, spark, route):
-        rows = [txn("k0", city="Chicago"), txn("k1", city="Tokyo", seconds=240)]
-        got = fired(frame(spark, rows), **route)
-        assert list(got) == ["k1"]
-        assert got["k1"].startswith("geo_impossible: Chicago -> Tokyo implies traveling ")
-        assert got["k1"].endswith(" km/h")
-
-    def test_same_city(self, spark, route):
-        rows = [txn(f"k{i}", city="Chicago", seconds=i * 3600) for i in range(4)]
-        self.check(spark, rows, {}, route)
-
-    def test_only_the_row_before(self, spark, route):
-        rows = [
-            txn("k0", city="Chicago"),
-            txn("k1", city="Tokyo", seconds=86400),
-            txn("k2", city="Chicago", seconds=2 * 86400),
-        ]
-        self.check(spark, rows, {}, route)
-
-    def test_plausible_flight(self, spark, route):
-        rows = [txn("k0", city="New York"), txn("k1", city="Chicago", seconds=5 * 3600)]
-        self.check(spark, rows, {}, route)
-
-    def test_unknown_city(self, spark, route):
-        rows = [txn("k0", city="Atlantis"), txn("k1", city="Tokyo", seconds=1)]
-        self.check(spark, rows, {}, route)
-
-    def test_same_instant_travel(self, spark, route):
-        rows = [txn("k0", city="Chicago"), txn("k1", city="Tokyo")]
-        text = "geo_impossible: Chicago -> Tokyo implies traveling instantaneously"
-        self.check(spark, rows, {"k1": text}, route)
-
-    def test_window_edge_is_inclusive(self, spark, route):
-        def rows(first):
-            return [txn("k0", seconds=first)] + [
-                txn(f"k{i}", seconds=116 + i) for i in range(1, 5)
-            ]
-
-        text = "velocity: 5 transactions within 120s"
-        self.check(spark, rows(0.0), {"k4": text}, route)
-        self.check(spark, rows(-0.000001), {}, route)
-
-    def test_ties_do_not_see_later_peers(self, spark, route):
-        rows = [txn(f"k{i}") for i in range(6)]
-        expected = {
-            "k4": "velocity: 5 transactions within 120s",
-            "k5": "velocity: 6 transactions within 120s",
-        }
-        self.check(spark, rows, expected, route)
-
-    def test_subsecond_window(self, spark, route):
-        rows = [txn(f"a{i}") for i in range(4)] + [txn("b", seconds=120.9)]
-        self.check(spark, rows, {}, route)
+@pytest.mark.parametrize("threshold", [2, 3])
+@pytest.mark.parametrize("gap, fires", [(30.0, True), (30.000001, False)])
+def test_velocity_counts_a_closed_window(spark, route, threshold, gap, fires):
+    """``threshold`` rows whose first and last are ``gap`` apart, under a window of 30 s."""
+    rows = [txn(f"r{i}", "holder", seconds=100 + gap * i / (threshold - 1)) for i in range(threshold)]
+    settings = RuleSettings(window_seconds=30, velocity_threshold=threshold)
+    text = f"velocity: {threshold} transactions within 30s"
+    want = {f"r{threshold - 1}": text} if fires else {}
+    assert fired(frame(spark, rows), settings=settings, **route) == want
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_peers_of_an_instant_count_by_key(spark, route):
+    rows = [txn(key, "holder", seconds=7) for key in ("d", "b", "a", "c")]
+    got = fired(frame(spark, rows), settings=RuleSettings(velocity_threshold=3), **route)
+    assert got == {
+        "c": "velocity: 3 transactions within 120s",
+        "d": "velocity: 4 transactions within 120s",
+    }
+
+
+@pytest.mark.parametrize("route", ROUTES)
+@pytest.mark.parametrize("least", [1, 3])
+def test_a_new_category_needs_history(spark, route, least):
+    """Each row brings a category of its own, so exactly those past ``least`` rows fire."""
+    rows = [txn(f"r{i}", "holder", category=f"c{i}", seconds=i * 5000) for i in range(5)]
+    rows.append(txn("again", "holder", category="c0", seconds=90_000))
+    got = fired(frame(spark, rows), settings=RuleSettings(min_history=least), **route)
+    text = "mcc_drift: first time this account has used category c"
+    assert got == {f"r{i}": f"{text}{i}" for i in range(least, 5)}
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_travel_is_measured_from_the_row_before(spark, route):
+    """Out and back: the hop home is as fast as the hop out, a stop in an unknown city hides both."""
+    trip = [("Miami", 0), ("Seattle", 1800), ("Miami", 3600)]
+    rows = [txn(f"r{i}", "holder", city=c, seconds=s) for i, (c, s) in enumerate(trip)]
+    got = fired(frame(spark, rows), **route)
+    assert set(got) == {"r1", "r2"}
+    assert got["r1"].startswith("geo_impossible: Miami -> Seattle implies traveling ")
+    kmh = int(got["r2"].split()[-2])
+    assert kmh == round(brute.km_between("Seattle", "Miami") * 2)
+    hidden = [txn(f"h{i}", "other", city=c, seconds=s) for i, (c, s) in enumerate([trip[0], ("Nowhere", 900), trip[1]])]
+    assert fired(frame(spark, hidden), **route) == {}
+
+
+@pytest.mark.parametrize("route", ROUTES)
+@pytest.mark.parametrize("margin, fires", [(0.99, True), (1.01, False)])
+def test_speed_limit(spark, route, margin, fires):
+    """As long as the fastest allowed trip takes, times ``margin``."""
+    seconds = round(brute.km_between("Boston", "Denver") / RuleSettings().max_kmh * 3600 * margin)
+    rows = [txn("a", "holder", city="Boston"), txn("b", "holder", city="Denver", seconds=seconds)]
+    assert set(fired(frame(spark, rows), **route)) == ({"b"} if fires else set())
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_no_time_between_cities(spark, route):
+    """Less than a second apart counts as no time at all."""
+    rows = [txn("a", "holder", city="Austin"), txn("b", "holder", city="London", seconds=0.4)]
+    text = "geo_impossible: Austin -> London implies traveling instantaneously"
+    assert fired(frame(spark, rows), **route) == {"b": text}
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_reasons_keep_the_order_of_the_rules(spark, route):
+    rows = [txn(f"r{i}", "holder", category="x", city="Tokyo", seconds=i) for i in range(6)]
+    rows.append(txn("last", "holder", category="y", city="Boston", seconds=8))
+    got = fired(frame(spark, rows), **route)["last"].split("\n")
+    assert [r.split(":")[0] for r in got] == ["velocity", "mcc_drift", "geo_impossible"]
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_rows_without_an_account_are_one_account(spark, route):
+    rows = [txn(f"r{i}", None, seconds=i) for i in range(7)] + [txn(f"e{i}", "", seconds=i) for i in range(3)]
+    got = fired(frame(spark, rows), **route)
+    assert set(got) == {"r4", "r5", "r6"}
+    since = spark.createDataFrame([(None, int(txn(seconds=5)[5].timestamp()) * 1_000_000)], "account_id string, since_us bigint")
+    assert set(fired(frame(spark, rows), since=since, **route)) == {"r5", "r6"}
+
+
+def test_repeated_keys_give_the_same_rows_by_both_routes(spark):
+    rows = [txn(f"r{i}", "holder", category=str(i % 3), seconds=i) for i in range(8)] * 3
+    df = frame(spark, rows)
+    columns = ["idempotency_key", "position", "in_window", "first_use"]
+    light = with_history(df, 120).select(*columns)
+    heavy = with_history(df, 120, heavy_rows=0, chunk_rows=5).select(*columns)
+    assert sorted(light.collect()) == sorted(heavy.collect())
+    assert light.count() == 24
 
 
 def random_rows(n, seed, hot_share=1 / 3):
@@ -162,9 +165,10 @@ def test_a_fourth_rule_can_be_added(spark):
 
 
 def test_thresholds_are_arguments(spark):
-    rows = [txn(f"k{i}", seconds=i * 10) for i in range(3)]
-    got = fired(frame(spark, rows), settings=RuleSettings(60, velocity_threshold=2))
-    assert got["k1"] == "velocity: 2 transactions within 60s"
+    rows = [txn("a", "holder", city="Miami"), txn("b", "holder", city="Austin", seconds=7200)]
+    assert fired(frame(spark, rows)) == {}
+    assert set(fired(frame(spark, rows), settings=RuleSettings(max_kmh=100.0))) == {"b"}
+    assert fired(frame(spark, rows), settings=RuleSettings(max_kmh=100.0, min_km=9000.0)) == {}
 
 
 @pytest.mark.parametrize("burst", [15, 20])
