@@ -82,11 +82,12 @@ class RuleSettings:
 
 
 # An account with more rows than this is not given to a single window task but
-# is cut into range-sorted chunks (operators/history.py). It also bounds the
-# quadratic worst case of a sliding RANGE frame.
+# is cut into range-sorted chunks (operators/history.py).
 HEAVY_ACCOUNT_ROWS = 100_000
 # Rows aimed at per chunk when a heavy group is cut.
 CHUNK_ROWS = 1_000_000
+# Most labelled rows that the classifier is fitted on; every boosting pass reads them.
+MAX_TRAINING_ROWS = 5_000_000
 # Smaller chunks, no less than this, keep all cores busy on a smaller group.
 SMALL_CHUNK_ROWS = 50_000
 # Most chunks of one range shuffle; beyond it chunks get larger.

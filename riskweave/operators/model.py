@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from riskweave.constants import (
     DECISION_THRESHOLD,
     FEATURE_COLUMNS,
+    MAX_TRAINING_ROWS,
     MIN_TRAINING_ROWS,
     MODEL_DEPTH,
     MODEL_SEED,
@@ -107,6 +108,15 @@ def held_out_metrics(predictions: DataFrame) -> DataFrame:
     )
 
 
+def bounded_sample(rows: DataFrame, n: int, most: int) -> DataFrame:
+    """About ``most`` of ``n`` rows, chosen by a hash of the key; all if there are no more."""
+    if n <= most:
+        return rows
+    slots = 1 << 30
+    place = F.pmod(F.xxhash64("idempotency_key"), F.lit(slots))
+    return rows.filter(place < int(slots * most / n))
+
+
 def train_and_evaluate(
     txns: DataFrame,
     *,
@@ -114,21 +124,31 @@ def train_and_evaluate(
     fraction: float = TRAIN_FRACTION,
     trees: int = MODEL_TREES,
     seed: int = MODEL_SEED,
+    min_rows: int = MIN_TRAINING_ROWS,
+    max_rows: int = MAX_TRAINING_ROWS,
 ) -> Trained:
     """Features, chronological split, fit and held-out metrics.
 
-    ``txns`` carries ``label`` and ``rule_flag_count``. The split needs only label,
-    time and key, so it is found before the feature windows run; the features are
-    then written once to the shared folder and read by every boosting pass.
+    ``txns`` carries ``label`` and ``rule_flag_count``. Too few rows or a single label are
+    an error before anything is trained. The split needs only label, time and key, so it is
+    found before the feature windows run; the features are then written once to the shared
+    folder. Boosting passes over its rows hundreds of times, so the trees are fitted on
+    ``max_rows`` of the training rows at most; metrics cover all held-out rows.
     """
+    gate = training_gate(txns, min_rows).first()
+    if not gate["ready"]:
+        raise ValueError(
+            f"not enough to train on: {gate['n_rows']} rows, {gate['n_labels']} labels"
+        )
     boundaries = split_boundaries(txns, fraction)
     frame = materialize(
         apply_split(build_features(txns, settings=settings), boundaries), "features"
     )
-    model = train(frame.filter(F.col("split") == "train"), trees=trees, seed=seed)
+    in_train = frame.filter(F.col("split") == "train")
+    size = in_train.count()
+    model = train(bounded_sample(in_train, size, max_rows), trees=trees, seed=seed)
     held_out = predict(model, frame.filter(F.col("split") == "test"))
-    sizes = frame.filter(F.col("split") == "train").count()
-    metrics = held_out_metrics(held_out).select(F.lit(sizes).cast("bigint").alias("train_size"), "*")
+    metrics = held_out_metrics(held_out).select(F.lit(size).cast("bigint").alias("train_size"), "*")
     return Trained(model, metrics)
 
 

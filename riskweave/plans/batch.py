@@ -1,4 +1,4 @@
-"""Whole flows composed from the operators, lazily, as one plan each."""
+"""Whole flows composed from the operators."""
 
 from __future__ import annotations
 
@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 
 from riskweave.constants import RuleSettings
 from riskweave.operators.dedupe import dedupe_against_store, dedupe_feed
-from riskweave.operators.flags import upsert_flags
+from riskweave.operators.features import with_label
+from riskweave.operators.flags import upsert_flags, with_rule_flag_count
+from riskweave.operators.model import Trained, load_model, save_model, score_pending, train_and_evaluate
 from riskweave.operators.normalize import union_feeds
 from riskweave.operators.rules import score
 from riskweave.operators.validate import accepted, rejected, validate
@@ -36,3 +38,17 @@ def rescore(
 ) -> DataFrame:
     """The flag table after scoring every stored transaction."""
     return upsert_flags(current, score(txns, settings), as_of)
+
+
+def train_and_rescore(
+    txns: DataFrame, flags: DataFrame, path: str, *, settings: RuleSettings | None = None, **training
+) -> tuple[Trained, DataFrame]:
+    """The classifier from gate to flags: train on all transactions, save, score what is unscored.
+
+    Fails before training if there are too few rows or only one label. The flags are scored
+    with the model as it was stored under ``path``.
+    """
+    labelled = with_rule_flag_count(with_label(txns), flags)
+    trained = train_and_evaluate(labelled, settings=settings, **training)
+    save_model(trained.model, path)
+    return trained, score_pending(flags, txns, load_model(path), settings=settings)

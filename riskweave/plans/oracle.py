@@ -376,7 +376,7 @@ ORACLE: dict[str, str] = {
     "training_ready": f"""with {BASE} select count(*) as n_rows, count(distinct bank) as n_labels,
         count(*) >= 200 and count(distinct bank) >= 2 as ready from t""",
     "held_out_ratios": f"""with {BASE}, p as (select bank = 'attack-sim' as attack, {_SCORE} as s from t),
-        q as (select * from p where s is not null),
+        q as (select attack, coalesce(s, 0.0) as s from p),
         pos as (select s, count(*) as n from q where attack group by s),
         neg as (select s, count(*) as n from q where not attack group by s),
         wins as (select sum(case when pos.s > neg.s then 1.0::double when pos.s = neg.s then 0.5
@@ -389,6 +389,24 @@ ORACLE: dict[str, str] = {
           round(any_value(w) / (count(*) filter (where attack)
             * count(*) filter (where not attack))::double, 6) as auc
         from q, wins""",
+    "ml_metrics": f"""with {BASE}, l as (select *, bank = 'attack-sim' as label from t), s as ({_split('l')})
+        select count(*) filter (where split = 'train') as train_size,
+          count(*) filter (where split = 'test') as test_size,
+          count(*) filter (where split = 'test' and bank = 'attack-sim') as test_attack_count,
+          true as precision_in_range, true as recall_in_range, true as auc_in_range
+        from s join t using (idempotency_key)""",
+    "ml_score": f"{FLAGS} select idempotency_key, true as score_in_range from f",
+    "stream_score_pending": f"{DAY_RULES} select idempotency_key, true as score_in_range from r",
+    "score_rules_null_accounts": f"""with {BASE},
+        z as (select * replace (case when event_id % 3 = 0 then '(none)' else account_id end as account_id)
+          from t), {_scored('z', _DAY_S)}
+        select idempotency_key, reasons, 3::bigint as n from r""",
+    "account_history_repeated_keys": f"""with {BASE},{_history('t', _DAY_S * 1_000_000)},
+        x as (select * from h, (values (0), (1)) v(late))
+        select idempotency_key, 2 * position - 1 + late as position, 2 * in_window - 1 + late as in_window,
+          first_use, 2::bigint as n from x""",
+    "history_loaded_in_parts": f"with {BASE} select {FLAT} from t",
+    "stream_ingest_replayed": f"with {BASE} select {FLAT} from t where amount_cents <> 0",
     "stream_ingest": f"with {BASE} select {FLAT} from t where amount_cents <> 0",
     "stream_score": f"{DAY_RULES} select idempotency_key, reasons, 'pending' as status from r",
     "stream_rules_stateful": f"{DAY_RULES} select idempotency_key, account_id, reasons from r",

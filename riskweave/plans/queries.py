@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.constants import DECISION_THRESHOLD, RuleSettings
@@ -92,7 +94,12 @@ from riskweave.sources.tables import (
     verify_transactions,
     write_transactions,
 )
-from riskweave.streaming.ingest import drop_recent_duplicates, ingest_stream, read_message_files
+from riskweave.streaming.ingest import (
+    drop_recent_duplicates,
+    ingest_batch,
+    ingest_stream,
+    read_message_files,
+)
 from riskweave.streaming.score import (
     dashboard_snapshot,
     read_flag_feed,
@@ -733,7 +740,43 @@ def pending_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ml_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return train_and_evaluate(_labelled(spark, sf_dir), settings=inputs.DAY).metrics
+    """Sizes of the split, and whether the held-out ratios are ratios.
+
+    Trees differ between libraries, so the ratios themselves have no other source.
+    """
+    metrics = train_and_evaluate(_labelled(spark, sf_dir), settings=inputs.DAY).metrics
+    ratios = [F.col(c).between(0.0, 1.0).alias(f"{c}_in_range") for c in ("precision", "recall", "auc")]
+    return metrics.select("train_size", "test_size", "test_attack_count", *ratios)
+
+
+@query
+def score_rules_null_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the rows has no account: judged by both routes and since a time alike.
+
+    ``n`` counts the routes that raise a flag with these reasons.
+    """
+    txns = event_transactions(spark, sf_dir)
+    number = F.split_part("idempotency_key", F.lit(":"), F.lit(2)).cast("bigint")
+    txns = txns.withColumn("account_id", F.when(number % 3 != 0, F.col("account_id")))
+    first = F.min(F.unix_micros("occurred_at")).alias("since_us")
+    routes = (
+        score(txns, inputs.DAY),
+        score(txns, inputs.DAY, heavy_rows=100, chunk_rows=500),
+        score(txns, inputs.DAY, since=txns.groupBy("account_id").agg(first)),
+    )
+    flags = reduce(DataFrame.unionByName, [r.select("idempotency_key", "reasons") for r in routes])
+    return flags.groupBy("idempotency_key", "reasons").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def account_history_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row twice under one key: both routes must give the same rows."""
+    once = event_transactions(spark, sf_dir)
+    twice = once.unionByName(once)
+    columns = ["idempotency_key", "position", "in_window", "first_use"]
+    light = with_history(twice, inputs.DAY.window_seconds).select(*columns)
+    heavy = with_history(twice, inputs.DAY.window_seconds, heavy_rows=100, chunk_rows=700).select(*columns)
+    return light.unionByName(heavy).groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -742,45 +785,36 @@ def held_out_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     score_of = inputs.fixed_score(F.col("idempotency_key"))
     rows = (
         with_label(event_transactions(spark, sf_dir))
-        .select("idempotency_key", "label", score_of.alias("ml_score"))
-        .filter(F.col("ml_score").isNotNull())
+        .select("idempotency_key", "label", F.coalesce(score_of, F.lit(0.0)).alias("ml_score"))
         .withColumn("predicted", (F.col("ml_score") >= DECISION_THRESHOLD).cast("int"))
     )
     ratios = ("precision", "recall", "auc")
     return held_out_metrics(rows).withColumns({c: F.round(c, 6) for c in ratios})
 
 
-# The scoring queries exercise storing and applying a model, not its quality.
-FEW_TREES = 10
-
-
-def _small_model(spark: SparkSession, sf_dir: str):
+def _stored_model(spark: SparkSession, sf_dir: str):
     built = materialize(build_features(_labelled(spark, sf_dir), settings=inputs.DAY), "features")
     path = scratch_path(spark, "model")
-    save_model(train(built, trees=FEW_TREES), path)
+    save_model(train(built), path)
     return load_model(path)
 
 
+def _score_in_range() -> Column:
+    return F.coalesce(F.col("ml_score").between(0.0, 1.0), F.lit(False)).alias("score_in_range")
+
+
 @query
 def ml_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A model saved, loaded and applied to the flags without a score."""
-    model = _small_model(spark, sf_dir)
+    model = _stored_model(spark, sf_dir)
     flags = inputs.flag_table(spark, sf_dir)
-    return score_pending(
-        flags, event_transactions(spark, sf_dir), model, settings=inputs.DAY
-    ).select("idempotency_key", "ml_score")
+    scored = score_pending(flags, event_transactions(spark, sf_dir), model, settings=inputs.DAY)
+    return scored.select("idempotency_key", _score_in_range())
 
 
 # --- streams ------------------------------------------------------------------------------------
 
 
-PERIODS = (
-    ("2024-01-01 00:00:00", "2024-01-11 00:00:00"),
-    ("2024-01-11 00:00:00", "2024-01-21 00:00:00"),
-    ("2024-01-21 00:00:00", "2024-02-01 00:00:00"),
-)
-
-
 def _clock(batch_id: int) -> datetime:
     return datetime(2024, 2, 1, tzinfo=timezone.utc) + timedelta(minutes=batch_id)
 
@@ -790,54 +824,105 @@ def _drain(writer) -> None:
     running.awaitTermination()
 
 
+DELIVERIES = 3
+
+
+def _periods(txns: DataFrame) -> list[Column]:
+    """Conditions that cut the rows into periods of equal length, from their first time to the last."""
+    us = F.unix_micros("occurred_at")
+    least, most = txns.agg(F.min(us), F.max(us)).first()
+    if least is None:
+        return [F.lit(True)]
+    step = (most - least) // DELIVERIES + 1
+    return [
+        (us >= least + k * step) & (us < least + (k + 1) * step) for k in range(DELIVERIES)
+    ]
+
+
+def _thirds(stored: DataFrame) -> int:
+    """How many files make a third of a stored table: one micro-batch of three."""
+    return max(1, math.ceil(len(stored.inputFiles()) / DELIVERIES))
+
+
 def _land_messages(spark: SparkSession, sf_dir: str) -> str:
     """Envelopes of all events in three deliveries, each delivery followed by a copy."""
     path = scratch_path(spark, "messages")
     txns = event_transactions(spark, sf_dir)
-    for start, end in PERIODS:
-        part = txns.filter(
-            (F.col("occurred_at") >= instant(start)) & (F.col("occurred_at") < instant(end))
-        )
-        messages = to_envelope(part).persist()
+    for period in _periods(txns):
+        messages = to_envelope(txns.filter(period)).persist()
         messages.write.mode("append").json(path)
         messages.write.mode("append").json(path)
         messages.unpersist()
     return path
 
 
+def _landed_store(spark: SparkSession, sf_dir: str) -> Store:
+    """All events as history, loaded in three parts."""
+    store = Store(scratch_path(spark, "store"), BUCKETS)
+    txns = event_transactions(spark, sf_dir)
+    for period in _periods(txns):
+        load_history(txns.filter(period), store)
+    return store
+
+
+@query
+def history_loaded_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat(read_transactions(spark, _landed_store(spark, sf_dir).transactions))
+
+
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every message twice through the ingest stream; each is stored once."""
+    """Every message twice through the ingest stream, in several batches; each is stored once."""
     path = _land_messages(spark, sf_dir)
     store = Store(scratch_path(spark, "store"), BUCKETS)
-    _drain(ingest_stream(read_message_files(spark, path), store, _clock))
+    some = _thirds(spark.read.text(path))
+    _drain(ingest_stream(read_message_files(spark, path, some), store, _clock))
     return _flat(read_transactions(spark, store.transactions))
 
 
 @query
-def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The scoring stream over the stored table, then the flag table it leaves."""
+def stream_ingest_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches with failing deliveries, each replayed with a later clock and another failure.
+
+    A third of the deliveries fails in the first attempt, others in the replay. What the
+    first attempt decided must hold, and the retries store the rest.
+    """
     store = Store(scratch_path(spark, "store"), BUCKETS)
-    load_history(event_transactions(spark, sf_dir), store)
-    _drain(
-        score_stream(
-            read_transaction_files(spark, store.transactions), store, _clock, inputs.DAY
-        )
-    )
+    txns = event_transactions(spark, sf_dir)
+    batches = [to_envelope(txns.filter(p)) for p in _periods(txns)]
+    none = batches[0].limit(0)
+
+    def failing(third: int):
+        place = F.pmod(F.xxhash64("message_id"), F.lit(3))
+        return lambda: F.when((place == third) & (F.col("retry_count") == 0), F.lit("busy"))
+
+    for k, batch in enumerate([*batches, none]):
+        ingest_batch(batch, k, store, _clock(k), failing(0))
+        ingest_batch(batch, k, store, _clock(k) + timedelta(hours=1), failing(1))
+    return _flat(read_transactions(spark, store.transactions))
+
+
+@query
+def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scoring stream over the stored table in three batches, then the flag table it leaves."""
+    store = _landed_store(spark, sf_dir)
+    some = _thirds(spark.read.parquet(store.transactions))
+    source = read_transaction_files(spark, store.transactions, some)
+    _drain(score_stream(source, store, _clock, inputs.DAY))
     return current_flags(spark, store).select("idempotency_key", "reasons", "status")
 
 
 @query
 def stream_score_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The classifier stream over the change feed of the scoring stream."""
-    model = _small_model(spark, sf_dir)
+    model = _stored_model(spark, sf_dir)
     store = Store(scratch_path(spark, "store"), BUCKETS)
     load_history(event_transactions(spark, sf_dir), store)
     source = read_transaction_files(spark, store.transactions)
     _drain(score_stream(source, store, _clock, inputs.DAY))
     feed = read_flag_feed(spark, store.flags)
     _drain(score_pending_stream(feed, store, model, inputs.DAY))
-    return read_scores(spark, store)
+    return read_scores(spark, store).select("idempotency_key", _score_in_range())
 
 
 @query

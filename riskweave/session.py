@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -20,6 +21,7 @@ def build_session(app: str = "riskweave", cores: str | int = "*", **conf: str) -
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("RISKWEAVE_DRIVER_MEMORY", "8g"))
     )
     for key, value in conf.items():
@@ -36,11 +38,11 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder shared by all executors, as configured for the session.
+    """The folder shared by all executors: ``spark.checkpoint.dir`` of the session.
 
-    A folder of our own is made only for a local master; on a cluster a missing
-    setting is an error, because a machine-local path would not survive the loss
-    of an executor.
+    Without the setting a session inside one process, as in tests, gets a folder of its
+    own, which goes when the process ends. On a cluster the missing setting is an error,
+    because a machine-local path would not survive the loss of an executor.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -48,16 +50,54 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="riskweave-")
+        _file_system(spark, configured)[0].deleteOnExit(_file_system(spark, configured)[1])
     context.setCheckpointDir(configured)
     return context.getCheckpointDir()
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path in its terms."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds, wherever it is stored."""
+    system, hadoop = _file_system(spark, path)
+    system.delete(hadoop, True)
+
+
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path in the shared folder."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path in the shared folder.
+
+    It is deleted when the session's process ends, or with the ``scratch_scope`` it was
+    made in.
+    """
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    system, hadoop = _file_system(spark, path)
+    system.deleteOnExit(hadoop)
+    for scope in _SCOPES[-1:]:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes the scratch paths made inside, at its end; what is read from them must be done."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        for path in made:
+            delete_folder(spark, path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -82,15 +122,17 @@ def use_rocksdb_state(spark: SparkSession) -> SparkSession:
 
 
 @contextmanager
-def state_partitions(spark: SparkSession) -> Iterator[None]:
-    """No more state partitions than cores for a stateful query started inside.
+def state_partitions(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """``partitions`` state partitions for a stateful query started inside.
 
-    Their number is fixed at the first start of a query and cannot be coalesced at
-    run time, and every one has its own store.
+    Their number is fixed at the first start of a query, whatever the cluster grows to, so
+    it is the caller's choice; the default leaves the session's setting. It cannot be
+    coalesced at run time, and every partition has its own store.
     """
     name = "spark.sql.shuffle.partitions"
     before = spark.conf.get(name)
-    spark.conf.set(name, str(min(int(before), spark.sparkContext.defaultParallelism)))
+    if partitions is not None:
+        spark.conf.set(name, str(partitions))
     try:
         yield
     finally:

@@ -17,7 +17,7 @@ from riskweave.operators.dedupe import dedupe_against_store
 from riskweave.operators.flags import FLAG_COLUMNS
 from riskweave.operators.validate import add_missing_columns, require_columns
 from riskweave.schemas import FLAG, QUARANTINE, TXN
-from riskweave.session import checkpoint_dir
+from riskweave.session import _file_system, checkpoint_dir
 
 ACCOUNT_BUCKET = "account_bucket"
 KEY_BUCKET = "key_bucket"
@@ -29,9 +29,22 @@ def bucket_of(value: Column, buckets: int) -> Column:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hadoop))
+    system, hadoop = _file_system(spark, path)
+    return bool(system.exists(hadoop))
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; none if it does not exist."""
+    if not _exists(spark, path):
+        return []
+    system, hadoop = _file_system(spark, path)
+    return [status.getPath().getName() for status in system.listStatus(hadoop)]
+
+
+def batch_ids(spark: SparkSession, path: str) -> list[int]:
+    """The micro-batches that have a folder in a table."""
+    names = [n.removeprefix("batch_id=") for n in _names(spark, path) if n.startswith("batch_id=")]
+    return sorted(int(n) for n in names)
 
 
 def _with_field(schema: T.StructType, name: str) -> T.StructType:
@@ -206,9 +219,8 @@ def read_keys(
 def read_batches(
     spark: SparkSession, path: str, schema: T.StructType = QUARANTINE, batch_id: int | None = None
 ) -> DataFrame:
-    """All micro-batches of a table, or one."""
-    full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    df = read_table(spark, path, full)
+    """All micro-batches of a table, or one; for one only its own folder is listed."""
     if batch_id is not None:
-        df = df.filter(F.col("batch_id") == batch_id)
-    return df.select(*schema.fieldNames())
+        return read_table(spark, f"{path}/batch_id={batch_id}", schema)
+    full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    return read_table(spark, path, full).select(*schema.fieldNames())

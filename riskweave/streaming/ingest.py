@@ -21,6 +21,7 @@ from riskweave.operators.validate import (
 )
 from riskweave.schemas import ENVELOPE, TXN
 from riskweave.sources.envelopes import parse_envelope, unparseable
+from riskweave.session import delete_folder
 from riskweave.sources.tables import (
     read_batches,
     read_keys,
@@ -29,7 +30,7 @@ from riskweave.sources.tables import (
     write_key_batch,
     write_transaction_batch,
 )
-from riskweave.streaming.store import RETRY, TALLY, Store
+from riskweave.streaming.store import RETRY, TALLY, Store, require_own_batches
 
 Clock = Callable[[int], datetime]
 Handler = Callable[[], Column]
@@ -88,53 +89,57 @@ def ingest_batch(
 
     ``handler`` gives the error of a delivery that may succeed later, or NULL.
     Duplicates are looked up in the key buckets the batch falls into, among keys of
-    other batches. Every table keeps the rows of a batch in a folder of its own, so a
-    replay, from whatever point, ends in the same tables.
+    other batches. Every table keeps the rows of a batch in a folder of its own, and the
+    due retries and the outcome of each delivery are fixed by the first attempt, so a
+    replay, from whatever point and with whatever clock, ends in the same tables.
     """
     spark = batch.sparkSession
     now = F.lit(as_of).cast("timestamp")
+    # A replay may have a later clock or another outcome of its deliveries. What the first
+    # attempt took and decided is therefore written down before anything is done with it.
     waiting = read_batches(spark, store.retries, RETRY, batch_id - 1)
-    due = waiting.filter(F.col("available_at") <= now)
-    messages = batch.select(*MESSAGE_COLUMNS).unionByName(due.select(*MESSAGE_COLUMNS))
-    checked = validate(parse_envelope(messages, now))
+    marked = waiting.withColumn("due", F.col("available_at") <= now)
+    write_batch(marked, store.waiting, batch_id, once=True)
+    marked = read_batches(spark, store.waiting, marked.schema, batch_id)
+    due = marked.filter("due").select(*MESSAGE_COLUMNS)
+    checked = validate(parse_envelope(batch.select(*MESSAGE_COLUMNS).unionByName(due), now))
     failure = F.lit(None).cast("string") if handler is None else handler()
-    checked = checked.withColumn(
-        "failure", F.when(F.col("error").isNull(), failure)
-    ).persist()
-    try:
-        broken = F.coalesce(F.col("error").startswith(UNMARSHAL_PREFIX), F.lit(False))
-        failed = (
-            checked.filter(F.col("failure").isNotNull())
-            .select(*MESSAGE_COLUMNS, F.col("failure").alias("error"))
-        )
-        routed = route_failures(failed, as_of=now)
-        quarantined = (
-            unparseable(checked)
-            .unionByName(rejected(checked.filter(~broken), F.col("body")))
-            .unionByName(dead_letters(routed))
-        )
-        write_batch(quarantined, store.quarantine, batch_id)
-        still_waiting = waiting.filter(F.col("available_at") > now)
-        write_batch(
-            retries(routed).select(*RETRY.fieldNames()).unionByName(still_waiting),
-            store.retries,
-            batch_id,
-        )
-        good = dedupe_first(
-            accepted(checked.filter(F.col("failure").isNull())), "occurred_at", "body"
-        ).select(*TXN.fieldNames())
-        buckets = touched_buckets(good, "idempotency_key", store.buckets)
-        known = read_keys(spark, store.keys, buckets, batch_id)
-        new = not_in_store(good, known).persist()
-        tally = outcome_counts(checked, broken, new.count()).unionByName(
-            routed.groupBy(F.col("route").alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
-        )
-        write_batch(tally.select(*TALLY.fieldNames()), store.tally, batch_id)
-        write_transaction_batch(new, store.transactions, batch_id, store.buckets)
-        write_key_batch(new, store.keys, batch_id, store.buckets)
-        new.unpersist()
-    finally:
-        checked.unpersist()
+    checked = checked.withColumn("failure", F.when(F.col("error").isNull(), failure))
+    write_batch(checked, store.staged, batch_id, once=True)
+    checked = read_batches(spark, store.staged, checked.schema, batch_id)
+
+    broken = F.coalesce(F.col("error").startswith(UNMARSHAL_PREFIX), F.lit(False))
+    failed = checked.filter(F.col("failure").isNotNull()).select(
+        *MESSAGE_COLUMNS, F.col("failure").alias("error")
+    )
+    routed = route_failures(failed, as_of=now)
+    quarantined = (
+        unparseable(checked)
+        .unionByName(rejected(checked.filter(~broken), F.col("body")))
+        .unionByName(dead_letters(routed))
+    )
+    write_batch(quarantined, store.quarantine, batch_id)
+    still_waiting = marked.filter("not due").drop("due")
+    write_batch(
+        retries(routed).select(*RETRY.fieldNames()).unionByName(still_waiting),
+        store.retries,
+        batch_id,
+    )
+    good = dedupe_first(
+        accepted(checked.filter(F.col("failure").isNull())), "occurred_at", "body"
+    ).select(*TXN.fieldNames())
+    buckets = touched_buckets(good, "idempotency_key", store.buckets)
+    known = read_keys(spark, store.keys, buckets, batch_id)
+    write_transaction_batch(not_in_store(good, known), store.transactions, batch_id, store.buckets)
+    new = read_batches(spark, store.transactions, TXN, batch_id)
+    tally = outcome_counts(checked, broken, new.count()).unionByName(
+        routed.groupBy(F.col("route").alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+    )
+    write_batch(tally.select(*TALLY.fieldNames()), store.tally, batch_id)
+    write_key_batch(new, store.keys, batch_id, store.buckets)
+    # The batch before is committed, so it cannot come again.
+    for path in (store.staged, store.waiting):
+        delete_folder(spark, f"{path}/batch_id={batch_id - 1}")
 
 
 def outcome_counts(checked: DataFrame, broken: Column, accepted_rows: int) -> DataFrame:
@@ -160,6 +165,7 @@ def ingest_stream(
     messages: DataFrame, store: Store, clock: Clock, handler: Handler | None = None
 ) -> DataStreamWriter:
     """The stream, not yet started; the caller sets the trigger."""
+    require_own_batches(messages.sparkSession, store.keys, store.progress("ingest"))
     return messages.writeStream.foreachBatch(
         lambda batch, batch_id: ingest_batch(batch, batch_id, store, clock(batch_id), handler)
     ).option("checkpointLocation", store.progress("ingest"))

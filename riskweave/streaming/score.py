@@ -20,7 +20,7 @@ from riskweave.operators.model import score_pending
 from riskweave.operators.rules import score
 from riskweave.operators.skew import semi_join
 from riskweave.schemas import RULE_INPUT, TXN
-from riskweave.session import checkpoint_dir
+from riskweave.session import checkpoint_dir, scratch_scope
 from riskweave.sources.tables import (
     KEY_BUCKET,
     bucket_of,
@@ -29,7 +29,7 @@ from riskweave.sources.tables import (
     write_batch,
 )
 from riskweave.streaming.ingest import Clock
-from riskweave.streaming.store import FLAG_LOG, Store, stored_flags
+from riskweave.streaming.store import FLAG_LOG, Store, require_own_batches, stored_flags
 
 
 def read_transaction_files(
@@ -93,9 +93,13 @@ def score_batch(
 def score_stream(
     txns: DataFrame, store: Store, clock: Clock, settings: RuleSettings | None = None
 ) -> DataStreamWriter:
-    return txns.writeStream.foreachBatch(
-        lambda batch, batch_id: score_batch(batch, batch_id, store, clock(batch_id), settings)
-    ).option("checkpointLocation", store.progress("score"))
+    require_own_batches(txns.sparkSession, store.flags, store.progress("score"))
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        with scratch_scope(batch.sparkSession):
+            score_batch(batch, batch_id, store, clock(batch_id), settings)
+
+    return txns.writeStream.foreachBatch(run).option("checkpointLocation", store.progress("score"))
 
 
 def score_pending_batch(
@@ -133,9 +137,13 @@ def read_flag_feed(spark: SparkSession, path: str) -> DataFrame:
 def score_pending_stream(
     feed: DataFrame, store: Store, model: PipelineModel, settings: RuleSettings | None = None
 ) -> DataStreamWriter:
-    return feed.writeStream.foreachBatch(
-        lambda batch, batch_id: score_pending_batch(batch, batch_id, store, model, settings)
-    ).option("checkpointLocation", store.progress("classify"))
+    require_own_batches(feed.sparkSession, store.scores, store.progress("classify"))
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        with scratch_scope(batch.sparkSession):
+            score_pending_batch(batch, batch_id, store, model, settings)
+
+    return feed.writeStream.foreachBatch(run).option("checkpointLocation", store.progress("classify"))
 
 
 def dashboard_snapshot(

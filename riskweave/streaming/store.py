@@ -23,6 +23,8 @@ from riskweave.schemas import DECISION, FLAG
 from riskweave.sources.tables import (
     DEFAULT_BUCKETS,
     KEY_BUCKET,
+    _exists,
+    batch_ids,
     read_batches,
     read_table,
     write_key_batch,
@@ -54,7 +56,7 @@ SCORE = T.StructType(
     [T.StructField("idempotency_key", T.StringType()), T.StructField("ml_score", T.DoubleType())]
 )
 
-# Streams number their micro-batches from 0.
+# Streams number their micro-batches from 0; loads of history take -1, -2 and so on.
 HISTORY_BATCH = -1
 
 
@@ -98,14 +100,43 @@ class Store:
     def decisions(self) -> str:
         return self._at("decisions")
 
+    @property
+    def staged(self) -> str:
+        """What a micro-batch of messages was decided to be, for its replays."""
+        return self._at("staged")
+
+    @property
+    def waiting(self) -> str:
+        """The retries a micro-batch found, and which of them it took."""
+        return self._at("waiting")
+
     def progress(self, name: str) -> str:
         return self._at(f"progress/{name}")
 
 
-def load_history(txns: DataFrame, store: Store) -> None:
-    """Put existing transactions, unique by key, into an empty store before it streams."""
-    write_transaction_batch(txns, store.transactions, HISTORY_BATCH, store.buckets)
-    write_key_batch(txns, store.keys, HISTORY_BATCH, store.buckets)
+def load_history(txns: DataFrame, store: Store) -> int:
+    """Add existing transactions, unique by key, to a store; returns their batch number.
+
+    Every load takes a new number below 0, so loads in parts add up. Keys that the store
+    already holds are the caller's to drop. A load that broke off before its keys were
+    complete is written again under the same number.
+    """
+    spark = txns.sparkSession
+    done = [b for b in batch_ids(spark, store.keys) if _exists(spark, f"{store.keys}/batch_id={b}/_SUCCESS")]
+    batch = min([HISTORY_BATCH + 1, *done]) - 1
+    write_transaction_batch(txns, store.transactions, batch, store.buckets)
+    write_key_batch(txns, store.keys, batch, store.buckets)
+    return batch
+
+
+def require_own_batches(spark: SparkSession, path: str, progress: str) -> None:
+    """Fail if a table holds micro-batches of a stream whose progress is not there.
+
+    A stream that starts anew numbers its batches from 0 again, and would take those of
+    the stream before for its own and skip them.
+    """
+    if not _exists(spark, f"{progress}/metadata") and any(b >= 0 for b in batch_ids(spark, path)):
+        raise RuntimeError(f"{path} holds micro-batches of another stream; use a new store")
 
 
 def read_scores(spark: SparkSession, store: Store) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from riskweave.operators.features import build_features
 from riskweave.operators.model import (
+    bounded_sample,
     held_out_metrics,
     load_model,
     predict,
@@ -21,6 +22,7 @@ from riskweave.operators.model import (
     training_gate,
 )
 from riskweave.operators.split import chronological_split
+from riskweave.plans.batch import train_and_rescore
 from riskweave.schemas import FLAG
 
 SCHEMA = (
@@ -123,6 +125,35 @@ def test_train_and_evaluate(spark, tmp_path):
     assert kept[0] == kept[1]
 
 
+def test_the_gate_stands_before_training(spark):
+    for few in (synthetic(spark, 300, 0), synthetic(spark, 60, 60)):
+        with pytest.raises(ValueError, match="not enough to train on"):
+            train_and_evaluate(few, trees=1)
+
+
+def test_fitting_is_bounded_and_counts_are_not(spark):
+    df = synthetic(spark)
+    kept = bounded_sample(df, 360, 100).count()
+    assert 70 < kept < 130 and bounded_sample(df, 360, 360) is df
+    row = train_and_evaluate(df, trees=2, max_rows=150).metrics.first()
+    assert (row["train_size"], row["test_size"]) == (288, 72)
+
+
+def test_train_save_and_score(spark, tmp_path):
+    df = synthetic(spark)
+    txns = df.select(
+        "idempotency_key", "account_id", "amount_cents", "merchant_category", "city", "occurred_at",
+        F.when(F.col("label") == 1, F.lit("attack-sim")).otherwise(F.lit("b")).alias("bank"),
+    )
+    flags = spark.createDataFrame(
+        [(k, a, 1, "c", "r", at(0), "pending", None, at(0), at(0)) for k, a in (("attack-3", "acct-attack"), ("legit-5", "acct-5"))],
+        FLAG,
+    )
+    trained, scored = train_and_rescore(txns, flags, str(tmp_path / "m"), trees=5)
+    assert trained.metrics.first()["test_size"] == 72
+    assert all(0 <= r["ml_score"] <= 1 for r in scored.collect())
+
+
 def test_metrics_when_undefined(spark):
     df = spark.createDataFrame(
         [(0.0, 0.1, 0), (0.0, 0.2, 0)], "label double, ml_score double, predicted int"

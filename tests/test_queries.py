@@ -8,6 +8,8 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry_module
+from riskweave.plans.oracle import ORACLE
+from riskweave.plans.queries import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 TYPES = {
@@ -34,7 +36,7 @@ def canonical(rows):
     return sorted(cells, key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, con, name):
     df = entry_module.queries()[name](spark, SF_SMALL)
     columns = sorted(df.columns)
@@ -47,20 +49,10 @@ def test_query_equals_sql(spark, con, name):
     assert canonical(df.select(*columns).collect()) == expected
 
 
-@pytest.mark.parametrize("name", ["ml_score", "stream_score_pending"])
-def test_model_queries_score_every_flag(spark, con, name):
-    df = entry_module.queries()[name](spark, SF_SMALL)
-    flagged = entry_module.queries()["flag_rows"](spark, SF_SMALL).count()
-    rows = df.collect()
-    assert len(rows) == flagged
-    assert all(0.0 <= r["ml_score"] <= 1.0 for r in rows)
-
-
 def test_entry(spark, con):
     assert entry_module.entry(spark).count() > 0
 
 
-def test_every_query_has_sql_or_is_a_model(spark):
-    without = set(entry_module.queries()) - set(entry_module.oracle_sql())
-    assert without == {"ml_metrics", "ml_score", "stream_score_pending"}
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
