@@ -110,9 +110,10 @@ def ingest_batch(
 
     broken = F.coalesce(F.col("error").startswith(UNMARSHAL_PREFIX), F.lit(False))
     failed = checked.filter(F.col("failure").isNotNull()).select(
-        *MESSAGE_COLUMNS, F.col("failure").alias("error")
+        *MESSAGE_COLUMNS, F.col("failure").alias("error"), "ingested_at"
     )
-    routed = route_failures(failed, as_of=now)
+    # The delay runs from the first attempt, whose clock the staged rows carry.
+    routed = route_failures(failed, as_of=F.col("ingested_at"))
     quarantined = (
         unparseable(checked)
         .unionByName(rejected(checked.filter(~broken), F.col("body")))
