@@ -19,12 +19,9 @@ def parse_rfc3339(value: Column) -> Column:
 
 def rfc3339_text(instant: Column) -> Column:
     """UTC text with the trailing zeros of the fraction removed."""
-    seconds = (F.unix_micros(instant).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
-    none = F.lit(0)
     # A time without a zone is written as it is; its text has no trailing zeros.
-    plain = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(
-        none, none, none, seconds
-    )
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    plain = F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
     return F.concat(F.translate(plain.cast("string"), " ", "T"), F.lit("Z"))
 
 

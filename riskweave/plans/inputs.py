@@ -38,13 +38,12 @@ def keyed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def native_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event as a JSON record of one of the three feeds: ``(bank, event_id, body)``.
+def _native_bodies() -> dict[str, tuple[Column, Column]]:
+    """For each feed, which events are its own and how they look there as JSON.
 
     Feed B has a number where a text belongs on signups, feed C lacks the city for
     ``k < 5`` and has a date without a time for ``k = 13``.
     """
-    events = table(spark, sf_dir, "events")
     ts = F.col("ts").cast("timestamp")
     later = ts + F.expr("interval 2 hours")
     offset_text = F.regexp_replace(rfc3339_text(later), "Z$", "+02:00")
@@ -78,28 +77,31 @@ def native_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(event_k() >= 5, event_city()).alias("loc"),
         F.when(event_k() == 13, day_text).otherwise(rfc3339_text(ts)).alias("when"),
     )
-    body = (
-        F.when(kind.isin("view", "purchase"), F.to_json(a))
-        .when(kind == "click", F.to_json(F.struct(*b, kind.alias("desc"))))
-        .when(kind == "signup", F.to_json(F.struct(*b, F.col("event_id").alias("desc"))))
-        .otherwise(F.to_json(c))
+    desc = F.when(kind == "signup", F.to_json(F.struct(*b, F.col("event_id").alias("desc")))).otherwise(
+        F.to_json(F.struct(*b, kind.alias("desc")))
     )
-    bank = (
-        F.when(kind.isin("view", "purchase"), F.lit("bank-a"))
-        .when(kind.isin("click", "signup"), F.lit("bank-b"))
-        .otherwise(F.lit("bank-c"))
-    )
-    return events.select(bank.alias("bank"), "event_id", body.alias("body"))
+    in_a, in_b = kind.isin("view", "purchase"), kind.isin("click", "signup")
+    in_c = kind.isNull() | ~kind.isin("view", "purchase", "click", "signup")
+    return {"bank-a": (in_a, F.to_json(a)), "bank-b": (in_b, desc), "bank-c": (in_c, F.to_json(c))}
 
 
 def native_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    records = native_records(spark, sf_dir)
+    """The native records of each feed; the scan reads only the events of its types."""
+    events = table(spark, sf_dir, "events")
     return {
-        bank: parse_records(records.filter(F.col("bank") == bank).select("body"), feed)
-        for bank, feed in FEEDS.items()
+        bank: parse_records(events.filter(mine).select(body.alias("body")), FEEDS[bank])
+        for bank, (mine, body) in _native_bodies().items()
     }
 
 
+def native_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a JSON record of one of the three feeds: ``(bank, event_id, body)``."""
+    bank, body = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for name, (mine, own) in _native_bodies().items():
+        bank, body = F.when(mine, F.lit(name)).otherwise(bank), F.when(mine, own).otherwise(body)
+    return table(spark, sf_dir, "events").select(bank.alias("bank"), "event_id", body.alias("body"))
+
+
 PAGE_ROWS = 100
 
 

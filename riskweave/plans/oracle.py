@@ -110,7 +110,7 @@ def _table(source: str, name: str) -> str:
     return f"""
 {name} as (select r.idempotency_key, r.account_id, r.amount_cents, r.merchant_category, r.reasons,
         r.us as occurred_us, coalesce(d.decision, 'pending') as status, {_SCORE} as ml_score,
-        {_CUT_US} as created_us, coalesce(d.decided_us, {_CUT_US}) as updated_us
+        {_CUT_US} as created_us, greatest(d.decided_us, {_CUT_US}) as updated_us
       from {source} r left join d using (idempotency_key))"""
 
 
