@@ -3,15 +3,22 @@
 The canonical form is lower case without copyright lines and punctuation, with one spelling
 for words that are written in several ways. Known licences go through the same expressions,
 so a unit of a document is a known licence exactly if the digests are equal: one hash join.
+Words that every known licence must have one of tell beforehand which texts can hold any.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A known list up to this many rows is broadcast; a longer one is joined by shuffle.
 BROADCAST_KNOWN = 10_000
+#: More anchors than this are not looked for; all texts are then put in canonical form.
+MOST_ANCHORS = 16
 
 # --- fixed values: names of licences as notices spell them ---------------------------
 NAMES = (
@@ -127,17 +134,53 @@ def known_licenses(spark: SparkSession) -> DataFrame:
     """(license, text): the short whole licences and every notice with every name."""
     notices = [(i, n.format(name)) for i, name in NAMES for n in NOTICES]
     ids = [(i, f"SPDX-License-Identifier: {i}") for i, _ in NAMES]
-    return spark.createDataFrame([*TEXTS, *notices, *ids], "license string, text string")
+    rows = [
+        F.struct(F.lit(i).alias("license"), F.lit(t).alias("text"))
+        for i, t in (*TEXTS, *notices, *ids)
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
+def anchors(forms: list[str]) -> list[str] | None:
+    """Words of which every form has one, or None if it takes more than MOST_ANCHORS.
+
+    Only letters, and no word that a spelling of several words is written as: such a word
+    stands in a text exactly as in its canonical form, once spellings of one word are
+    replaced. So a text without an anchor holds no form.
+    """
+    merged = {w for said, meant in SPELLINGS if " " in said for w in meant.split()}
+    left = [{w for w in f.split() if w.isalpha()} - merged for f in forms]
+    out: list[str] = []
+    while left:
+        count = Counter(w for f in left for w in f)
+        if not count or len(out) == MOST_ANCHORS:
+            return None
+        # The most frequent; of several the longest, which fewest texts hold by chance.
+        out.append(max(count, key=lambda w: (count[w], len(w), w)))
+        left = [f for f in left if out[-1] not in f]
+    return out
+
+
+def may_hold(text: Column, words: list[str] | None) -> Column:
+    """False only for texts without any of the words, in any spelling of one word."""
+    if words is None:
+        return F.lit(True)
+    lower = F.lower(F.coalesce(text, F.lit("")))
+    for said, meant in SPELLINGS:
+        if " " not in said:
+            lower = F.replace(lower, F.lit(said), F.lit(meant))
+    return reduce(or_, [lower.contains(w) for w in words], F.lit(False))
 
 
 def digests(known: DataFrame) -> DataFrame:
-    """(digest, license), one row per digest; of two licences with one text the smaller id."""
+    """(digest, form, license), one row per digest; of two licences with one text the smaller id."""
     form = canonical(rough(F.col("text")))
     return (
-        known.select(F.sha2(form, 256).alias("digest"), F.length(form).alias("n"), "license")
-        .where("n > 0")
-        .groupBy("digest")
-        .agg(F.min("license").alias("license"), F.max("n").alias("n"))
+        known.select(form.alias("form"), "license")
+        .where("form <> ''")
+        .groupBy("form")
+        .agg(F.min("license").alias("license"))
+        .select(F.sha2("form", 256).alias("digest"), "form", "license")
     )
 
 
@@ -150,8 +193,11 @@ def matches(
     ``_tag`` is a digest of the text, for rows that share an id.
     """
     table = digests(known)
-    size = table.agg(F.count("*"), F.max("n"), F.min("n")).first()
+    size = table.agg(F.count("*"), F.max(F.length("form")), F.min(F.length("form"))).first()
     most, least = size[1] or 0, size[2] or 0
+    few = size[0] <= BROADCAST_KNOWN
+    words = anchors([r.form for r in table.select("form").collect()]) if few else None
+    docs = docs.where(may_hold(F.col(text), words))
     whole = rough(F.col(text))
     held = docs.select(
         F.col(doc_id).alias("_id"), _tag(text).alias("_tag"), whole.alias("_whole")
@@ -174,7 +220,7 @@ def matches(
         .where(F.length("_part") <= 2 * most + 64)
         .select("_id", "_tag", "unit", "_at", F.sha2(canonical(F.col("_part")), 256).alias("digest"))
     )
-    few = size[0] <= BROADCAST_KNOWN
+    table = table.select("digest", "license")
     looked_up = F.broadcast(table) if few else table
     # Rows that repeat a document say the same of each place in it.
     return units.join(looked_up, "digest").select("_id", "_tag", "unit", "_at", "license").distinct()
