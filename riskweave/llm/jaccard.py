@@ -28,7 +28,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from riskweave.llm.common import IS_SPACE, LOWER_ASCII, lists, mix, slices, utf8, words
+from riskweave.llm.common import IS_SPACE, LOWER_ASCII, drop_table, lists, mix, slices, utf8, words
 from riskweave.llm.graph import components
 from riskweave.session import materialize
 
@@ -41,6 +41,10 @@ RUN_DOCS = 4096
 #: is left out only keeps its place in the order, which changes no result.
 MOST_HOT = 1 << 19
 KEYS = 4
+#: Bits of the parity sketch of a set. Each difference of two sets changes one bit at most.
+SKETCH_BITS = 1024
+#: Up to this many set identities (a few dozen bytes each) are broadcast to fetch texts.
+BROADCAST_NODES = 200_000
 POSITION_BLOCK = 4
 
 _HOT = np.uint64(1 << 63)
@@ -106,6 +110,14 @@ def _keys(grams: np.ndarray, docs: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.stack(out, axis=1)
 
 
+def _sketches(grams: np.ndarray, docs: np.ndarray, n_docs: int) -> np.ndarray:
+    """Per text, SKETCH_BITS parities of the number of its n-grams that fall on each bit."""
+    bit = ((grams >> np.uint64(17)) % np.uint64(SKETCH_BITS)).astype(np.int64)
+    count = np.bincount(docs * SKETCH_BITS + bit, minlength=n_docs * SKETCH_BITS)
+    odd = (count & 1).astype(np.uint8).reshape(n_docs, SKETCH_BITS)
+    return np.packbits(odd, axis=1).view(np.int64)
+
+
 def _signed(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint64).view(np.int64)
 
@@ -115,6 +127,7 @@ _SUMMARY = StructType(
         StructField("n", LongType()),
         StructField("digest", BinaryType()),
         StructField("keys", ArrayType(LongType())),
+        StructField("sketch", ArrayType(LongType())),
         StructField("prefix", ArrayType(LongType())),
     ]
 )
@@ -136,18 +149,21 @@ def _summaries(spark: SparkSession, hot: np.ndarray, width: int, percent: int):
             place = np.arange(len(grams)) - np.repeat(ends[:-1], n)
             prefix = grams[place < np.repeat(length, n)]
             keys = _keys(grams, docs, n)
+            sketch = _sketches(grams, docs, len(n))
             done.append(
                 pa.StructArray.from_arrays(
                     [
                         pa.array(n, pa.int64()),
                         pa.array([row.tobytes() for row in digest], pa.binary()),
                         lists(_signed(keys.ravel()), np.full(len(n), KEYS), pa.int64()),
+                        lists(sketch.ravel(), np.full(len(n), sketch.shape[1]), pa.int64()),
                         lists(_signed(prefix), length, pa.int64()),
                     ],
                     fields=[
                         pa.field("n", pa.int64()),
                         pa.field("digest", pa.binary()),
                         pa.field("keys", pa.list_(pa.int64())),
+                        pa.field("sketch", pa.list_(pa.int64())),
                         pa.field("prefix", pa.list_(pa.int64())),
                     ],
                 )
@@ -207,7 +223,9 @@ def widely_shared(docs: DataFrame, text: str, width: int) -> np.ndarray:
 def _full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """(node, set) of the classes in ``nodes`` (node, rep, digest), from the text of ``rep``."""
     summaries = _set_udf(width)
-    made = docs.join(nodes, docs["_doc"] == nodes["rep"]).select(
+    few = nodes.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
+    asked = F.broadcast(nodes) if few else nodes
+    made = docs.join(asked, docs["_doc"] == asked["rep"]).select(
         "node", "digest", summaries("_text").alias("_set")
     )
     # Rows may repeat an id; those of the class have its digest.
@@ -242,25 +260,52 @@ def _set_udf(width: int):
             )
         return pa.concat_arrays(done)
 
-    return made
+    # Else the filter on the digest would be pushed below the join, and with it the call.
+    return made.asNondeterministic()
+
+
+def _possible(classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs that their sketches do not rule out.
+
+    Bits that differ are no more than n-grams that differ, and similar sets of a and b
+    n-grams differ in at most (100 - percent) / (100 + percent) of a + b.
+    """
+    own = classes.select("node", "n", "sketch")
+    left = own.select(F.col("node").alias("a"), F.col("n").alias("_na"), F.col("sketch").alias("_sa"))
+    right = own.select(F.col("node").alias("b"), F.col("n").alias("_nb"), F.col("sketch").alias("_sb"))
+    bits = F.aggregate(
+        F.zip_with("_sa", "_sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
+    )
+    return (
+        pairs.join(left, "a")
+        .join(right, "b")
+        .where((100 + percent) * bits <= (100 - percent) * (F.col("_na") + F.col("_nb")))
+        .select("a", "b")
+    )
 
 
 def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The (a, b) of ``pairs`` whose sets are similar enough, compared exactly."""
-    pairs = materialize(pairs, "pairs")
+    pairs = materialize(_possible(classes, pairs, percent), "pairs")
     asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-    nodes = classes.select("node", "rep", "digest").join(asked.distinct(), "node", "left_semi")
+    nodes = materialize(
+        classes.select("node", "rep", "digest").join(asked.distinct(), "node", "left_semi"), "asked"
+    )
     sets = materialize(_full_sets(docs, nodes, width), "sets")
     left = sets.select(F.col("node").alias("a"), F.col("set").alias("_a"))
     right = sets.select(F.col("node").alias("b"), F.col("set").alias("_b"))
     both = F.size(F.array_intersect("_a", "_b"))
-    return (
+    links = materialize(
         pairs.join(left, "a")
         .join(right, "b")
         .select("a", "b", both.alias("_both"), (F.size("_a") + F.size("_b")).alias("_sum"))
         .where(100 * F.col("_both") >= percent * (F.col("_sum") - F.col("_both")))
-        .select("a", "b")
+        .select("a", "b"),
+        "links",
     )
+    for table in (pairs, nodes, sets):
+        drop_table(table)
+    return links
 
 
 def _near(n1: str, n2: str, percent: int):
@@ -285,13 +330,28 @@ def _leader_pairs(classes: DataFrame, percent: int) -> DataFrame:
 def _list_pairs(classes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """(a, b) of different clusters that index lists cannot rule out."""
     size = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent))).cast("int")
+    # What is dealt out by n-gram is narrow: size and position share a number, and the
+    # cluster is left out where a class is its own.
     entries = (
         classes.where("n > 0")
         .join(roots, "node", "left")
-        .select("node", F.coalesce("root", "node").alias("root"), "n", F.posexplode("prefix").alias("pos", "gram"))
+        .select(
+            "node",
+            F.nullif("root", "node").alias("other"),
+            "n",
+            F.posexplode("prefix").alias("pos", "gram"),
+        )
+        .select("gram", "node", "other", (F.shiftleft(F.col("n"), 31) + F.col("pos")).alias("place"))
+        .repartition("gram")
+        .select(
+            "gram",
+            "node",
+            F.coalesce("other", "node").alias("root"),
+            F.shiftright("place", 31).alias("n"),
+            F.col("place").bitwiseAND((1 << 31) - 1).alias("pos"),
+        )
         .withColumn("size", size)
         .withColumn("block", F.floor(F.col("pos") / POSITION_BLOCK).cast("int"))
-        .repartition("gram")
     )
     blocks = entries.groupBy("gram", "size", "block").agg(
         F.min("n").alias("n0"),
@@ -359,19 +419,22 @@ def similar_groups(
     source = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text"))
     hot = widely_shared(source, "_text", width)
     made = _summaries(spark, hot, width, percent)
-    base = materialize(source.select("_doc", made("_text").alias("_s")).select("_doc", "_s.*"), "sets")
+    base = materialize(source.select("_doc", made("_text").alias("_s")).select("_doc", "_s.*"), "base")
+    members = materialize(base.select("_doc", "n", "digest"), "members")
     classes = materialize(
         base.groupBy("digest")
         .agg(
             F.min("_doc").alias("rep"),
             F.first("n").alias("n"),
             F.first("keys").alias("keys"),
+            F.first("sketch").alias("sketch"),
             F.first("prefix").alias("prefix"),
         )
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    led = materialize(_linked(source, classes, _leader_pairs(classes, percent), width, percent), "links")
+    drop_table(base)
+    led = _linked(source, classes, _leader_pairs(classes, percent), width, percent)
     roots = materialize(components(led), "clusters")
     more = _linked(source, classes, _list_pairs(classes, roots, percent), width, percent)
     roots = components(led.unionByName(more))
@@ -389,8 +452,7 @@ def similar_groups(
         .select("digest", F.coalesce("component_id", "rep").alias("component_id"))
     )
     return (
-        base.select("_doc", "n", "digest")
-        .join(named, "digest", "left")
+        members.join(named, "digest", "left")
         .select(
             F.col("_doc").alias(doc_id),
             F.col("n").alias("n_shingles"),
