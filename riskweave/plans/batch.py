@@ -15,6 +15,7 @@ from riskweave.operators.normalize import union_feeds
 from riskweave.operators.rules import score
 from riskweave.operators.validate import accepted, rejected, validate
 from riskweave.schemas import TXN
+from riskweave.sources.feeds import Feed, delivery_gaps, explode_pages
 
 
 def feeds_to_transactions(
@@ -33,6 +34,15 @@ def feeds_to_transactions(
     return new.select(*TXN.fieldNames()), rejected(flow)
 
 
+def complete_pages(pages: DataFrame, feed: Feed) -> DataFrame:
+    """The records of a paged delivery; an incomplete one is an error and gives none."""
+    gaps = delivery_gaps(pages, feed).orderBy("page_no").limit(5).collect()
+    if gaps:
+        listed = ", ".join(f"page {r['page_no']}: {r['problem']}" for r in gaps)
+        raise ValueError(f"incomplete delivery of {feed.bank}: {listed}")
+    return explode_pages(pages, feed)
+
+
 def rescore(
     txns: DataFrame, current: DataFrame, *, as_of: Column, settings: RuleSettings | None = None
 ) -> DataFrame:

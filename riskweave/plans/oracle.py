@@ -228,6 +228,10 @@ ORACLE: dict[str, str] = {
         union all select (event_id + 1) // {PAGE_ROWS} from events
           where (event_id + 1) // {PAGE_ROWS} <> event_id // {PAGE_ROWS})
         select page_no, count(*) as n, count(*) - 1 as last_pos from p group by page_no""",
+    "page_delivery_gaps": f"""with p as (select distinct event_id // {PAGE_ROWS} as page_no from events
+        union select (event_id + 1) // {PAGE_ROWS} from events)
+        select page_no, case when page_no = 2 then 'unreadable page' else 'next page missing' end as problem
+        from p where page_no in (2, 4) or page_no = (select max(page_no) from p)""",
     "pages_unreadable": f"""select 'bank-a:page-' || p as message_id, 0 as retry_count,
         '{UNMARSHAL_PREFIX}malformed page' as reason
         from (select distinct event_id // {PAGE_ROWS} as p from events union

@@ -78,7 +78,13 @@ from riskweave.session import (
     use_utc,
 )
 from riskweave.sources.envelopes import parse_envelope, to_envelope, unparseable
-from riskweave.sources.feeds import FEEDS, explode_pages, read_feed, unreadable_pages
+from riskweave.sources.feeds import (
+    FEEDS,
+    delivery_gaps,
+    explode_pages,
+    read_feed,
+    unreadable_pages,
+)
 from riskweave.sources.harness import (
     event_transactions,
     instant,
@@ -191,6 +197,15 @@ def pages_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("message_id", "retry_count", "reason")
 
 
+@query
+def page_delivery_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page cut off, one lost, and the page that the last one names never served."""
+    pages = inputs.landed_pages(spark, sf_dir)
+    cut = F.substring("body", F.lit(1), F.length("body") - 10)
+    landed = pages.withColumn("body", F.when(F.col("page_no") == 2, cut).otherwise(F.col("body")))
+    return delivery_gaps(landed.filter(F.col("page_no") != 5), FEEDS["bank-a"])
+
+
 @query
 def page_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records as served, overlap included."""

@@ -141,6 +141,33 @@ def unreadable_pages(pages: DataFrame, feed: Feed) -> DataFrame:
     )
 
 
+def delivery_gaps(pages: DataFrame, feed: Feed) -> DataFrame:
+    """``(page_no, problem)`` of a delivery that is not complete; no rows if it is.
+
+    Pages count from 0, and every page but the last names the next one in ``next_cursor``.
+    A delivery may only be used if each page is readable and the chain has no hole.
+    """
+    parsed = parsed_once(F.from_json("body", _page_schema(feed), _KEEP_MISFIT)).alias("page")
+    read = pages.select("page_no", parsed).select(
+        "page_no",
+        F.col("page.transactions").isNotNull().alias("readable"),
+        (F.coalesce(F.col("page.next_cursor"), F.lit("")) != "").alias("goes_on"),
+    )
+    after = read.select((F.col("page_no") - 1).alias("page_no"), F.lit(True).alias("followed")).distinct()
+    followed = F.coalesce("followed", F.lit(False))
+    problem = (
+        F.when(~F.col("readable"), F.lit("unreadable page"))
+        .when(F.col("goes_on") & ~followed, F.lit("next page missing"))
+        .when(~F.col("goes_on") & followed, F.lit("page after the last"))
+    )
+    found = read.join(after, "page_no", "left").select("page_no", problem.alias("problem"))
+    first = pages.agg(F.min("page_no").alias("least")).select(
+        F.lit(0).cast(pages.schema["page_no"].dataType).alias("page_no"),
+        F.when(F.coalesce("least", F.lit(1)) > 0, F.lit("first page missing")).alias("problem"),
+    )
+    return found.unionByName(first).filter(F.col("problem").isNotNull())
+
+
 def explode_pages(pages: DataFrame, feed: Feed) -> DataFrame:
     """Landed API pages ``(page_no, body)`` to one native row per record.
 

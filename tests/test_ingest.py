@@ -29,10 +29,12 @@ from riskweave.operators.validate import (
     status_or_default,
     validate,
 )
+from riskweave.plans.batch import complete_pages
 from riskweave.sources.envelopes import parse_envelope, to_envelope, unparseable
 from riskweave.sources.feeds import (
     FEEDS,
     Feed,
+    delivery_gaps,
     explode_pages,
     parse_records,
     read_feed,
@@ -369,3 +371,25 @@ def test_topic_records_become_messages(spark):
     got = topic_messages(records).select(*columns).collect()
     assert got == source.select(*columns).collect()
     assert parse_envelope(topic_messages(records), now()).first()["error"] is None
+
+
+def test_incomplete_deliveries_are_refused(spark):
+    def page(no, next_cursor, body=None):
+        served = {"transactions": [record(no)], "next_cursor": next_cursor}
+        return (no, json.dumps(served) if body is None else body)
+
+    def gaps(*pages):
+        df = spark.createDataFrame(list(pages), "page_no int, body string")
+        return {(r["page_no"], r["problem"]) for r in delivery_gaps(df, A).collect()}
+
+    whole = (page(0, "1"), page(1, "2"), page(2, ""))
+    assert gaps(*whole) == set()
+    assert gaps(*whole[:2]) == {(1, "next page missing")}
+    assert gaps(whole[0], whole[2]) == {(0, "next page missing")}
+    assert gaps(*whole[1:]) == {(0, "first page missing")}
+    assert gaps(page(0, ""), page(1, "")) == {(0, "page after the last")}
+    assert gaps(whole[0], page(1, "2", '{"transactions": [{"tx'), whole[2]) == {(1, "unreadable page")}
+    df = spark.createDataFrame(list(whole), "page_no int, body string")
+    assert complete_pages(df, A).count() == 3
+    with pytest.raises(ValueError, match="page 1: next page missing"):
+        complete_pages(df.filter("page_no < 2"), A)
