@@ -254,6 +254,7 @@ ORACLE: dict[str, str] = {
         idempotency_key as message_id from t""",
     "stored_transactions": f"with {BASE} select {FLAT} from t",
     "inserted_transactions": f"with {BASE} select {FLAT} from t",
+    "compacted_transactions": f"with {BASE} select {FLAT} from t",
     "stored_transaction_count": "select count(*) as n from events",
     "verified_columns": "select count(*) as n, 0::bigint as n_city from events",
     "normalize_union": _FEED_FLAT,

@@ -92,6 +92,7 @@ from riskweave.sources.harness import (
     table,
 )
 from riskweave.sources.tables import (
+    compact_transactions,
     count_transactions,
     insert_transactions,
     read_flag,
@@ -250,6 +251,17 @@ def stored_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(read_transactions(spark, path, columns))
 
 
+@query
+def compacted_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that grew by three appends, compacted."""
+    path, target = scratch_path(spark, "transactions"), scratch_path(spark, "compacted")
+    txns = event_transactions(spark, sf_dir)
+    for period in _periods(txns):
+        write_transactions(txns.filter(period), path, BUCKETS)
+    compact_transactions(spark, path, target, BUCKETS)
+    return _flat(read_transactions(spark, target))
+
+
 @query
 def inserted_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two servings of every event inserted into a table that holds them up to the cutoff."""

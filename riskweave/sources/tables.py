@@ -96,6 +96,26 @@ def insert_transactions(
     write_transactions(dedupe_against_store(batch, stored, *order), path, buckets)
 
 
+def compact_transactions(
+    spark: SparkSession, path: str, target: str, buckets: int = DEFAULT_BUCKETS
+) -> None:
+    """The table of ``path`` written anew under ``target``, with few files per bucket.
+
+    Files are sorted by account and time, so their minima and maxima let a reader of one
+    account or of recent times skip most of them. ``path`` is only read; whoever switches
+    to ``target`` may delete it afterwards.
+    """
+    rows = read_transactions(spark, path).withColumn(
+        ACCOUNT_BUCKET, bucket_of(F.col("account_id"), buckets)
+    )
+    (
+        rows.hint("rebalance", ACCOUNT_BUCKET)
+        .sortWithinPartitions(ACCOUNT_BUCKET, "account_id", "occurred_at", "idempotency_key")
+        .write.partitionBy(ACCOUNT_BUCKET)
+        .parquet(target)
+    )
+
+
 def save_account_table(txns: DataFrame, name: str, path: str, buckets: int) -> None:
     """Transactions as a catalog table bucketed and sorted by account.
 
