@@ -47,19 +47,23 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def drop_table(table: DataFrame) -> None:
-    """Deletes a table that ``materialize`` has made, and lets go of shuffles that are done.
+def release(spark: SparkSession) -> None:
+    """Lets go of shuffles that are done.
 
     Shuffle files stay until the driver's collector finds that nobody refers to them, which
     with a large heap may be long after their last use.
     """
-    spark = table.sparkSession
-    for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
-        delete_folder(spark, folder)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
+def drop_table(table: DataFrame) -> None:
+    """Deletes a table that ``materialize`` has made, and lets go of shuffles that are done."""
+    for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+        delete_folder(table.sparkSession, folder)
+    release(table.sparkSession)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, every other code point as it is."""
     is_ascii = F.octet_length(text) == F.char_length(text)

@@ -28,7 +28,17 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from riskweave.llm.common import IS_SPACE, LOWER_ASCII, drop_table, lists, mix, slices, utf8, words
+from riskweave.llm.common import (
+    IS_SPACE,
+    LOWER_ASCII,
+    drop_table,
+    lists,
+    mix,
+    release,
+    slices,
+    utf8,
+    words,
+)
 from riskweave.llm.graph import components
 from riskweave.session import materialize
 
@@ -139,7 +149,7 @@ def _summaries(spark: SparkSession, hot: np.ndarray, width: int, percent: int):
     @arrow_udf(_SUMMARY)
     def summaries(texts: pa.Array) -> pa.Array:
         done = []
-        for part in slices(texts, 2 << 20):
+        for part in slices(texts, 1 << 20):
             grams, docs = shingle_sets(part, width, sent.value)
             n = np.bincount(docs, minlength=len(part))
             ends = np.concatenate([[0], np.cumsum(n)])
@@ -195,7 +205,7 @@ def widely_shared(docs: DataFrame, text: str, width: int) -> np.ndarray:
             )
 
         for batch in batches:
-            for part in slices(batch.column(0), 2 << 20):
+            for part in slices(batch.column(0), 1 << 20):
                 kept.append(shingle_sets(part, width)[0])
                 n += len(part)
                 if n >= RUN_DOCS:
@@ -243,7 +253,7 @@ def _set_udf(width: int):
     @arrow_udf(_SET)
     def made(texts: pa.Array) -> pa.Array:
         done = []
-        for part in slices(texts, 2 << 20):
+        for part in slices(texts, 1 << 20):
             grams, docs = shingle_sets(part, width)
             n = np.bincount(docs, minlength=len(part))
             ends = np.concatenate([[0], np.cumsum(n)])
@@ -287,11 +297,13 @@ def _possible(classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The (a, b) of ``pairs`` whose sets are similar enough, compared exactly."""
     pairs = materialize(_possible(classes, pairs, percent), "pairs")
+    release(pairs.sparkSession)
     asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
     nodes = materialize(
         classes.select("node", "rep", "digest").join(asked.distinct(), "node", "left_semi"), "asked"
     )
     sets = materialize(_full_sets(docs, nodes, width), "sets")
+    release(sets.sparkSession)
     left = sets.select(F.col("node").alias("a"), F.col("set").alias("_a"))
     right = sets.select(F.col("node").alias("b"), F.col("set").alias("_b"))
     both = F.size(F.array_intersect("_a", "_b"))
