@@ -8,9 +8,12 @@ Words that every known licence must have one of tell beforehand which texts can
 
 from __future__ import annotations
 
+import json
+import re
 from collections import Counter
 from functools import reduce
 from operator import or_
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,30 +21,43 @@ from pyspark.sql import functions as F
 #: A known list up to this many rows is broadcast; a longer one is joined by shuffle.
 BROADCAST_KNOWN = 10_000
 #: More anchors than this are not looked for; all texts are then put in canonical form.
-MOST_ANCHORS = 16
+MOST_ANCHORS = 24
+#: Words of notices that many texts hold.
+COMMON = frozenset(
+    "under the this is work project software program file code content article see for details or any later"
+    " released distributed available published only version by universal free public general all rights are".split()
+)
 
-# --- fixed values: names of licences as notices spell them ---------------------------
+# --- fixed values: names of licences as notices spell them, the id first ---------------
 NAMES = (
-    ("MIT", "MIT License"),
+    ("MIT", "MIT License", "Expat License", "MIT/X11 License"),
     ("ISC", "ISC License"),
-    ("Apache-2.0", "Apache License, Version 2.0"),
-    ("BSD-2-Clause", "BSD 2-Clause License"),
-    ("BSD-3-Clause", "BSD 3-Clause License"),
-    ("GPL-2.0", "GNU General Public License, version 2"),
-    ("GPL-3.0", "GNU General Public License, version 3"),
-    ("LGPL-2.1", "GNU Lesser General Public License, version 2.1"),
-    ("LGPL-3.0", "GNU Lesser General Public License, version 3"),
-    ("AGPL-3.0", "GNU Affero General Public License, version 3"),
-    ("MPL-2.0", "Mozilla Public License, version 2.0"),
-    ("EPL-2.0", "Eclipse Public License, version 2.0"),
-    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International License"),
-    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"),
-    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"),
-    ("CC0-1.0", "Creative Commons Zero 1.0 Universal License"),
-    ("Unlicense", "Unlicense"),
+    ("Apache-2.0", "Apache License, Version 2.0", "Apache 2", "Apache License 2", "Apache Software License 2", "ASL 2.0"),
+    ("BSD-2-Clause", "BSD 2-Clause License", "Simplified BSD License", "2-Clause BSD License", "FreeBSD License"),
+    ("BSD-3-Clause", "BSD 3-Clause License", "New BSD License", "Modified BSD License", "3-Clause BSD License"),
+    ("GPL-2.0", "GNU General Public License, version 2", "GPLv2", "GNU GPL v2"),
+    ("GPL-3.0", "GNU General Public License, version 3", "GPLv3", "GNU GPL v3"),
+    ("LGPL-2.1", "GNU Lesser General Public License, version 2.1", "LGPLv2.1", "GNU LGPL v2.1"),
+    ("LGPL-3.0", "GNU Lesser General Public License, version 3", "LGPLv3", "GNU LGPL v3"),
+    ("AGPL-3.0", "GNU Affero General Public License, version 3", "AGPLv3", "GNU AGPL v3"),
+    ("MPL-2.0", "Mozilla Public License, version 2.0", "MPLv2"),
+    ("EPL-2.0", "Eclipse Public License, version 2.0", "EPLv2"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International License", "Creative Commons Attribution 4.0",
+     "Creative Commons BY 4.0"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International License",
+     "Creative Commons Attribution-ShareAlike 4.0", "Creative Commons BY-SA 4.0"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International License",
+     "Creative Commons Attribution-NonCommercial 4.0", "Creative Commons BY-NC 4.0"),
+    ("CC0-1.0", "Creative Commons Zero 1.0 Universal License", "CC0 1.0 Universal", "Creative Commons Zero 1.0",
+     "Creative Commons CC0 1.0 Universal", "CC0"),
+    ("Unlicense", "The Unlicense"),
     ("Zlib", "zlib License"),
-    ("BSL-1.0", "Boost Software License, version 1.0"),
-)
+    ("BSL-1.0", "Boost Software License, version 1.0", "Boost License 1.0"),
+)
+#: Licences whose notices also say "or any later version".
+OR_LATER = ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")
+#: Names that are no notice if they stand alone: a university, a consortium, a library.
+NOT_ALONE = ("MIT", "ISC", "Zlib")
 #: Notices that name a licence; {} is the name.
 NOTICES = (
     "{}",
@@ -49,15 +65,83 @@ NOTICES = (
     "Released under the {}",
     "Distributed under the {}",
     "Available under the {}",
+    "Published under the {}",
     "License: {}",
+    "License {}",
+    "SPDX-License-Identifier: {}",
     "This work is licensed under the {}",
-    "This work is licensed under a {}",
     "This project is licensed under the {}",
+    "This project is licensed under the {} - see the LICENSE file for details",
+    "See the LICENSE file for details. Licensed under the {}",
     "This software is licensed under the {}",
     "This software is released under the {}",
+    "This software is distributed under the {}",
+    "This program is licensed under the {}",
     "This program is distributed under the {}",
+    "This file is licensed under the {}",
+    "This code is licensed under the {}",
+    "This content is licensed under the {}",
+    "This article is licensed under the {}",
 )
-#: Whole licences that are short.
+#: Notices that name no licence because they grant none.
+RESERVED = ("All-Rights-Reserved", ("All rights reserved", "All rights are reserved", "License: All rights reserved"))
+_GNU = "This {what} is free software{s} you can redistribute it and/or modify it under the terms of the {name} as published by the Free Software Foundation{t}"
+#: The standard headers of licences, of long ones the part that names the licence.
+HEADERS = (
+    *(
+        ("Apache-2.0", f"""{first} Apache License, Version 2.0 (the "License");
+you may not use this {what} except in compliance with the License.
+You may obtain a copy of the License at{rest}""")
+        for first in ("Licensed under the",)
+        for what in ("file", "software", "work", "project")
+        for rest in (
+            "",
+            " http://www.apache.org/licenses/LICENSE-2.0",
+            """ http://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+        )
+    ),
+    ("Apache-2.0", """Licensed to the Apache Software Foundation (ASF) under one
+or more contributor license agreements.  See the NOTICE file
+distributed with this work for additional information
+regarding copyright ownership.  The ASF licenses this file
+to you under the Apache License, Version 2.0 (the
+"License"); you may not use this file except in compliance
+with the License.  You may obtain a copy of the License at"""),
+    *(
+        (i, _GNU.format(what=what, s=s, name=name, t=t.format(n=n)))
+        for i, name, n in (
+            ("GPL-2.0", "GNU General Public License", "2"),
+            ("GPL-3.0", "GNU General Public License", "3"),
+            ("LGPL-2.1", "GNU Lesser General Public License", "2.1"),
+            ("LGPL-3.0", "GNU Lesser General Public License", "3"),
+            ("AGPL-3.0", "GNU Affero General Public License", "3"),
+        )
+        for what in ("program", "library", "file", "software")
+        for s in (":", "; ")
+        for t in (
+            "; either version {n} of the License, or (at your option) any later version.",
+            ", either version {n} of the License.",
+            ", version {n}.",
+            "; version {n} of the License.",
+        )
+    ),
+    ("MPL-2.0", """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/."""),
+    ("EPL-2.0", """This program and the accompanying materials are made
+available under the terms of the Eclipse Public License 2.0
+which is available at https://www.eclipse.org/legal/epl-2.0/"""),
+    ("BSL-1.0", """Distributed under the Boost Software License, Version 1.0.
+(See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt)"""),
+)
+#: Where whole licences lie that are not below, as ``id.txt``.
+TEXT_FOLDER = Path(__file__).parent / "license_texts"
+#: Whole licences with a title and the place of the holder.
 TEXTS = (
     (
         "MIT",
@@ -107,6 +191,9 @@ SPELLINGS = (
 #: A version is written 2, 2.0, v2 or version 2; all become the bare number.
 _VERSION = (r"\b(?:version|ver|v) ?(\d)", "$1")
 _POINT_ZERO = (r"\b(\d+) 0\b", "$1")
+_GNU_VERSION = (r"\b([al]?gpl|mpl|epl)v(\d)", "$1 $2")
+_URL = (r"\bhttps? (?:www )?", "http ")
+_ARTICLE = (r"\bunder (?:the terms of )?(?:(?:the|an?) )?", "under ")
 _OR_LATER = (r" or (?:any|at your option any) later(?: version)?$", " or later")
 # --------------------------------------------------------------------------------------
 
@@ -125,39 +212,61 @@ def canonical(unit: Column) -> Column:
     out = F.trim(F.regexp_replace(unit, r"[^\p{L}\p{N}]+", " "))
     for said, meant in SPELLINGS:
         out = F.replace(out, F.lit(said), F.lit(meant))
-    for pattern, meant in (_VERSION, _POINT_ZERO, _OR_LATER):
+    for pattern, meant in (_GNU_VERSION, _VERSION, _POINT_ZERO, _URL, _ARTICLE, _OR_LATER):
         out = F.regexp_replace(out, pattern, meant)
     return out
 
 
+def known_texts() -> list[tuple[str, str]]:
+    """(license, text): whole licences, their headers, and every notice with every name."""
+    out = [*TEXTS, *HEADERS, *((RESERVED[0], x) for x in RESERVED[1])]
+    for file in sorted(TEXT_FOLDER.glob("*.txt")):
+        text = file.read_text(encoding="utf-8")
+        # With and without the appendix on how to apply it; list items with and without number.
+        body, end, _ = text.partition("END OF TERMS AND CONDITIONS")
+        texts = {text, body + end, body, re.sub(r"(?m)^ *\d+\. ", "", text)}
+        out += [(file.stem, x) for x in sorted(texts)]
+        names = next(n for n in NAMES if n[0] == file.stem)
+        out += [(file.stem, f"{n}\n{text}") for n in names]
+    for names in NAMES:
+        forms = {*names, *(n if "licen" in n.lower() else f"{n} License" for n in names)}
+        later = ("or later", "or any later version") if names[0] in OR_LATER else ()
+        forms |= {f"{n} {x}" for n in forms for x in later} | {f"{n}-only" for n in names[:1] if later}
+        out += [
+            (names[0], notice.format(name))
+            for name in sorted(forms)
+            for notice in NOTICES
+            if notice != "{}" or name not in NOT_ALONE
+        ]
+    return out
+
+
 def known_licenses(spark: SparkSession) -> DataFrame:
-    """(license, text): the short whole licences and every notice with every name."""
-    notices = [(i, n.format(name)) for i, name in NAMES for n in NOTICES]
-    ids = [(i, f"SPDX-License-Identifier: {i}") for i, _ in NAMES]
-    rows = [
-        F.struct(F.lit(i).alias("license"), F.lit(t).alias("text"))
-        for i, t in (*TEXTS, *notices, *ids)
-    ]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    """(license, text): what ``known_texts`` has, as a table."""
+    rows = json.dumps([{"license": i, "text": t} for i, t in known_texts()])
+    schema = "array<struct<license:string,text:string>>"
+    return spark.range(1).select(F.inline(F.from_json(F.lit(rows), schema)))
 
 
 def anchors(forms: list[str]) -> list[str] | None:
     """Words of which every form has one, or None if it takes more than MOST_ANCHORS.
 
-    Only letters, and no word that a spelling of several words is written as: such a word
-    stands in a text exactly as in its canonical form, once spellings of one word are
-    replaced. So a text without an anchor holds no form.
+    Only letters, digits after one, and no word that a spelling of several words is written
+    as: such a word stands in a text exactly as in its canonical form, once spellings of one
+    word are replaced. So a text without an anchor holds no form.
     """
     merged = {w for said, meant in SPELLINGS if " " in said for w in meant.split()}
-    left = [{w for w in f.split() if w.isalpha()} - merged for f in forms]
+    word = re.compile(r"[^\W\d_]+|[a-z][a-z0-9]*")
+    left = [{w for w in f.split() if word.fullmatch(w)} - merged for f in forms]
     out: list[str] = []
     while left:
-        count = Counter(w for f in left for w in f)
+        # Words that stand in every other text are the last choice.
+        count = Counter(w for f in left for w in (f - COMMON or f))
         if not count or len(out) == MOST_ANCHORS:
             return None
         # The most frequent; of several the longest, which fewest texts hold by chance.
         out.append(max(count, key=lambda w: (count[w], len(w), w)))
-        left = [f for f in left if out[-1] not in f]
+        left = [f for f in left if not any(out[-1] in w for w in f)]
     return out
 
 
@@ -169,7 +278,8 @@ def may_hold(text: Column, words: list[str] | None) -> Column:
     for said, meant in SPELLINGS:
         if " " not in said:
             lower = F.replace(lower, F.lit(said), F.lit(meant))
-    return reduce(or_, [lower.contains(w) for w in words], F.lit(False))
+    # As an element of an array the lower-cased text is made once for all words.
+    return F.exists(F.array(lower), lambda x: reduce(or_, [x.contains(w) for w in words], F.lit(False)))
 
 
 def digests(known: DataFrame) -> DataFrame:
@@ -212,7 +322,7 @@ def matches(
         held.select("_id", "_tag", F.explode(kinds).alias("_kind"))
         .select("_id", "_tag", "_kind.unit", F.posexplode("_kind.parts").alias("_at", "_part"))
         # The shortest form has as many word characters as its words; nothing shorter can match.
-        .where(F.length("_part") >= least)
+        .where((F.length("_part") >= least) & may_hold(F.col("_part"), words))
         .select(
             "_id", "_tag", "unit", "_at", F.regexp_replace("_part", r"[^\p{L}\p{N}]+", " ").alias("_part")
         )

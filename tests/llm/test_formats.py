@@ -145,6 +145,34 @@ def test_whole_texts_blocks_and_lines(spark):
     assert all(rows[k].licenses == "" and rows[k].text_license is None for k in range(6, len(texts)))
 
 
+def test_notices_with_ids_short_names_and_whole_texts(spark):
+    said = {
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "Licensed under Apache-2.0": "Apache-2.0",
+        "License: GPL-3.0": "GPL-3.0",
+        "# SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0",
+        "Released under the GPLv3 or later.": "GPL-3.0",
+        "All rights reserved.": "All-Rights-Reserved",
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+        "Released under the MIT License.": "MIT",
+        "This project is licensed under the MIT License - see the [LICENSE](LICENSE) file for details.": "",
+        "This project is licensed under the MIT License - see the LICENSE file for details.": "MIT",
+        "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "Available under CC0": "CC0-1.0",
+        "MIT": "",
+    }
+    texts = {f"Some text.\n{line}\nMore of it.": name for line, name in said.items()}
+    header = next(t for i, t in licenses.HEADERS if i == "Apache-2.0" and "file" in t)
+    texts |= {f"# code\n\n// {header}\n\nimport x": "Apache-2.0"}
+    files = sorted(licenses.TEXT_FOLDER.glob("*.txt"))
+    texts |= {f"Copyright 2001 Someone\n\n{f.read_text()}": f.stem for f in files}
+    rows = {r.doc_id: r for r in licenses.op10(docs(spark, list(texts))).collect()}
+    got = [rows[k].licenses for k in range(len(texts))]
+    assert got[: -len(files)] == list(texts.values())[: -len(files)]
+    assert [rows[k].text_license for k in range(len(texts) - len(files), len(texts))] == [f.stem for f in files]
+    assert licenses.anchors([r.form for r in licenses.digests(licenses.known_licenses(spark)).collect()])
+
+
 def test_license_rows_that_repeat(spark):
     rows = [(3, "Released under the MIT License.")] * 3 + [(3, "else"), (None, "ISC License")]
     got = licenses.op10(docs(spark, rows)).collect()
