@@ -232,6 +232,20 @@ def test_without_an_article_constant_texts_are_template(spark):
     assert got == {k: f"Own {k}\nMore {k}" for k in range(5)}
 
 
+def test_a_host_with_and_without_articles(spark):
+    ship(spark)
+    rows = [(k, f"https://both.example/{k}", page(f"T{k}", [f"one {k}"])) for k in range(4)]
+    rows += [
+        (k, f"https://both.example/{k}", f"<body><section>Always here</section><div><p>Own {k}</p></div></body>")
+        for k in range(10, 14)
+    ]
+    # Only pages with an article hold this text between others; it says nothing of the second kind.
+    rows += [(20, "https://both.example/20", "<body><div><p>Ad</p></div><article><p>in</p></article></body>")]
+    table = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.op6(spark, table).collect()}
+    assert got == {k: f"T{k}\none {k}" for k in range(4)} | {k: f"Own {k}" for k in range(10, 14)} | {20: "in"}
+
+
 def test_wrappers_are_union_free_expressions():
     _, a = wrappers.blocks("<nav><li>x</li><li>y</li></nav><article><p>a</p><p>b</p></article>")
     _, b = wrappers.blocks("<nav><li>x</li></nav><div>ad</div><article><p>c</p></article>")
