@@ -246,6 +246,22 @@ def test_a_host_with_and_without_articles(spark):
     assert got == {k: f"T{k}\none {k}" for k in range(4)} | {k: f"Own {k}" for k in range(10, 14)} | {20: "in"}
 
 
+def test_places_of_rare_streams_are_judged_by_all_pages(spark, monkeypatch):
+    monkeypatch.setattr(wrappers, "STREAMS_PER_HOST", 1)
+    ship(spark)
+    shapes = ["", "<h2>A {k}</h2>", "<pre>B {k}</pre>", "<p>" + "</p><p>".join(["x{k}"] * 3) + "</p>"]
+    rows = [
+        (k, f"https://rare.example/{k}", f"<body><div>{k}</div>{shapes[k % 4].format(k=k)}<ul><li>Always</li></ul></body>")
+        for k in range(12)
+    ]
+    # One page is longer than the streams that make the wrapper, and its end is template.
+    rows += [(90, "https://rare.example/90", "<body>" + "<div>own</div><h3>text</h3>" * 1500 + "<ul><li>Always</li></ul></body>")]
+    table = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.op6(spark, table).collect()}
+    assert got[0] == "0" and got[1] == "1\nA 1" and got[2] == "2\nB 2"
+    assert not any("Always" in text for text in got.values())
+
+
 def test_wrappers_are_union_free_expressions():
     _, a = wrappers.blocks("<nav><li>x</li><li>y</li></nav><article><p>a</p><p>b</p></article>")
     _, b = wrappers.blocks("<nav><li>x</li></nav><div>ad</div><article><p>c</p></article>")
