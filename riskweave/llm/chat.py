@@ -35,6 +35,8 @@ MARKERS = (
 )
 _MARKER = rf"(?i)^\s*[#*<|\[]*\s*({'|'.join(MARKERS)})\s*[\]*|>]*\s*[:>]\s*"
 LENGTHS = (40, 120, 300)
+#: What a code has more on a line that opens a piece.
+OPENS = 2 * (len(LENGTHS) + 1)
 CODES = (len(MARKERS) + 1) * 2 * 2 * (len(LENGTHS) + 1)
 BLOCK_BITS = 9
 SMOOTHING = 0.5
@@ -111,8 +113,11 @@ class RoleModel:
 def learn(ordered: DataFrame, conversation: str, role: str) -> RoleModel:
     """A model from the rows of ``ordered`` whose role is one of ``ROLES``.
 
-    Codes are counted over all of them. Steps between rows are counted inside blocks, so a
-    conversation over several blocks lends all but one step in ``2 ** BLOCK_BITS`` rows.
+    Codes are counted over all of them; a first line with a marker also counts as it would
+    look inside a piece, so several turns in one text are told by their markers. Without a
+    marker only the start of a piece tells a new turn. Steps between rows are counted inside
+    blocks, so a conversation over several blocks lends all but one step in
+    ``2 ** BLOCK_BITS`` rows.
     Without such rows all paths are equally likely.
     """
     known = F.array_position(F.lit(list(ROLES)), F.col(role)) - 1
@@ -167,6 +172,8 @@ def learn(ordered: DataFrame, conversation: str, role: str) -> RoleModel:
         step[2 * r + 1, 2 * r + 1] += SMOOTHING
     for state, code, n in seen:
         emit[state, code] += n
+        if state % 2 == 0 and code >= 2 * OPENS:
+            emit[state, code - OPENS] += n
     for opens, entered, stayed in inside:
         step[opens, opens + 1] += entered
         step[opens + 1, opens + 1] += stayed

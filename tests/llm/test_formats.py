@@ -341,6 +341,25 @@ def test_roles_are_recovered(spark, monkeypatch):
     assert one.rendered.startswith(f"<|{one.role_pred}|>\n") and one.rendered.endswith("\n<|end|>")
 
 
+def test_turns_inside_one_text_are_recovered(spark):
+    rows = chat.transcripts(conversations(spark)).select("conv_id", "turn", "role", "raw")
+    rng = random.Random(5)
+    whole, truth = [], {}
+    for c in range(9000, 9030):
+        turns = [(("user", "assistant")[t % 2], rng.randrange(1, 4)) for t in range(rng.randrange(2, 7))]
+        marks = {"user": "User: ", "assistant": "Assistant: "}
+        lines = [marks[r] * (k == 0) + prose(rng, 8) for r, n in turns for k in range(n)]
+        whole.append((c, 0, None, "\n".join(lines)))
+        truth[c] = turns
+    table = rows.unionByName(spark.createDataFrame(whole, rows.schema))
+    made = chat.format_chats(spark, table, train=F.col("conv_id") < 9000)
+    got = {r.conv_id: r for r in made.where("conv_id >= 9000").collect()}
+    for c, turns in truth.items():
+        said = [piece.split("|>\n", 1) for piece in got[c].rendered.split("<|end|>") if piece.strip()]
+        assert [(role.strip().removeprefix("<|"), len(text.strip().split("\n"))) for role, text in said] == turns
+        assert got[c].n_turns == len(turns)
+
+
 def test_chats_with_odd_rows(spark):
     table = conversations(spark, 40)
     odd = spark.createDataFrame(
