@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import bpe, chat, decontaminate, jaccard, language, licenses, line_dedup, quality, sharding, wrappers
+from riskweave.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    hard_negatives,
+    jaccard,
+    language,
+    licenses,
+    line_dedup,
+    quality,
+    ranked_search,
+    sharding,
+    token_counts,
+    wrappers,
+)
 from riskweave.llm.common import read
 
 
@@ -50,6 +64,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.op10(read(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.op11(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.op12(read(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.op13(read(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     # At call time, since the module at the top of the repository imports this package.
     import corpus_pipeline
@@ -68,8 +94,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_latent_decontamination": op8_latent_decontamination,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_license_scan": op10_license_scan,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_token_counts": op12_token_counts,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": pipeline,
 }
 ORACLE: dict[str, str] = {
     "op1_line_dedup": line_dedup.OP1_SQL,
+    "op11_ranked_search": ranked_search.OP11_SQL,
+    "op13_hard_negatives": hard_negatives.OP13_SQL,
 }
