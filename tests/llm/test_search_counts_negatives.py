@@ -231,8 +231,9 @@ def test_products_are_exact_at_every_width():
 def test_a_huge_component_leaves_other_rows_right(spark):
     rows = [(100, 1, [1.0, 0.0]), (1, 1, [1.0, 0.5]), (6, 2, [0.5, 0.0]), (8, 2, [0.3, 9.0])]
     huge = [(9, 3, [1e30, 0.0]), (2, 1, [1e30, 1.0])]
-    got = {r.positive_id: [] for r in (made := hard_negatives.op13(vectors(spark, rows + huge)).collect())}
+    made = hard_negatives.op13(vectors(spark, rows + huge)).collect()
+    got = {}
     for r in sorted(made, key=lambda r: r.rank):
-        got[r.positive_id].append((r.negative_id, r.positive_score, r.negative_score))
+        got.setdefault(r.positive_id, []).append((r.negative_id, r.positive_score, r.negative_score))
     # Beyond 64 bits a score is the limit of a long, and 90 % of that is out of reach here.
     assert got == {1: [(6, 65536, 32768), (8, 65536, 76 * 256)]}
