@@ -21,6 +21,7 @@ from riskweave.constants import (
 )
 from riskweave.functions import haversine_km, seconds_floor, with_coordinates
 from riskweave.operators.history import with_history, with_history_since
+from riskweave.operators.summary import Summary, with_history_after
 from riskweave.schemas import RULE_INPUT
 
 Rule = Callable[[RuleSettings], Column]
@@ -87,6 +88,7 @@ def score(
     rules: Sequence[Rule] = RULES,
     cities: DataFrame | None = None,
     since: DataFrame | None = None,
+    past: Summary | None = None,
     heavy_rows: int = HEAVY_ACCOUNT_ROWS,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
@@ -95,14 +97,30 @@ def score(
     With ``since``, ``(account_id, since_us)``, only the rows from that time on of those
     accounts are judged, against the whole history in ``txns``. The rules look back, so
     new rows cannot change the judgement of rows before them.
+
+    With ``past``, the rows in ``txns`` are judged against a summary of all rows before them;
+    every one must be later than its account's last row there.
     """
     settings = settings or RuleSettings()
     limits = {"heavy_rows": heavy_rows, "chunk_rows": chunk_rows}
     seen, window = txns.select(*RULE_INPUT), settings.window_seconds
-    if since is None:
+    if past is not None:
+        history = with_history_after(seen, past, window, **limits)
+    elif since is None:
         history = with_history(seen, window, **limits)
     else:
         history = with_history_since(seen, since, window, **limits)
+    return judge(history, settings, rules=rules, cities=cities)
+
+
+def judge(
+    history: DataFrame,
+    settings: RuleSettings,
+    *,
+    rules: Sequence[Rule] = RULES,
+    cities: DataFrame | None = None,
+) -> DataFrame:
+    """Rows with history that trip at least one rule; no row sees another here."""
     # The generator computes every reason once per row. Without it the filter would be
     # pushed down with copies of the reason and distance expressions in it.
     names = [f"__reason_{i}" for i in range(len(rules))]

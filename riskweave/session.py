@@ -70,6 +70,13 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     system.delete(hadoop, True)
 
 
+def rename_folder(spark: SparkSession, path: str, target: str) -> None:
+    """Give a folder another name, which must not be taken."""
+    system, hadoop = _file_system(spark, path)
+    if not system.rename(hadoop, _file_system(spark, target)[1]):
+        raise RuntimeError(f"{path} cannot become {target}")
+
+
 _SCOPES: list[list[str]] = []
 
 

@@ -17,7 +17,7 @@ from riskweave.operators.dedupe import dedupe_against_store
 from riskweave.operators.flags import FLAG_COLUMNS
 from riskweave.operators.validate import add_missing_columns, require_columns
 from riskweave.schemas import FLAG, QUARANTINE, TXN
-from riskweave.session import _file_system, checkpoint_dir
+from riskweave.session import _file_system, checkpoint_dir, delete_folder, rename_folder
 
 ACCOUNT_BUCKET = "account_bucket"
 KEY_BUCKET = "key_bucket"
@@ -190,16 +190,22 @@ def write_batch(
     """Write the rows of one micro-batch to its own folder.
 
     A replay of the batch replaces them, or, with ``once``, keeps what a completed
-    first attempt wrote: for rows that other streams may already be reading.
+    first attempt wrote: for rows that other streams may already be reading. Such a folder
+    is written under a name that readers pass over and renamed when it is complete, so a
+    reader never meets files of an attempt that broke off.
     """
+    spark = df.sparkSession
     folder = f"{path}/batch_id={batch_id}"
-    if once and _exists(df.sparkSession, f"{folder}/_SUCCESS"):
+    if once and _exists(spark, f"{folder}/_SUCCESS"):
         return
-    if partition is None:
-        df.write.mode("overwrite").parquet(folder)
-    else:
-        rows = df.hint("rebalance", partition)
-        rows.write.mode("overwrite").partitionBy(partition).parquet(folder)
+    target = f"{path}/_attempt-{batch_id}" if once else folder
+    if partition is not None:
+        df = df.hint("rebalance", partition)
+    writer = df.write.mode("overwrite")
+    (writer if partition is None else writer.partitionBy(partition)).parquet(target)
+    if once:
+        delete_folder(spark, folder)
+        rename_folder(spark, target, folder)
 
 
 def write_transaction_batch(

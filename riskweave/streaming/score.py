@@ -18,9 +18,10 @@ from riskweave.operators.flags import (
 )
 from riskweave.operators.model import score_pending
 from riskweave.operators.rules import score
-from riskweave.operators.skew import semi_join
+from riskweave.operators.skew import null_safe_join, semi_join
+from riskweave.operators.summary import Summary, last_times
 from riskweave.schemas import RULE_INPUT, TXN
-from riskweave.session import checkpoint_dir, scratch_scope
+from riskweave.session import checkpoint_dir, materialize, scratch_scope
 from riskweave.sources.tables import (
     KEY_BUCKET,
     bucket_of,
@@ -28,6 +29,7 @@ from riskweave.sources.tables import (
     touched_buckets,
     write_batch,
 )
+from riskweave.streaming.accounts import add_summary, read_summary
 from riskweave.streaming.ingest import Clock
 from riskweave.streaming.store import FLAG_LOG, Store, require_own_batches, stored_flags
 
@@ -53,32 +55,78 @@ def score_batch(
     as_of: datetime,
     settings: RuleSettings | None = None,
 ) -> None:
-    """Re-score the accounts a micro-batch touches and log what changed.
-
-    The rules look at one account at a time and only back, so judging each account from
-    its first new row on gives the answer of a full rescan and upsert. Only rows that are
-    new or whose reasons changed are written. Known flags are read from the touched key
-    buckets, without the batch's own rows, so a replay finds the same changes.
+    """Score the rows of a micro-batch and log what changed.
+
+    An account whose new rows are all later than what was seen of it is judged from its
+    summary: neither its history nor the flag log is read, for a row seen for the first time
+    has no flag yet. The other accounts are judged again from their first new row on, from
+    the stored table, up to the last row that was seen; of these, only rows that are new or
+    whose reasons changed are written. Both give the answer of a full rescan and upsert. The
+    flag log is read without the batch's own rows, so a replay finds the same changes.
     """
-    spark = batch.sparkSession
-    checkpoint_dir(spark)
-    # The micro-batch is read once, for its accounts and their first new times.
-    first_new = F.min(F.unix_micros("occurred_at")).alias("since_us")
-    since = batch.groupBy("account_id").agg(first_new).checkpoint()
+    spark, settings = batch.sparkSession, settings or RuleSettings()
+    window = settings.window_seconds
+    # The micro-batch is read once.
+    rows = materialize(batch.select(*RULE_INPUT), "arrivals")
+    us = F.unix_micros("occurred_at")
+    since = materialize(
+        rows.groupBy("account_id").agg(F.min(us).alias("since_us"), F.max(us).alias("until_us")),
+        "accounts",
+    )
     buckets = touched_buckets(since, "account_id", store.buckets)
-    if not buckets:
-        return
+    if buckets:
+        past = read_summary(spark, store, window, batch_id, buckets)
+        # The accounts of the batch only; computed once, used for times, counts and categories.
+        past = past.map(lambda part: _of_accounts(part, since)) if batch_id else past
+        last = last_times(past.recent)
+        late = null_safe_join(since, last, "account_id", "inner")
+        late = materialize(late.filter(F.col("since_us") <= F.col("last_us")), "late-accounts")
+        if late.isEmpty():
+            found = _in_order(rows, past, settings)
+        else:
+            keys = late.select("account_id")
+            others = lambda part: null_safe_join(part, keys, "account_id", "left_anti")
+            found = _in_order(others(rows), past.map(others), settings)
+            found = found.unionByName(_again(late, store, batch_id, settings))
+        _log(found, batch_id, store, as_of)
+    add_summary(rows, batch_id, store, window)
+
+
+def _of_accounts(part: DataFrame, since: DataFrame) -> DataFrame:
+    kept = null_safe_join(part, since.select("account_id"), "account_id", "left_semi")
+    return materialize(kept, "summary")
+
+
+def _in_order(rows: DataFrame, past: Summary, settings: RuleSettings) -> DataFrame:
+    """Flagged rows of accounts that are not late; none has been judged before."""
+    return score(rows, settings, past=past).withColumns(
+        {"known_reasons": F.lit(None).cast("string"), "known_since": F.lit(None).cast("timestamp")}
+    )
+
+
+def _again(late: DataFrame, store: Store, batch_id: int, settings: RuleSettings) -> DataFrame:
+    """Flagged rows of late accounts from their first new row on, and what was known of them."""
+    spark = late.sparkSession
+    buckets = touched_buckets(late, "account_id", store.buckets)
     history = read_transactions(spark, store.transactions, RULE_INPUT, buckets)
-    scored = score(history, settings, since=since).checkpoint()
+    # Stored rows that the stream has not seen yet are judged when they come.
+    seen = F.greatest("until_us", "last_us").alias("seen_us")
+    bounded = null_safe_join(history, late.select("account_id", seen), "account_id", "inner")
+    bounded = bounded.filter(F.unix_micros("occurred_at") <= F.col("seen_us")).drop("seen_us")
+    since = late.select("account_id", "since_us")
+    scored = materialize(score(bounded, settings, since=since), "scored-again")
     buckets = touched_buckets(scored, "idempotency_key", store.buckets)
     known = stored_flags(spark, store, buckets, batch_id).select(
         "idempotency_key",
         F.col("reasons").alias("known_reasons"),
         F.col("created_at").alias("known_since"),
     )
-    changed = scored.join(known, "idempotency_key", "left").filter(
-        ~F.col("known_reasons").eqNullSafe(F.col("reasons"))
-    )
+    return scored.join(known, "idempotency_key", "left")
+
+
+def _log(found: DataFrame, batch_id: int, store: Store, as_of: datetime) -> None:
+    """Append flagged rows that are new or have other reasons than before."""
+    changed = found.filter(~F.col("known_reasons").eqNullSafe(F.col("reasons")))
     now = F.lit(as_of).cast("timestamp")
     rows = (
         as_new_flags(changed, now, "known_since")

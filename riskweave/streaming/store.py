@@ -110,6 +110,11 @@ class Store:
         """The retries a micro-batch found, and which of them it took."""
         return self._at("waiting")
 
+    @property
+    def accounts(self) -> str:
+        """Summaries of the accounts whose rows the scoring stream has seen."""
+        return self._at("accounts")
+
     def progress(self, name: str) -> str:
         return self._at(f"progress/{name}")
 

@@ -1,0 +1,149 @@
+"""Account summaries: judging new rows without their history."""
+
+from __future__ import annotations
+
+import random
+from datetime import timedelta
+
+import pytest
+from conftest import T0, frame
+from pyspark.sql import functions as F
+
+from riskweave.constants import RuleSettings
+from riskweave.operators.history import HISTORY_COLUMNS, with_history
+from riskweave.operators.rules import score
+from riskweave.operators.summary import last_times, merged, summarize, with_history_after
+from riskweave.sources.tables import write_transaction_batch
+from riskweave.streaming import accounts, score as scoring
+from riskweave.streaming.accounts import read_summary
+from riskweave.streaming.store import Store, read_new_flags, stored_flags
+
+WINDOW = 600
+SETTINGS = RuleSettings(window_seconds=WINDOW)
+CITIES = ("New York", "London", "Nowhere", None)
+
+
+def arrivals(n, seed, accounts=6):
+    """Rows in time order: one account dense, one without a name, some without a category."""
+    rng = random.Random(seed)
+    rows = []
+    for k in range(n):
+        account = rng.choice(["busy", "busy", None, *(f"acct-{j}" for j in range(accounts))])
+        when = T0 + timedelta(seconds=30 * k, microseconds=rng.randrange(1000))
+        category = rng.choice([None, "a", "b", "c", "d", "e", "f", "g"])
+        rows.append((f"k:{k}", account, 100 + k, category, rng.choice(CITIES), when))
+    return rows
+
+
+def histories(df):
+    return sorted((tuple(r) for r in df.select("idempotency_key", *HISTORY_COLUMNS).collect()), key=str)
+
+
+@pytest.mark.parametrize("limits", [{}, {"heavy_rows": 20, "chunk_rows": 15}])
+def test_history_after_a_summary_equals_history(spark, limits):
+    rows = arrivals(240, 3)
+    whole = with_history(frame(spark, rows), WINDOW)
+    parts = [frame(spark, rows[a:b]) for a, b in ((0, 70), (70, 75), (75, 160))]
+    past = summarize(parts[0], WINDOW)
+    for part in parts[1:]:
+        past = past.plus(summarize(part, WINDOW))
+    new = {r[0] for r in rows[160:]}
+    want = histories(whole.filter(F.col("idempotency_key").isin(*new)))
+    for known in (past, merged(past, WINDOW)):
+        got = with_history_after(frame(spark, rows[160:]), known, WINDOW, **limits)
+        assert histories(got) == want
+        assert got.columns == [*frame(spark, rows[:1]).columns, "us", *HISTORY_COLUMNS]
+
+
+def test_summaries_add_up_in_any_order(spark):
+    rows = arrivals(90, 4)
+    random.Random(1).shuffle(rows)
+    parts = [summarize(frame(spark, rows[k::3]), WINDOW) for k in range(3)]
+    seen = set()
+    for order in ((0, 1, 2), (2, 0, 1)):
+        a, b, c = (parts[k] for k in order)
+        made = merged(merged(a.plus(b), WINDOW).plus(c), WINDOW)
+        seen.add(str([sorted((tuple(r) for r in t.collect()), key=str) for t in (made.counts, made.recent)]))
+    whole = summarize(frame(spark, rows), WINDOW)
+    seen.add(str([sorted((tuple(r) for r in t.collect()), key=str) for t in (whole.counts, whole.recent)]))
+    assert len(seen) == 1
+    last = {r.account_id: r.last_us for r in last_times(whole.recent).collect()}
+    assert last == {r.account_id: r.last_us for r in last_times(frame(spark, rows)).collect()}
+
+
+def test_batches_in_order_read_no_history(spark, tmp_path, monkeypatch):
+    """Six batches over three generations: neither old rows nor old flags are read."""
+    monkeypatch.setattr(accounts, "GENERATION", 2)
+    store = Store(str(tmp_path / "store"), 2)
+    rows = arrivals(120, 5)
+    read, real = [], accounts.read_summary
+
+    def counted(*args, **kw):
+        past = real(*args, **kw)
+        read.append(len(past.counts.inputFiles()) + len(past.recent.inputFiles()))
+        return past
+
+    def refused(*args, **kw):
+        raise AssertionError("history was read")
+
+    monkeypatch.setattr(scoring, "read_summary", counted)
+    monkeypatch.setattr(scoring, "read_transactions", refused)
+    monkeypatch.setattr(scoring, "stored_flags", refused)
+    for k in range(6):
+        part = frame(spark, rows[20 * k : 20 * k + 20])
+        for _ in range(2 if k == 4 else 1):  # also a replay, with a later clock
+            scoring.score_batch(part, k, store, T0 + timedelta(hours=k), SETTINGS)
+    want = {r["idempotency_key"]: r["reasons"] for r in score(frame(spark, rows), SETTINGS).collect()}
+    assert {r["idempotency_key"]: r["reasons"] for r in stored_flags(spark, store).collect()} == want
+    assert len(want) > 10 and read_new_flags(spark, store).count() == len(want)
+    # A generation's folders for two buckets and two tables, whatever came before.
+    assert read[0] == 0 and max(read) <= 2 * 2 * 2
+    past = merged(read_summary(spark, store, WINDOW, 6), WINDOW)
+    whole = summarize(frame(spark, rows), WINDOW)
+    for mine, theirs in ((past.counts, whole.counts), (past.recent, whole.recent)):
+        assert sorted(map(str, mine.collect())) == sorted(map(str, theirs.collect()))
+
+
+def test_late_and_timely_accounts_in_one_batch(spark, tmp_path):
+    """Only the late accounts are judged again; stored rows that come later are left for then."""
+    store = Store(str(tmp_path / "store"), 2)
+    rows = arrivals(120, 6)
+    late = [r for r in rows if r[1] in ("busy", "acct-1") and int(r[0][2:]) % 4 == 0]
+    timely = [r for r in rows if r not in late]
+    batches = [timely[:50], timely[50:75] + late, timely[75:]]
+    schema = {"bank": "b", "native_id": "1", "currency": "USD", "merchant_name": "m"}
+    for k, part in enumerate(batches):
+        full = frame(spark, part).withColumns({c: F.lit(v) for c, v in schema.items()})
+        full = full.withColumn("raw", F.lit("")).withColumn("ingested_at", F.col("occurred_at"))
+        write_transaction_batch(full, store.transactions, k, store.buckets)
+    for k, part in enumerate(batches):
+        scoring.score_batch(frame(spark, part), k, store, T0 + timedelta(hours=k), SETTINGS)
+    found = {r["idempotency_key"]: (r["reasons"], r["created_at"].hour) for r in stored_flags(spark, store).collect()}
+    want = {r["idempotency_key"]: r["reasons"] for r in score(frame(spark, rows), SETTINGS).collect()}
+    assert {k: v for k, v in want.items()}.items() <= {k: r for k, (r, _) in found.items()}.items()
+    last = {r[0] for r in batches[2]}
+    first_hour = (T0 + timedelta(hours=2)).hour
+    timely_only = {r[0] for r in batches[2] if r[1] not in ("busy", "acct-1")}
+    assert {found[k][1] for k in last & timely_only & set(found)} <= {first_hour}
+    assert read_new_flags(spark, store).count() == len(found)
+
+
+def test_a_stream_without_its_summaries_is_refused(spark, tmp_path):
+    store = Store(str(tmp_path / "store"), 2)
+    with pytest.raises(RuntimeError, match="is missing"):
+        scoring.score_batch(frame(spark, arrivals(5, 7)), 4, store, T0, SETTINGS)
+
+
+def test_an_attempt_that_broke_off_is_not_seen(spark, tmp_path):
+    from riskweave.sources.tables import read_table, write_batch
+
+    path = str(tmp_path / "table")
+    rows = spark.createDataFrame([(1,), (2,)], "n int")
+    (tmp_path / "table" / "_attempt-0" / "n=9").mkdir(parents=True)
+    rows.write.parquet(f"{path}/_attempt-0/n=9/x")
+    schema = rows.schema
+    assert read_table(spark, path, schema).collect() == []
+    for _ in range(2):
+        write_batch(rows, path, 0, once=True)
+    assert sorted(r.n for r in read_table(spark, f"{path}/batch_id=0", schema).collect()) == [1, 2]
+    assert not (tmp_path / "table" / "_attempt-0").exists()
