@@ -415,5 +415,6 @@ ORACLE: dict[str, str] = {
     "stream_ingest": f"with {BASE} select {FLAT} from t where amount_cents <> 0",
     "stream_score": f"{DAY_RULES} select idempotency_key, reasons, 'pending' as status from r",
     "stream_rules_stateful": f"{DAY_RULES} select idempotency_key, account_id, reasons from r",
+    "stream_rules_resumed": f"{DAY_RULES} select idempotency_key, account_id, reasons from r where us >= {_CUT_US}",
     "stream_dedupe": f"with {BASE} select idempotency_key, us as occurred_us from t",
 }

@@ -55,6 +55,7 @@ from riskweave.operators.model import (
 from riskweave.operators.normalize import feed_counts, normalize_feed, union_feeds
 from riskweave.operators.rules import geo_impossible, mcc_drift, score, velocity, with_distance
 from riskweave.operators.split import chronological_split
+from riskweave.operators.summary import Summary, summarize
 from riskweave.operators.validate import (
     add_missing_columns,
     dead_letters,
@@ -973,14 +974,16 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def stream_rules_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rules with per-account state; a far-off row of nobody moves the watermark on."""
-    use_rocksdb_state(spark)
-    path, out = scratch_path(spark, "arrivals"), scratch_path(spark, "flagged")
-    txns = event_transactions(spark, sf_dir).select(*RULE_INPUT)
-    txns.write.parquet(path)
-    last = txns.agg(
+def _land_arrivals(spark: SparkSession, txns: DataFrame) -> tuple[str, int]:
+    """Rows in three deliveries by time, then a far-off row of nobody, which moves the watermark.
+
+    Also returns the number of files of a delivery.
+    """
+    path, files = scratch_path(spark, "arrivals"), 4
+    rows = txns.select(*RULE_INPUT)
+    for period in _periods(rows):
+        rows.filter(period).repartition(files).write.mode("append").parquet(path)
+    last = rows.agg(
         F.lit("nobody:0").alias("idempotency_key"),
         F.lit("nobody").alias("account_id"),
         F.lit(1).cast("bigint").alias("amount_cents"),
@@ -989,14 +992,40 @@ def stream_rules_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.max("occurred_at") + F.expr("interval 60 days")).alias("occurred_at"),
     )
     last.write.mode("append").parquet(path)
+    return path, files
+
+
+def _stateful_flags(spark: SparkSession, txns: DataFrame, past: Summary | None) -> DataFrame:
+    """What the stateful rules flag with a delay of a day, far shorter than the data."""
+    use_rocksdb_state(spark)
+    out = scratch_path(spark, "flagged")
+    path, files = _land_arrivals(spark, txns)
     arrivals = (
-        spark.readStream.schema(txns.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        spark.readStream.schema(txns.select(*RULE_INPUT).schema)
+        .option("maxFilesPerTrigger", files)
+        .parquet(path)
     )
     with state_partitions(spark):
         _drain(
-            rules_stateful(arrivals, "40 days", inputs.DAY)
+            rules_stateful(arrivals, 86_400, inputs.DAY, past=past)
             .writeStream.format("parquet")
             .option("path", out)
             .option("checkpointLocation", scratch_path(spark, "progress"))
         )
     return spark.read.parquet(out).select("idempotency_key", "account_id", "reasons")
+
+
+@query
+def stream_rules_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules with per-account state over several deliveries, rows shuffled inside each."""
+    return _stateful_flags(spark, event_transactions(spark, sf_dir), None)
+
+
+@query
+def stream_rules_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the cutoff on, started from the summary of what is stored before."""
+    txns = event_transactions(spark, sf_dir)
+    stored = F.col("occurred_at") < instant(inputs.CUTOFF)
+    past = summarize(txns.filter(stored), inputs.DAY.window_seconds)
+    return _stateful_flags(spark, txns.filter(~stored), past)
+

@@ -1,0 +1,189 @@
+"""The state of the streaming rules, driven by hand: same columns, linear work."""
+
+from __future__ import annotations
+
+import random
+
+import pandas as pd
+import pytest
+from conftest import T0, frame, txn
+from pyspark.sql import functions as F
+from test_summary import arrivals
+
+from riskweave.constants import RuleSettings
+from riskweave.operators.rules import mcc_drift, score
+from riskweave.operators.summary import summarize
+from riskweave.streaming.stateful import AccountHistory, initial_rows, rules_stateful
+
+MICROS = 1_000_000
+
+
+class Held:
+    """A value or map state that counts how often it is asked."""
+
+    def __init__(self, calls):
+        self.calls, self.data = calls, {}
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.calls[name] = self.calls.get(name, 0) + 1
+            return getattr(self, f"_{name}")(*args)
+
+        return call
+
+    def _exists(self):
+        return () in self.data
+
+    def _get(self):
+        return self.data[()]
+
+    def _update(self, value):
+        self.data[()] = value
+
+    def _containsKey(self, key):
+        return key in self.data
+
+    def _getValue(self, key):
+        return self.data[key]
+
+    def _updateValue(self, key, value):
+        self.data[key] = value
+
+    def _removeKey(self, key):
+        del self.data[key]
+
+    def _keys(self):
+        return iter(list(self.data))
+
+
+class Handle:
+    def __init__(self):
+        self.calls, self.states, self.timers = {}, {}, set()
+
+    def getValueState(self, name, *schemas):
+        return self.states.setdefault(name, Held(self.calls))
+
+    getMapState = getValueState
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+
+class Now:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def driven(rows, batches, window, delay, initial=()):
+    """Output rows of one account whose rows come in ``batches``; and the handle."""
+    handle, made = Handle(), []
+    processor = AccountHistory(window, delay)
+    processor.init(handle)
+    for part in initial:
+        processor.handleInitialState(("a",), part, None)
+    watermark = 0
+    for batch in [*batches, []]:
+        if batch:
+            columns = ["us", "idempotency_key", "merchant_category", "city", "amount_cents"]
+            list(processor.handleInputRows(("a",), iter([pd.DataFrame(batch, columns=columns)]), None))
+            watermark = max(watermark, max(r[0] for r in batch) // 1000 - delay * 1000)
+        else:
+            watermark = 1 << 60
+        due = sorted(t for t in handle.timers if t <= watermark)
+        random.Random(len(due)).shuffle(due)  # timers come in any order
+        for timer in due:
+            handle.timers.discard(timer)
+            for out in processor.handleExpiredTimer(("a",), Now(watermark), timer):
+                made += out.astype(object).where(out.notna(), None).to_dict("records")
+    return made, handle
+
+
+def wanted(rows, window):
+    rows = sorted(rows, key=lambda r: (r[0], r[1]))
+    out = {}
+    for k, (us, key, category, city, _) in enumerate(rows):
+        earlier = rows[: k + 1]
+        out[key] = (
+            k + 1,
+            sum(r[0] >= us - window * MICROS for r in earlier),
+            all(r[2] != category for r in earlier[:-1]),
+            rows[k - 1][3] if k else None,
+            rows[k - 1][0] if k else None,
+        )
+    return out
+
+
+def stream_rows(n, seed, gap):
+    rng = random.Random(seed)
+    us = 0
+    rows = []
+    for k in range(n):
+        us += rng.choice([0, 1, rng.randrange(gap * MICROS)])
+        rows.append((us, f"k{k:05}", rng.choice(["a", "b", None, "c", "d"]), rng.choice(["x", None]), k))
+    return rows
+
+
+@pytest.mark.parametrize(("window", "delay", "gap"), [(60, 30, 5), (1, 600, 4), (3600, 60, 200), (0, 5, 3)])
+def test_columns_equal_the_definition(window, delay, gap):
+    rows = stream_rows(400, window, gap)
+    batches = [rows[a : a + 37] for a in range(0, 400, 37)]
+    for batch in batches:
+        random.Random(1).shuffle(batch)
+    made, handle = driven(rows, batches, window, delay)
+    got = {r["idempotency_key"]: (r["position"], r["in_window"], r["first_use"], r["prev_city"], r["prev_us"]) for r in made}
+    assert got == wanted(rows, window)
+    # Only what the last window still holds is left.
+    assert not handle.states["waiting"].data and not handle.timers
+    kept = sum(len(v[0]) for v in handle.states["times"].data.values())
+    last = rows[-1][0]
+    slack = max(window * MICROS // 16, MICROS)
+    assert kept <= sum(r[0] >= last - window * MICROS - slack for r in rows)
+
+
+def test_work_is_linear_in_rows():
+    """Ten times the rows at ten times the density: not more than some twenty times the calls."""
+    calls = []
+    for n, gap in ((300, 20), (3000, 2)):
+        rows = stream_rows(n, 9, gap)
+        _, handle = driven(rows, [rows[a : a + 20] for a in range(0, n, 20)], 600, 900)
+        calls.append(sum(handle.calls.values()))
+    assert calls[1] < 20 * calls[0], calls
+
+
+def test_parts_of_an_initial_state_add_up(spark):
+    rows = stream_rows(300, 5, 8)
+    txns = [(k, "a", amount, category, city, T0 + pd.Timedelta(microseconds=us)) for us, k, category, city, amount in rows]
+    past = initial_rows(summarize(frame(spark, txns[:200]), 120)).toPandas()
+    past = past.sample(frac=1, random_state=3)
+    start = int(T0.timestamp() * MICROS)
+    later = [(us + start, *rest) for us, *rest in rows[200:]]
+    made, _ = driven(later, [later[:60], later[60:]], 120, 30, [past.iloc[:40], past.iloc[40:]])
+    want = wanted([(us + start, *rest) for us, *rest in rows], 120)
+    assert len(made) == 100
+    for r in made:
+        key = r["idempotency_key"]
+        assert (r["position"], r["in_window"], r["first_use"], r["prev_city"], r["prev_us"]) == want[key]
+
+
+def test_stream_from_stored_rows_with_own_rules_and_cities(spark, tmp_path):
+    """Started from a summary, with one rule and no city known: as the batch rules say."""
+    rows = [r for r in arrivals(240, 8) if r[1] is not None]
+    settings = RuleSettings(window_seconds=600, min_history=2)
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    far = [txn("zzz", "nobody", seconds=10 * 86400)]
+    for part in (rows[120:180], rows[180:], far):
+        frame(spark, part).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(frame(spark, far).schema).option("maxFilesPerTrigger", 1).parquet(source)
+    flagged = rules_stateful(
+        stream, 300, settings, rules=(mcc_drift,), past=summarize(frame(spark, rows[:120]), 600)
+    )
+    writer = flagged.writeStream.format("parquet").option("path", out)
+    writer.option("checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True).start().awaitTermination()
+    want = score(frame(spark, rows), settings, rules=(mcc_drift,))
+    want = want.filter(F.col("idempotency_key").isin([r[0] for r in rows[120:]]))
+    got = spark.read.parquet(out)
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

@@ -274,7 +274,7 @@ def test_stateful_rules_equal_the_batch_rules(spark, tmp_path):
     )
     heavy = spark.createDataFrame([("acct-3",)], "account_id string")
     drain(
-        rules_stateful(stream, "2 hours", heavy_accounts=heavy)
+        rules_stateful(stream, 7200, heavy_accounts=heavy)
         .writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", str(tmp_path / "progress"))
