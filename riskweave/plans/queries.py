@@ -103,11 +103,13 @@ from riskweave.sources.tables import (
     write_transactions,
 )
 from riskweave.streaming.ingest import (
+    dedupe_stream,
     drop_recent_duplicates,
     ingest_batch,
     ingest_stream,
     read_message_files,
 )
+from riskweave.streaming.keys import load_history
 from riskweave.streaming.score import (
     dashboard_snapshot,
     read_flag_feed,
@@ -116,7 +118,7 @@ from riskweave.streaming.score import (
     score_stream,
 )
 from riskweave.streaming.stateful import rules_stateful
-from riskweave.streaming.store import Store, current_flags, load_history, read_scores
+from riskweave.streaming.store import Store, current_flags, read_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -955,21 +957,25 @@ def stream_score_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bounded-memory duplicate filter on a stream that serves every row twice."""
-    path = scratch_path(spark, "served")
-    served = event_transactions(spark, sf_dir).select("idempotency_key", "occurred_at")
-    served.write.parquet(path)
-    served.write.mode("append").parquet(path)
-    out = scratch_path(spark, "deduped")
-    stream = spark.readStream.schema(served.schema).parquet(path)
+    """Every row served three times: at once, soon after, and when its state is long gone.
+
+    The bounded filter in front forgets a key after a day of event time, a thirtieth of the
+    data; the third serving is found by the index, which forgets none.
+    """
+    path, files = scratch_path(spark, "served"), 4
+    txns = event_transactions(spark, sf_dir).withColumn("served_at", F.col("occurred_at"))
+    for period in _periods(txns):
+        rows = txns.filter(period).persist()
+        for _ in range(2):
+            rows.repartition(files).write.mode("append").parquet(path)
+        rows.unpersist()
+    later = txns.withColumn("served_at", F.col("occurred_at") + F.expr("interval 60 days"))
+    later.repartition(files).write.mode("append").parquet(path)
+    store = Store(scratch_path(spark, "store"), BUCKETS)
+    served = spark.readStream.schema(txns.schema).option("maxFilesPerTrigger", files).parquet(path)
     with state_partitions(spark):
-        _drain(
-            drop_recent_duplicates(stream, "occurred_at", "40 days")
-            .writeStream.format("parquet")
-            .option("path", out)
-            .option("checkpointLocation", scratch_path(spark, "progress"))
-        )
-    return spark.read.parquet(out).select(
+        _drain(dedupe_stream(drop_recent_duplicates(served, "served_at", "1 day"), store))
+    return read_transactions(spark, store.transactions).select(
         "idempotency_key", micros(F.col("occurred_at")).alias("occurred_us")
     )
 

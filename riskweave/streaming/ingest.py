@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from riskweave.constants import UNMARSHAL_PREFIX
-from riskweave.operators.dedupe import dedupe_first, not_in_store
+from riskweave.operators.dedupe import dedupe_first
 from riskweave.operators.validate import (
     accepted,
     dead_letters,
@@ -21,15 +21,12 @@ from riskweave.operators.validate import (
 )
 from riskweave.schemas import ENVELOPE, TXN
 from riskweave.sources.envelopes import parse_envelope, unparseable
-from riskweave.session import delete_folder
+from riskweave.session import delete_folder, scratch_scope
 from riskweave.sources.tables import (
     read_batches,
-    read_keys,
-    touched_buckets,
     write_batch,
-    write_key_batch,
-    write_transaction_batch,
 )
+from riskweave.streaming.keys import remember, store_new
 from riskweave.streaming.store import RETRY, TALLY, Store, require_own_batches
 
 Clock = Callable[[int], datetime]
@@ -78,6 +75,22 @@ def drop_recent_duplicates(
     return messages.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
 
 
+def dedupe_stream(rows: DataFrame, store: Store) -> DataStreamWriter:
+    """Store each key of a stream of transactions once, however late its copies come.
+
+    Without state and without a watermark: no row is too late, and no key is forgotten. Where
+    most copies come soon, ``drop_recent_duplicates`` ahead of it spares them the look-up.
+    """
+    require_own_batches(rows.sparkSession, store.keys, store.progress("dedupe"))
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        with scratch_scope(batch.sparkSession):
+            first = dedupe_first(batch.select(*TXN.fieldNames()), "occurred_at")
+            remember(store_new(first, batch_id, store), batch_id, store)
+
+    return rows.writeStream.foreachBatch(run).option("checkpointLocation", store.progress("dedupe"))
+
+
 def ingest_batch(
     batch: DataFrame,
     batch_id: int,
@@ -88,8 +101,7 @@ def ingest_batch(
     """Store the new transactions of one micro-batch and route the rest.
 
     ``handler`` gives the error of a delivery that may succeed later, or NULL.
-    Duplicates are looked up in the key buckets the batch falls into, among keys of
-    other batches. Every table keeps the rows of a batch in a folder of its own, and the
+    Duplicates are looked for among the keys of all other batches, through filters first. Every table keeps the rows of a batch in a folder of its own, and the
     due retries and the outcome of each delivery are fixed by the first attempt, so a
     replay, from whatever point and with whatever clock, ends in the same tables.
     """
@@ -129,15 +141,12 @@ def ingest_batch(
     good = dedupe_first(
         accepted(checked.filter(F.col("failure").isNull())), "occurred_at", "body"
     ).select(*TXN.fieldNames())
-    buckets = touched_buckets(good, "idempotency_key", store.buckets)
-    known = read_keys(spark, store.keys, buckets, batch_id)
-    write_transaction_batch(not_in_store(good, known), store.transactions, batch_id, store.buckets)
-    new = read_batches(spark, store.transactions, TXN, batch_id)
+    new = store_new(good, batch_id, store)
     tally = outcome_counts(checked, broken, new.count()).unionByName(
         routed.groupBy(F.col("route").alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
     )
     write_batch(tally.select(*TALLY.fieldNames()), store.tally, batch_id)
-    write_key_batch(new, store.keys, batch_id, store.buckets)
+    remember(new, batch_id, store)
     # The batch before is committed, so it cannot come again.
     for path in (store.staged, store.waiting):
         delete_folder(spark, f"{path}/batch_id={batch_id - 1}")
@@ -167,6 +176,9 @@ def ingest_stream(
 ) -> DataStreamWriter:
     """The stream, not yet started; the caller sets the trigger."""
     require_own_batches(messages.sparkSession, store.keys, store.progress("ingest"))
-    return messages.writeStream.foreachBatch(
-        lambda batch, batch_id: ingest_batch(batch, batch_id, store, clock(batch_id), handler)
-    ).option("checkpointLocation", store.progress("ingest"))
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        with scratch_scope(batch.sparkSession):
+            ingest_batch(batch, batch_id, store, clock(batch_id), handler)
+
+    return messages.writeStream.foreachBatch(run).option("checkpointLocation", store.progress("ingest"))

@@ -27,8 +27,6 @@ from riskweave.sources.tables import (
     batch_ids,
     read_batches,
     read_table,
-    write_key_batch,
-    write_transaction_batch,
 )
 
 RETRY = T.StructType(
@@ -76,6 +74,10 @@ class Store:
     def keys(self) -> str:
         return self._at("keys")
 
+    @property
+    def key_filters(self) -> str:
+        return self._at("key_filters")
+
     @property
     def quarantine(self) -> str:
         return self._at("quarantine")
@@ -119,21 +121,6 @@ class Store:
         return self._at(f"progress/{name}")
 
 
-def load_history(txns: DataFrame, store: Store) -> int:
-    """Add existing transactions, unique by key, to a store; returns their batch number.
-
-    Every load takes a new number below 0, so loads in parts add up. Keys that the store
-    already holds are the caller's to drop. A load that broke off before its keys were
-    complete is written again under the same number.
-    """
-    spark = txns.sparkSession
-    done = [b for b in batch_ids(spark, store.keys) if _exists(spark, f"{store.keys}/batch_id={b}/_SUCCESS")]
-    batch = min([HISTORY_BATCH + 1, *done]) - 1
-    write_transaction_batch(txns, store.transactions, batch, store.buckets)
-    write_key_batch(txns, store.keys, batch, store.buckets)
-    return batch
-
-
 def require_own_batches(spark: SparkSession, path: str, progress: str) -> None:
     """Fail if a table holds micro-batches of a stream whose progress is not there.
 

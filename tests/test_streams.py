@@ -28,6 +28,7 @@ from riskweave.streaming.ingest import (
     ingest_stream,
     read_message_files,
 )
+from riskweave.streaming.keys import load_history
 from riskweave.streaming.score import (
     dashboard_snapshot,
     read_transaction_files,
@@ -39,7 +40,6 @@ from riskweave.streaming.store import (
     TALLY,
     Store,
     current_flags,
-    load_history,
     read_new_flags,
     record_decisions,
     stored_flags,
@@ -68,8 +68,8 @@ def test_ingest_stores_each_key_once(spark, tmp_path):
     first = txns(spark, [*good[:20], ("bank-a", "bad", 0, 0)])
     second = txns(spark, good[10:])
     broken = spark.createDataFrame([("{bad", 0, "m")], "body string, retry_count int, message_id string")
-    to_envelope(first).unionByName(to_envelope(first)).write.mode("append").json(source)
-    to_envelope(second).unionByName(broken).write.mode("append").json(source)
+    for part in (to_envelope(first).unionByName(to_envelope(first)), to_envelope(second).unionByName(broken)):
+        part.coalesce(1).write.mode("append").json(source)
     drain(ingest_stream(read_message_files(spark, source, 1), store, clock))
     assert read_transactions(spark, store.transactions).count() == 30
     reasons = [r["reason"] for r in read_batches(spark, store.quarantine).collect()]
@@ -102,16 +102,21 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
 
 def test_replay_from_every_point_of_failure(spark, tmp_path, monkeypatch):
     """The batch dies before each of its writes in turn and is repeated each time."""
-    from riskweave.streaming import ingest
+    from riskweave.streaming import ingest, keys
 
     store = Store(str(tmp_path / "store"), 2)
     load_history(txns(spark, [("bank-a", "0", 5, 0)]), store)
     batch = to_envelope(txns(spark, [("bank-a", str(i), i % 3, i) for i in range(1, 9)] * 2))
-    steps = ("write_batch", "write_transaction_batch", "write_key_batch")
-    for step in steps:
+    steps = {
+        "write_batch": ingest,
+        "write_transaction_batch": keys,
+        "write_key_batch": keys,
+        "write_filters": keys,
+    }
+    for step, module in steps.items():
         for fail_at in (1, 2, 3) if step == "write_batch" else (1,):
             calls = []
-            real = getattr(ingest, step)
+            real = getattr(module, step)
 
             def dies(*args, calls=calls, real=real, fail_at=fail_at, **kw):
                 calls.append(1)
@@ -119,7 +124,7 @@ def test_replay_from_every_point_of_failure(spark, tmp_path, monkeypatch):
                     raise RuntimeError("executor lost")
                 return real(*args, **kw)
 
-            monkeypatch.setattr(ingest, step, dies)
+            monkeypatch.setattr(module, step, dies)
             with pytest.raises(RuntimeError):
                 ingest_batch(batch, 0, store, clock(0))
             monkeypatch.undo()
