@@ -6,6 +6,8 @@ properties) decides which rows are dirty, and the event type decides the feed.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from riskweave.constants import RuleSettings
 from riskweave.functions import idempotency_key, rfc3339_text
 from riskweave.operators.flags import FLAG_COLUMNS, as_new_flags, review
 from riskweave.operators.rules import score
+from riskweave.session import materialize
 from riskweave.sources.envelopes import to_envelope
 from riskweave.sources.feeds import FEEDS, parse_records
 from riskweave.sources.harness import (
@@ -132,6 +135,44 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _cursor(page: Column) -> Column:
+    """A cursor that tells nothing about the order of pages; none for the first request."""
+    return F.when(page == 0, F.lit("")).otherwise(F.md5(page.cast("string")))
+
+
+def cursor_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed pages under cursors; the last one names no further page."""
+    pages = landed_pages(spark, sf_dir)
+    last = pages.agg(F.max("page_no").alias("last"))
+    ends = F.col("page_no") == F.col("last")
+    named = F.when(ends, F.lit("")).otherwise(_cursor(F.col("page_no") + 1))
+    return pages.withColumn("one", F.lit(1)).join(F.broadcast(last.withColumn("one", F.lit(1))), "one").select(
+        "page_no", _cursor(F.col("page_no")).alias("cursor"), _naming(F.col("body"), named).alias("body")
+    )
+
+
+def _naming(body: Column, cursor: Column) -> Column:
+    """The page's text with another next cursor, which is its last field."""
+    return F.concat(F.substring_index(body, '"next_cursor"', 1), F.lit('"next_cursor":"'), cursor, F.lit('"}'))
+
+
+def damaged_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain of pages in six deliveries: whole and served twice, and with five defects."""
+    pages = materialize(cursor_pages(spark, sf_dir), "cursor-pages")
+    body, n = F.col("body"), F.col("page_no")
+    cut = F.substring(body, F.lit(1), F.length(body) - 10)
+    deliveries = {
+        "whole": pages.unionByName(pages),
+        "unreadable": pages.withColumn("body", F.when(n == 2, cut).otherwise(body)),
+        "hole": pages.filter(n != 3),
+        "fork": pages.unionByName(pages.filter(n == 2).withColumn("body", _naming(body, _cursor(n + 2)))),
+        "loop": pages.withColumn("body", F.when(n == 5, _naming(body, _cursor(n - 3))).otherwise(body)),
+        "headless": pages.filter(n != 0),
+    }
+    named = [d.withColumn("delivery", F.lit(name)) for name, d in deliveries.items()]
+    return reduce(DataFrame.unionByName, named).select("delivery", "cursor", "body")
+
+
 def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events without a bank (k = 7), without an id (k = 8) or with amount 0 (k = 9)."""
     rows = keyed_events(spark, sf_dir)

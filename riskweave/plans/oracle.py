@@ -224,6 +224,26 @@ ORACLE: dict[str, str] = {
     "explode_landed_pages": f"""with {BASE} select 'bank-a:' || event_id as idempotency_key,
         'bank-a' as bank, native_id, account_id, amount_cents, currency, merchant_name,
         merchant_category, city, us as occurred_us from t""",
+    "explode_chained_pages": f"""with {BASE} select 'bank-a:' || event_id as idempotency_key,
+        'bank-a' as bank, native_id, account_id, amount_cents, currency, merchant_name,
+        merchant_category, city, us as occurred_us from t""",
+    "page_chain": f"""with p as (select event_id // {PAGE_ROWS} as n from events
+          union select (event_id + 1) // {PAGE_ROWS} from events),
+        k as (select n, case when n = 0 then '' else md5(n::varchar) end as cursor, (select max(n) from p) as last from p),
+        -- The first page off the chain, by delivery; a fork that skips page 3 leaves out that one only.
+        d(delivery, off) as (values ('whole', null), ('unreadable', 3), ('hole', 3), ('fork', null), ('loop', 6), ('headless', 0)),
+        r as (select delivery, cursor, n, last, off, delivery = 'fork' and md5('4') < md5('3') as skips from k, d
+            where not (delivery = 'hole' and n = 3) and not (delivery = 'headless' and n = 0)),
+        q as (select *, n >= off is true or (skips and n = 3) as is_off from r)
+        select delivery, cursor,
+          case when not is_off then n - (skips and n > 3)::int end::bigint as position,
+          case when is_off then 'not on the chain'
+            when delivery = 'unreadable' and n = 2 then 'unreadable page'
+            when delivery = 'fork' and n = 2 then 'two next pages'
+            when delivery = 'hole' and n = 2 then 'next page missing'
+            when delivery = 'loop' and n = 5 then 'loops back' end as problem
+        from q
+        union all select 'headless', '', null, 'first page missing'""",
     "page_overlap": f"""with p as (select event_id // {PAGE_ROWS} as page_no from events
         union all select (event_id + 1) // {PAGE_ROWS} from events
           where (event_id + 1) // {PAGE_ROWS} <> event_id // {PAGE_ROWS})

@@ -92,6 +92,7 @@ from riskweave.sources.harness import (
     order_transactions,
     table,
 )
+from riskweave.sources import page_chain as chain
 from riskweave.sources.tables import (
     compact_transactions,
     count_transactions,
@@ -210,6 +211,21 @@ def page_delivery_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delivery_gaps(landed.filter(F.col("page_no") != 5), FEEDS["bank-a"])
 
 
+@query
+def page_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six deliveries of all pages, five of them broken in one way each."""
+    return chain.page_chain(inputs.damaged_deliveries(spark, sf_dir), FEEDS["bank-a"])
+
+
+@query
+def explode_chained_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping pages in the order of their cursors to records, the first serving kept."""
+    feed = FEEDS["bank-a"]
+    pages = inputs.cursor_pages(spark, sf_dir).withColumn("delivery", F.lit("whole"))
+    records = explode_pages(chain.numbered_pages(pages, feed), feed)
+    return _flat(dedupe_feed(normalize_feed(records, feed, as_of=_as_of())))
+
+
 @query
 def page_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records as served, overlap included."""
