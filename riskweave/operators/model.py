@@ -6,13 +6,14 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskweave.constants import (
+    CHUNK_ROWS,
     DECISION_THRESHOLD,
     FEATURE_COLUMNS,
     MAX_TRAINING_ROWS,
@@ -27,6 +28,7 @@ from riskweave.constants import (
 from riskweave.functions import reason_count
 from riskweave.operators.features import build_features
 from riskweave.operators.flags import FLAG_COLUMNS
+from riskweave.operators.skew import CHUNK, range_chunks
 from riskweave.operators.split import apply_split, split_boundaries
 from riskweave.session import checkpoint_dir, materialize
 
@@ -77,33 +79,53 @@ def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
     )
 
 
-def held_out_metrics(predictions: DataFrame) -> DataFrame:
-    """Metrics of held-out rows; 0 where precision or recall is undefined, NaN AUC for one class.
+def score_classes(predictions: DataFrame) -> DataFrame:
+    """Rows that share a score, counted: ``ml_score, attacks, others, hits, called``.
 
-    ``predictions`` carries ``label``, ``ml_score`` and ``predicted``. The area under
-    the curve is exact: one point per distinct score, sorted across the cluster.
+    Counted map-side first, so a score that many rows share is one row per task.
     """
     attack, called = F.col("label") == 1, F.col("predicted") == 1
-    counts = predictions.agg(
-        F.count(F.lit(1)).alias("test_size"),
-        F.count_if(attack).alias("test_attack_count"),
+    return predictions.groupBy("ml_score").agg(
+        F.count_if(attack).alias("attacks"),
+        F.count_if(~F.coalesce(attack, F.lit(False))).alias("others"),
         F.count_if(attack & called).alias("hits"),
         F.count_if(called).alias("called"),
     )
-    one = counts.first()
-    both = 0 < one["test_attack_count"] < one["test_size"]
-    auc = float("nan")
-    if both:
-        evaluator = BinaryClassificationEvaluator(
-            labelCol="label", rawPredictionCol="ml_score", numBins=0
-        )
-        auc = evaluator.evaluate(predictions.select("label", "ml_score"))
+
+
+def held_out_metrics(predictions: DataFrame, *, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Metrics of held-out rows; 0 where precision or recall is undefined, NaN AUC for one class.
+
+    ``predictions`` carries ``label``, ``ml_score`` and ``predicted`` and is scanned once. The
+    area under the curve is the exact rank sum: the share of (attack, other) pairs in which
+    the attack has the higher score, equal scores counting a half. Classes of equal scores
+    are sorted in range chunks, and a chunk needs only the others counted below it, so
+    nothing is sorted as a whole and no point of the curve is dropped.
+    """
+    classes = materialize(score_classes(predictions), "score-classes")
+    spark, rows = classes.sparkSession, classes.count()
+    below, auc = F.lit(0).cast("bigint"), float("nan")
+    sums = ("attacks", "others", "hits", "called")
+    totals = classes.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums])
+    one = totals.first()
+    if one["attacks"] and one["others"]:
+        chunks = range_chunks(classes, ["ml_score"], rows, chunk_rows)
+        before = W.orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
+        # One row per chunk, of which there are few.
+        carried = chunks.groupBy(CHUNK).agg(F.sum("others").alias("n"))
+        carried = carried.select(CHUNK, F.coalesce(F.sum("n").over(before), below).alias("before"))
+        within = W.partitionBy(CHUNK).orderBy("ml_score").rowsBetween(W.unboundedPreceding, -1)
+        placed = chunks.withColumn("lower", F.coalesce(F.sum("others").over(within), below))
+        won = F.col("attacks") * (2 * (F.col("before") + F.col("lower")) + F.col("others"))
+        # Doubled, so that it stays a whole number; a decimal, since pairs outgrow 64 bits.
+        halves = placed.join(F.broadcast(carried), CHUNK).agg(F.sum(won.cast("decimal(38,0)")))
+        auc = float(halves.first()[0] / (2 * one["attacks"] * one["others"]))
     zero = F.lit(0.0)
-    return predictions.sparkSession.createDataFrame([one.asDict()], counts.schema).select(
-        "test_size",
-        "test_attack_count",
+    return spark.createDataFrame([one.asDict()], totals.schema).select(
+        (F.col("attacks") + F.col("others")).alias("test_size"),
+        F.col("attacks").alias("test_attack_count"),
         F.coalesce(F.try_divide("hits", "called"), zero).alias("precision"),
-        F.coalesce(F.try_divide("hits", "test_attack_count"), zero).alias("recall"),
+        F.coalesce(F.try_divide("hits", "attacks"), zero).alias("recall"),
         F.lit(auc).alias("auc"),
     )
 

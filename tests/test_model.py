@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import math
-from datetime import timedelta
+import shutil
 
 import pytest
-from conftest import T0, at
+from conftest import at
 from pyspark.sql import functions as F
 
 from riskweave.operators.features import build_features
@@ -31,16 +31,17 @@ SCHEMA = (
 )
 
 
-def synthetic(spark, n_legit=300, n_attack=60):
+def ledger(spark, calm=250, raids=70):
+    """Card holders who shop all day, and three mules who buy vouchers within an hour."""
+    shops = [("5812", "London"), ("5942", "Paris"), ("5541", None)]
     rows = [
-        (f"legit-{i}", f"acct-{i % 20}", 500 + (i % 30) * 100, "5411", "New York",
-         T0 + timedelta(hours=i), 0, 0.0)
-        for i in range(n_legit)
-    ] + [
-        (f"attack-{i}", "acct-attack", 5000 + i * 10, "7995", "New York",
-         T0 + timedelta(days=200, seconds=i * 5), 2, 1.0)
-        for i in range(n_attack)
-    ]
+        (f"calm-{i}", f"holder-{i % 13}", 120 + 11 * (i * 37 % 211), *shops[i % 3], at(2820 * i), i % 2, 0.0)
+        for i in range(calm)
+    ]
+    rows += [
+        (f"raid-{i}", f"mule-{i % 3}", 90_000 - 17 * i, "6051", "Tokyo", at(3_456_000 + 11 * i), 1 + i % 2, 1.0)
+        for i in range(raids)
+    ]
     return spark.createDataFrame(rows, SCHEMA)
 
 
@@ -98,21 +99,21 @@ def test_split_does_not_shuffle_the_rows(spark):
 
 
 def test_gate(spark):
-    row = training_gate(synthetic(spark)).first()
-    assert (row["n_rows"], row["n_labels"], row["ready"]) == (360, 2, True)
-    assert not training_gate(synthetic(spark, 300, 0)).first()["ready"]
-    assert not training_gate(synthetic(spark, 100, 60)).first()["ready"]
-    assert not training_gate(synthetic(spark).limit(0)).first()["ready"]
+    row = training_gate(ledger(spark)).first()
+    assert (row["n_rows"], row["n_labels"], row["ready"]) == (320, 2, True)
+    assert not training_gate(ledger(spark, 250, 0)).first()["ready"]
+    assert not training_gate(ledger(spark, 120, 70)).first()["ready"]
+    assert not training_gate(ledger(spark).limit(0)).first()["ready"]
 
 
 def test_train_and_evaluate(spark, tmp_path):
-    df = synthetic(spark)
+    df = ledger(spark)
     trained = train_and_evaluate(df, trees=10)
     row = trained.metrics.first()
     assert trained.metrics.columns == [
         "train_size", "test_size", "test_attack_count", "precision", "recall", "auc",
     ]
-    assert (row["train_size"], row["test_size"], row["test_attack_count"]) == (288, 72, 12)
+    assert (row["train_size"], row["test_size"], row["test_attack_count"]) == (256, 64, 14)
     assert row["recall"] > 0.5 and 0 <= row["precision"] <= 1 and row["auc"] == 1.0
 
     path = str(tmp_path / "model")
@@ -126,31 +127,31 @@ def test_train_and_evaluate(spark, tmp_path):
 
 
 def test_the_gate_stands_before_training(spark):
-    for few in (synthetic(spark, 300, 0), synthetic(spark, 60, 60)):
+    for few in (ledger(spark, 250, 0), ledger(spark, 50, 70)):
         with pytest.raises(ValueError, match="not enough to train on"):
             train_and_evaluate(few, trees=1)
 
 
 def test_fitting_is_bounded_and_counts_are_not(spark):
-    df = synthetic(spark)
-    kept = bounded_sample(df, 360, 100).count()
-    assert 70 < kept < 130 and bounded_sample(df, 360, 360) is df
+    df = ledger(spark)
+    kept = bounded_sample(df, 320, 100).count()
+    assert 70 < kept < 130 and bounded_sample(df, 320, 320) is df
     row = train_and_evaluate(df, trees=2, max_rows=150).metrics.first()
-    assert (row["train_size"], row["test_size"]) == (288, 72)
+    assert (row["train_size"], row["test_size"]) == (256, 64)
 
 
 def test_train_save_and_score(spark, tmp_path):
-    df = synthetic(spark)
+    df = ledger(spark)
     txns = df.select(
         "idempotency_key", "account_id", "amount_cents", "merchant_category", "city", "occurred_at",
         F.when(F.col("label") == 1, F.lit("attack-sim")).otherwise(F.lit("b")).alias("bank"),
     )
     flags = spark.createDataFrame(
-        [(k, a, 1, "c", "r", at(0), "pending", None, at(0), at(0)) for k, a in (("attack-3", "acct-attack"), ("legit-5", "acct-5"))],
+        [(k, a, 1, "c", "r", at(0), "pending", None, at(0), at(0)) for k, a in (("raid-3", "mule-0"), ("calm-5", "holder-5"))],
         FLAG,
     )
     trained, scored = train_and_rescore(txns, flags, str(tmp_path / "m"), trees=5)
-    assert trained.metrics.first()["test_size"] == 72
+    assert trained.metrics.first()["test_size"] == 64
     assert all(0 <= r["ml_score"] <= 1 for r in scored.collect())
 
 
@@ -162,22 +163,37 @@ def test_metrics_when_undefined(spark):
     assert (row["precision"], row["recall"]) == (0.0, 0.0) and math.isnan(row["auc"])
 
 
-def test_auc_is_exact(spark):
-    rows = [(float(i % 3 == 0), i / 100, int(i > 50)) for i in range(100)]
+@pytest.mark.parametrize("chunk_rows", [1 << 20, 7])
+@pytest.mark.parametrize("step", [1, 9, 100])
+def test_auc_is_exact(spark, step, chunk_rows):
+    """Also where many rows share a score and the classes of scores are cut into chunks."""
+    rows = [(float(i % 3 == 0 or i > 80), (i // step) / 100, int(i > 50)) for i in range(100)]
     df = spark.createDataFrame(rows, "label double, ml_score double, predicted int")
     pos = [s for y, s, _ in rows if y == 1]
     neg = [s for y, s, _ in rows if y == 0]
     wins = sum((p > q) + 0.5 * (p == q) for p in pos for q in neg)
-    assert held_out_metrics(df).first()["auc"] == pytest.approx(wins / len(pos) / len(neg))
+    row = held_out_metrics(df, chunk_rows=chunk_rows).first()
+    assert row["auc"] == pytest.approx(wins / len(pos) / len(neg))
+    hits = sum(y == 1 and p == 1 for y, _, p in rows)
+    assert (row["precision"], row["recall"]) == pytest.approx((hits / 49, hits / len(pos)))
+
+
+def test_metrics_scan_the_predictions_once(spark, tmp_path):
+    """The rows are deleted after the classes of scores are written; the metrics still come."""
+    path = str(tmp_path / "predictions")
+    spark.createDataFrame([(float(i % 2), i / 7, i % 2) for i in range(40)], "label double, ml_score double, predicted int").write.parquet(path)
+    metrics = held_out_metrics(spark.read.parquet(path))
+    shutil.rmtree(path)
+    assert metrics.first()["test_size"] == 40
 
 
 def test_score_pending_scores_each_flag_once(spark):
-    df = synthetic(spark)
+    df = ledger(spark)
     model = train(build_features(df), trees=5)
     base = [
-        ("attack-3", "acct-attack", None),
-        ("legit-5", "acct-5", 0.123),
-        ("legit-7", "acct-7", None),
+        ("raid-3", "mule-0", None),
+        ("calm-5", "holder-5", 0.123),
+        ("calm-7", "holder-7", None),
         ("gone", "acct-x", None),
     ]
     flags = spark.createDataFrame(
@@ -187,7 +203,7 @@ def test_score_pending_scores_each_flag_once(spark):
         r["idempotency_key"]: r["ml_score"]
         for r in score_pending(flags, df.drop("rule_flag_count"), model).collect()
     }
-    assert after["legit-5"] == 0.123 and after["gone"] is None
-    assert after["attack-3"] > 0.5 > after["legit-7"]
+    assert after["calm-5"] == 0.123 and after["gone"] is None
+    assert after["raid-3"] > 0.5 > after["calm-7"]
     full = predict(model, build_features(df.withColumn("rule_flag_count", F.lit(0))))
-    assert set(after) == {"attack-3", "legit-5", "legit-7", "gone"} and full.count() == 360
+    assert set(after) == {"raid-3", "calm-5", "calm-7", "gone"} and full.count() == 320
