@@ -217,4 +217,9 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 
 def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    """A stored model; one that was fitted on other features, or in another order, is refused."""
+    model = PipelineModel.load(path)
+    stored = [list(s.getInputCols()) for s in model.stages if isinstance(s, VectorAssembler)]
+    if stored != [list(FEATURE_COLUMNS)]:
+        raise ValueError(f"{path} was fitted on {stored}, not on {list(FEATURE_COLUMNS)}")
+    return model

@@ -436,5 +436,7 @@ ORACLE: dict[str, str] = {
     "stream_score": f"{DAY_RULES} select idempotency_key, reasons, 'pending' as status from r",
     "stream_rules_stateful": f"{DAY_RULES} select idempotency_key, account_id, reasons from r",
     "stream_rules_resumed": f"{DAY_RULES} select idempotency_key, account_id, reasons from r where us >= {_CUT_US}",
+    "stream_poison_batch": f"""with {BASE} select idempotency_key,
+        case when event_id % 2500 = 7 then 'poison' else 'stored' end as outcome from t""",
     "stream_dedupe": f"with {BASE} select idempotency_key, us as occurred_us from t",
 }

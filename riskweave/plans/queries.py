@@ -110,7 +110,8 @@ from riskweave.streaming.ingest import (
     ingest_stream,
     read_message_files,
 )
-from riskweave.streaming.keys import load_history
+from riskweave.streaming.isolate import isolated, read_poison
+from riskweave.streaming.keys import load_history, remember, store_new
 from riskweave.streaming.score import (
     dashboard_snapshot,
     read_flag_feed,
@@ -996,6 +997,37 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def stream_poison_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries with amounts that are no numbers in some rows: these are set aside.
+
+    A strict cast fails on such a row, and with it the whole micro-batch. All other rows of
+    that batch and of the later ones are stored.
+    """
+    path, files = scratch_path(spark, "amounts"), 4
+    poison, store = scratch_path(spark, "poison"), Store(scratch_path(spark, "store"), BUCKETS)
+    txns = event_transactions(spark, sf_dir)
+    is_bad = F.col("native_id").cast("bigint") % 2500 == 7
+    text = F.when(is_bad, F.lit("n/a")).otherwise(F.col("amount_cents").cast("string"))
+    rows = txns.withColumn("amount_cents", text)
+    for period in _periods(txns):
+        rows.filter(period).repartition(files).write.mode("append").parquet(path)
+
+    def read_amounts(batch: DataFrame) -> DataFrame:
+        return batch.withColumn("amount_cents", F.col("amount_cents").cast("bigint"))
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        remember(store_new(read_amounts(batch), batch_id, store), batch_id, store)
+
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
+    run = isolated(keep, read_amounts, poison)
+    _drain(stream.writeStream.foreachBatch(run).option("checkpointLocation", store.progress("amounts")))
+    stored = read_transactions(spark, store.transactions).select("idempotency_key", F.lit("stored").alias("outcome"))
+    found = read_poison(spark, poison, rows.schema)
+    named = F.when(F.col("error").contains("CAST_INVALID_INPUT"), "poison").otherwise(F.col("error"))
+    return stored.unionByName(found.select("idempotency_key", named.alias("outcome")))
+
+
 def _land_arrivals(spark: SparkSession, txns: DataFrame) -> tuple[str, int]:
     """Rows in three deliveries by time, then a far-off row of nobody, which moves the watermark.
 

@@ -207,3 +207,18 @@ def test_score_pending_scores_each_flag_once(spark):
     assert after["raid-3"] > 0.5 > after["calm-7"]
     full = predict(model, build_features(df.withColumn("rule_flag_count", F.lit(0))))
     assert set(after) == {"raid-3", "calm-5", "calm-7", "gone"} and full.count() == 320
+
+
+def test_a_model_of_other_features_is_refused(spark, tmp_path):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+
+    from riskweave.constants import FEATURE_COLUMNS
+
+    path = str(tmp_path / "model")
+    swapped = [FEATURE_COLUMNS[1], FEATURE_COLUMNS[0], *FEATURE_COLUMNS[2:]]
+    for columns in (swapped, FEATURE_COLUMNS[:-1]):
+        other = Pipeline(stages=[VectorAssembler(inputCols=list(columns), outputCol="features")])
+        save_model(other.fit(spark.createDataFrame([(1,)], "n int")), path)
+        with pytest.raises(ValueError, match="was fitted on"):
+            load_model(path)
