@@ -54,16 +54,19 @@ def summarize(txns: DataFrame, window_seconds: int) -> Summary:
     """The summary of some rows."""
     rows = txns.select(*RULE_INPUT)
     counts = rows.groupBy("account_id", "merchant_category").agg(F.count(F.lit(1)).alias("n"))
-    return Summary(counts, _in_last_window(rows, window_seconds))
+    return Summary(counts, in_last_window(rows, window_seconds))
 
 
 def merged(summary: Summary, window_seconds: int) -> Summary:
     """One row per account and category, and only rows inside the last window."""
-    counts = summary.counts.groupBy("account_id", "merchant_category").agg(F.sum("n").alias("n"))
-    return Summary(counts, _in_last_window(summary.recent, window_seconds))
+    return Summary(summed_counts(summary.counts), in_last_window(summary.recent, window_seconds))
 
 
-def _in_last_window(rows: DataFrame, window_seconds: int) -> DataFrame:
+def summed_counts(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("account_id", "merchant_category").agg(F.sum("n").alias("n"))
+
+
+def in_last_window(rows: DataFrame, window_seconds: int) -> DataFrame:
     """Rows not older than the window before their account's last row.
 
     The join is left to adaptive execution: it broadcasts the last times if they turn out

@@ -353,6 +353,12 @@ ORACLE: dict[str, str] = {
     "flags_approved": f"{FLAGS} select {FLAG_FLAT} from f where status = 'approved'",
     "flag_status_counts": f"""{FLAGS}, s(status) as (values {', '.join(f"('{s}')" for s in STATUSES)})
         select status, count(f.idempotency_key) as n from s left join f using (status) group by status""",
+    "dashboard_changes": f"""{FLAGS}, s(status) as (values {', '.join(f"('{s}')" for s in STATUSES)})
+        select status as measure, count(f.idempotency_key) as n from s left join f using (status) group by status
+        union all select 'attack_transactions', count(*) from t where bank = 'attack-sim'
+        union all select 'legit_transactions', count(*) from t where bank <> 'attack-sim'
+        union all select 'attack_flagged', count(*) from f where idempotency_key like 'attack-sim:%'
+        union all select 'legit_flagged', count(*) from f where idempotency_key not like 'attack-sim:%'""",
     "flags_per_rule": f"""{FLAGS}, x as (select unnest(string_split(reasons, chr(10))) as reason from f)
         select split_part(reason, ':', 1) as rule, count(*) as n from x group by rule""",
     "reason_lists": f"""{DAY_RULES}, x as (select t.idempotency_key,
@@ -396,6 +402,7 @@ ORACLE: dict[str, str] = {
         " where idempotency_key in (select idempotency_key from f where ml_score is null)",
     ),
     "chrono_split": f"with {BASE}, l as (select *, bank = 'attack-sim' as label from t) {_split('l')}",
+    "chrono_split_incremental": f"with {BASE}, l as (select *, bank = 'attack-sim' as label from t) {_split('l')}",
     "chrono_split_heavy": f"""{ORDERS}, l as (select *, merchant_category = '1-URGENT' as label from o)
         {_split('l')}""",
     "training_ready": f"""with {BASE} select count(*) as n_rows, count(distinct bank) as n_labels,

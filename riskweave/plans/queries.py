@@ -54,7 +54,7 @@ from riskweave.operators.model import (
 )
 from riskweave.operators.normalize import feed_counts, normalize_feed, union_feeds
 from riskweave.operators.rules import geo_impossible, mcc_drift, score, velocity, with_distance
-from riskweave.operators.split import chronological_split
+from riskweave.operators.split import apply_split, chronological_split
 from riskweave.operators.summary import Summary, summarize
 from riskweave.operators.validate import (
     add_missing_columns,
@@ -103,6 +103,8 @@ from riskweave.sources.tables import (
     verify_transactions,
     write_transactions,
 )
+from riskweave.streaming.changes import change_stream, current_numbers, read_decisions
+from riskweave.streaming.days import current_boundaries, day_stream
 from riskweave.streaming.ingest import (
     dedupe_stream,
     drop_recent_duplicates,
@@ -120,7 +122,7 @@ from riskweave.streaming.score import (
     score_stream,
 )
 from riskweave.streaming.stateful import rules_stateful
-from riskweave.streaming.store import Store, current_flags, read_scores
+from riskweave.streaming.store import Store, current_flags, read_scores, record_decisions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -959,6 +961,30 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_flags(spark, store).select("idempotency_key", "reasons", "status")
 
 
+@query
+def dashboard_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The review page's numbers after several batches of rows, flags and decisions."""
+    use_rocksdb_state(spark)
+    store = _landed_store(spark, sf_dir)
+    some = _thirds(spark.read.parquet(store.transactions))
+    source = read_transaction_files(spark, store.transactions, some)
+    _drain(score_stream(source, store, _clock, inputs.DAY))
+    # Earlier and later decisions on the same keys, most of them on keys without a flag.
+    decided = inputs.decisions(spark, sf_dir)
+    for part in (F.minute("decided_at") % 2 == 0, F.minute("decided_at") % 2 == 1):
+        record_decisions(decided.filter(part).repartition(2), store)
+    with state_partitions(spark):
+        _drain(
+            change_stream(
+                read_transaction_files(spark, store.transactions, some),
+                read_flag_feed(spark, store.flags, _thirds(spark.read.parquet(store.flags))),
+                read_decisions(spark, store, 2),
+                store,
+            )
+        )
+    return current_numbers(spark, store)
+
+
 @query
 def stream_score_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The classifier stream over the change feed of the scoring stream."""
@@ -1028,6 +1054,16 @@ def stream_poison_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.unionByName(found.select("idempotency_key", named.alias("outcome")))
 
 
+@query
+def chrono_split_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The split of all events after three loads, from the counts kept with each load."""
+    store = _landed_store(spark, sf_dir)
+    some = _thirds(spark.read.parquet(store.transactions))
+    _drain(day_stream(read_transaction_files(spark, store.transactions, some), store))
+    labelled = with_label(event_transactions(spark, sf_dir))
+    return apply_split(labelled, current_boundaries(spark, store)).select("idempotency_key", "split")
+
+
 def _land_arrivals(spark: SparkSession, txns: DataFrame) -> tuple[str, int]:
     """Rows in three deliveries by time, then a far-off row of nobody, which moves the watermark.
 

@@ -1,10 +1,7 @@
-"""Account summaries kept as a table beside the scoring stream.
+"""Account summaries kept as tables beside the scoring stream, as sums of micro-batches.
 
-Every micro-batch adds the summary of its own rows in a folder of its own; nothing is
-rewritten. Some batches make a generation. The first batch of a generation brings the one
-before into its shortest form, so a batch reads the files of one generation at most, and only
-the buckets of its own accounts: their number depends on the accounts, not on how many rows
-or batches came before.
+A batch reads the files of one generation at most, and only the buckets of its own accounts:
+their number depends on the accounts, not on how many rows or batches came before.
 """
 
 from __future__ import annotations
@@ -15,23 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskweave.operators.summary import COUNTS, Summary, merged, summarize
+from riskweave.operators.summary import COUNTS, Summary, in_last_window, summarize, summed_counts
 from riskweave.schemas import RULE_INPUT, TXN
-from riskweave.session import delete_folder
-from riskweave.sources.tables import ACCOUNT_BUCKET, _exists, bucket_of, read_table, write_batch
+from riskweave.sources.tables import ACCOUNT_BUCKET, bucket_of
 from riskweave.streaming.store import Store
+from riskweave.streaming.sums import add_sums, read_sums
 
-#: Micro-batches a generation: how many small folders a batch reads at most.
-GENERATION = 8
-_SCHEMAS = {
-    "counts": COUNTS,
-    "recent": T.StructType([TXN[c] for c in RULE_INPUT]),
-}
-_PLACE = [T.StructField("batch_id", T.LongType()), T.StructField(ACCOUNT_BUCKET, T.IntegerType())]
+_SCHEMAS = {"counts": COUNTS, "recent": T.StructType([TXN[c] for c in RULE_INPUT])}
 
 
-def _folder(store: Store, kind: str, window_seconds: int, generation: int) -> str:
-    return f"{store.accounts}/{kind}-{window_seconds}s/generation={generation}"
+def _path(store: Store, kind: str, window_seconds: int) -> str:
+    return f"{store.accounts}/{kind}-{window_seconds}s"
 
 
 def read_summary(
@@ -43,17 +34,13 @@ def read_summary(
 ) -> Summary:
     """What micro-batches before one have seen, of all accounts or of some buckets.
 
-    It is stacked, not merged. The first batch of a stream has no past; a later one without
-    a table was started by a stream that kept none, or with another window, and is refused.
+    It is stacked, not merged. A stream that kept no summaries, or for another window, is
+    refused.
     """
-    generation = max(before_batch - 1, 0) // GENERATION
 
     def part(kind: str) -> DataFrame:
-        path = _folder(store, kind, window_seconds, generation)
-        if before_batch > 0 and not _exists(spark, path):
-            raise RuntimeError(f"{path} is missing: score into a new store to build the summaries")
-        rows = read_table(spark, path, T.StructType([*_SCHEMAS[kind].fields, *_PLACE]))
-        rows = rows.filter(F.col("batch_id") < before_batch)
+        path = _path(store, kind, window_seconds)
+        rows = read_sums(spark, path, _SCHEMAS[kind], before_batch, ACCOUNT_BUCKET)
         if account_buckets is not None:
             rows = rows.filter(F.col(ACCOUNT_BUCKET).isin(*account_buckets))
         return rows.select(*_SCHEMAS[kind].fieldNames())
@@ -61,19 +48,17 @@ def read_summary(
     return Summary(part("counts"), part("recent"))
 
 
-def add_summary(
-    rows: DataFrame, batch_id: int, store: Store, window_seconds: int
-) -> None:
+def add_summary(rows: DataFrame, batch_id: int, store: Store, window_seconds: int) -> None:
     """Add the rows of a micro-batch; a replay changes nothing."""
-    spark = rows.sparkSession
-    generation = batch_id // GENERATION
     own = summarize(rows, window_seconds)
-    if batch_id and batch_id % GENERATION == 0:
-        own = merged(read_summary(spark, store, window_seconds, batch_id).plus(own), window_seconds)
-    for kind, part in (("counts", own.counts), ("recent", own.recent)):
-        placed = part.withColumn(ACCOUNT_BUCKET, bucket_of(F.col("account_id"), store.buckets))
-        folder = _folder(store, kind, window_seconds, generation)
-        write_batch(placed, folder, batch_id, once=True, partition=ACCOUNT_BUCKET)
-        # The batch that merged it is committed, so the generation before is not read again.
-        if generation and batch_id % GENERATION:
-            delete_folder(spark, _folder(store, kind, window_seconds, generation - 1))
+
+    def placed(part: DataFrame) -> DataFrame:
+        return part.withColumn(ACCOUNT_BUCKET, bucket_of(F.col("account_id"), store.buckets))
+
+    parts = {
+        "counts": (own.counts, summed_counts),
+        "recent": (own.recent, lambda stacked: in_last_window(stacked, window_seconds)),
+    }
+    for kind, (part, shortest) in parts.items():
+        path = _path(store, kind, window_seconds)
+        add_sums(placed(part), batch_id, path, lambda s, f=shortest: placed(f(s)), ACCOUNT_BUCKET)

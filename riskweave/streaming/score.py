@@ -176,9 +176,11 @@ def score_pending_batch(
     write_batch(found, store.scores, batch_id, once=True)
 
 
-def read_flag_feed(spark: SparkSession, path: str) -> DataFrame:
+def read_flag_feed(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """The change feed as a stream: the new rows of the flag log."""
     reader = spark.readStream.schema(FLAG_LOG).option("ignoreMissingFiles", "true")
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path).filter("is_new")
 
 

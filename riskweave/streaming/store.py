@@ -117,6 +117,16 @@ class Store:
         """Summaries of the accounts whose rows the scoring stream has seen."""
         return self._at("accounts")
 
+    @property
+    def days(self) -> str:
+        """Rows per label and day of what was stored."""
+        return self._at("days")
+
+    @property
+    def changes(self) -> str:
+        """Signed changes of the numbers on the review page."""
+        return self._at("changes")
+
     def progress(self, name: str) -> str:
         return self._at(f"progress/{name}")
 

@@ -14,7 +14,8 @@ from riskweave.operators.history import HISTORY_COLUMNS, with_history
 from riskweave.operators.rules import score
 from riskweave.operators.summary import last_times, merged, summarize, with_history_after
 from riskweave.sources.tables import write_transaction_batch
-from riskweave.streaming import accounts, score as scoring
+from riskweave.streaming import accounts, sums
+from riskweave.streaming import score as scoring
 from riskweave.streaming.accounts import read_summary
 from riskweave.streaming.store import Store, read_new_flags, stored_flags
 
@@ -73,7 +74,7 @@ def test_summaries_add_up_in_any_order(spark):
 
 def test_batches_in_order_read_no_history(spark, tmp_path, monkeypatch):
     """Six batches over three generations: neither old rows nor old flags are read."""
-    monkeypatch.setattr(accounts, "GENERATION", 2)
+    monkeypatch.setattr(sums, "GENERATION", 2)
     store = Store(str(tmp_path / "store"), 2)
     rows = arrivals(120, 5)
     read, real = [], accounts.read_summary
