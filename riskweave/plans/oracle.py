@@ -445,5 +445,12 @@ ORACLE: dict[str, str] = {
     "stream_rules_resumed": f"{DAY_RULES} select idempotency_key, account_id, reasons from r where us >= {_CUT_US}",
     "stream_poison_batch": f"""with {BASE} select idempotency_key,
         case when event_id % 2500 = 7 then 'poison' else 'stored' end as outcome from t""",
+    "dated_look_back": f"""with {BASE} select {FLAT} from t
+        where us >= {_CUT_US} - 86400000000 and us <= {_CUT_US} + 23 * 3600000000""",
+    "ingest_tally": f"""with {BASE}, x as (select case when k in (7, 8, 9) then 'invalid' else 'ok' end as o from t)
+        select 'invalid' as outcome, 2 * count(*) filter (o = 'invalid') as n from x
+        union all select 'accepted', count(*) filter (o = 'ok') from x
+        union all select 'duplicate', count(*) filter (o = 'ok') from x
+        union all select 'unparseable', 0""",
     "stream_dedupe": f"with {BASE} select idempotency_key, us as occurred_us from t",
 }

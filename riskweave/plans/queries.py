@@ -98,9 +98,12 @@ from riskweave.sources.tables import (
     count_transactions,
     insert_transactions,
     read_flag,
+    read_batches,
+    read_dated_transactions,
     read_transactions,
     replace_flags,
     verify_transactions,
+    write_dated_transactions,
     write_transactions,
 )
 from riskweave.streaming.changes import change_stream, current_numbers, read_decisions
@@ -122,7 +125,7 @@ from riskweave.streaming.score import (
     score_stream,
 )
 from riskweave.streaming.stateful import rules_stateful
-from riskweave.streaming.store import Store, current_flags, read_scores, record_decisions
+from riskweave.streaming.store import TALLY, Store, current_flags, read_scores, record_decisions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -929,6 +932,28 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(read_transactions(spark, store.transactions))
 
 
+@query
+def ingest_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of dirty rows, every message served twice, counted while they are staged."""
+    store = Store(scratch_path(spark, "store"), BUCKETS)
+    messages = to_envelope(inputs.dirty_transactions(spark, sf_dir))
+    for k in range(2):
+        ingest_batch(messages, k, store, _clock(k))
+    tally = read_batches(spark, store.tally, TALLY)
+    return tally.groupBy("outcome").agg(F.sum("n").alias("n"))
+
+
+@query
+def dated_look_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of one day and the day's look-back before it, from the table by date and account."""
+    path = scratch_path(spark, "dated")
+    write_dated_transactions(event_transactions(spark, sf_dir), path, BUCKETS)
+    first = datetime.fromisoformat(inputs.CUTOFF).replace(tzinfo=timezone.utc)
+    last = first + timedelta(hours=23)
+    seconds = inputs.DAY.window_seconds
+    return _flat(read_dated_transactions(spark, path, first, last, seconds))
+
+
 @query
 def stream_ingest_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches with failing deliveries, each replayed with a later clock and another failure.

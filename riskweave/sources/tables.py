@@ -8,8 +8,9 @@ Rebalancing before a write splits the files of a bucket that a hot account fills
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +22,7 @@ from riskweave.session import _file_system, checkpoint_dir, delete_folder, renam
 
 ACCOUNT_BUCKET = "account_bucket"
 KEY_BUCKET = "key_bucket"
+EVENT_DATE = "event_date"
 DEFAULT_BUCKETS = 64
 
 
@@ -116,6 +118,50 @@ def compact_transactions(
     )
 
 
+def write_dated_transactions(txns: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS) -> None:
+    """Append rows by date and account bucket, sorted by account and time inside a file.
+
+    A look-back of minutes then lists the folders of one or two days and of the accounts'
+    buckets, and within a file the minima and maxima of its row groups pass over other
+    accounts. A day that one account fills is split into several files.
+    """
+    rows = add_missing_columns(txns, {"city": "string", "raw": "string"}).select(
+        *TXN.fieldNames(),
+        F.to_date("occurred_at").alias(EVENT_DATE),
+        bucket_of(F.col("account_id"), buckets).alias(ACCOUNT_BUCKET),
+    )
+    (
+        rows.hint("rebalance", EVENT_DATE, ACCOUNT_BUCKET)
+        .sortWithinPartitions(EVENT_DATE, ACCOUNT_BUCKET, "account_id", "occurred_at")
+        .write.mode("append")
+        .partitionBy(EVENT_DATE, ACCOUNT_BUCKET)
+        .parquet(path)
+    )
+
+
+def read_dated_transactions(
+    spark: SparkSession,
+    path: str,
+    first: datetime,
+    last: datetime,
+    look_back_seconds: int = 0,
+    columns: Sequence[str] | None = None,
+    account_buckets: Sequence[int] | None = None,
+) -> DataFrame:
+    """Rows from ``first`` less the look-back to ``last``, both included.
+
+    The limits prune days by folder and row groups by their minima and maxima.
+    """
+    schema = T.StructType([*TXN.fields, T.StructField(EVENT_DATE, T.DateType())])
+    start, end = (F.lit(t).cast("timestamp") for t in (first - timedelta(seconds=look_back_seconds), last))
+    at, day = F.col("occurred_at"), F.col(EVENT_DATE)
+    df = read_table(spark, path, _with_field(schema, ACCOUNT_BUCKET))
+    df = df.filter((day >= F.to_date(start)) & (day <= F.to_date(end)) & (at >= start) & (at <= end))
+    if account_buckets is not None:
+        df = df.filter(F.col(ACCOUNT_BUCKET).isin(*account_buckets))
+    return df.select(*(TXN.fieldNames() if columns is None else columns))
+
+
 def save_account_table(txns: DataFrame, name: str, path: str, buckets: int) -> None:
     """Transactions as a catalog table bucketed and sorted by account.
 
@@ -208,6 +254,23 @@ def write_batch(
         rename_folder(spark, target, folder)
 
 
+def write_observed(
+    df: DataFrame, path: str, batch_id: int, metrics: dict[str, Column]
+) -> dict[str, int]:
+    """``write_batch`` once, and aggregates of the rows that are taken while they are written.
+
+    The write is the only scan. A replay that finds the rows written reads the same numbers
+    from the written folder.
+    """
+    spark = df.sparkSession
+    named = [m.alias(name) for name, m in metrics.items()]
+    if _exists(spark, f"{path}/batch_id={batch_id}/_SUCCESS"):
+        return read_batches(spark, path, df.schema, batch_id).agg(*named).first().asDict()
+    seen = Observation()
+    write_batch(df.observe(seen, *named), path, batch_id, once=True)
+    return seen.get
+
+
 def write_transaction_batch(
     txns: DataFrame, path: str, batch_id: int, buckets: int = DEFAULT_BUCKETS
 ) -> None:

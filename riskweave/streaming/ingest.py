@@ -25,6 +25,7 @@ from riskweave.session import delete_folder, scratch_scope
 from riskweave.sources.tables import (
     read_batches,
     write_batch,
+    write_observed,
 )
 from riskweave.streaming.keys import remember, store_new
 from riskweave.streaming.store import RETRY, TALLY, Store, require_own_batches
@@ -117,10 +118,10 @@ def ingest_batch(
     checked = validate(parse_envelope(batch.select(*MESSAGE_COLUMNS).unionByName(due), now))
     failure = F.lit(None).cast("string") if handler is None else handler()
     checked = checked.withColumn("failure", F.when(F.col("error").isNull(), failure))
-    write_batch(checked, store.staged, batch_id, once=True)
+    broken = F.coalesce(F.col("error").startswith(UNMARSHAL_PREFIX), F.lit(False))
+    counted = write_observed(checked, store.staged, batch_id, outcome_metrics(broken))
     checked = read_batches(spark, store.staged, checked.schema, batch_id)
 
-    broken = F.coalesce(F.col("error").startswith(UNMARSHAL_PREFIX), F.lit(False))
     failed = checked.filter(F.col("failure").isNotNull()).select(
         *MESSAGE_COLUMNS, F.col("failure").alias("error"), "ingested_at"
     )
@@ -142,7 +143,7 @@ def ingest_batch(
         accepted(checked.filter(F.col("failure").isNull())), "occurred_at", "body"
     ).select(*TXN.fieldNames())
     new = store_new(good, batch_id, store)
-    tally = outcome_counts(checked, broken, new.count()).unionByName(
+    tally = outcome_counts(spark, counted, new.count()).unionByName(
         routed.groupBy(F.col("route").alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
     )
     write_batch(tally.select(*TALLY.fieldNames()), store.tally, batch_id)
@@ -152,23 +153,25 @@ def ingest_batch(
         delete_folder(spark, f"{path}/batch_id={batch_id - 1}")
 
 
-def outcome_counts(checked: DataFrame, broken: Column, accepted_rows: int) -> DataFrame:
-    """Rows per outcome of a checked batch of which ``accepted_rows`` are new."""
+def outcome_metrics(broken: Column) -> dict[str, Column]:
+    """What is counted of a checked batch while it is staged."""
     valid = F.col("error").isNull() & F.col("failure").isNull()
-    n_new = F.lit(accepted_rows).cast("bigint")
-    totals = checked.agg(
-        F.count_if(valid).alias("valid"),
-        F.count_if(F.col("error").isNotNull() & ~broken).alias("invalid"),
-        F.count_if(broken).alias("unparseable"),
-    )
-    found = {
-        "accepted": n_new,
-        "duplicate": F.col("valid") - n_new,
-        "invalid": F.col("invalid"),
-        "unparseable": F.col("unparseable"),
+    return {
+        "valid": F.count_if(valid),
+        "invalid": F.count_if(F.col("error").isNotNull() & ~broken),
+        "unparseable": F.count_if(broken),
+    }
+
+
+def outcome_counts(spark: SparkSession, counted: dict[str, int], accepted_rows: int) -> DataFrame:
+    """Rows per outcome of a staged batch of which ``accepted_rows`` are new."""
+    rows = {
+        "accepted": accepted_rows,
+        "duplicate": counted["valid"] - accepted_rows,
+        "invalid": counted["invalid"],
+        "unparseable": counted["unparseable"],
     }
-    rows = F.array(*[F.struct(F.lit(x).alias("outcome"), n.alias("n")) for x, n in found.items()])
-    return totals.select(F.inline(rows))
+    return spark.createDataFrame(list(rows.items()), TALLY)
 
 
 def ingest_stream(
