@@ -452,5 +452,7 @@ ORACLE: dict[str, str] = {
         union all select 'accepted', count(*) filter (o = 'ok') from x
         union all select 'duplicate', count(*) filter (o = 'ok') from x
         union all select 'unparseable', 0""",
+    "stream_retry_timers": f"""with {BASE} select idempotency_key,
+        case when event_id % 1000 = 13 then 'gave up after 3 retries: busy' else 'stored' end as outcome from t""",
     "stream_dedupe": f"with {BASE} select idempotency_key, us as occurred_us from t",
 }

@@ -117,6 +117,7 @@ from riskweave.streaming.ingest import (
 )
 from riskweave.streaming.isolate import isolated, read_poison
 from riskweave.streaming.keys import load_history, remember, store_new
+from riskweave.streaming.retry import read_failures, retry_stream
 from riskweave.streaming.score import (
     dashboard_snapshot,
     read_flag_feed,
@@ -943,6 +944,38 @@ def ingest_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tally.groupBy("outcome").agg(F.sum("n").alias("n"))
 
 
+@query
+def stream_retry_timers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failing deliveries go round through state timers until they are stored or given up.
+
+    A third fails once, one in a thousand always. The messages come in three batches, and
+    each round of due ones is a batch more.
+    """
+    use_rocksdb_state(spark)
+    store, path, files = Store(scratch_path(spark, "store"), BUCKETS), scratch_path(spark, "messages"), 4
+    txns = event_transactions(spark, sf_dir)
+    for period in _periods(txns):
+        to_envelope(txns.filter(period)).repartition(files).write.mode("append").json(path)
+
+    def failing() -> Column:
+        number = F.col("native_id").cast("bigint")
+        once = (number % 3 == 0) & (F.col("retry_count") == 0)
+        return F.when(once | (number % 1000 == 13), F.lit("busy"))
+
+    with state_partitions(spark):
+        for _ in range(4):
+            messages = read_message_files(spark, path, files)
+            _drain(ingest_stream(messages, store, _clock, failing, timers=True))
+            # Timers of processing time never run out of batches, so each round is one.
+            again = retry_stream(read_failures(spark, store), store).trigger(once=True)
+            again.start().awaitTermination()
+    stored = read_transactions(spark, store.transactions).select("idempotency_key", F.lit("stored").alias("outcome"))
+    given_up = read_batches(spark, store.quarantine).select(
+        F.col("message_id").alias("idempotency_key"), F.col("reason").alias("outcome")
+    )
+    return stored.unionByName(given_up)
+
+
 @query
 def dated_look_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of one day and the day's look-back before it, from the table by date and account."""

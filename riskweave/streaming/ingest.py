@@ -28,6 +28,7 @@ from riskweave.sources.tables import (
     write_observed,
 )
 from riskweave.streaming.keys import remember, store_new
+from riskweave.streaming.retry import read_due
 from riskweave.streaming.store import RETRY, TALLY, Store, require_own_batches
 
 Clock = Callable[[int], datetime]
@@ -43,23 +44,6 @@ def read_message_files(spark: SparkSession, path: str, max_files: int | None = N
     return reader.json(path)
 
 
-def with_heartbeat(messages: DataFrame, rows_per_second: int = 1) -> DataFrame:
-    """The same messages, with a micro-batch at every trigger even when none arrive.
-
-    A failed delivery waits for a batch after its due time; without new messages
-    there would be none. The added source contributes no rows.
-    """
-    ticks = (
-        messages.sparkSession.readStream.format("rate")
-        .option("rowsPerSecond", rows_per_second)
-        .load()
-        .filter(F.col("value") < 0)
-    )
-    return messages.unionByName(
-        ticks.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in messages.schema.fields])
-    )
-
-
 def topic_messages(records: DataFrame) -> DataFrame:
     """Envelopes from the columns of a Kafka source."""
     return records.select(
@@ -98,10 +82,14 @@ def ingest_batch(
     store: Store,
     as_of: datetime,
     handler: Handler | None = None,
+    *,
+    timers: bool = False,
 ) -> None:
     """Store the new transactions of one micro-batch and route the rest.
 
-    ``handler`` gives the error of a delivery that may succeed later, or NULL.
+    ``handler`` gives the error of a delivery that may succeed later, or NULL. Failures wait
+    in a table for a batch after their due time, or, with ``timers``, go to the retry stream,
+    whose due messages come in with ``batch``.
     Duplicates are looked for among the keys of all other batches, through filters first. Every table keeps the rows of a batch in a folder of its own, and the
     due retries and the outcome of each delivery are fixed by the first attempt, so a
     replay, from whatever point and with whatever clock, ends in the same tables.
@@ -110,12 +98,14 @@ def ingest_batch(
     now = F.lit(as_of).cast("timestamp")
     # A replay may have a later clock or another outcome of its deliveries. What the first
     # attempt took and decided is therefore written down before anything is done with it.
-    waiting = read_batches(spark, store.retries, RETRY, batch_id - 1)
-    marked = waiting.withColumn("due", F.col("available_at") <= now)
-    write_batch(marked, store.waiting, batch_id, once=True)
-    marked = read_batches(spark, store.waiting, marked.schema, batch_id)
-    due = marked.filter("due").select(*MESSAGE_COLUMNS)
-    checked = validate(parse_envelope(batch.select(*MESSAGE_COLUMNS).unionByName(due), now))
+    arrived = batch.select(*MESSAGE_COLUMNS)
+    if not timers:
+        waiting = read_batches(spark, store.retries, RETRY, batch_id - 1)
+        marked = waiting.withColumn("due", F.col("available_at") <= now)
+        write_batch(marked, store.waiting, batch_id, once=True)
+        marked = read_batches(spark, store.waiting, marked.schema, batch_id)
+        arrived = arrived.unionByName(marked.filter("due").select(*MESSAGE_COLUMNS))
+    checked = validate(parse_envelope(arrived, now))
     failure = F.lit(None).cast("string") if handler is None else handler()
     checked = checked.withColumn("failure", F.when(F.col("error").isNull(), failure))
     broken = F.coalesce(F.col("error").startswith(UNMARSHAL_PREFIX), F.lit(False))
@@ -133,12 +123,12 @@ def ingest_batch(
         .unionByName(dead_letters(routed))
     )
     write_batch(quarantined, store.quarantine, batch_id)
-    still_waiting = marked.filter("not due").drop("due")
-    write_batch(
-        retries(routed).select(*RETRY.fieldNames()).unionByName(still_waiting),
-        store.retries,
-        batch_id,
-    )
+    again = retries(routed).select(*RETRY.fieldNames())
+    if timers:
+        write_batch(again, store.failures, batch_id, once=True)
+    else:
+        still_waiting = marked.filter("not due").drop("due")
+        write_batch(again.unionByName(still_waiting), store.retries, batch_id)
     good = dedupe_first(
         accepted(checked.filter(F.col("failure").isNull())), "occurred_at", "body"
     ).select(*TXN.fieldNames())
@@ -175,13 +165,25 @@ def outcome_counts(spark: SparkSession, counted: dict[str, int], accepted_rows:
 
 
 def ingest_stream(
-    messages: DataFrame, store: Store, clock: Clock, handler: Handler | None = None
+    messages: DataFrame,
+    store: Store,
+    clock: Clock,
+    handler: Handler | None = None,
+    *,
+    timers: bool = False,
 ) -> DataStreamWriter:
-    """The stream, not yet started; the caller sets the trigger."""
+    """The stream, not yet started; the caller sets the trigger.
+
+    With ``timers`` failures are left to ``retry_stream``, and its due messages are read
+    beside ``messages``.
+    """
+    if timers:
+        due = read_due(messages.sparkSession, store)
+        messages = messages.select(*MESSAGE_COLUMNS).unionByName(due)
     require_own_batches(messages.sparkSession, store.keys, store.progress("ingest"))
 
     def run(batch: DataFrame, batch_id: int) -> None:
         with scratch_scope(batch.sparkSession):
-            ingest_batch(batch, batch_id, store, clock(batch_id), handler)
+            ingest_batch(batch, batch_id, store, clock(batch_id), handler, timers=timers)
 
     return messages.writeStream.foreachBatch(run).option("checkpointLocation", store.progress("ingest"))

@@ -86,6 +86,15 @@ class Store:
     def retries(self) -> str:
         return self._at("retries")
 
+    @property
+    def failures(self) -> str:
+        """Failed deliveries for the retry stream, which hands them out through ``due``."""
+        return self._at("failures")
+
+    @property
+    def due(self) -> str:
+        return self._at("due")
+
     @property
     def tally(self) -> str:
         return self._at("tally")

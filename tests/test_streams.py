@@ -12,12 +12,13 @@ from test_ingest import txns
 from riskweave.constants import RuleSettings
 from riskweave.operators.flags import upsert_flags
 from riskweave.operators.rules import score
-from riskweave.schemas import DECISION, FLAG, QUARANTINE
+from riskweave.schemas import DECISION, ENVELOPE, FLAG, QUARANTINE
 from riskweave.sources.envelopes import to_envelope
 from riskweave.sources.harness import event_transactions
 from riskweave.sources.tables import (
     read_batches,
     read_keys,
+    read_table,
     read_transactions,
     touched_buckets,
     write_transaction_batch,
@@ -289,30 +290,32 @@ def test_stateful_rules_equal_the_batch_rules(spark, tmp_path):
     assert got != brute.flags(rows)
 
 
-def test_retry_comes_without_new_messages(spark, tmp_path):
+def test_retry_comes_in_time_without_new_messages(spark, tmp_path):
+    """A failed delivery waits in the state of the retry stream; another one waits on."""
     import time
 
-    from riskweave.streaming.ingest import with_heartbeat
+    from riskweave.streaming.retry import read_due, read_failures, retry_stream
 
-    source = str(tmp_path / "in")
     store = Store(str(tmp_path / "store"), 2)
-    to_envelope(txns(spark, [("bank-a", "1", 5, 0)])).write.json(source)
-    seen = []
-
-    def busy_once():
-        seen.append(1)
-        return F.lit("busy") if len(seen) == 1 else F.lit(None).cast("string")
-
-    messages = with_heartbeat(read_message_files(spark, source))
-    writer = ingest_stream(messages, store, lambda _: datetime.now(timezone.utc), busy_once)
-    running = writer.trigger(processingTime="1 second").start()
+    due_at = datetime.now(timezone.utc) + timedelta(seconds=20)
+    far = due_at + timedelta(days=1)
+    batch = to_envelope(txns(spark, [("bank-a", "1", 5, 0), ("bank-a", "2", 5, 0)]))
+    for k, (part, when) in enumerate(((batch.filter("message_id like '%:1'"), due_at), (batch.filter("message_id like '%:2'"), far))):
+        ingest_batch(part, k, store, when - timedelta(seconds=2), lambda: F.lit("busy"), timers=True)
+    assert read_transactions(spark, store.transactions).isEmpty()
+    running = retry_stream(read_failures(spark, store), store).trigger(processingTime="1 second").start()
     try:
         deadline = time.time() + 60
         while time.time() < deadline and running.exception() is None:
-            if not read_transactions(spark, store.transactions).isEmpty():
+            found = read_table(spark, store.due, ENVELOPE)
+            if not found.isEmpty():
                 break
             time.sleep(1)
     finally:
         running.stop()
+    assert datetime.now(timezone.utc) >= due_at
+    assert [(r.message_id, r.retry_count) for r in found.collect()] == [("bank-a:1", 1)]
+    again = batch.filter("message_id like '%:1'").withColumn("retry_count", F.lit(1))
+    ingest_batch(again, 2, store, far, timers=True)
     assert read_transactions(spark, store.transactions).count() == 1
-    assert len(seen) > 1
+    assert read_due(spark, store).isStreaming
