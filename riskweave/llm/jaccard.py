@@ -47,6 +47,8 @@ PERCENT = 85
 #: N-grams in at least this share of the documents of a run of RUN_DOCS are counted.
 HOT_SHARE = 0.0005
 RUN_DOCS = 4096
+#: N-grams that end a run early, so that long documents do not make its arrays larger.
+RUN_GRAMS = 1 << 22
 #: Widely shared n-grams that are put last. The number bounds what is broadcast; one that
 #: is left out only keeps its place in the order, which changes no result.
 MOST_HOT = 1 << 19
@@ -56,6 +58,8 @@ SKETCH_BITS = 1024
 #: Up to this many set identities (a few dozen bytes each) are broadcast to fetch texts.
 BROADCAST_NODES = 200_000
 POSITION_BLOCK = 4
+#: The links of one component are dealt over this many parts when they get its name.
+SALTS = 16
 
 _HOT = np.uint64(1 << 63)
 
@@ -192,7 +196,7 @@ def widely_shared(docs: DataFrame, text: str, width: int) -> np.ndarray:
     """
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, n = [], 0
+        kept, n, grams = [], 0, 0
 
         def counted() -> pa.RecordBatch:
             gram, count = np.unique(np.concatenate(kept), return_counts=True)
@@ -208,9 +212,10 @@ def widely_shared(docs: DataFrame, text: str, width: int) -> np.ndarray:
             for part in slices(batch.column(0), 1 << 20):
                 kept.append(shingle_sets(part, width)[0])
                 n += len(part)
-                if n >= RUN_DOCS:
+                grams += len(kept[-1])
+                if n >= RUN_DOCS or grams >= RUN_GRAMS:
                     yield counted()
-                    kept, n = [], 0
+                    kept, n, grams = [], 0, 0
         if n:
             yield counted()
 
@@ -231,16 +236,23 @@ def widely_shared(docs: DataFrame, text: str, width: int) -> np.ndarray:
 
 
 def _full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """(node, set) of the classes in ``nodes`` (node, rep, digest), from the text of ``rep``."""
-    summaries = _set_udf(width)
+    """(node, set) of the classes in ``nodes`` (node, rep, digest), from the text of ``rep``.
+
+    A class without an id is found among the rows without one, by its digest.
+    """
+    own_set = _set_udf(width)
     few = nodes.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
     asked = F.broadcast(nodes) if few else nodes
     made = docs.join(asked, docs["_doc"] == asked["rep"]).select(
-        "node", "digest", summaries("_text").alias("_set")
+        "node", "digest", own_set("_text").alias("_set")
     )
+    unnamed = nodes.where("rep is null").select("node", "digest")
+    loose = docs.where("_doc is null").select(own_set("_text").alias("_set"))
+    found = loose.join(F.broadcast(unnamed) if few else unnamed, F.col("_set.digest") == F.col("digest"))
     # Rows may repeat an id; those of the class have its digest.
     return (
         made.where(F.col("_set.digest") == F.col("digest"))
+        .unionByName(found.select("node", "digest", "_set"))
         .groupBy("node")
         .agg(F.first("_set.grams").alias("set"))
     )
@@ -456,11 +468,14 @@ def similar_groups(
         .groupBy("root")
         .agg(F.min("rep").alias("component_id"))
     )
+    # A component may hold a large share of all classes: its name goes to every part.
+    smallest = smallest.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     named = (
         classes.where("n > 0")
         .select("node", "digest", "rep")
         .join(roots, "node", "left")
-        .join(smallest, "root", "left")
+        .withColumn("_salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+        .join(smallest, ["root", "_salt"], "left")
         .select("digest", F.coalesce("component_id", "rep").alias("component_id"))
     )
     return (

@@ -124,6 +124,26 @@ def test_rows_without_an_id(spark):
     assert jaccard.keep_smallest(docs(spark, rows)).count() == 4
 
 
+def test_a_text_without_an_id_links_the_texts_beside_it(spark):
+    chain = [f"c{k}" for k in range(112)]
+    cut = [" ".join(chain[s : s + 100]) for s in (0, 6, 12)]
+    assert not similar(shingles(cut[0]), shingles(cut[2]))
+    for names, want in (((1, None, 3), [1, 1, 1]), ((1, 2, 3), [1, 1, 1]), ((1, None, None), [1, 1, 1])):
+        rows = jaccard.op5(docs(spark, list(zip(names, cut, strict=True)))).collect()
+        assert [r.component_id for r in rows] == want
+
+
+def test_runs_cut_early_give_the_same_links(spark, monkeypatch):
+    rng = random.Random(4)
+    texts = []
+    for _ in range(6):
+        base = prose(rng, 60).split()
+        texts += [" ".join(base[:k] + ["new"] + base[k + 1 :]) for k in (1, 20, 58)]
+    want = sorted(jaccard.op5(docs(spark, texts)).collect())
+    monkeypatch.setattr(jaccard, "RUN_GRAMS", 100)
+    assert sorted(jaccard.op5(docs(spark, texts)).collect()) == want
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_components_equal_union_find(spark, seed):
     rng = random.Random(seed)
