@@ -14,6 +14,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +59,10 @@ SKETCH_BITS = 1024
 #: Up to this many set identities (a few dozen bytes each) are broadcast to fetch texts.
 BROADCAST_NODES = 200_000
 POSITION_BLOCK = 4
+#: Pairs are compared in passes whose sets take at most this share of all sets, or
+#: PASS_BYTES if that is more.
+PASS_SHARE = 0.25
+PASS_BYTES = 64 << 20
 #: The links of one component are dealt over this many parts when they get its name.
 SALTS = 16
 
@@ -302,34 +307,52 @@ def _possible(classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
         pairs.join(left, "a")
         .join(right, "b")
         .where((100 + percent) * bits <= (100 - percent) * (F.col("_na") + F.col("_nb")))
-        .select("a", "b")
+        .select("a", "b", (F.col("_na") + F.col("_nb")).alias("_size"))
     )
 
 
 def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The (a, b) of ``pairs`` whose sets are similar enough, compared exactly."""
+    """The (a, b) of ``pairs`` whose sets are similar enough, compared exactly.
+
+    A pair brings two whole sets together, so pairs are dealt by hash into passes; each is
+    written down and its shuffles are let go before the next one.
+    """
     pairs = materialize(_possible(classes, pairs, percent), "pairs")
     release(pairs.sparkSession)
+    total = pairs.agg(F.sum("_size")).first()[0] or 0
+    whole = classes.agg(F.sum("n")).first()[0] or 0
+    passes = max(1, -(-8 * total // max(PASS_BYTES, int(8 * whole * PASS_SHARE))))
     asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
     nodes = materialize(
         classes.select("node", "rep", "digest").join(asked.distinct(), "node", "left_semi"), "asked"
     )
     sets = materialize(_full_sets(docs, nodes, width), "sets")
     release(sets.sparkSession)
-    left = sets.select(F.col("node").alias("a"), F.col("set").alias("_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("set").alias("_b"))
+    dealt = F.pmod(F.xxhash64("a", "b"), F.lit(passes))
+    parts = []
+    for k in range(passes):
+        parts.append(materialize(_compared(pairs.where(dealt == k), sets, percent), "links"))
+        release(sets.sparkSession)
+    for table in (pairs, nodes, sets):
+        drop_table(table)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) of ``pairs`` that link; only sets of these pairs are shuffled."""
+
+    def side(name: str) -> DataFrame:
+        own = sets.select(F.col("node").alias(name), F.col("set").alias(f"_{name}"))
+        return own.join(pairs.select(name).distinct(), name, "left_semi")
+
     both = F.size(F.array_intersect("_a", "_b"))
-    links = materialize(
-        pairs.join(left, "a")
-        .join(right, "b")
+    return (
+        pairs.join(side("a"), "a")
+        .join(side("b"), "b")
         .select("a", "b", both.alias("_both"), (F.size("_a") + F.size("_b")).alias("_sum"))
         .where(100 * F.col("_both") >= percent * (F.col("_sum") - F.col("_both")))
-        .select("a", "b"),
-        "links",
+        .select("a", "b")
     )
-    for table in (pairs, nodes, sets):
-        drop_table(table)
-    return links
 
 
 def _near(n1: str, n2: str, percent: int):

@@ -133,13 +133,14 @@ def test_a_text_without_an_id_links_the_texts_beside_it(spark):
         assert [r.component_id for r in rows] == want
 
 
-def test_runs_cut_early_give_the_same_links(spark, monkeypatch):
+def test_passes_give_the_same_links(spark, monkeypatch):
     rng = random.Random(4)
     texts = []
     for _ in range(6):
         base = prose(rng, 60).split()
         texts += [" ".join(base[:k] + ["new"] + base[k + 1 :]) for k in (1, 20, 58)]
     want = sorted(jaccard.op5(docs(spark, texts)).collect())
+    monkeypatch.setattr(jaccard, "PASS_BYTES", 2000)
     monkeypatch.setattr(jaccard, "RUN_GRAMS", 100)
     assert sorted(jaccard.op5(docs(spark, texts)).collect()) == want
 
