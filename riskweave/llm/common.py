@@ -64,6 +64,15 @@ def drop_table(table: DataFrame) -> None:
     release(table.sparkSession)
 
 
+def fresh(table: DataFrame, *names: str) -> list[str]:
+    """``names`` behind as many underscores as it takes to clash with no column of ``table``."""
+    taken = {c.lower() for c in table.columns}
+    front = "_"
+    while any(front + n in taken for n in names):
+        front += "_"
+    return [front + n for n in names]
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, every other code point as it is."""
     is_ascii = F.octet_length(text) == F.char_length(text)
@@ -80,9 +89,13 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def slices(texts: pa.Array, most_bytes: int = 4 << 20) -> Iterator[pa.Array]:
+def slices(
+    texts: pa.Array, most_bytes: int = 4 << 20, most_texts: int | None = None
+) -> Iterator[pa.Array]:
     """``texts`` in runs of about ``most_bytes``, so that work arrays stay small.
 
+    ``most_texts`` bounds what grows with the number of texts, however short they are.
+
     A longer text is a run of its own; it is never cut. No texts give one empty run.
     """
     texts = texts.cast(pa.large_string())
@@ -93,6 +106,8 @@ def slices(texts: pa.Array, most_bytes: int = 4 << 20) -> Iterator[pa.Array]:
     while start < len(texts):
         before = ends[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(ends, before + most_bytes, side="right")))
+        if most_texts:
+            stop = min(stop, start + most_texts)
         yield texts.slice(start, stop - start)
         start = stop
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import SPACE_CHARS, lower_ascii
+from riskweave.llm.common import SPACE_CHARS, fresh, lower_ascii
 from riskweave.session import materialize
 
 #: Keys shorter than this (in code points) are never dropped.
@@ -128,23 +128,27 @@ def apply_bitmaps(
     called n_lines or n_dropped are replaced.
     """
     own = docs.drop("n_lines", "n_dropped")
-    held = own.select("*", *_holder(own, doc_id, text))
-    dense = bitmaps.select("_doc", "_tag", _dense(F.col("keep_bitmap")).alias("_bits"))
-    joined = held.join(dense, ["_doc", "_tag"], "left")
+    doc, tag, mask, left = fresh(own, "doc", "tag", "bits", "kept")
+    holder = zip(_holder(own, doc_id, text), (doc, tag), strict=True)
+    held = own.select("*", *[c.alias(n) for c, n in holder])
+    dense = bitmaps.select(
+        F.col("_doc").alias(doc), F.col("_tag").alias(tag), _dense(F.col("keep_bitmap")).alias(mask)
+    )
+    joined = held.join(dense, [doc, tag], "left")
     lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
 
     def stays(_line: Column, at: Column) -> Column:
-        bits = F.coalesce(F.get("_bits", F.floor(at / 64).cast("int")), F.lit(-1).cast("bigint"))
+        bits = F.coalesce(F.get(mask, F.floor(at / 64).cast("int")), F.lit(-1).cast("bigint"))
         return F.expr("1L").bitwiseAND(F.call_function("shiftright", bits, at % 64)) == 1
 
-    kept = F.when(F.col("_bits").isNull(), lines).otherwise(F.filter(lines, stays))
+    kept = F.when(F.col(mask).isNull(), lines).otherwise(F.filter(lines, stays))
     cut = joined.select(
-        *own.columns, F.size(lines).cast("bigint").alias("n_lines"), kept.alias("_kept")
+        *own.columns, F.size(lines).cast("bigint").alias("n_lines"), kept.alias(left)
     )
     return cut.withColumn(
-        "n_dropped", F.col("n_lines") - F.size("_kept").cast("bigint")
+        "n_dropped", F.col("n_lines") - F.size(left).cast("bigint")
     ).select(
-        *[F.array_join("_kept", "\n").alias(c) if c == text else c for c in own.columns],
+        *[F.array_join(left, "\n").alias(c) if c == text else c for c in own.columns],
         "n_lines",
         "n_dropped",
     )
@@ -170,18 +174,18 @@ def op1(docs: DataFrame) -> DataFrame:
 
 OP1_SQL = r"""
 with lines as (
-  select row_number() over () as row, doc_id, coalesce(text, '') as whole,
+  select row_number() over () as row, doc_id, coalesce(doc_id, 9223372036854775807) as holder,
          unnest(string_split(coalesce(text, ''), chr(10))) as line,
          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos
   from documents),
 keyed as (
-  select row, doc_id, line, pos,
+  select row, doc_id, holder, line, pos,
          trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
               ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as key
   from lines),
-firsts as (select key, min(doc_id) as first_doc from keyed where length(key) >= 10 group by key),
+firsts as (select key, min(holder) as first_doc from keyed where length(key) >= 10 group by key),
 marked as (
-  select k.*, coalesce(k.doc_id > f.first_doc, false) as dropped
+  select k.*, coalesce(k.holder > f.first_doc, false) as dropped
   from keyed k left join firsts f on k.key = f.key)
 select doc_id, count(*) as n_lines, cast(sum(dropped::int) as bigint) as n_dropped,
        sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not dropped), '')) as kept_sha256

@@ -124,6 +124,28 @@ def test_rows_without_an_id(spark):
     assert jaccard.keep_smallest(docs(spark, rows)).count() == 4
 
 
+def test_line_dedup_leaves_clashing_names_alone(spark):
+    shared = "a line that two rows hold"
+    names = ("_bits", "_tag", "_doc", "_kept", "__bits")
+    table = docs(spark, [(1, shared), (2, f"{shared}\nown"), (None, shared), (None, shared)])
+    for name in names:
+        table = table.selectExpr("*", f"source {name}")
+    rows = line_dedup.dedup_lines(table).collect()
+    assert sorted((r.doc_id or 9, r.text, r.n_dropped) for r in rows) == [(1, shared, 0), (2, "own", 1), (9, "", 1), (9, "", 1)]
+    assert all(r[n] == r.source for r in rows for n in names)
+
+
+def test_line_dedup_sql_counts_a_null_id_as_the_largest(spark):
+    duckdb = pytest.importorskip("duckdb")
+    line = "a line that is long enough"
+    rows = [(3, f"{line}\nx"), (None, line), (None, "only without an id"), (4, None)]
+    got = sorted(map(str, (tuple(r) for r in line_dedup.op1(docs(spark, rows)).collect())))
+    with duckdb.connect() as base:
+        base.execute("create table documents (doc_id bigint, text varchar)")
+        base.executemany("insert into documents values (?, ?)", rows)
+        assert sorted(map(str, base.execute(line_dedup.OP1_SQL).fetchall())) == got
+
+
 def test_a_text_without_an_id_links_the_texts_beside_it(spark):
     chain = [f"c{k}" for k in range(112)]
     cut = [" ".join(chain[s : s + 100]) for s in (0, 6, 12)]
