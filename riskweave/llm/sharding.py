@@ -23,6 +23,8 @@ BITS = 5
 ROW_OVERHEAD = 16
 _ALL = (Window.unboundedPreceding, Window.unboundedFollowing)
 DIMENSIONS = ("source", "lang", "size")
+_WHOLE = ("tinyint", "smallint", "int", "bigint", "boolean")
+_TIMES = ("date", "timestamp")
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -70,29 +72,66 @@ def _curve(bits: int):
 
 
 def order_value(docs: DataFrame, name: str) -> Column:
-    """A long that sorts as the column does: numbers as they are, texts by their first bytes.
+    """What the column is cut by: whole numbers, dates and instants as a long, else as it is.
 
-    Null is the smallest value.
+    Texts are compared as whole values, byte by byte; NaN is the largest number.
     """
     kind = dict(docs.dtypes)[name]
-    if kind == "string":
-        head = F.rpad(F.hex(F.substring(F.encode(F.col(name), "utf-8"), 1, 7)), 14, "0")
-        value = F.conv(head, 16, 10).cast("bigint")
-    else:
-        value = F.col(name).cast("bigint")
-    return F.coalesce(value, F.lit(-(1 << 62)))
+    value = F.col(name)
+    if kind == "date":
+        value = F.unix_date(value)
+    elif kind == "timestamp":
+        value = F.unix_micros(value)
+    return value.cast("bigint") if kind in (*_WHOLE, *_TIMES) else value
+
+
+def quantile_bounds(table: DataFrame, names: list[str], bits: int) -> dict[str, list]:
+    """Up to 2^bits - 1 distinct cut values per column, from all its rows that have one."""
+    kinds = dict(table.dtypes)
+    whole = [n for n in names if kinds[n] == "bigint"]
+    steps = [k / (1 << bits) for k in range(1, 1 << bits)]
+    found = {}
+    if whole:
+        row = table.agg(*[F.percentile_approx(n, steps, 10_000).alias(n) for n in whole]).first()
+        found = {n: sorted(set(row[n] or [])) for n in whole}
+    return {n: found[n] if n in found else _value_bounds(table, n, bits) for n in names}
 
 
-def quantile_bounds(table: DataFrame, names: list[str], bits: int) -> dict[str, list[int]]:
-    """Up to 2^bits - 1 distinct cut values per column, from all its rows."""
-    steps = [k / (1 << bits) for k in range(1, 1 << bits)]
-    row = table.agg(*[F.percentile_approx(n, steps, 10_000).alias(n) for n in names]).first()
-    return {n: sorted(set(row[n] or [])) for n in names}
+def _value_bounds(table: DataFrame, name: str, bits: int) -> list:
+    """The values at which the share of the rows passes a multiple of 2^-bits.
+
+    Rows are counted by value first, so a value that many rows share is one row per task.
+    Counts run up inside sorted ranges; only the cut values come to the driver.
+    """
+    counted = table.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("value")).agg(F.count("*").alias("n"))
+    ranged = materialize(
+        counted.repartitionByRange("value")
+        .sortWithinPartitions("value")
+        .withColumn("part", F.spark_partition_id()),
+        "shard-counts",
+    )
+    # One row per range.
+    by_range = Window.orderBy("part")
+    parts = ranged.groupBy("part").agg(F.sum("n").alias("rows"))
+    offsets = parts.select(
+        "part",
+        (F.sum("rows").over(by_range) - F.col("rows")).alias("before"),
+        F.sum("rows").over(by_range.rowsBetween(*_ALL)).alias("total"),
+    )
+    inside = Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    upto = (
+        ranged.withColumn("inside", F.sum("n").over(inside))
+        .join(F.broadcast(offsets), "part")
+        .withColumn("upto", F.col("before") + F.col("inside"))
+    )
+    share = [F.expr(f"({end} * {1 << bits}) div total") for end in ("(upto - n)", "upto")]
+    cuts = upto.where((share[0] < share[1]) & (F.col("upto") < F.col("total"))).orderBy("value")
+    return [r["value"] for r in cuts.select("value").collect()]
 
 
-def _level(name: str, bounds: list[int]) -> Column:
-    """How many cut values lie below the value."""
-    above = [(F.col(name) > b).cast("int") for b in bounds]
+def _level(name: str, bounds: list) -> Column:
+    """How many cut values lie below the value; none for a null."""
+    above = [F.coalesce(F.col(name) > F.lit(b), F.lit(False)).cast("int") for b in bounds]
     return reduce(lambda a, b: a + b, above, F.lit(0))
 
 

@@ -124,6 +124,27 @@ def test_files_are_pruned_by_several_dimensions(spark, tmp_path):
     assert {r.shard for r in where.select("shard").distinct().collect()} <= kept
 
 
+def test_texts_with_a_long_common_start_spread_over_the_curve(spark):
+    rows = [(k, "t", "en", f"https://host{k % 50}.example/x", 1) for k in range(800)]
+    made = sharding.shard(spark.createDataFrame(rows, docs(spark, []).schema), ["source"], ("source", "lang"))
+    held = made.groupBy("source").agg({"shard": "max", "*": "count"}).collect()
+    assert made.select("hilbert").distinct().count() >= 25 and {r["count(1)"] for r in held} == {16}
+
+
+def test_dimensions_of_any_type_and_nulls(spark):
+    rows = [
+        (k, None if k % 7 == 0 else [float("nan"), float("inf"), -1.5, k / 3][k % 4], k % 5 == 0, f"2024-01-{1 + k % 28:02d}")
+        for k in range(90)
+    ]
+    table = spark.createDataFrame(rows, "k bigint, x double, flag boolean, day string")
+    table = table.selectExpr("k", "x", "flag", "cast(day as date) day", "cast(x as decimal(20, 3)) is null odd",
+                             "cast(day as timestamp) at", "cast(k as decimal(9, 2)) amount")
+    for names in (("x", "flag", "day"), ("at", "amount", "odd")):
+        got = sharding.shard(table, ["k"], names, shards=8).collect()
+        assert sorted(r.k for r in got) == list(range(90))
+        assert len({(r.shard, r.slot) for r in got}) == 90 and len({r.hilbert for r in got}) > 10
+
+
 # --- licences ---------------------------------------------------------------------------
 
 
