@@ -20,9 +20,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from riskweave.llm.common import slices
+from riskweave.llm.common import fresh, slices
 
 UNKNOWN = "und"
+#: Texts that are counted at once: their counts take a number per text and bucket.
+MOST_TEXTS = 512
 _PLANES = 0x110000
 
 
@@ -129,7 +131,7 @@ def _frequencies(train: DataFrame, text: str, buckets: int) -> tuple[np.ndarray,
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, n = np.zeros(buckets, np.int64), 0
         for batch in batches:
-            for part in slices(batch.column(0), 1 << 20):
+            for part in slices(batch.column(0), 1 << 20, MOST_TEXTS):
                 tf, _ = counts(part, buckets)
                 seen += (tf > 0).sum(axis=0)
                 n += len(tf)
@@ -200,7 +202,7 @@ def learn(
         import pandas as pd
 
         group = group.sort_values(["_id", "_text"]).head(size)
-        parts = slices(pa.array(group["_text"]), 1 << 20)
+        parts = slices(pa.array(group["_text"]), 1 << 20, MOST_TEXTS)
         rows = np.concatenate([_vectors(counts(p, len(idf))[0], idf) for p in parts])
         rows = rows[np.linalg.norm(rows, axis=1) > 0]
         if not len(rows):
@@ -239,7 +241,7 @@ def identify(
     @arrow_udf("struct<lang_pred:string,score:double,rejected:boolean>")
     def predicted(batch: pa.Array) -> pa.Array:
         named, scores, rejected = [], [], []
-        for part in slices(batch, 1 << 20):
+        for part in slices(batch, 1 << 20, MOST_TEXTS):
             a, b, c = sent.value.predict(part)
             named += a
             scores += b.tolist()
@@ -250,8 +252,9 @@ def identify(
         )
 
     own = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
-    made = docs.select(*own, predicted(F.col(text)).alias("_predicted"))
-    return made.select(*own, "_predicted.*")
+    (answer,) = fresh(docs, "predicted")
+    made = docs.select(*own, predicted(F.col(text)).alias(answer))
+    return made.select(*own, f"{answer}.*")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -8,6 +8,7 @@ import pytest
 from llm_cases import ODD, docs, prose, words
 
 from riskweave.llm import decontaminate, language, quality
+from riskweave.llm.common import slices
 
 SYMBOLS = set("#*$%&|<>")
 
@@ -34,6 +35,12 @@ def test_statistics_equal_brute_force():
     assert got == [base_stats(t) for t in texts]
 
 
+def test_tiny_texts_are_counted_in_bounded_runs():
+    tiny = pa.array(["a"] * 2000)
+    assert [len(p) for p in slices(tiny, 1 << 20, language.MOST_TEXTS)] == [512, 512, 512, 464]
+    assert [len(p) for p in slices(tiny, 1 << 20)] == [2000]
+
+
 def labelled(spark):
     rng = random.Random(4)
     texts, labels = [], []
