@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType
 
+from riskweave.llm.common import fresh
 from riskweave.session import materialize
 
 ROLES = ("system", "user", "assistant")
@@ -307,10 +308,11 @@ def format_chats(
     ordered = ordered_rows(marked, conversation, order, raw, [*keep, "_train"])
     model = learn(ordered.where("_train"), conversation, role)
     states = line_states(spark, ordered, conversation, model)
-    turns = F.size(F.filter("states", lambda s: s % 2 == 0)).cast("bigint")
-    first = F.get(F.lit(list(ROLES)), F.floor(F.col("states")[0] / 2).cast("int"))
-    return ordered.join(states, "_at").select(
-        *keep, first.alias("role_pred"), turns.alias("n_turns"), render(F.col(raw), F.col("states"))
+    (found,) = fresh(ordered, "states")
+    turns = F.size(F.filter(found, lambda s: s % 2 == 0)).cast("bigint")
+    first = F.get(F.lit(list(ROLES)), F.floor(F.col(found)[0] / 2).cast("int"))
+    return ordered.join(states.withColumnRenamed("states", found), "_at").select(
+        *keep, first.alias("role_pred"), turns.alias("n_turns"), render(F.col(raw), F.col(found))
     )
 
 
