@@ -525,3 +525,40 @@ def keep_smallest(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *
 def op5(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id."""
     return similar_groups(docs.select("doc_id", "text"))
+
+
+OP5_SQL = r"""
+with recursive split as (
+  select doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') as w
+  from documents),
+sets as (
+  select doc_id, list_sort(list_distinct(
+           case when len(w) = 0 then []
+                when len(w) < 4 then [array_to_string(w, ' ')]
+                else list_transform(list_zip(w, w[2:], w[3:], w[4:])[1:len(w) - 3],
+                                    lambda t: concat_ws(' ', t[1], t[2], t[3], t[4])) end)) as grams
+  from split),
+classes as (
+  select row_number() over () as node, grams, len(grams) as n, min(doc_id) as rep
+  from sets where len(grams) > 0 group by grams),
+entries as (select node, n, unnest(grams) as gram from classes),
+shared as (
+  select a.node as a, b.node as b, count(*) as common, any_value(a.n) as n_a, any_value(b.n) as n_b
+  from entries a join entries b on a.gram = b.gram and a.node < b.node
+   and 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  group by a.node, b.node),
+links as (select a, b from shared where 100 * common >= 85 * (n_a + n_b - common)),
+edges as (select a, b from links union all select b, a from links),
+reach(node, seen) as (
+  select node, node from classes
+  union
+  select r.node, e.b from reach r join edges e on r.seen = e.a),
+named as (
+  select r.node, min(c.rep) as component_id
+  from reach r join classes c on r.seen = c.node group by r.node)
+select s.doc_id, cast(len(s.grams) as bigint) as n_shingles,
+       case when len(s.grams) = 0 then s.doc_id else m.component_id end as component_id
+from sets s left join classes c on s.grams = c.grams left join named m on c.node = m.node
+"""

@@ -101,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLE: dict[str, str] = {
     "op1_line_dedup": line_dedup.OP1_SQL,
+    "op5_ngram_jaccard": jaccard.OP5_SQL,
     "op11_ranked_search": ranked_search.OP11_SQL,
     "op13_hard_negatives": hard_negatives.OP13_SQL,
 }
