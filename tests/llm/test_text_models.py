@@ -172,6 +172,39 @@ def test_leaks_and_paraphrases_are_found(spark):
     assert left.count() == len(texts) - len({d for d, _ in found})
 
 
+def spread(rng, said, kind):
+    """An item as a document may hold it: as it is, with words put in, or with words changed."""
+    if kind == "changed":
+        said = list(said)
+        for k in rng.sample(range(len(said)), len(said) // 8):
+            said[k] = "other"
+        return said
+    more = {"verbatim": 0, "one in between": 1, "two in between": 2}[kind]
+    return [w for x in said for w in (x, *prose(rng, more, 3000).split())]
+
+
+def test_recall_past_the_fit_sample(spark):
+    """Most documents, and all that hold items, are outside the sample that fits the SVD."""
+    rng = random.Random(21)
+    kinds = ("verbatim", "one in between", "two in between", "changed")
+    items = [". ".join(prose(rng, rng.randrange(12, 24), 3000) for _ in range(2)) + "." for _ in range(20)]
+    texts = [prose(rng, rng.randrange(40, 160), 3000) for _ in range(2000)]
+    want = {kind: set() for kind in kinds}
+    for k in range(160):
+        j, kind = k % len(items), kinds[k // len(items) % len(kinds)]
+        own = prose(rng, 120, 3000).split()
+        at = rng.randrange(len(own))
+        want[kind].add((len(texts), j))
+        texts.append(" ".join([*own[:at], *spread(rng, items[j].split(), kind), *own[at:]]))
+    benchmark = spark.createDataFrame([*enumerate(items)], "item_id bigint, text string")
+    settings = decontaminate.LatentSettings(max_fit_docs=60)
+    found = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs(spark, texts), benchmark, settings=settings).collect()}
+    recall = {kind: len(found & own) / len(own) for kind, own in want.items()}
+    # Every planted pair is a leak by construction, so this is recall against an exact search.
+    assert all(r >= 0.9 for r in recall.values()), recall
+    assert found <= set.union(*want.values())
+
+
 def test_decontamination_of_empty_tables(spark):
     table = docs(spark, ["some text of a few words here"]).withColumnRenamed("source", "item_id")
     items = spark.createDataFrame([(1, "a b c d e f g h")], "item_id bigint, text string")
