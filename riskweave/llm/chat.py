@@ -1,10 +1,12 @@
-"""Chat formatting: roles of a raw transcript by a hidden Markov model, then canonical turns.
+"""Chat formatting: turns of a raw transcript by a hidden Markov model, then canonical turns.
 
-A transcript is a sequence of pieces of raw text, each with one or more lines. A line is
-seen as a small code: the speaker marker it starts with, whether it opens a piece, whether
-it asks, and its length. Hidden states are the first and the later lines of each role's
-turn; their frequencies come from labelled conversations, and Viterbi finds the likeliest
-states. Each turn is then written as a header with its role, its text and an end mark.
+A transcript is one sequence of lines. It may be stored in several pieces, in order; where
+a piece begins or ends tells the model nothing. A line is seen as a small code: the mark it
+starts with (a word for a speaker, a dash or time that names nobody, or none), whether it
+asks, and its length. Hidden states are the first and the later lines of each role's turn;
+their frequencies come from labelled conversations, and Viterbi finds the likeliest states,
+which gives bounds and roles of the turns. Each turn is then written as a header with its
+role, its text and an end mark.
 
 A conversation may hold a large share of all rows, so it is not decoded in one go. Rows are
 range-sorted and cut into blocks. The best paths through a block form a small matrix
@@ -35,27 +37,29 @@ MARKERS = (
     "assistant", "ai", "bot", "model", "agent", "gpt", "answer", "a",
 )
 _MARKER = rf"(?i)^\s*[#*<|\[]*\s*({'|'.join(MARKERS)})\s*[\]*|>]*\s*[:>]\s*"
-LENGTHS = (40, 120, 300)
-#: What a code has more on a line that opens a piece.
-OPENS = 2 * (len(LENGTHS) + 1)
-CODES = (len(MARKERS) + 1) * 2 * 2 * (len(LENGTHS) + 1)
+#: Marks of a new turn that do not say whose it is: a dash, or a time in brackets.
+_MARK = r"^\s*(?:[-\u2013\u2014]\s+|\[\d{1,2}:\d{2}(?::\d{2})?\]\s*)"
+LENGTHS = (0, 20, 40, 80, 120, 200, 300)
+CODES = (len(MARKERS) + 2) * 2 * (len(LENGTHS) + 1)
 BLOCK_BITS = 9
 SMOOTHING = 0.5
 
 
-def line_code(line: Column, opens: Column) -> Column:
+def line_code(line: Column) -> Column:
     """What the model sees of a line, as one number below ``CODES``."""
     word = F.lower(F.regexp_extract(line, _MARKER, 1))
-    marker = F.array_position(F.lit(list(MARKERS)), word)
+    marker = F.when(line.rlike(_MARK), F.lit(len(MARKERS) + 1)).otherwise(
+        F.array_position(F.lit(list(MARKERS)), word)
+    )
     asks = F.rtrim(line).endswith("?")
     length = sum(((F.char_length(line) > n).cast("int") for n in LENGTHS), F.lit(0))
-    code = (marker * 2 + opens.cast("int")) * 2 + asks.cast("int")
+    code = marker * 2 + asks.cast("int")
     return (code * (len(LENGTHS) + 1) + length).cast("int")
 
 
 def _codes(raw: Column) -> Column:
     lines = F.split(F.coalesce(raw, F.lit("")), "\n")
-    return F.transform(lines, lambda line, at: line_code(line, at == 0))
+    return F.transform(lines, line_code)
 
 
 def ordered_rows(rows: DataFrame, conversation: str, order: str, raw: str, keep: list[str]) -> DataFrame:
@@ -112,13 +116,10 @@ class RoleModel:
 
 
 def learn(ordered: DataFrame, conversation: str, role: str) -> RoleModel:
-    """A model from the rows of ``ordered`` whose role is one of ``ROLES``.
+    """A model from the rows of ``ordered`` whose role is one of ``ROLES``; each is one turn.
 
-    Codes are counted over all of them; a first line with a marker also counts as it would
-    look inside a piece, so several turns in one text are told by their markers. Without a
-    marker only the start of a piece tells a new turn. Steps between rows are counted inside
-    blocks, so a conversation over several blocks lends all but one step in
-    ``2 ** BLOCK_BITS`` rows.
+    Codes are counted over all of them. Steps between rows are counted inside blocks, so a
+    conversation over several blocks lends all but one step in ``2 ** BLOCK_BITS`` rows.
     Without such rows all paths are equally likely.
     """
     known = F.array_position(F.lit(list(ROLES)), F.col(role)) - 1
@@ -173,8 +174,6 @@ def learn(ordered: DataFrame, conversation: str, role: str) -> RoleModel:
         step[2 * r + 1, 2 * r + 1] += SMOOTHING
     for state, code, n in seen:
         emit[state, code] += n
-        if state % 2 == 0 and code >= 2 * OPENS:
-            emit[state, code - OPENS] += n
     for opens, entered, stayed in inside:
         step[opens, opens + 1] += entered
         step[opens + 1, opens + 1] += stayed
@@ -266,20 +265,26 @@ def line_states(spark: SparkSession, ordered: DataFrame, conversation: str, mode
 
 
 def render(raw: Column, states: Column) -> Column:
-    """The piece as canonical turns: ``<|role|>``, the lines without markers, ``<|end|>``.
+    """The piece as canonical turns: ``<|role|>``, the lines, ``<|end|>``.
 
-    A line in an opening state, or in another role than the line before, starts a turn. A
-    piece that starts inside a turn goes on without a header; the end mark of the last turn
-    is written with the piece in which it ends, so pieces can be joined as they are.
+    A line in an opening state starts a turn and loses its mark; other lines stay as they
+    are, whatever they start with. A piece that starts inside a turn goes on without a
+    header. Every piece ends with an end mark; where the next one does not open a turn, its
+    first lines belong before that mark.
     """
     lines = F.split(F.coalesce(raw, F.lit("")), "\n")
-    bare = F.transform(lines, lambda x: F.regexp_replace(x, _MARKER, ""))
+
+    def said(line: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(line, _MARK, ""), _MARKER, "")
+
+    def role(state: Column) -> Column:
+        return F.get(F.lit(list(ROLES)), F.floor(state / 2).cast("int"))
+
     headed = F.zip_with(
-        bare,
+        lines,
         states,
         lambda line, s: F.when(
-            s % 2 == 0,
-            F.concat(F.lit("<|end|>\n<|"), F.get(F.lit(list(ROLES)), F.floor(s / 2).cast("int")), F.lit("|>\n"), line),
+            s % 2 == 0, F.concat(F.lit("<|end|>\n<|"), role(s), F.lit("|>\n"), said(line))
         ).otherwise(line),
     )
     whole = F.concat(F.array_join(headed, "\n"), F.lit("\n<|end|>"))
@@ -296,13 +301,15 @@ def format_chats(
     role: str = "role",
     train: Column | None = None,
 ) -> DataFrame:
-    """``rows`` with role_pred (of the first line), n_turns and ``rendered``.
+    """``rows`` with role_pred and opens (both of the first line), n_turns and ``rendered``.
 
-    The model is learned from the rows where ``train`` holds and the role is known; a
-    prediction sees raw text and order only. A null text is one empty line. Rows without a
-    conversation form one together. Columns that have the names of results are replaced.
+    ``opens`` is whether a turn is found to begin with the row, ``n_turns`` how many begin in
+    it. The model is learned from the rows where ``train`` holds and the role is known; a
+    prediction sees the lines of the conversation in order and nothing else. A null text is
+    one empty line. Rows without a conversation form one together. Columns that have the
+    names of results are replaced.
     """
-    made = ("role_pred", "n_turns", "rendered")
+    made = ("role_pred", "opens", "n_turns", "rendered")
     keep = [c for c in rows.columns if c not in made]
     marked = rows.select(*keep, (F.lit(True) if train is None else train).alias("_train"))
     ordered = ordered_rows(marked, conversation, order, raw, [*keep, "_train"])
@@ -312,25 +319,33 @@ def format_chats(
     turns = F.size(F.filter(found, lambda s: s % 2 == 0)).cast("bigint")
     first = F.get(F.lit(list(ROLES)), F.floor(F.col(found)[0] / 2).cast("int"))
     return ordered.join(states.withColumnRenamed("states", found), "_at").select(
-        *keep, first.alias("role_pred"), turns.alias("n_turns"), render(F.col(raw), F.col(found))
+        *keep,
+        first.alias("role_pred"),
+        (F.col(found)[0] % 2 == 0).alias("opens"),
+        turns.alias("n_turns"),
+        render(F.col(raw), F.col(found)),
     )
 
 
 def transcripts(conversations: DataFrame) -> DataFrame:
     """Raw transcripts from a table of turns: what a log would hold instead of the role.
 
-    Each turn gets one of its role's markers, chosen by a hash of its place; two in five
-    get none. A role that is not known gets none.
+    Chosen by a hash of its place, three in five turns begin with a word for their speaker,
+    one with a dash and one with a time, which say that somebody begins but not who. A role
+    that is not known has dash or time only. The rows of a conversation, in order, are the
+    lines of its transcript; it stays cut into rows because one may be very large.
     """
     pick = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(5)).cast("int")
+    minute = F.lpad((F.coalesce(F.col("turn"), F.lit(0)) % 60).cast("string"), 2, "0")
+    unnamed = F.when(pick % 2 == 0, F.concat(F.lit("[10:"), minute, F.lit("] "))).otherwise(F.lit("- "))
     spelled = {
         "system": ("System: ", "[system]: ", "### Instructions: "),
         "user": ("User: ", "Human: ", "Q: "),
         "assistant": ("Assistant: ", "AI: ", "<bot> "),
     }
-    marker = F.lit("")
+    marker = unnamed
     for name, forms in spelled.items():
-        own = F.coalesce(F.get(F.lit(list(forms)), pick), F.lit(""))
+        own = F.coalesce(F.get(F.lit(list(forms)), pick), unnamed)
         marker = F.when(F.col("role") == name, own).otherwise(marker)
     return conversations.withColumn("raw", F.concat(marker, F.coalesce(F.col("text"), F.lit(""))))
 
@@ -341,7 +356,7 @@ def held_out(conversation: str = "conv_id") -> Column:
 
 
 def op7(spark: SparkSession, conversations: DataFrame) -> DataFrame:
-    """Per row: conv_id, turn, held_out, role_pred, n_turns and the rendered turn(s)."""
+    """Per row: conv_id, turn, held_out, role_pred, opens, n_turns and the rendered turn(s)."""
     rows = transcripts(conversations.select("conv_id", "turn", "role", "text"))
     made = format_chats(spark, rows.drop("text"), train=~held_out())
-    return made.select("conv_id", "turn", held_out().alias("held_out"), "role_pred", "n_turns", "rendered")
+    return made.select("conv_id", "turn", held_out().alias("held_out"), "role_pred", "opens", "n_turns", "rendered")

@@ -358,7 +358,9 @@ def test_roles_are_recovered(spark, monkeypatch):
     held = [r for r in rows if r.held_out]
     assert len(rows) == len(truth) and held
     assert sum(r.role_pred == truth[r.conv_id, r.turn] for r in held) >= 0.95 * len(held)
-    one = next(r for r in rows if r.n_turns == 1)
+    # Bounds are found, not given: one turn begins in every row, with its first line.
+    assert sum(r.opens and r.n_turns == 1 for r in held) >= 0.95 * len(held)
+    one = next(r for r in rows if r.opens and r.n_turns == 1)
     assert one.rendered.startswith(f"<|{one.role_pred}|>\n") and one.rendered.endswith("\n<|end|>")
 
 
@@ -381,6 +383,32 @@ def test_turns_inside_one_text_are_recovered(spark):
         assert got[c].n_turns == len(turns)
 
 
+def test_pieces_may_be_cut_anywhere(spark):
+    """The same transcripts in pieces of other lengths give the same turns."""
+    turns = chat.transcripts(conversations(spark, 60)).select("conv_id", "turn", "role", "raw")
+    lines = {}
+    for r in sorted(turns.collect(), key=lambda r: (r.conv_id, r.turn)):
+        lines.setdefault(r.conv_id, []).extend(r.raw.split("\n"))
+
+    def rendered(step):
+        cut = [(9000 + c, k, None, "\n".join(own[k : k + step])) for c, own in lines.items() for k in range(0, len(own), step)]
+        table = turns.unionByName(spark.createDataFrame(cut, turns.schema))
+        out = {}
+        made = chat.format_chats(spark, table, train=F.col("conv_id") < 9000).where("conv_id >= 9000")
+        for r in sorted(made.collect(), key=lambda r: (r.conv_id, r.turn)):
+            out[r.conv_id] = [*out.get(r.conv_id, []), *r.rendered.replace("<|end|>", "").split("\n")]
+        return {c: [x for x in own if x] for c, own in out.items()}
+
+    assert rendered(2) == rendered(1000)
+
+
+def test_marks_stay_inside_a_turn(spark):
+    states = F.array(F.lit(2), F.lit(3), F.lit(3), F.lit(4))
+    raw = F.lit("User: list\n- first\nAnswer: 4\n- done")
+    row = spark.range(1).select(chat.render(raw, states)).first()
+    assert row.rendered == "<|user|>\nlist\n- first\nAnswer: 4<|end|>\n<|assistant|>\ndone\n<|end|>"
+
+
 def test_chats_with_odd_rows(spark):
     table = conversations(spark, 40)
     odd = spark.createDataFrame(
