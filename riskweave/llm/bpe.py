@@ -24,6 +24,8 @@ from riskweave.llm.common import lists, slices
 
 #: Distinct pieces whose ids a Python worker remembers; a full table is emptied.
 REMEMBERED_PIECES = 300_000
+#: Longer pieces are merged anew each time, so what is remembered stays within some 100 MB.
+REMEMBERED_CHARACTERS = 64
 ENCODED = "struct<ids:array<int>,starts:array<int>,ends:array<int>>"
 DIGESTS = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>"
 
@@ -46,9 +48,11 @@ class _Known(dict):
         self.make = make
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        if len(self) >= REMEMBERED_PIECES:
-            self.clear()
-        self[piece] = found = self.make(piece)
+        found = self.make(piece)
+        if len(piece) <= REMEMBERED_CHARACTERS:
+            if len(self) >= REMEMBERED_PIECES:
+                self.clear()
+            self[piece] = found
         return found
 
 

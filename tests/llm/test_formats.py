@@ -71,6 +71,12 @@ def test_split_characters_go_to_the_piece_that_ends_them():
     assert codec.decode([None, -1, 10**9]) == b"" and bpe.readable([]) == []
 
 
+def test_long_pieces_are_not_remembered():
+    known = bpe._Known(lambda piece: (len(piece),))
+    assert [known[p] for p in ("a" * 5000, "ab", "ab")] == [(5000,), (2,), (2,)]
+    assert list(known) == ["ab"]
+
+
 def test_bpe_of_an_empty_table(spark):
     assert bpe.op9(docs(spark, ["x"]).where("false")).count() == 0
 
@@ -283,6 +289,30 @@ def test_places_of_rare_streams_are_judged_by_all_pages(spark, monkeypatch):
     assert not any("Always" in text for text in got.values())
 
 
+def test_article_text_with_names_like_parts_stays(spark):
+    ship(spark)
+    kept = ("share-price", "ad-hoc", "post-header", "social-history", "search-results-explained", "reply-all-email")
+    gone = ("ad", "ad box", "related-posts", "comment-list", "share buttons", "cookie-notice", "newsletter-signup", "ad-3")
+    body = "".join(f"<p class='{c}'>{c}</p>" for c in kept) + "".join(f"<div class='{c}'>{c}</div>" for c in gone)
+    rows = [(0, "https://a.example/0", f"<article><h2 class=post-header>Head</h2>{body}<div class='post-header'>By</div></article>")]
+    rows += [(1, "https://b.example/1", "<body><p class='share-price'>plain</p><div class='left menu-x'>no</div></body>")]
+    table = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.op6(spark, table).collect()}
+    assert got == {0: "\n".join(["Head", *kept, "By"]), 1: "plain"}
+
+
+def test_deep_pages_take_bounded_space():
+    deep = 30_000
+    found, _ = wrappers.blocks("<div>a" * deep + "<article><p>in<aside>no</aside></p></article>" + "</div>" * deep)
+    assert len(found) == deep + 2 and max(len(b.path) for b in found) < 600
+    (inside,) = [b for b in found if b.text == "in"]
+    (aside,) = [b for b in found if b.text == "no"]
+    assert wrappers.in_article(inside.path) and not wrappers.is_boilerplate(inside.path)
+    assert wrappers.is_boilerplate(aside.path)
+    assert len({b.path for b in found if b.text == "a"}) == deep
+    assert wrappers.main_text("<div>" * deep + "<article><p>in<nav>no</nav></article>", {}) == "in"
+
+
 def test_wrappers_are_union_free_expressions():
     _, a = wrappers.blocks("<nav><li>x</li><li>y</li></nav><article><p>a</p><p>b</p></article>")
     _, b = wrappers.blocks("<nav><li>x</li></nav><div>ad</div><article><p>c</p></article>")
