@@ -205,6 +205,10 @@ y as (select t.*, coalesce(len(string_split(f.reasons, chr(10))), 0) as parts
       from t left join f using (idempotency_key))"""
 
 
+# The label that the classifier's queries learn; it is a law of three features.
+_LAW = "((y.merchant_category = '7995' and isodow(make_timestamp(y.us)) >= 6) or y.parts >= 2)"
+
+
 def _split(source: str) -> str:
     return f"""select idempotency_key, case when rn <= wanted then 'train' else 'test' end as split
 from (select *, case when n > 1 then greatest(1, cast(floor(n * 0.8::double) as bigint)) else n end as wanted
@@ -421,14 +425,18 @@ ORACLE: dict[str, str] = {
           round(any_value(w) / (count(*) filter (where attack)
             * count(*) filter (where not attack))::double, 6) as auc
         from q, wins""",
-    "ml_metrics": f"""with {BASE}, l as (select *, bank = 'attack-sim' as label from t), s as ({_split('l')})
+    "ml_metrics": f"""{COUNTED}, l as (select y.*, {_LAW} as label from y), s as ({_split('l')}),
+        p as (select label, label as called, split from s join l using (idempotency_key))
         select count(*) filter (where split = 'train') as train_size,
           count(*) filter (where split = 'test') as test_size,
-          count(*) filter (where split = 'test' and bank = 'attack-sim') as test_attack_count,
-          true as precision_in_range, true as recall_in_range, true as auc_in_range
-        from s join t using (idempotency_key)""",
-    "ml_score": f"{FLAGS} select idempotency_key, true as score_in_range from f",
-    "stream_score_pending": f"{DAY_RULES} select idempotency_key, true as score_in_range from r",
+          count(*) filter (where split = 'test' and label) as test_attack_count,
+          round(avg(label::int) filter (where split = 'test' and called), 6) as "precision",
+          round(avg(called::int) filter (where split = 'test' and label), 6) as recall, 1.0::double as auc
+        from p""",
+    "ml_score": f"""{COUNTED} select idempotency_key, coalesce(f.ml_score >= 0.5, {_LAW}) as called
+        from f join y using (idempotency_key)""",
+    "stream_score_pending": f"""{DAY_RULES}, y as (select *, n_flags as parts from r)
+        select idempotency_key, {_LAW} as called from y""",
     "score_rules_null_accounts": f"""with {BASE},
         z as (select * replace (case when event_id % 3 = 0 then '(none)' else account_id end as account_id)
           from t), {_scored('z', _DAY_S)}
