@@ -1110,11 +1110,14 @@ def stream_poison_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     def read_amounts(batch: DataFrame) -> DataFrame:
         return batch.withColumn("amount_cents", F.col("amount_cents").cast("bigint"))
 
+    def no_number(batch: DataFrame) -> Column:
+        return batch["amount_cents"].isNotNull() & batch["amount_cents"].try_cast("bigint").isNull()
+
     def keep(batch: DataFrame, batch_id: int) -> None:
         remember(store_new(read_amounts(batch), batch_id, store), batch_id, store)
 
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
-    run = isolated(keep, read_amounts, poison)
+    run = isolated(keep, read_amounts, poison, suspect=no_number)
     _drain(stream.writeStream.foreachBatch(run).option("checkpointLocation", store.progress("amounts")))
     stored = read_transactions(spark, store.transactions).select("idempotency_key", F.lit("stored").alias("outcome"))
     found = read_poison(spark, poison, rows.schema)
