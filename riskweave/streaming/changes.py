@@ -8,9 +8,11 @@ adds up its changes and appends a dozen numbers, whatever the size of the tables
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,34 +31,77 @@ cloudpickle.register_pickle_by_value(riskweave)
 
 CHANGES = T.StructType([T.StructField("measure", T.StringType()), T.StructField("n", T.LongType())])
 MEASURES = (*STATUSES, *COUNTS)
+#: Groups that the keys are dealt over by hash, whatever their number: a group's fixed cost in
+#: Python is shared by its keys, and a micro-batch rewrites the state of the groups it has.
+KEY_GROUPS = 1 << 14
+
+_KNOWN = pa.schema(
+    [("key", pa.string()), ("flagged", pa.bool_()), ("us", pa.int64()), ("decision", pa.string())]
+)
 
 
 class StatusChanges(StatefulProcessor):
-    """Changes of the counts by one key's flag and decisions, in any order of arrival."""
+    """Changes of the counts by flags and decisions, in any order of arrival.
+
+    The group is a key, or a bucket of keys whose rows then name theirs. What is known of a
+    group's keys is one packed table, so a group costs one read and one write of the state
+    however many of its keys a micro-batch has.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.known = handle.getValueState("known", "flagged boolean, decided_us bigint, decision string")
+        self.known = handle.getValueState("known", "keys binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        flagged, *latest = self.known.get() if self.known.exists() else (False, None, None)
-        latest = tuple(latest) if latest[0] is not None else None
-        before = (flagged, latest)
+        known = self._read()
+        before: dict[str | None, tuple[bool, tuple | None]] = {}
+        after: dict[str | None, tuple[bool, tuple | None]] = {}
         for pdf in rows:
-            flagged = flagged or bool(pdf["is_flag"].any())
-            for us, decision in pdf.loc[~pdf["is_flag"], ["decided_us", "decision"]].itertuples(index=False):
-                latest = max(latest or (int(us), decision), (int(us), decision))
-        changes = self._counted(*before, -1) + self._counted(flagged, latest, 1)
-        if (flagged, latest) != before:
-            self.known.update((flagged, *(latest or (None, None))))
-        yield pd.DataFrame(changes, columns=["measure", "n"]).astype({"n": "int64"})
+            names = pdf["idempotency_key"] if "idempotency_key" in pdf else pd.Series([key[0]] * len(pdf))
+            columns = (names, pdf["is_flag"], pdf["decided_us"], pdf["decision"])
+            for name, is_flag, us, decision in zip(*(c.tolist() for c in columns), strict=True):
+                name = None if pd.isna(name) else name
+                if name not in after:
+                    before[name] = after[name] = known.get(name, (False, None))
+                flagged, latest = after[name]
+                if is_flag:
+                    flagged = True
+                else:
+                    latest = max(latest or (int(us), decision), (int(us), decision))
+                after[name] = (flagged, latest)
+        changed = {name: now for name, now in after.items() if now != before[name]}
+        changes: Counter[str] = Counter()
+        for name, now in changed.items():
+            changes.subtract(self._counted(*before[name]))
+            changes.update(self._counted(*now))
+        if changed:
+            self._write(known | changed)
+        yield pd.DataFrame([c for c in changes.items() if c[1]], columns=["measure", "n"]).astype({"n": "int64"})
 
     def close(self) -> None:
         pass
 
-    def _counted(self, flagged: bool, latest: tuple | None, sign: int) -> list[tuple[str, int]]:
+    def _counted(self, flagged: bool, latest: tuple | None) -> list[str]:
         if not flagged:
             return []
-        return [(latest[1] if latest else DEFAULT_STATUS, sign)]
+        return [latest[1] if latest else DEFAULT_STATUS]
+
+    def _read(self) -> dict[str | None, tuple[bool, tuple | None]]:
+        if not self.known.exists():
+            return {}
+        table = pa.ipc.open_stream(self.known.get()[0]).read_all()
+        return {
+            name: (flagged, None if us is None else (us, decision))
+            for name, flagged, us, decision in zip(*(c.to_pylist() for c in table.columns), strict=True)
+        }
+
+    def _write(self, known: dict[str | None, tuple[bool, tuple | None]]) -> None:
+        rows = [(name, flagged, *(latest or (None, None))) for name, (flagged, latest) in known.items()]
+        columns = zip(*rows, strict=True)
+        table = pa.table([pa.array(c, f.type) for c, f in zip(columns, _KNOWN, strict=True)], _KNOWN)
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, _KNOWN) as writer:
+            writer.write_table(table)
+        self.known.update((out.getvalue().to_pybytes(),))
 
 
 def status_changes(feed: DataFrame, decisions: DataFrame) -> DataFrame:
@@ -84,7 +129,8 @@ def status_changes(feed: DataFrame, decisions: DataFrame) -> DataFrame:
     )
     return (
         flags.unionByName(decided)
-        .groupBy("idempotency_key")
+        .withColumn("key_group", F.pmod(F.xxhash64("idempotency_key"), F.lit(KEY_GROUPS)))
+        .groupBy("key_group")
         .transformWithStateInPandas(
             statefulProcessor=StatusChanges(),
             outputStructType=CHANGES,

@@ -98,6 +98,28 @@ def test_changes_add_up_to_the_status_in_any_order():
         assert {m: n for m, n in total.items() if n} == want
 
 
+def test_a_group_of_keys_costs_one_read_and_one_write_of_the_state():
+    rng, handle, total = random.Random(6), Handle(), {}
+    processor = StatusChanges()
+    processor.init(handle)
+    keys = [None, *[f"k{k}" for k in range(30)]]
+    events = [(k, True, None, None) for k in keys[:20]]
+    events += [(k, False, rng.randrange(50), rng.choice(["approved", "denied"])) for k in keys for _ in range(3)]
+    rng.shuffle(events)
+    columns = ["idempotency_key", "is_flag", "decided_us", "decision"]
+    for part in (events[:50], events[50:]):
+        chunks = iter([pd.DataFrame(part[:20], columns=columns), pd.DataFrame(part[20:], columns=columns)])
+        for out in processor.handleInputRows((7,), chunks, None):
+            for measure, n in out.itertuples(index=False):
+                total[measure] = total.get(measure, 0) + n
+    want = {}
+    for key in keys[:20]:
+        status = max(e[2:] for e in events if e[0] == key and not e[1])[1]
+        want[status] = want.get(status, 0) + 1
+    assert {m: n for m, n in total.items() if n} == want
+    assert handle.calls["update"] == 2 and handle.calls["get"] == 1
+
+
 def test_numbers_of_an_empty_store(spark, tmp_path):
     store = Store(str(tmp_path / "store"), 2)
     assert [(r.measure, r.n) for r in current_numbers(spark, store).collect()] == [(m, 0) for m in MEASURES]
