@@ -153,6 +153,25 @@ def test_work_is_linear_in_rows():
     assert calls[1] < 20 * calls[0], calls
 
 
+def test_sparse_rows_cost_few_calls():
+    """Rows days apart in few batches: calls follow the batches, not the slots of the rows."""
+    rows = stream_rows(600, 4, 7200)
+    made, handle = driven(rows, [rows[:200], rows[200:400], rows[400:]], 86_400, 86_400)
+    got = {r["idempotency_key"]: (r["position"], r["in_window"], r["first_use"], r["prev_city"], r["prev_us"]) for r in made}
+    assert got == wanted(rows, 86_400)
+    assert sum(handle.calls.values()) < 100, handle.calls
+
+
+def test_dense_and_varied_accounts_go_past_one_block():
+    """More times than a block in the window, and more categories than are kept near."""
+    n = 2000
+    rows = [(us, key, f"c{k % 150}", city, k) for us, key, _, city, k in stream_rows(n, 8, 1)]
+    made, handle = driven(rows, [rows[a : a + 170] for a in range(0, n, 170)], 600, 40)
+    got = {r["idempotency_key"]: (r["position"], r["in_window"], r["first_use"], r["prev_city"], r["prev_us"]) for r in made}
+    assert got == wanted(rows, 600)
+    assert len(handle.states["times"].data) > 1 and handle.states["categories"].data
+
+
 def test_parts_of_an_initial_state_add_up(spark):
     rows = stream_rows(300, 5, 8)
     txns = [(k, "a", amount, category, city, T0 + pd.Timedelta(microseconds=us)) for us, k, category, city, amount in rows]
