@@ -90,6 +90,8 @@ CHUNK_ROWS = 1_000_000
 MAX_TRAINING_ROWS = 5_000_000
 # Smaller chunks, no less than this, keep all cores busy on a smaller group.
 SMALL_CHUNK_ROWS = 50_000
+# So many chunks are made however small the caller wants them; more must have that many rows.
+FEW_CHUNKS = 200
 # Most chunks of one range shuffle; beyond it chunks get larger.
 MAX_CHUNKS = 20_000
 # Key lists are broadcast only when a count shows them to be no longer than this.

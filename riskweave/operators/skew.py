@@ -9,7 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskweave.constants import BROADCAST_KEYS, CHUNK_ROWS, MAX_CHUNKS, SMALL_CHUNK_ROWS
+from riskweave.constants import (
+    BROADCAST_KEYS,
+    CHUNK_ROWS,
+    FEW_CHUNKS,
+    MAX_CHUNKS,
+    SMALL_CHUNK_ROWS,
+)
 from riskweave.session import checkpoint_dir, materialize
 
 CHUNK = "__chunk"
@@ -76,11 +82,13 @@ def split_heavy(df: DataFrame, key: str, limit: int) -> HeavySplit:
 def chunk_count(rows: int, chunk_rows: int, shuffle_partitions: int) -> int:
     """Chunks of ``chunk_rows``, or smaller ones while the cluster would idle otherwise.
 
-    A chunk is sorted with spilling, so it may grow where the number of chunks reaches
-    what one range shuffle handles well.
+    A chunk is sorted with spilling, so it may grow: past FEW_CHUNKS to SMALL_CHUNK_ROWS, as
+    every chunk is a task and a file and sends a sample of keys to the driver, and where the
+    number of chunks reaches what one range shuffle handles well.
     """
-    busy = min(shuffle_partitions, math.ceil(rows / SMALL_CHUNK_ROWS))
-    return min(max(2, math.ceil(rows / chunk_rows), busy), MAX_CHUNKS)
+    small = math.ceil(rows / SMALL_CHUNK_ROWS)
+    wanted = min(math.ceil(rows / chunk_rows), max(FEW_CHUNKS, small))
+    return min(max(2, wanted, min(shuffle_partitions, small)), MAX_CHUNKS)
 
 
 def range_chunks(

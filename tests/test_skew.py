@@ -49,3 +49,11 @@ def test_chunk_count():
     assert skew.chunk_count(2_000_000, 1_000_000, 4000) == 40
     assert skew.chunk_count(10**9, 1_000_000, 4000) == 4000
     assert skew.chunk_count(10**12, 1_000_000, 4000) == 20_000
+
+
+def test_small_chunks_do_not_grow_in_number_with_the_rows():
+    """A chunk of a few hundred rows is a task, a file and a sample at the driver."""
+    assert skew.chunk_count(4000, 500, 4) == 8
+    assert skew.chunk_count(240_000, 700, 8) == 200
+    assert skew.chunk_count(24_000_000, 700, 8) == 480
+    assert skew.chunk_count(144_000_000, 500, 8) == 2880
