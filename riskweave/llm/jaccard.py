@@ -2,12 +2,16 @@
 
 * Equal sets are one class, so copies are never compared.
 * Answers of highly similar sets: classes that agree in a min-hash key are compared with
-  one leader only. What links to it belongs to one cluster from then on, and pairs inside
-  a cluster are not looked at again: the leader's answers hold for its followers.
+  a few leaders only, drawn by hash. What links to one belongs to its cluster from then on,
+  and pairs inside a cluster are not looked at again: the leader's answers hold for its
+  followers. Every class meets some dozens of leaders, so of a large group whose members
+  link with a part of each other only, few are left outside its cluster.
 * Index lists: the rarest n-grams of a set (by a fixed order, widely shared ones last) are
   indexed with their positions. Each list is summed up in blocks of near sizes and
   positions; pairs of blocks that cannot hold a similar pair, or hold one cluster only, are
-  skipped as a whole, and entries are joined for the pairs of blocks that are left.
+  skipped as a whole, and entries are joined for the pairs of blocks that are left. Where
+  they are many, a part of the classes is drawn first and meets the others, and what links
+  joins a cluster before the next round, so a large group is not compared in pairs.
 * A pair that survives is compared exactly, with sets made from the whole texts.
 """
 
@@ -53,12 +57,18 @@ RUN_GRAMS = 1 << 22
 #: Widely shared n-grams that are put last. The number bounds what is broadcast; one that
 #: is left out only keeps its place in the order, which changes no result.
 MOST_HOT = 1 << 19
-KEYS = 4
+KEYS, KEY_PARTS = 16, 8
+#: Classes that all others with a key are compared with.
+LEADERS = 4
 #: Bits of the parity sketch of a set. Each difference of two sets changes one bit at most.
 SKETCH_BITS = 1024
 #: Up to this many set identities (a few dozen bytes each) are broadcast to fetch texts.
 BROADCAST_NODES = 200_000
 POSITION_BLOCK = 4
+#: Entries of index lists may meet so often per class in one round; see ``_list_links``.
+MEETINGS = 4
+LEAST_CLASSES = 1000
+MORE_DRAWN = 8
 #: Pairs are compared in passes whose sets take at most this share of all sets, or
 #: PASS_BYTES if that is more.
 PASS_SHARE = 0.25
@@ -114,18 +124,22 @@ def _sum_by(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def _keys(grams: np.ndarray, docs: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """KEYS values per text; each joins the least hashes of two parts of the hash range.
+    """KEYS values per text; each joins the least hashes of two or three parts of the hash range.
 
-    Similar sets agree in most of them. The size class is part of a key.
+    Similar sets agree in most of them, and sets that have a line in common only in few. The
+    size class is part of a key; classes of odd keys are shifted by a half, so that sizes on
+    either side of a bound share the others.
     """
-    bins = 2 * KEYS
-    low = np.full((len(n), bins), np.iinfo(np.uint64).max, np.uint64)
-    part = (grams >> np.uint64(32)) % np.uint64(bins)
+    low = np.full((len(n), KEY_PARTS), np.iinfo(np.uint64).max, np.uint64)
+    part = (grams >> np.uint64(32)) % np.uint64(KEY_PARTS)
     np.minimum.at(low, (docs, part.astype(np.int64)), grams)
-    size = np.floor(np.log(np.maximum(n, 1)) / np.log(100 / PERCENT)).astype(np.uint64)
-    out = [
-        mix(mix(low[:, 2 * k] + size) + low[:, 2 * k + 1] + np.uint64(k)) for k in range(KEYS)
-    ]
+    size = np.log(np.maximum(n, 1)) / np.log(100 / PERCENT)
+    out = []
+    for k in range(KEYS):
+        key = mix(low[:, k % KEY_PARTS] + np.floor(size + k % 2 / 2).astype(np.uint64))
+        for step in (1, 3)[: 1 + k // KEY_PARTS]:
+            key = mix(key + low[:, (k + step) % KEY_PARTS])
+        out.append(key + np.uint64(k))
     return np.stack(out, axis=1)
 
 
@@ -360,22 +374,33 @@ def _near(n1: str, n2: str, percent: int):
 
 
 def _leader_pairs(classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): each class with the smallest class that shares a key with it."""
+    """(a, b): each class with LEADERS classes that share a key with it, or all if fewer.
+
+    The leaders of a key are the first by as many hash orders, so a key has few of them
+    however many classes share it, and other keys have others.
+    """
     keyed = classes.where("n > 0").select("node", "n", F.explode("keys").alias("key"))
-    leader = keyed.groupBy("key").agg(
-        F.min(F.struct("node", "n")).alias("_l"), F.count("*").alias("_c")
-    ).where("_c > 1")
-    led = leader.select("key", F.col("_l.node").alias("b"), F.col("_l.n").alias("_n"))
+    first = [F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node", "n")) for k in range(LEADERS)]
+    led = (
+        keyed.groupBy("key")
+        .agg(
+            F.array_distinct(F.transform(F.array(*first), lambda f: F.struct(f["node"], f["n"]))).alias("_l"),
+            F.count("*").alias("_c"),
+        )
+        .where("_c > 1")
+        .select("key", F.explode("_l").alias("_l"))
+        .select("key", F.col("_l.node").alias("b"), F.col("_l.n").alias("_n"))
+    )
     return (
         keyed.join(led, "key")
         .where((F.col("node") != F.col("b")) & _near("n", "_n", percent))
-        .select(F.col("node").alias("a"), "b")
+        .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
         .distinct()
     )
 
 
-def _list_pairs(classes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of different clusters that index lists cannot rule out."""
+def _open_lists(classes: DataFrame, roots: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs of blocks that may hold a similar pair of different clusters, their entries)."""
     size = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent))).cast("int")
     # What is dealt out by n-gram is narrow: size and position share a number, and the
     # cluster is left out where a class is its own.
@@ -406,7 +431,7 @@ def _list_pairs(classes: DataFrame, roots: DataFrame, percent: int) -> DataFrame
         F.max(F.col("n") - F.col("pos")).alias("left"),
         F.min("root").alias("r0"),
         F.max("root").alias("r1"),
-        F.min("node").alias("any"),
+        F.count("*").alias("c"),
     )
     # Lists of one class end here: their block pairs only with itself, in one cluster.
     x, y = blocks.alias("x"), blocks.alias("y")
@@ -418,34 +443,84 @@ def _list_pairs(classes: DataFrame, roots: DataFrame, percent: int) -> DataFrame
         & (100 * F.col("x.n1") >= percent * F.col("y.n0"))
         & ((100 + percent) * F.least("x.left", "y.left") >= percent * (F.col("x.n0") + F.col("y.n0")))
     )
-    open_pairs = x.join(y, (F.col("x.gram") == F.col("y.gram")) & may).select(
-        F.col("x.gram").alias("gram"),
-        *[F.col(f"{s}.{c}").alias(f"{s}{c}") for s in ("x", "y") for c in ("size", "block")],
+    open_pairs = materialize(
+        x.join(y, (F.col("x.gram") == F.col("y.gram")) & may).select(
+            F.col("x.gram").alias("gram"),
+            *[F.col(f"{s}.{c}").alias(f"{s}{c}") for s in ("x", "y") for c in ("size", "block", "c")],
+        ),
+        "open-blocks",
     )
-    e, f = entries.alias("e"), entries.alias("f")
-    left = open_pairs.alias("o").join(
-        e,
-        (F.col("o.gram") == F.col("e.gram"))
-        & (F.col("o.xsize") == F.col("e.size"))
-        & (F.col("o.xblock") == F.col("e.block")),
-    ).select("o.*", *[F.col(f"e.{c}").alias(f"e{c}") for c in ("node", "root", "n", "pos")])
-    rest = F.least(F.col("en") - F.col("epos"), F.col("f.n") - F.col("f.pos"))
-    return (
-        left.alias("l")
-        .join(
-            f,
-            (F.col("l.gram") == F.col("f.gram"))
-            & (F.col("l.ysize") == F.col("f.size"))
-            & (F.col("l.yblock") == F.col("f.block"))
-            & (F.col("eroot") != F.col("f.root"))
-            & _near("en", "f.n", percent)
-            & ((100 + percent) * rest >= percent * (F.col("en") + F.col("f.n"))),
-        )
-        .select(F.least("enode", "f.node").alias("a"), F.greatest("enode", "f.node").alias("b"))
-        .distinct()
+    place = ("gram", "size", "block")
+    sides = [open_pairs.select("gram", *[F.col(f"{s}{c}").alias(c) for c in place[1:]]) for s in ("x", "y")]
+    asked = sides[0].unionByName(sides[1]).distinct()
+    return open_pairs, materialize(
+        entries.select(*place, "node", "n", "pos").join(asked, list(place), "left_semi"), "open-entries"
     )
 
 
+def _list_pairs(
+    open_pairs: DataFrame, entries: DataFrame, roots: DataFrame, percent: int, one_in: int
+) -> DataFrame:
+    """(a, b) of different clusters, one of them drawn, that index lists cannot rule out.
+
+    One class in ``one_in`` is drawn by hash; with 1 the pairs are all.
+    """
+    own = entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    drawn = own.where(F.pmod(F.xxhash64("node", F.lit("drawn")), F.lit(one_in)) == 0)
+
+    def met(e: DataFrame, f: DataFrame) -> DataFrame:
+        left = open_pairs.alias("o").join(
+            e.alias("e"),
+            (F.col("o.gram") == F.col("e.gram"))
+            & (F.col("o.xsize") == F.col("e.size"))
+            & (F.col("o.xblock") == F.col("e.block")),
+        ).select("o.*", *[F.col(f"e.{c}").alias(f"e{c}") for c in ("node", "root", "n", "pos")])
+        rest = F.least(F.col("en") - F.col("epos"), F.col("f.n") - F.col("f.pos"))
+        return (
+            left.alias("l")
+            .join(
+                f.alias("f"),
+                (F.col("l.gram") == F.col("f.gram"))
+                & (F.col("l.ysize") == F.col("f.size"))
+                & (F.col("l.yblock") == F.col("f.block"))
+                & (F.col("eroot") != F.col("f.root"))
+                & _near("en", "f.n", percent)
+                & ((100 + percent) * rest >= percent * (F.col("en") + F.col("f.n"))),
+            )
+            .select(F.least("enode", "f.node").alias("a"), F.greatest("enode", "f.node").alias("b"))
+        )
+
+    if one_in == 1:
+        return met(own, own).distinct()
+    return met(drawn, own).unionByName(met(own, drawn)).distinct()
+
+
+def _list_links(
+    docs: DataFrame, classes: DataFrame, led: DataFrame, width: int, percent: int
+) -> DataFrame:
+    """Links between classes that lead on from ``led`` to all that similar sets reach.
+
+    Where large groups would meet in full, one class in some is drawn first and meets all
+    others: what links with it joins its cluster, so that the pairs inside are never made.
+    Each round draws more, and the last one is over all pairs of different clusters.
+    """
+    links, roots = led, materialize(components(led), "clusters")
+    open_pairs, entries = _open_lists(classes, roots, percent)
+    rows = open_pairs.agg(F.sum(F.col("xc") * F.col("yc"))).first()[0] or 0
+    most, one_in = MEETINGS * max(classes.count(), LEAST_CLASSES), 1
+    while rows > most * one_in:
+        one_in *= MORE_DRAWN
+    while True:
+        found = _linked(docs, classes, _list_pairs(open_pairs, entries, roots, percent, one_in), width, percent)
+        links = links.unionByName(found)
+        if one_in == 1:
+            drop_table(open_pairs)
+            drop_table(entries)
+            return links
+        one_in //= MORE_DRAWN
+        roots = materialize(components(links), "clusters")
+
+
 def similar_groups(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -482,9 +557,7 @@ def similar_groups(
     )
     drop_table(base)
     led = _linked(source, classes, _leader_pairs(classes, percent), width, percent)
-    roots = materialize(components(led), "clusters")
-    more = _linked(source, classes, _list_pairs(classes, roots, percent), width, percent)
-    roots = components(led.unionByName(more))
+    roots = components(_list_links(source, classes, led, width, percent))
     smallest = (
         classes.select("node", "rep")
         .join(roots, "node")

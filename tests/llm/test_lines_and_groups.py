@@ -116,6 +116,32 @@ def test_index_lists_alone_find_all_links(spark, monkeypatch):
     assert [got[k] for k in range(len(texts))] == components(len(texts), links)
 
 
+def test_a_large_group_of_near_copies_is_not_compared_in_pairs(spark, monkeypatch):
+    """Copies that link with a part of each other only: rounds find all links' components."""
+    rng, met = random.Random(3), []
+    base = prose(rng, 70).split()
+    texts = []
+    for _ in range(160):
+        words = list(base)
+        words[rng.randrange(70)] = f"w{rng.randrange(10**6)}"
+        words[-1 - rng.randrange(4)] = f"w{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    real = jaccard._list_pairs
+
+    def counted(*args):
+        pairs = real(*args).localCheckpoint()
+        met.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(jaccard, "_list_pairs", counted)
+    monkeypatch.setattr(jaccard, "LEAST_CLASSES", 1)
+    sets = [shingles(t) for t in texts]
+    links = [(a, b) for a in range(160) for b in range(a) if similar(sets[a], sets[b])]
+    got = {r.doc_id: r.component_id for r in jaccard.op5(docs(spark, texts)).collect()}
+    assert [got[k] for k in range(160)] == components(160, links)
+    assert sum(met) < 160 * 159 / 2 / 4, met
+
+
 def test_rows_without_an_id(spark):
     text = prose(random.Random(1), 30)
     rows = [(None, text), (4, text), (9, text), (None, "else where is no one"), (None, "")]
