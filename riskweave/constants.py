@@ -38,6 +38,8 @@ MODEL_SEED = 42
 MODEL_TREES = 100
 MODEL_STEP = 0.1
 MODEL_DEPTH = 3
+# Most values of a feature that the trees tell apart.
+MODEL_BINS = 256
 DECISION_THRESHOLD = 0.5
 
 FEATURE_COLUMNS = (

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -18,6 +20,7 @@ from riskweave.constants import (
     FEATURE_COLUMNS,
     MAX_TRAINING_ROWS,
     MIN_TRAINING_ROWS,
+    MODEL_BINS,
     MODEL_DEPTH,
     MODEL_SEED,
     MODEL_STEP,
@@ -26,7 +29,7 @@ from riskweave.constants import (
     RuleSettings,
 )
 from riskweave.functions import reason_count
-from riskweave.operators.features import build_features
+from riskweave.operators.features import FEATURE_INPUT, build_features
 from riskweave.operators.flags import FLAG_COLUMNS
 from riskweave.operators.skew import CHUNK, range_chunks
 from riskweave.operators.split import apply_split, split_boundaries
@@ -50,21 +53,73 @@ def training_gate(labelled: DataFrame, min_rows: int = MIN_TRAINING_ROWS) -> Dat
     ).withColumn("ready", (F.col("n_rows") >= min_rows) & (F.col("n_labels") >= 2))
 
 
+def rough_cuts(quantiles: Sequence[float]) -> list[float]:
+    """Bounds of the bins between quantiles; a value that fills several has a bin of its own."""
+    heavy = {a for a, b in zip(quantiles, quantiles[1:]) if a == b}
+    inner = {*quantiles, *(math.nextafter(value, math.inf) for value in heavy)}
+    return [-math.inf, *sorted(inner), math.inf]
+
+
+def middle_cuts(spans: Sequence[tuple[float, float]]) -> list[float]:
+    """The same bins, from their least and largest values, cut in the middle of the gaps."""
+    inner = []
+    for (_, most), (least, _) in zip(spans, spans[1:]):
+        middle = (most + least) / 2
+        # A bin begins with its bound, and the middle belongs to the values below.
+        inner.append(math.nextafter(middle if middle < least else most, math.inf))
+    return [-math.inf, *inner, math.inf]
+
+
+def binning(features: DataFrame) -> Bucketizer | None:
+    """Bins, of equal weight, for features with more values than the trees tell apart.
+
+    All rows count. The other features keep every value; None if there is nothing to bin.
+    """
+    distinct = [F.approx_count_distinct(c).alias(c) for c in FEATURE_COLUMNS]
+    values = features.agg(*distinct).first()
+    wide = [c for c in FEATURE_COLUMNS if values[c] > MODEL_BINS]
+    if not wide:
+        return None
+    ranks = [k / MODEL_BINS for k in range(1, MODEL_BINS)]
+    found = features.approxQuantile(wide, ranks, 1 / (8 * MODEL_BINS))
+    names = {"inputCols": wide, "outputCols": [f"{c}_bin" for c in wide]}
+    rough = Bucketizer(splitsArray=[rough_cuts(quantiles) for quantiles in found], **names)
+    placed, cuts = rough.transform(features), []
+    for column, into in zip(wide, names["outputCols"], strict=True):
+        value = F.col(column).cast("double")
+        spans = placed.groupBy(into).agg(F.min(value), F.max(value)).dropna()
+        # One row per bin.
+        cuts.append(middle_cuts([tuple(r)[1:] for r in spans.orderBy(into).collect()]))
+    return Bucketizer(splitsArray=cuts, **names)
+
+
 def train(features: DataFrame, *, trees: int = MODEL_TREES, seed: int = MODEL_SEED) -> PipelineModel:
-    """Gradient-boosted trees on the feature columns; the assembler keeps their list."""
+    """Gradient-boosted trees on the feature columns; the stages keep their list.
+
+    Boosting passes over its rows hundreds of times, and rows that agree in label, in bins
+    and in the features without bins are the same to it. They are counted first and go in
+    as one row with their number as weight, so a pass costs what the rows differ in.
+    """
     checkpoint_dir(features.sparkSession)
-    assembler = VectorAssembler(inputCols=list(FEATURE_COLUMNS), outputCol="features")
+    bins = binning(features)
+    named = {} if bins is None else dict(zip(bins.getInputCols(), bins.getOutputCols(), strict=True))
+    columns = [named.get(c, c) for c in FEATURE_COLUMNS]
+    placed = features if bins is None else bins.transform(features)
+    counted = placed.groupBy("label", *columns).agg(F.count(F.lit(1)).cast("double").alias("rows"))
+    assembler = VectorAssembler(inputCols=columns, outputCol="features")
     trees_stage = GBTClassifier(
         labelCol="label",
         featuresCol="features",
+        weightCol="rows",
         maxIter=trees,
         stepSize=MODEL_STEP,
         maxDepth=MODEL_DEPTH,
-        maxBins=256,
+        maxBins=MODEL_BINS,
         seed=seed,
         checkpointInterval=10,
     )
-    return Pipeline(stages=[assembler, trees_stage]).fit(features)
+    fitted = Pipeline(stages=[assembler, trees_stage]).fit(materialize(counted, "training"))
+    return PipelineModel([*([] if bins is None else [bins]), *fitted.stages])
 
 
 def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
@@ -152,11 +207,12 @@ def train_and_evaluate(
     """Features, chronological split, fit and held-out metrics.
 
     ``txns`` carries ``label`` and ``rule_flag_count``. Too few rows or a single label are
-    an error before anything is trained. The split needs only label, time and key, so it is
-    found before the feature windows run; the features are then written once to the shared
-    folder. Boosting passes over its rows hundreds of times, so the trees are fitted on
-    ``max_rows`` of the training rows at most; metrics cover all held-out rows.
+    an error before anything is trained. The rows are written once to the shared folder, as
+    the gate, the split and the feature windows all read them, and so are the features. The
+    trees are fitted on ``max_rows`` of the training rows at most; metrics cover all
+    held-out rows.
     """
+    txns = materialize(txns.select(*FEATURE_INPUT, "label"), "labelled")
     gate = training_gate(txns, min_rows).first()
     if not gate["ready"]:
         raise ValueError(
@@ -219,7 +275,10 @@ def save_model(model: PipelineModel, path: str) -> None:
 def load_model(path: str) -> PipelineModel:
     """A stored model; one that was fitted on other features, or in another order, is refused."""
     model = PipelineModel.load(path)
-    stored = [list(s.getInputCols()) for s in model.stages if isinstance(s, VectorAssembler)]
+    bins = [s for s in model.stages if isinstance(s, Bucketizer)]
+    raw = {o: i for s in bins for i, o in zip(s.getInputCols(), s.getOutputCols(), strict=True)}
+    assemblers = [s for s in model.stages if isinstance(s, VectorAssembler)]
+    stored = [[raw.get(c, c) for c in s.getInputCols()] for s in assemblers]
     if stored != [list(FEATURE_COLUMNS)]:
         raise ValueError(f"{path} was fitted on {stored}, not on {list(FEATURE_COLUMNS)}")
     return model

@@ -28,7 +28,7 @@ from riskweave.operators.dedupe import (
     dedupe_feed,
 )
 from riskweave.operators.evaluate import evaluate, flag_totals, label_totals, report
-from riskweave.operators.features import build_features, with_label
+from riskweave.operators.features import FEATURE_INPUT, build_features, with_label
 from riskweave.operators.flags import (
     flag_by_key,
     flags_by_rule,
@@ -720,14 +720,14 @@ def dashboard_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- features, split, model ------------------------------------------------------------------
 
 
-def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _labelled(spark: SparkSession, sf_dir: str, flags: DataFrame | None = None) -> DataFrame:
     txns = with_label(event_transactions(spark, sf_dir))
-    return with_rule_flag_count(txns, inputs.flag_table(spark, sf_dir))
+    return with_rule_flag_count(txns, inputs.flag_table(spark, sf_dir) if flags is None else flags)
 
 
-def _lawful(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lawful(spark: SparkSession, sf_dir: str, flags: DataFrame | None = None) -> DataFrame:
     """Transactions labelled by a law of three features: what a classifier must find again."""
-    txns = _labelled(spark, sf_dir)
+    txns = _labelled(spark, sf_dir, flags)
     late = weekday(F.unix_micros("occurred_at")) >= 5
     risky = F.col("merchant_category") == HIGH_RISK_CATEGORY
     return txns.withColumn("label", ((risky & late) | (F.col("rule_flag_count") >= 2)).cast("double"))
@@ -854,8 +854,10 @@ def held_out_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held_out_metrics(rows).withColumns({c: F.round(c, 6) for c in ratios})
 
 
-def _stored_model(spark: SparkSession, sf_dir: str):
-    built = materialize(build_features(_lawful(spark, sf_dir), settings=inputs.DAY), "features")
+def _stored_model(spark: SparkSession, sf_dir: str, flags: DataFrame | None = None):
+    txns = _lawful(spark, sf_dir, flags).select(*FEATURE_INPUT, "label")
+    rows = materialize(txns, "labelled")
+    built = materialize(build_features(rows, settings=inputs.DAY), "features")
     path = scratch_path(spark, "model")
     save_model(train(built), path)
     return load_model(path)
@@ -869,8 +871,8 @@ def _called() -> Column:
 @query
 def ml_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A model saved, loaded and applied to the flags without a score."""
-    model = _stored_model(spark, sf_dir)
-    flags = inputs.flag_table(spark, sf_dir)
+    flags = materialize(inputs.flag_table(spark, sf_dir), "flags")
+    model = _stored_model(spark, sf_dir, flags)
     scored = score_pending(flags, event_transactions(spark, sf_dir), model, settings=inputs.DAY)
     return scored.select("idempotency_key", _called())
 

@@ -14,7 +14,9 @@ from riskweave.operators.model import (
     bounded_sample,
     held_out_metrics,
     load_model,
+    middle_cuts,
     predict,
+    rough_cuts,
     save_model,
     score_pending,
     train,
@@ -187,6 +189,39 @@ def test_metrics_scan_the_predictions_once(spark, tmp_path):
     assert metrics.first()["test_size"] == 40
 
 
+def test_bins_are_cut_at_quantiles_and_around_heavy_values():
+    low, high, above = -math.inf, math.inf, lambda value: math.nextafter(value, math.inf)
+    assert rough_cuts([1.0, 2.0, 3.0]) == [low, 1.0, 2.0, 3.0, high]
+    assert rough_cuts([0.0, 0.0, 0.0, 5.0]) == [low, 0.0, above(0.0), 5.0, high]
+    assert middle_cuts([(0.0, 0.0), (2.0, 4.0), (8.0, 9.0)]) == [low, above(1.0), above(6.0), high]
+    assert middle_cuts([(1.0, 1.0), (above(1.0), 2.0)]) == [low, above(1.0), high]
+
+
+def test_the_trees_are_fitted_on_counted_rows(spark, monkeypatch):
+    """Copies of the rows add no row to what every pass of boosting reads, and change no score."""
+    from riskweave.operators import model as module
+
+    fitted, keep = [], module.materialize
+
+    def kept(df, name):
+        out = keep(df, name)
+        if name == "training":
+            fitted.append(out)
+        return out
+
+    monkeypatch.setattr(module, "materialize", kept)
+    once = build_features(ledger(spark, 1500, 300))
+    copies = once.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(4)))).drop("copy")
+    scores = [
+        {r["idempotency_key"]: r["ml_score"] for r in predict(train(df, trees=3), once).collect()}
+        for df in (once, copies)
+    ]
+    sizes = [(rows.count(), rows.agg(F.sum("rows")).first()[0]) for rows in fitted]
+    assert sizes[0][0] == sizes[1][0] < 1800 and [s for _, s in sizes] == [1800, 7200]
+    assert scores[0].keys() == scores[1].keys()
+    assert all(abs(scores[0][k] - scores[1][k]) < 1e-9 for k in scores[0])
+
+
 def test_score_pending_scores_each_flag_once(spark):
     df = ledger(spark)
     model = train(build_features(df), trees=5)
