@@ -94,6 +94,8 @@ MAX_TRAINING_ROWS = 5_000_000
 SMALL_CHUNK_ROWS = 50_000
 # So many chunks are made however small the caller wants them; more must have that many rows.
 FEW_CHUNKS = 200
+# Rows aimed at per task where groups are about as many as rows.
+TASK_ROWS = 250_000
 # Most chunks of one range shuffle; beyond it chunks get larger.
 MAX_CHUNKS = 20_000
 # Key lists are broadcast only when a count shows them to be no longer than this.

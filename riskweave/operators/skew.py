@@ -15,6 +15,7 @@ from riskweave.constants import (
     FEW_CHUNKS,
     MAX_CHUNKS,
     SMALL_CHUNK_ROWS,
+    TASK_ROWS,
 )
 from riskweave.session import checkpoint_dir, materialize
 
@@ -79,6 +80,16 @@ def split_heavy(df: DataFrame, key: str, limit: int) -> HeavySplit:
     )
 
 
+def in_tasks(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df``, of ``rows`` rows, hashed by ``keys`` into tasks of some ``TASK_ROWS``.
+
+    Adaptive execution joins partitions by their compressed bytes; rows that compress well
+    would meet by the million in tasks that hold them uncompressed. It leaves a given number
+    of partitions alone.
+    """
+    return df.repartition(min(max(1, math.ceil(rows / TASK_ROWS)), MAX_CHUNKS), *keys)
+
+
 def chunk_count(rows: int, chunk_rows: int, shuffle_partitions: int) -> int:
     """Chunks of ``chunk_rows``, or smaller ones while the cluster would idle otherwise.
 

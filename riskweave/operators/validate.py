@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from riskweave.constants import (
     STATUSES,
     ZERO_AMOUNT_ERROR,
 )
+from riskweave.operators.skew import in_tasks
 
 
 def validation_error() -> Column:
@@ -117,8 +120,10 @@ def status_filter(flags: DataFrame, status: str | None) -> DataFrame:
 def flag_violations(flags: DataFrame) -> DataFrame:
     """Constraint breaches, one row per broken rule and key.
 
-    The duplicate check groups by key with map-side partial counts, so copies of
-    one key never meet in full in one task.
+    One pass: the rows of a key are counted and their marks joined, with a bit per rule. Keys
+    are nearly unique, so a task holds about as many groups as it has rows; the tasks are as
+    many as the rows need, and copies of one key, two small columns wide, only add to its
+    group. ``flags`` is read twice, the first time to count.
     """
     checks = {
         "idempotency_key missing": F.coalesce(F.trim("idempotency_key"), F.lit("")) == "",
@@ -128,17 +133,19 @@ def flag_violations(flags: DataFrame) -> DataFrame:
         "occurred_at missing": F.col("occurred_at").isNull(),
         "status not allowed": ~F.coalesce(F.col("status").isin(*STATUSES), F.lit(False)),
     }
-    found = F.array(*[F.when(broken, F.lit(text)) for text, broken in checks.items()])
-    broken = flags.select("idempotency_key", F.explode(found).alias("violation")).filter(
-        F.col("violation").isNotNull()
+    bit = [F.when(broken, F.lit(1 << k)).otherwise(F.lit(0)) for k, broken in enumerate(checks.values())]
+    marked = flags.select("idempotency_key", reduce(Column.bitwiseOR, bit).alias("broken"))
+    per_key = (
+        in_tasks(marked, flags.count(), "idempotency_key")
+        .groupBy("idempotency_key")
+        .agg(F.bit_or("broken").alias("broken"), F.count(F.lit(1)).alias("n"))
     )
-    duplicated = (
-        flags.groupBy("idempotency_key")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter((F.col("n") > 1) & F.col("idempotency_key").isNotNull())
-        .select("idempotency_key", F.lit("idempotency_key not unique").alias("violation"))
+    found = [F.when(F.col("broken").bitwiseAND(1 << k) != 0, F.lit(text)) for k, text in enumerate(checks)]
+    repeated = (F.col("n") > 1) & F.col("idempotency_key").isNotNull()
+    found.append(F.when(repeated, F.lit("idempotency_key not unique")))
+    return per_key.select(
+        "idempotency_key", F.explode(F.array_compact(F.array(*found))).alias("violation")
     )
-    return broken.distinct().unionByName(duplicated)
 
 
 def require_columns(df: DataFrame, expected: dict[str, str]) -> DataFrame:

@@ -319,6 +319,25 @@ def test_flag_violations(spark):
     }
 
 
+def test_flag_violations_scan_the_flags_once_in_tasks_of_bounded_rows(spark, tmp_path, monkeypatch):
+    """Also where keys compress so well that adaptive execution would make one task of them."""
+    from riskweave.operators import skew
+
+    monkeypatch.setattr(skew, "TASK_ROWS", 100)
+    path = str(tmp_path / "flags")
+    key = F.concat(F.lit("k"), (F.col("id") % 900).cast("string")).alias("idempotency_key")
+    odd = F.when(F.col("id") >= 900, F.lit("odd")).otherwise(F.lit("denied")).alias("status")
+    columns = {"account_id": "x", "amount_cents": 1, "merchant_category": "c", "occurred_at": at(0)}
+    rows = spark.range(1000).select(key, odd, *[F.lit(v).alias(c) for c, v in columns.items()])
+    rows.write.parquet(path)
+    found = flag_violations(spark.read.parquet(path))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert found.rdd.getNumPartitions() == 10
+    texts = found.groupBy("violation").count().collect()
+    assert {tuple(r) for r in texts} == {("status not allowed", 100), ("idempotency_key not unique", 100)}
+
+
 def test_amounts_out_of_range_are_quarantined(spark):
     rows = normal(spark, [record(0, amount=1e300), record(1)]).collect()
     assert {r["native_id"]: r["error"] for r in rows} == {
