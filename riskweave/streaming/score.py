@@ -169,6 +169,8 @@ def score_pending_batch(
     buckets = touched_buckets(named, "idempotency_key", store.buckets)
     flags = stored_flags(batch.sparkSession, store, buckets)
     mine = semi_join(flags, named.select("idempotency_key"), "idempotency_key")
+    # Scoring reads them several times: whose history, since when, how many reasons.
+    mine = materialize(mine, "named-flags")
     theirs = touched_buckets(named, "account_id", store.buckets)
     history = read_transactions(batch.sparkSession, store.transactions, RULE_INPUT, theirs)
     scored = score_pending(mine, history, model, settings=settings)

@@ -319,3 +319,45 @@ def test_retry_comes_in_time_without_new_messages(spark, tmp_path):
     ingest_batch(again, 2, store, far, timers=True)
     assert read_transactions(spark, store.transactions).count() == 1
     assert read_due(spark, store).isStreaming
+
+
+def test_the_flags_of_a_batch_are_written_once_before_scoring(spark, tmp_path, monkeypatch):
+    """Scoring reads them several times, and the log they come from is read for each."""
+    from riskweave.streaming import score as module
+    from riskweave.streaming.store import read_scores
+
+    rows = [(k, "a", 1, "c", "r", at(0), "pending", None, at(0), at(0)) for k in ("x", "y")]
+    flags, given = spark.createDataFrame(rows, FLAG), []
+
+    def scored(mine, history, model, settings=None):
+        given.extend(mine.inputFiles())
+        return mine.withColumn("ml_score", F.lit(0.5))
+
+    monkeypatch.setattr(module, "stored_flags", lambda *_: flags)
+    monkeypatch.setattr(module, "score_pending", scored)
+    store = Store(str(tmp_path), 2)
+    module.score_pending_batch(flags.filter("idempotency_key = 'x'"), 0, store, None)
+    assert given and all("/named-flags-" in path for path in given)
+    assert [tuple(r) for r in read_scores(spark, store).collect()] == [("x", 0.5)]
+
+
+def test_every_core_writes_a_part_of_what_is_served(spark, tmp_path, monkeypatch):
+    """Seven writes of stream_dedupe, each in as many files as there are cores, not in four."""
+    from glob import glob
+
+    from riskweave.plans import queries as module
+
+    paths, make = {}, module.scratch_path
+
+    def made(session, name):
+        return paths.setdefault(name, make(session, name))
+
+    monkeypatch.setattr(module, "scratch_path", made)
+    event = (
+        "id AS event_id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id * 600) AS ts",
+        "id % 9 AS user_id", "'view' AS event_type", "id / 4D AS value", "'{\"k\": 7}' AS props",
+    )
+    spark.range(4000).selectExpr(*event).write.parquet(f"{tmp_path}/events.parquet")
+    assert module.QUERIES["stream_dedupe"](spark, str(tmp_path)).count() == 4000
+    folder = paths["served"].removeprefix("file:")
+    assert len(glob(f"{folder}/*.parquet")) == 7 * spark.sparkContext.defaultParallelism > 28
