@@ -1075,7 +1075,8 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     The bounded filter in front forgets a key after a day of event time, a thirtieth of the
     data; the third serving is found by the index, which forgets none.
     """
-    path, files = scratch_path(spark, "served"), 4
+    # Every core writes and reads a part of each serving; the micro-batches stay the same.
+    path, files = scratch_path(spark, "served"), max(4, spark.sparkContext.defaultParallelism)
     txns = event_transactions(spark, sf_dir).withColumn("served_at", F.col("occurred_at"))
     for period in _periods(txns):
         rows = txns.filter(period).persist()
