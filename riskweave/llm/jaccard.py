@@ -6,7 +6,7 @@
   and pairs inside a cluster are not looked at again: the leader's answers hold for its
   followers. Every class meets some dozens of leaders, so of a large group whose members
   link with a part of each other only, few are left outside its cluster.
-* Index lists: the rarest n-grams of a set (by a fixed order, widely shared ones last) are
+* Index lists: the rarest n-grams of a set (by counts over all texts, in hashed buckets) are
   indexed with their positions. Each list is summed up in blocks of near sizes and
   positions; pairs of blocks that cannot hold a similar pair, or hold one cluster only, are
   skipped as a whole, and entries are joined for the pairs of blocks that are left. Where
@@ -49,14 +49,19 @@ from riskweave.session import materialize
 
 SHINGLE = 4
 PERCENT = 85
-#: N-grams in at least this share of the documents of a run of RUN_DOCS are counted.
-HOT_SHARE = 0.0005
-RUN_DOCS = 4096
-#: N-grams that end a run early, so that long documents do not make its arrays larger.
-RUN_GRAMS = 1 << 22
-#: Widely shared n-grams that are put last. The number bounds what is broadcast; one that
-#: is left out only keeps its place in the order, which changes no result.
-MOST_HOT = 1 << 19
+#: N-grams are counted in buckets by hash, about so many a document and 2 ** MOST_BITS at most.
+#: That bounds what a task holds and what is broadcast; n-grams that share a bucket only
+#: move in the order, which changes no result.
+BUCKETS_PER_DOC = 16
+LEAST_BITS, MOST_BITS = 12, 23
+#: N-grams that are counted at once, so that long texts do not make work arrays larger.
+RUN_GRAMS = 1 << 20
+#: The counts of so many buckets are summed up together.
+COUNTED_TOGETHER = 1 << 16
+#: Steps of the rank by doublings of the count.
+RANK_STEPS = 8
+#: Texts that are summed up at once; a sketch of each is made from 8 bytes a bit.
+TEXTS_AT_ONCE = 1024
 KEYS, KEY_PARTS = 16, 8
 #: Classes that all others with a key are compared with.
 LEADERS = 4
@@ -76,16 +81,12 @@ PASS_BYTES = 64 << 20
 #: The links of one component are dealt over this many parts when they get its name.
 SALTS = 16
 
-_HOT = np.uint64(1 << 63)
 
+def _shingles(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(n-grams, documents): the 63-bit n-gram hashes of each text, with repeats.
 
-def shingle_sets(
-    texts: pa.Array, width: int, hot: np.ndarray | None = None
-) -> tuple[np.ndarray, np.ndarray]:
-    """(n-grams, documents): the distinct 63-bit n-gram hashes of each text, in order.
-
-    Hashes found in ``hot`` come after all others of their text. A text with fewer words
-    than ``width`` has one n-gram of all its words; one without words has none.
+    A text with fewer words than ``width`` has one n-gram of all its words; one without
+    words has none.
     """
     data, bounds = utf8(texts)
     data = LOWER_ASCII[data]
@@ -105,17 +106,35 @@ def shingle_sets(
             h = mix(h + v)
         few.append(h[0])
     grams = np.concatenate([gram[whole], np.array(few, np.uint64)]) >> np.uint64(1)
-    docs = np.concatenate([doc[: len(gram)][whole], np.flatnonzero(short)])
-    if hot is not None and len(hot):
-        at = np.minimum(np.searchsorted(hot, grams), len(hot) - 1)
-        grams = np.where(hot[at] == grams, grams | _HOT, grams)
-    order = np.argsort(grams)
-    small = docs.astype(np.uint16) if len(texts) < 1 << 16 else docs
-    order = order[np.argsort(small[order], kind="stable")]
+    return grams, np.concatenate([doc[: len(gram)][whole], np.flatnonzero(short)])
+
+
+def _bucket(grams: np.ndarray, buckets: int) -> np.ndarray:
+    return (grams & np.uint64(buckets - 1)).astype(np.int64)
+
+
+def shingle_sets(
+    texts: pa.Array, width: int, ranks: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """(n-grams, documents): the distinct ``_shingles`` of each text, in order.
+
+    The order is by the rank of their bucket in ``ranks``, and by hash where that is equal.
+    """
+    grams, docs = _shingles(texts, width)
+
+    def by_doc(order: np.ndarray) -> np.ndarray:
+        small = docs.astype(np.uint16) if len(texts) < 1 << 16 else docs
+        return order[np.argsort(small[order], kind="stable")]
+
+    order = by_doc(np.argsort(grams))
     grams, docs = grams[order], docs[order]
     new = np.ones(len(grams), bool)
     new[1:] = (grams[1:] != grams[:-1]) | (docs[1:] != docs[:-1])
-    return grams[new] & ~_HOT, docs[new]
+    grams, docs = grams[new], docs[new]
+    if ranks is not None:
+        order = by_doc(np.argsort(ranks[_bucket(grams, len(ranks))], kind="stable"))
+        grams, docs = grams[order], docs[order]
+    return grams, docs
 
 
 def _sum_by(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -166,13 +185,13 @@ _SUMMARY = StructType(
 )
 
 
-def _summaries(spark: SparkSession, hot: np.ndarray, width: int, percent: int):
-    sent = spark.sparkContext.broadcast(hot)
+def _summaries(spark: SparkSession, ranks: np.ndarray, width: int, percent: int):
+    sent = spark.sparkContext.broadcast(ranks)
 
     @arrow_udf(_SUMMARY)
     def summaries(texts: pa.Array) -> pa.Array:
         done = []
-        for part in slices(texts, 1 << 20):
+        for part in slices(texts, 1 << 20, TEXTS_AT_ONCE):
             grams, docs = shingle_sets(part, width, sent.value)
             n = np.bincount(docs, minlength=len(part))
             ends = np.concatenate([[0], np.cumsum(n)])
@@ -206,52 +225,52 @@ def _summaries(spark: SparkSession, hot: np.ndarray, width: int, percent: int):
     return summaries
 
 
-def widely_shared(docs: DataFrame, text: str, width: int) -> np.ndarray:
-    """Sorted n-grams that many documents share, counted over all documents.
+def gram_ranks(docs: DataFrame, text: str, width: int) -> np.ndarray:
+    """A rank per bucket of n-grams, by how often they occur in all texts.
 
-    Tasks count runs of RUN_DOCS documents and pass on what reaches HOT_SHARE of a run (two
-    documents at least); the sums that reach HOT_SHARE of the table are collected. That is
-    at most the n-grams of a mean document over HOT_SHARE, and never more than MOST_HOT.
+    Each task counts its texts in one array. The arrays are dealt out in parts of
+    COUNTED_TOGETHER buckets and summed up there; one byte a bucket is collected.
     """
+    wanted = max(docs.count() * BUCKETS_PER_DOC - 1, 1)
+    buckets = 1 << min(max(wanted.bit_length(), LEAST_BITS), MOST_BITS)
+    together = min(buckets, COUNTED_TOGETHER)
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, n, grams = [], 0, 0
-
-        def counted() -> pa.RecordBatch:
-            gram, count = np.unique(np.concatenate(kept), return_counts=True)
-            often = count >= max(2, HOT_SHARE * n)
-            return pa.record_batch(
-                {
-                    "gram": pa.array(np.append(_signed(gram[often]), -1), pa.int64()),
-                    "n": pa.array(np.append(count[often], n), pa.int64()),
-                }
-            )
-
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(buckets, np.uint32)
         for batch in batches:
             for part in slices(batch.column(0), 1 << 20):
-                kept.append(shingle_sets(part, width)[0])
-                n += len(part)
-                grams += len(kept[-1])
-                if n >= RUN_DOCS or grams >= RUN_GRAMS:
-                    yield counted()
-                    kept, n, grams = [], 0, 0
-        if n:
-            yield counted()
-
-    counts = materialize(
-        docs.select(F.col(text)).mapInArrow(partial, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")),
-        "shared-grams",
-    )
-    total = counts.where("gram = -1").first()
-    least = max(8, int(HOT_SHARE * total["n"])) if total else 8
+                grams = _shingles(part, width)[0]
+                for k in range(0, len(grams), RUN_GRAMS):
+                    np.add.at(counts, _bucket(grams[k : k + RUN_GRAMS], buckets), np.uint32(1))
+        for k, part in enumerate(counts.reshape(-1, together)):
+            if part.any():
+                yield pa.record_batch(
+                    {"part": pa.array([k], pa.int32()), "counts": pa.array([part.tobytes()], pa.binary())}
+                )
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {}
+        for batch in batches:
+            for k, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own = sums.setdefault(k, np.zeros(together, np.uint64))
+                own += np.frombuffer(counts.as_buffer(), np.uint32)
+        for k, own in sums.items():
+            rank = np.minimum(RANK_STEPS * np.log2(own + 1.0), 255).astype(np.uint8)
+            yield pa.record_batch(
+                {"part": pa.array([k], pa.int32()), "ranks": pa.array([rank.tobytes()], pa.binary())}
+            )
+
     rows = (
-        counts.where((F.col("gram") >= 0) & (F.col("n") >= least))
-        .orderBy(F.desc("n"), "gram")
-        .limit(MOST_HOT)
-        .select("gram")
+        docs.select(F.col(text))
+        .mapInArrow(count, "part int, counts binary")
+        .repartition(buckets // together, "part")
+        .mapInArrow(add, "part int, ranks binary")
         .toArrow()
     )
-    return np.sort(np.asarray(rows["gram"].combine_chunks()).astype(np.uint64))
+    ranks = np.zeros((buckets // together, together), np.uint8)
+    for k, own in zip(rows["part"].to_pylist(), rows["ranks"].to_pylist(), strict=True):
+        ranks[k] = np.frombuffer(own, np.uint8)
+    return ranks.ravel()
 
 
 def _full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
@@ -539,8 +558,7 @@ def similar_groups(
     """
     spark = docs.sparkSession
     source = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text"))
-    hot = widely_shared(source, "_text", width)
-    made = _summaries(spark, hot, width, percent)
+    made = _summaries(spark, gram_ranks(source, "_text", width), width, percent)
     base = materialize(source.select("_doc", made("_text").alias("_s")).select("_doc", "_s.*"), "base")
     members = materialize(base.select("_doc", "n", "digest"), "members")
     classes = materialize(

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 from llm_cases import LOWER, ODD, SPACE, components, docs, prose, words
 
@@ -142,6 +143,34 @@ def test_a_large_group_of_near_copies_is_not_compared_in_pairs(spark, monkeypatc
     assert sum(met) < 160 * 159 / 2 / 4, met
 
 
+def test_texts_with_a_common_part_do_not_meet(spark, monkeypatch):
+    """The part is in too few of many texts to be hot, and too little for a link."""
+    rng, met = random.Random(6), []
+    common = prose(rng, 70)
+    texts = [f"{common} {' '.join(f'o{k}n{j}' for j in range(15))}" for k in range(9)]
+    texts += [" ".join(f"x{k}y{j}" for j in range(24)) for k in range(20_000)]
+    real = jaccard._list_pairs
+
+    def counted(*args):
+        pairs = real(*args).localCheckpoint()
+        met.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(jaccard, "_list_pairs", counted)
+    rows = jaccard.op5(docs(spark, texts)).collect()
+    assert all(r.component_id == r.doc_id for r in rows) and len(rows) == len(texts)
+    assert sum(met) == 0
+
+
+def test_frequent_grams_come_last(spark):
+    texts = ["p q r s one two", "p q r s three", "p q r s", "p q r s"]
+    ranks = jaccard.gram_ranks(docs(spark, texts), "text", 4)
+    often = jaccard.shingle_sets(pa.array(["p q r s"]), 4)[0][0]
+    grams, rows = jaccard.shingle_sets(pa.array(texts), 4, ranks)
+    assert len(ranks) == 1 << jaccard.LEAST_BITS and ranks[often % len(ranks)] == ranks.max()
+    assert [grams[rows == k][-1] for k in range(4)] == [often] * 4
+
+
 def test_rows_without_an_id(spark):
     text = prose(random.Random(1), 30)
     rows = [(None, text), (4, text), (9, text), (None, "else where is no one"), (None, "")]
