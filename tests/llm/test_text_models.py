@@ -72,6 +72,33 @@ def test_rules_on_odd_input(spark):
     assert quality.op3(table.where("false"), labels).count() == 0
 
 
+def test_rules_are_learned_from_every_labelled_row(spark):
+    """The bad rows are those that come last in hash order, behind 20,000 others."""
+    ids = [r[0] for r in spark.sql("select id from range(20300) order by pmod(xxhash64(id), 1 << 30), id").collect()]
+    bad = set(ids[20_000:])
+    texts = [(k, " ".join(f"w{k}{j}{'%%%' if k in bad else ''}" for j in range(12))) for k in range(20_300)]
+    labels = spark.createDataFrame([(k, int(k not in bad)) for k in range(20_300)], "doc_id bigint, quality int")
+    table = docs(spark, texts).repartition(4)
+    assert {r.doc_id for r in quality.op3(table, labels).where("not kept").collect()} == bad
+
+
+def test_rules_from_more_rows_than_bins(spark):
+    table, labels, truth = labelled(spark)
+    rules = quality.learn(table, labels, settings=quality.CoverSettings(bins=32))
+    got = {r.doc_id: r.kept for r in quality.judge(table, rules).collect()}
+    assert got == {k: bool(v) for k, v in truth.items()}
+
+
+def test_quantiles_of_counts_equal_those_of_rows():
+    rng, shares = np.random.default_rng(2), np.linspace(0, 1, 66)[1:-1]
+    for n in (1, 2, 7, 500):
+        rows = np.round(rng.random(n), 2)
+        values, count = np.unique(rows, return_counts=True)
+        made = quality.Histogram(values, count // 2, count - count // 2)
+        assert np.allclose(made.quantiles(shares), np.quantile(rows, shares), rtol=0, atol=1e-12)
+        assert sum(made.upto(0.5)) == (rows <= 0.5).sum()
+
+
 def test_a_verdict_is_ordered_and_defaults_to_kept():
     one = (quality.Condition("n_words", True, 5.0), quality.Condition("upper_per_char", False, 0.5))
     table = {"n_words": np.array([3, 9, 9]), "upper_per_char": np.array([0.1, 0.1, 0.9])}
