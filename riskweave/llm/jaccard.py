@@ -53,11 +53,13 @@ PERCENT = 85
 #: That bounds what a task holds and what is broadcast; n-grams that share a bucket only
 #: move in the order, which changes no result.
 BUCKETS_PER_DOC = 16
-LEAST_BITS, MOST_BITS = 12, 23
+LEAST_BITS, MOST_BITS = 13, 23
 #: N-grams that are counted at once, so that long texts do not make work arrays larger.
 RUN_GRAMS = 1 << 20
 #: The counts of so many buckets are summed up together.
-COUNTED_TOGETHER = 1 << 16
+COUNTED_TOGETHER = 1 << 13
+#: A task counts no further in a bucket.
+MOST_COUNTED = (1 << 16) - 1
 #: Steps of the rank by doublings of the count.
 RANK_STEPS = 8
 #: Texts that are summed up at once; a sketch of each is made from 8 bytes a bit.
@@ -235,6 +237,16 @@ def gram_ranks(docs: DataFrame, text: str, width: int) -> np.ndarray:
     buckets = 1 << min(max(wanted.bit_length(), LEAST_BITS), MOST_BITS)
     together = min(buckets, COUNTED_TOGETHER)
 
+    def batch_of(name: str, made: dict[int, np.ndarray]) -> pa.RecordBatch:
+        packed = [pa.compress(own.tobytes(), "zstd", asbytes=True) for own in made.values()]
+        return pa.record_batch(
+            {"part": pa.array(list(made), pa.int32()), name: pa.array(packed, pa.binary())}
+        )
+
+    def unpacked(packed: bytes, kind: type) -> np.ndarray:
+        size = together * np.dtype(kind).itemsize
+        return np.frombuffer(pa.decompress(packed, size, "zstd", asbytes=True), kind)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(buckets, np.uint32)
         for batch in batches:
@@ -242,34 +254,30 @@ def gram_ranks(docs: DataFrame, text: str, width: int) -> np.ndarray:
                 grams = _shingles(part, width)[0]
                 for k in range(0, len(grams), RUN_GRAMS):
                     np.add.at(counts, _bucket(grams[k : k + RUN_GRAMS], buckets), np.uint32(1))
-        for k, part in enumerate(counts.reshape(-1, together)):
-            if part.any():
-                yield pa.record_batch(
-                    {"part": pa.array([k], pa.int32()), "counts": pa.array([part.tobytes()], pa.binary())}
-                )
+        for k, own in enumerate(counts.reshape(-1, together)):
+            if own.any():
+                yield batch_of("counts", {k: np.minimum(own, MOST_COUNTED).astype(np.uint16)})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = {}
         for batch in batches:
-            for k, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for k, packed in zip(*batch.to_pydict().values(), strict=True):
                 own = sums.setdefault(k, np.zeros(together, np.uint64))
-                own += np.frombuffer(counts.as_buffer(), np.uint32)
-        for k, own in sums.items():
-            rank = np.minimum(RANK_STEPS * np.log2(own + 1.0), 255).astype(np.uint8)
-            yield pa.record_batch(
-                {"part": pa.array([k], pa.int32()), "ranks": pa.array([rank.tobytes()], pa.binary())}
-            )
+                own += unpacked(packed, np.uint16)
+        if sums:
+            rank = {k: np.minimum(RANK_STEPS * np.log2(own + 1.0), 255) for k, own in sums.items()}
+            yield batch_of("ranks", {k: own.astype(np.uint8) for k, own in rank.items()})
 
     rows = (
         docs.select(F.col(text))
         .mapInArrow(count, "part int, counts binary")
-        .repartition(buckets // together, "part")
+        .repartition("part")
         .mapInArrow(add, "part int, ranks binary")
         .toArrow()
     )
     ranks = np.zeros((buckets // together, together), np.uint8)
     for k, own in zip(rows["part"].to_pylist(), rows["ranks"].to_pylist(), strict=True):
-        ranks[k] = np.frombuffer(own, np.uint8)
+        ranks[k] = unpacked(own, np.uint8)
     return ranks.ravel()
 
 
@@ -523,7 +531,7 @@ def _list_links(
     others: what links with it joins its cluster, so that the pairs inside are never made.
     Each round draws more, and the last one is over all pairs of different clusters.
     """
-    links, roots = led, materialize(components(led), "clusters")
+    roots = materialize(components(led), "clusters")
     open_pairs, entries = _open_lists(classes, roots, percent)
     rows = open_pairs.agg(F.sum(F.col("xc") * F.col("yc"))).first()[0] or 0
     most, one_in = MEETINGS * max(classes.count(), LEAST_CLASSES), 1
@@ -531,7 +539,8 @@ def _list_links(
         one_in *= MORE_DRAWN
     while True:
         found = _linked(docs, classes, _list_pairs(open_pairs, entries, roots, percent, one_in), width, percent)
-        links = links.unionByName(found)
+        # Clusters stand for all links before.
+        links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found)
         if one_in == 1:
             drop_table(open_pairs)
             drop_table(entries)
