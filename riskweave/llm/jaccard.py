@@ -36,6 +36,7 @@ from pyspark.sql.types import (
 from riskweave.llm.common import (
     IS_SPACE,
     LOWER_ASCII,
+    WORK_BYTES,
     drop_table,
     lists,
     mix,
@@ -193,7 +194,7 @@ def _summaries(spark: SparkSession, ranks: np.ndarray, width: int, percent: int)
     @arrow_udf(_SUMMARY)
     def summaries(texts: pa.Array) -> pa.Array:
         done = []
-        for part in slices(texts, 1 << 20, TEXTS_AT_ONCE):
+        for part in slices(texts, WORK_BYTES, TEXTS_AT_ONCE):
             grams, docs = shingle_sets(part, width, sent.value)
             n = np.bincount(docs, minlength=len(part))
             ends = np.concatenate([[0], np.cumsum(n)])
@@ -250,7 +251,7 @@ def gram_ranks(docs: DataFrame, text: str, width: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(buckets, np.uint32)
         for batch in batches:
-            for part in slices(batch.column(0), 1 << 20):
+            for part in slices(batch.column(0), WORK_BYTES):
                 grams = _shingles(part, width)[0]
                 for k in range(0, len(grams), RUN_GRAMS):
                     np.add.at(counts, _bucket(grams[k : k + RUN_GRAMS], buckets), np.uint32(1))
@@ -311,7 +312,7 @@ def _set_udf(width: int):
     @arrow_udf(_SET)
     def made(texts: pa.Array) -> pa.Array:
         done = []
-        for part in slices(texts, 1 << 20):
+        for part in slices(texts, WORK_BYTES):
             grams, docs = shingle_sets(part, width)
             n = np.bincount(docs, minlength=len(part))
             ends = np.concatenate([[0], np.cumsum(n)])

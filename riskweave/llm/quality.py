@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType, StructField, StructType
 
-from riskweave.llm.common import IS_SPACE, drop_table, mix, slices, utf8, words
+from riskweave.llm.common import IS_SPACE, WORK_BYTES, drop_table, mix, slices, utf8, words
 from riskweave.session import materialize
 
 WINDOW = 5
@@ -108,7 +108,7 @@ def count_stats(texts: pa.Array) -> dict[str, np.ndarray]:
 
 @arrow_udf(StructType([StructField(s, LongType()) for s in STATS]))
 def _stats(texts: pa.Array) -> pa.Array:
-    parts = [count_stats(part) for part in slices(texts, 2 << 20)]
+    parts = [count_stats(part) for part in slices(texts, WORK_BYTES)]
     columns = [
         pa.array(np.concatenate([p[s] for p in parts]) if parts else [], pa.int64()) for s in STATS
     ]

@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from llm_cases import ODD, docs, prose, words
 
-from riskweave.llm import decontaminate, language, quality
+from riskweave.llm import decontaminate, jaccard, language, quality
 from riskweave.llm.common import slices
 
 SYMBOLS = set("#*$%&|<>")
@@ -41,6 +42,20 @@ def test_tiny_texts_are_counted_in_bounded_runs():
     assert [len(p) for p in slices(tiny, 1 << 20)] == [2000]
 
 
+def test_word_hashing_takes_little_memory_however_many_texts_come_at_once():
+    rng = random.Random(5)
+    texts = pa.array([prose(rng, 400) for _ in range(2000)])
+    most = {}
+    for name, call in (("stats", quality._stats.func), ("sets", jaccard._set_udf(4).func)):
+        call(texts[:10])
+        tracemalloc.start()
+        call(texts)
+        most[name] = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+    # 3 MB of text; the sets themselves are 6 MB.
+    assert most["stats"] < 32 << 20 and most["sets"] < 32 << 20, most
+
+
 def labelled(spark):
     rng = random.Random(4)
     texts, labels = [], []
