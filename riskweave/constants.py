@@ -88,8 +88,6 @@ class RuleSettings:
 HEAVY_ACCOUNT_ROWS = 100_000
 # Rows aimed at per chunk when a heavy group is cut.
 CHUNK_ROWS = 1_000_000
-# Most labelled rows that the classifier is fitted on; every boosting pass reads them.
-MAX_TRAINING_ROWS = 5_000_000
 # Smaller chunks, no less than this, keep all cores busy on a smaller group.
 SMALL_CHUNK_ROWS = 50_000
 # So many chunks are made however small the caller wants them; more must have that many rows.

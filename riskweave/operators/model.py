@@ -18,7 +18,6 @@ from riskweave.constants import (
     CHUNK_ROWS,
     DECISION_THRESHOLD,
     FEATURE_COLUMNS,
-    MAX_TRAINING_ROWS,
     MIN_TRAINING_ROWS,
     MODEL_BINS,
     MODEL_DEPTH,
@@ -99,13 +98,19 @@ def train(features: DataFrame, *, trees: int = MODEL_TREES, seed: int = MODEL_SE
     Boosting passes over its rows hundreds of times, and rows that agree in label, in bins
     and in the features without bins are the same to it. They are counted first and go in
     as one row with their number as weight, so a pass costs what the rows differ in.
+
+    Bins are ordered numbers to the trees, not the categories that their attributes make of
+    them. Spark looks for thresholds in a sample of some ``maxBins ** 2`` rows; with as many
+    as there are rows it looks at all. No feature has more values for that than its bins.
     """
     checkpoint_dir(features.sparkSession)
     bins = binning(features)
     named = {} if bins is None else dict(zip(bins.getInputCols(), bins.getOutputCols(), strict=True))
     columns = [named.get(c, c) for c in FEATURE_COLUMNS]
     placed = features if bins is None else bins.transform(features)
-    counted = placed.groupBy("label", *columns).agg(F.count(F.lit(1)).cast("double").alias("rows"))
+    plain = [F.col(c).alias(c, metadata={}) for c in columns]
+    counted = placed.groupBy("label", *plain).agg(F.count(F.lit(1)).cast("double").alias("rows"))
+    counted = materialize(counted, "training")
     assembler = VectorAssembler(inputCols=columns, outputCol="features")
     trees_stage = GBTClassifier(
         labelCol="label",
@@ -114,11 +119,11 @@ def train(features: DataFrame, *, trees: int = MODEL_TREES, seed: int = MODEL_SE
         maxIter=trees,
         stepSize=MODEL_STEP,
         maxDepth=MODEL_DEPTH,
-        maxBins=MODEL_BINS,
+        maxBins=max(MODEL_BINS, math.isqrt(counted.count()) + 1),
         seed=seed,
         checkpointInterval=10,
     )
-    fitted = Pipeline(stages=[assembler, trees_stage]).fit(materialize(counted, "training"))
+    fitted = Pipeline(stages=[assembler, trees_stage]).fit(counted)
     return PipelineModel([*([] if bins is None else [bins]), *fitted.stages])
 
 
@@ -202,15 +207,15 @@ def train_and_evaluate(
     trees: int = MODEL_TREES,
     seed: int = MODEL_SEED,
     min_rows: int = MIN_TRAINING_ROWS,
-    max_rows: int = MAX_TRAINING_ROWS,
+    max_rows: int | None = None,
 ) -> Trained:
     """Features, chronological split, fit and held-out metrics.
 
     ``txns`` carries ``label`` and ``rule_flag_count``. Too few rows or a single label are
     an error before anything is trained. The rows are written once to the shared folder, as
     the gate, the split and the feature windows all read them, and so are the features. The
-    trees are fitted on ``max_rows`` of the training rows at most; metrics cover all
-    held-out rows.
+    trees are fitted on all training rows, or on about ``max_rows`` of them if that is given;
+    metrics cover all held-out rows.
     """
     txns = materialize(txns.select(*FEATURE_INPUT, "label"), "labelled")
     gate = training_gate(txns, min_rows).first()
@@ -224,7 +229,8 @@ def train_and_evaluate(
     )
     in_train = frame.filter(F.col("split") == "train")
     size = in_train.count()
-    model = train(bounded_sample(in_train, size, max_rows), trees=trees, seed=seed)
+    fitted = in_train if max_rows is None else bounded_sample(in_train, size, max_rows)
+    model = train(fitted, trees=trees, seed=seed)
     held_out = predict(model, frame.filter(F.col("split") == "test"))
     metrics = held_out_metrics(held_out).select(F.lit(size).cast("bigint").alias("train_size"), "*")
     return Trained(model, metrics)

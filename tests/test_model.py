@@ -142,6 +142,35 @@ def test_fitting_is_bounded_and_counts_are_not(spark):
     assert (row["train_size"], row["test_size"]) == (256, 64)
 
 
+def test_the_trees_are_fitted_on_every_training_row(spark, monkeypatch):
+    """Unless the caller bounds them; and their thresholds come from every row, bins in order."""
+    from riskweave.operators import model as module
+
+    fitted, keep = [], module.materialize
+
+    def kept(df, name):
+        out = keep(df, name)
+        if name == "training":
+            fitted.append(out)
+        return out
+
+    monkeypatch.setattr(module, "materialize", kept)
+    monkeypatch.setattr(module, "bounded_sample", lambda rows, n, most: rows.limit(10))
+    trained = train_and_evaluate(ledger(spark), trees=1)
+    assert fitted[0].agg(F.sum("rows")).first()[0] == trained.metrics.first()["train_size"] == 256
+
+    # More combinations than Spark samples at 256 bins, and a feature with more values than bins.
+    rows = spark.range(210_000).selectExpr(
+        "cast(id % 700 as bigint) AS amount_cents", "cast(id div 700 % 100 as int) AS hour_of_day", "cast(id div 70000 as int) AS weekday",
+        "0 AS is_high_risk_mcc", "0 AS velocity_count", "0 AS category_seen_before", "0D AS geo_speed_kmh",
+        "0 AS rule_flag_count", "cast(id % 700 >= 350 as double) AS label",
+    )
+    trees = module.train(rows, trees=1).stages[-1]
+    counted = fitted[1].count()
+    assert 256**2 < counted <= trees.getMaxBins() ** 2 and counted < 210_000
+    assert "feature 0 <=" in trees.toDebugString and " in {" not in trees.toDebugString
+
+
 def test_train_save_and_score(spark, tmp_path):
     df = ledger(spark)
     txns = df.select(
