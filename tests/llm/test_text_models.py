@@ -247,6 +247,38 @@ def test_recall_past_the_fit_sample(spark):
     assert found <= set.union(*want.values())
 
 
+def test_the_latent_space_is_fitted_on_every_passage(spark):
+    """Of 5,400 documents, more than any sample of before, all passages count: the Gram matrix
+    of the passages in the space, which is whole where the rank is, has a one for each direction."""
+    rng = random.Random(4)
+    texts = [*ODD, *(prose(rng, rng.randrange(1, 40), 60) for _ in range(5400 - len(ODD)))]
+    settings = decontaminate.LatentSettings(buckets=64, rank=16, oversample=48)
+    items = spark.createDataFrame([("w1 w2 w3 w1",), (None,), ("",)], "text string")
+    space = decontaminate.fit(docs(spark, texts), settings=settings, items=items)
+    # Brute force: all passages as dense rows.
+    hashed = [decontaminate._buckets(decontaminate.word_hashes(pa.array([t]))[0], 64) for t in [*texts, "w1 w2 w3 w1"]]
+    seen = sum((np.bincount(h, minlength=64) > 0).astype(int) for h in hashed[:-1])
+    idf = np.log((1 + len(texts)) / (1 + seen)) + 0.01
+    counts = [np.bincount(h[k : k + 24], minlength=64) for h in hashed for k in range(0, len(h), 24)]
+    rows = np.array(counts) * idf
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    values, vectors = np.linalg.eigh(rows.T @ rows)
+    best = vectors[:, ::-1][:, :16] / np.sqrt(values[::-1][:16])
+    got = space.projected / idf[:, None]
+    assert np.allclose(got @ got.T, best @ best.T, atol=1e-3 * np.abs(best @ best.T).max())
+
+
+def test_run_sums_are_sums_of_rows():
+    rng = np.random.default_rng(3)
+    table = rng.standard_normal((50, 3))
+    for sizes in ([1], [5000, 1, 40, 32, 33, 1], list(rng.integers(1, 90, 200))):
+        index = rng.integers(0, 50, sum(sizes)).astype("<u2")
+        ends = np.cumsum(sizes)
+        got = decontaminate.run_sums(table, index, ends - sizes)
+        want = [table[index[e - n : e]].sum(axis=0) for e, n in zip(ends, sizes, strict=True)]
+        assert np.allclose(got, want)
+
+
 def test_decontamination_of_empty_tables(spark):
     table = docs(spark, ["some text of a few words here"]).withColumnRenamed("source", "item_id")
     items = spark.createDataFrame([(1, "a b c d e f g h")], "item_id bigint, text string")
