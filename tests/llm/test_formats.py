@@ -4,7 +4,9 @@ import base64
 import hashlib
 import html
 import itertools
+import json
 import random
+import re
 import zlib
 
 import numpy as np
@@ -313,6 +315,82 @@ def test_deep_pages_take_bounded_space():
     assert wrappers.main_text("<div>" * deep + "<article><p>in<nav>no</nav></article>", {}) == "in"
 
 
+def parsed(pattern):
+    """The nodes of a wrapper's expression."""
+    tokens, levels = re.findall(r"<[^>]*>|#|\(|\)[?+]", pattern), [[]]
+    assert "".join(tokens) == pattern
+    for token in tokens:
+        if token == "(":
+            levels.append([])
+        elif token[0] == ")":
+            body = levels.pop()
+            levels[-1].append((token[1], body))
+        else:
+            levels[-1].append(token)
+    return levels[0]
+
+
+def ends(nodes, stream, starts):
+    """Where a match of the nodes that begins at one of the places may end."""
+    for node in nodes:
+        if isinstance(node, str):
+            starts = {k + 1 for k in starts if k < len(stream) and stream[k] == node}
+            continue
+        kind, body = node
+        reached = starts if kind == "?" else set()
+        new = ends(body, stream, starts)
+        while kind == "+" and not new <= reached:
+            reached, new = reached | new, ends(body, stream, new - reached)
+        starts = reached | new
+    return starts
+
+
+def varied_page(rng):
+    pieces = ("<p>t</p>", "<ul><li>a</li><li>b</li></ul>", "<div><h2>h</h2></div>", "<section><p>s</p></section>", "<pre>c</pre>")
+    around = rng.choice(("", "<nav><p>n</p></nav>", "<aside>x</aside>"))
+    body = "".join(rng.choice(pieces) for _ in range(rng.randrange(9)))
+    return f"<body>{around}<{rng.choice(('article', 'div'))}>{body}</body>"
+
+
+def test_the_wrapper_matches_every_page_of_its_host(spark, monkeypatch):
+    """However many distinct streams a host has and however long they are, in parts and rounds."""
+    monkeypatch.setattr(wrappers, "ALIGNED", 4)
+    ship(spark)
+    rng = random.Random(8)
+    pages = [varied_page(rng) for _ in range(90)]
+    # Nothing in its end repeats at once, so it stays long, and no other page has it.
+    pages.append("<body><article>" + "".join(f"<{t}>x</{t}>" for t in rng.choices(("p", "div", "pre", "dl"), k=3000)) + "<table>end</table>")
+    rows = [(k, "https://many.example/", p) for k, p in enumerate(pages)] + [(900, "https://one.example/", "<p>a</p>")]
+    table = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.host: r for r in wrappers.wrappers(table).collect()}
+    assert got["one.example"].wrapper == "<p>#</p>"
+    nodes, known = parsed(got["many.example"].wrapper), json.loads(got["many.example"].labels)
+    streams = [wrappers.blocks(p) for p in pages]
+    assert len({json.dumps(wrappers.fold(s)) for _, s in streams}) > 64
+    assert all(len(s) in ends(nodes, s, {0}) for _, s in streams)
+    paths = {b.path for found, _ in streams for b in found}
+    assert paths == wrappers.slot_paths(nodes) == set(known)
+
+
+def brute_common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        row = list(itertools.accumulate(range(len(b)), lambda last, k: max(last, row[k + 1], row[k] + (x == b[k])), initial=0))
+    return row[-1]
+
+
+def test_common_is_a_longest_common_subsequence(monkeypatch):
+    rng = random.Random(5)
+    for kept in (1 << 28, 20):
+        monkeypatch.setattr(wrappers, "KEPT_CELLS", kept)
+        for _ in range(150):
+            a, b = ([rng.randrange(4) for _ in range(rng.randrange(30))] for _ in range(2))
+            pairs = wrappers.common(a, b)
+            assert all(a[i] == b[j] for i, j in pairs)
+            assert all(i < x and j < y for (i, j), (x, y) in zip(pairs, pairs[1:]))
+            assert len(pairs) == brute_common(a, b)
+
+
 def test_wrappers_are_union_free_expressions():
     _, a = wrappers.blocks("<nav><li>x</li><li>y</li></nav><article><p>a</p><p>b</p></article>")
     _, b = wrappers.blocks("<nav><li>x</li></nav><div>ad</div><article><p>c</p></article>")
