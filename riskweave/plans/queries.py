@@ -964,7 +964,8 @@ def stream_retry_timers(spark: SparkSession, sf_dir: str) -> DataFrame:
     each round of due ones is a batch more.
     """
     use_rocksdb_state(spark)
-    store, path, files = Store(scratch_path(spark, "store"), BUCKETS), scratch_path(spark, "messages"), 4
+    store, path = Store(scratch_path(spark, "store"), BUCKETS), scratch_path(spark, "messages")
+    files = max(4, spark.sparkContext.defaultParallelism)
     txns = event_transactions(spark, sf_dir)
     for period in _periods(txns):
         to_envelope(txns.filter(period)).repartition(files).write.mode("append").json(path)

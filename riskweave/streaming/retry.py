@@ -4,8 +4,12 @@ Ingest writes its failures to a table; this stream keeps each until a processing
 at its due time fires, and writes it to the table of due messages, which ingest reads beside
 its other source. While the stream runs, timers fire without new messages. Waiting rows and
 timers are in the state store, so they survive a restart; Spark then starts no empty batch
-of its own, so they fire from the next failure on. Rows of one message are independent
-entries, so nothing that waits is read or written again before it is due.
+of its own, so they fire from the next failure on.
+
+Messages are dealt over ``GROUPS`` state keys by a hash. What a micro-batch brings to one of
+them for one time is an entry, or several of about ``ENTRY_BYTES``, with one timer; so calls
+of the state store follow the number of groups and times, not of messages. Entries are
+independent, so nothing that waits is read or written again before it is due.
 
 Timers of processing time always ask for another batch: an ``availableNow`` run does not end.
 Needs the RocksDB state store provider.
@@ -17,6 +21,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,34 +36,47 @@ from riskweave.streaming.store import RETRY, Store, require_own_batches
 cloudpickle.register_pickle_by_value(riskweave)
 
 COLUMNS = ENVELOPE.fieldNames()
+#: State keys; a state partition holds several, so there should be many times as many.
+GROUPS = 1024
+ENTRY_BYTES = 1 << 20
+WAITING = pa.schema([("body", pa.string()), ("retry_count", pa.int32()), ("message_id", pa.string())])
+
+
+def packed(rows: pd.DataFrame) -> bytes:
+    """Messages as one Arrow stream."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, WAITING) as out:
+        out.write_table(pa.Table.from_pandas(rows[WAITING.names], WAITING, preserve_index=False))
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(entry: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(entry).read_all().to_pandas()[COLUMNS]
 
 
 class RetryTimers(StatefulProcessor):
-    """Holds the failed deliveries of a message and hands each out when it is due."""
+    """Holds the failed deliveries of a group of messages and hands each out when it is due."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState(
-            "waiting", "due bigint, entry string", "body string, retry_count int, message_id string"
-        )
+        self.waiting = handle.getMapState("waiting", "due bigint, entry string", "rows binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         for pdf in rows:
-            pdf = pdf.astype(object).where(pdf.notna(), None)
-            for due, body, n, name in pdf[["due", "body", "retry_count", "message_id"]].itertuples(index=False):
-                self.waiting.updateValue((int(due), uuid.uuid4().hex), (body, int(n), name))
+            part = pdf["body"].str.len().fillna(0).cumsum() // ENTRY_BYTES
+            for (due, _), own in pdf.groupby([pdf["due"], part]):
+                self.waiting.updateValue((int(due), uuid.uuid4().hex), (packed(own),))
                 self.handle.registerTimer(int(due))
         yield pd.DataFrame()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentProcessingTimeInMs()
-        due = sorted(e for e in self.waiting.keys() if e[0] <= now)
-        found = []
-        for entry in due:
-            found.append(self.waiting.getValue(entry))
+        # Another timer of the group may have handed out what this one was for.
+        for entry in sorted(e for e in self.waiting.keys() if e[0] <= now):
+            (found,) = self.waiting.getValue(entry)
             self.waiting.removeKey(entry)
-        made = pd.DataFrame(found, columns=["body", "retry_count", "message_id"])
-        yield made.astype({"retry_count": "int32"})[COLUMNS] if found else pd.DataFrame()
+            yield unpacked(found)
+        yield pd.DataFrame()
 
     def close(self) -> None:
         pass
@@ -66,9 +84,8 @@ class RetryTimers(StatefulProcessor):
 
 def due_messages(failures: DataFrame) -> DataFrame:
     """The messages of a stream of failures, each when its ``available_at`` has come."""
-    waiting = failures.select(
-        *COLUMNS, F.unix_millis("available_at").alias("due"), F.coalesce("message_id", F.lit("")).alias("key")
-    )
+    group = F.pmod(F.xxhash64("message_id", "body"), F.lit(GROUPS)).cast("int")
+    waiting = failures.select(*COLUMNS, F.unix_millis("available_at").alias("due"), group.alias("key"))
     return waiting.groupBy("key").transformWithStateInPandas(
         statefulProcessor=RetryTimers(),
         outputStructType=ENVELOPE,

@@ -361,3 +361,42 @@ def test_every_core_writes_a_part_of_what_is_served(spark, tmp_path, monkeypatch
     assert module.QUERIES["stream_dedupe"](spark, str(tmp_path)).count() == 4000
     folder = paths["served"].removeprefix("file:")
     assert len(glob(f"{folder}/*.parquet")) == 7 * spark.sparkContext.defaultParallelism > 28
+
+
+def test_state_calls_of_retries_follow_groups_not_messages():
+    """Rows of a group that are due together are one entry with one timer, in bounded parts."""
+    from types import SimpleNamespace
+
+    import pandas as pd
+
+    from riskweave.streaming import retry as module
+
+    kept, timers = {}, []
+    state = SimpleNamespace(
+        updateValue=kept.__setitem__, keys=lambda: iter(list(kept)), getValue=kept.__getitem__, removeKey=kept.pop
+    )
+    held = module.RetryTimers()
+    held.init(SimpleNamespace(getMapState=lambda *_: state, registerTimer=timers.append))
+    rows = pd.DataFrame(
+        {
+            "body": [None, *(f"b{k}" for k in range(998)), "x" * (3 << 20)],
+            "retry_count": [k % 3 for k in range(1000)],
+            "message_id": [None if k % 5 == 0 else f"m{k}" for k in range(1000)],
+            "due": [1_000 + k % 2 for k in range(1000)],
+        }
+    ).astype({"retry_count": "int32"})
+    for part in (rows[:400], rows[400:]):
+        list(held.handleInputRows((0,), iter([part]), None))
+    assert len(kept) == len(timers) == 5 and set(timers) == {1_000, 1_001}
+
+    def due(now):
+        clock = SimpleNamespace(getCurrentProcessingTimeInMs=lambda: now)
+        found = pd.concat(held.handleExpiredTimer((0,), clock, None))
+        return [] if found.empty else sorted(map(str, found[module.COLUMNS].itertuples(index=False, name=None)))
+
+    def want(own):
+        own = own.astype(object).where(own.notna(), None)
+        return sorted(map(str, own[module.COLUMNS].itertuples(index=False, name=None)))
+
+    assert due(999) == [] and due(1_000) == want(rows[rows["due"] == 1_000])
+    assert due(1_000) == [] and due(5_000) == want(rows[rows["due"] == 1_001]) and not kept
