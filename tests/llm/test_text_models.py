@@ -284,3 +284,15 @@ def test_decontamination_of_empty_tables(spark):
     items = spark.createDataFrame([(1, "a b c d e f g h")], "item_id bigint, text string")
     assert decontaminate.op8(table, items.where("false")).count() == 0
     assert decontaminate.op8(table.where("false"), items).count() == 0
+
+
+def test_the_pipeline_fits_its_space_on_all_that_is_left(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    rng = random.Random(2)
+    left = docs(spark, [prose(rng, 5) for _ in range(6000)])
+    spark.createDataFrame([(1, prose(rng, 30))], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    fitted, summed = [], decontaminate._summed
+    monkeypatch.setattr(decontaminate, "_summed", lambda rows, *more: fitted.append(rows.count()) or summed(rows, *more))
+    corpus_pipeline.decontamination(spark, left, str(tmp_path))
+    assert fitted == [6001, 6001]
